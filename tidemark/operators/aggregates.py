@@ -7,15 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.means import mean, ratio
 from ..sources.tables import MONEY
 
 
-def mean(column: str | Column, digits: int = 4) -> Column:
-    """Average of an exact column as a rounded double, from its exact sum."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.round(F.sum(c).cast("double") / F.count(c), digits)
-
-
 def trunc(ts: str | Column, unit: str) -> Column:
     return F.date_trunc(unit, ts).cast("timestamp_ntz")
 
@@ -41,7 +36,7 @@ def trading_by_category(trades: DataFrame, instruments: DataFrame) -> DataFrame:
     return (per_symbol.join(instruments.select("symbol", "instrument_category"), "symbol", "left")
             .groupBy("instrument_category")
             .agg(F.sum("n").alias("trade_count"), F.sum("v").alias("total_value"),
-                 F.round(F.sum("v").cast("double") / F.sum("n"), 4).alias("avg_trade_value"),
+                 ratio(F.sum("v"), F.sum("n")).alias("avg_trade_value"),
                  F.min("lo").alias("min_trade_value"), F.max("hi").alias("max_trade_value")))
 
 
@@ -85,7 +80,7 @@ def user_features(orders: DataFrame, high_value: float = 1000) -> DataFrame:
         F.max("ts").alias("last"), F.count_if(total > high_value).alias("high"))
     return daily.groupBy("user_id").agg(
         F.sum("n").alias("total_orders"), F.sum("spent").alias("total_spent"),
-        F.round(F.sum("spent").cast("double") / F.sum("n"), 4).alias("avg_order_value"),
+        ratio(F.sum("spent"), F.sum("n")).alias("avg_order_value"),
         F.timestamp_diff("SECOND", F.min("first"), F.max("last")).alias("lifetime_seconds"),
         F.count("day").alias("active_days"), F.sum("high").alias("high_value_orders"))
 
@@ -131,7 +126,7 @@ def measure_profile(df: DataFrame, measure: str, ts: str, by: str) -> DataFrame:
     return keyed.groupBy("grp").agg(
         F.sum("n").alias("row_count"), F.sum("s").alias("total"), F.min("lo").alias("min_value"),
         F.max("hi").alias("max_value"),
-        F.round(F.sum("s").cast("double") / F.sum("n"), 4).alias("avg_value"),
+        ratio(F.sum("s"), F.sum("n")).alias("avg_value"),
         F.max("last").alias("last_ts"))
 
 

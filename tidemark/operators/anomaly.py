@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.means import ratio
 from .aggregates import trunc
 
 
@@ -18,7 +19,7 @@ def daily_spending(df: DataFrame, measure: str, rows: int = 7, ts: str = "ts") -
     w = Window.partitionBy("user_id").orderBy("day").rowsBetween(1 - rows, 0)
     s = F.col("daily_spending")
     return daily.withColumns({
-        "avg_7day_spending": F.round(F.sum(s).over(w).cast("double") / F.count(s).over(w), 4),
+        "avg_7day_spending": ratio(F.sum(s).over(w), F.count(s).over(w)),
         "spending_range_7day": F.max(s).over(w) - F.min(s).over(w)})
 
 

@@ -7,18 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.means import mean_of_doubles
 from ..functions.quantiles import at_position, cumulative_counts, rank_pick
 
 #: histogram cell of latencies in seconds
 LATENCY_CELL = 1.0
 
 
-def _mean(column: str | Column) -> Column:
-    """Mean that does not depend on the order of addition: the sum is exact to 9 decimals."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.sum(c.cast("decimal(28,9)")).cast("double") / F.count(c)
-
-
 def _median(value: str) -> Column:
     """Mean of the two middle values, over cumulative counts."""
     low = at_position(value, F.floor((F.col("total") - 1) / 2))
@@ -39,7 +34,7 @@ def latency_summary(results: DataFrame, keys: Sequence[str], cell: float = LATEN
         F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"),
         F.coalesce(F.sum(good("size_mb")), F.lit(0)).alias("total_data_mb"),
         F.max(wall).alias("wall_time_sec"),
-        F.round(_mean(good("time_sec")), 4).alias("latency_mean"),
+        mean_of_doubles(good("time_sec")).alias("latency_mean"),
         F.min(good("time_sec")).alias("latency_min"),
         F.max(good("time_sec")).alias("latency_max"),
         F.round(F.coalesce(F.stddev_samp(good("time_sec")),
@@ -71,7 +66,7 @@ def aggregate_runs(runs: DataFrame, keys: Sequence[str], metrics: Sequence[str])
     """Mean and deviation of every metric over the runs of a key; one run has deviation 0."""
     long = unpivot(runs, keys, metrics).filter(F.col("value").isNotNull())
     return long.groupBy(*keys, "metric").agg(
-        F.count("*").alias("num_runs"), F.round(_mean("value"), 4).alias("mean"),
+        F.count("*").alias("num_runs"), mean_of_doubles("value").alias("mean"),
         F.round(F.coalesce(F.stddev_samp("value"), F.lit(0.0)), 4).alias("stdev"))
 
 
@@ -108,7 +103,7 @@ def driver_compare(runs: DataFrame, by: Sequence[str], first: str, second: str,
                    driver: str = "driver", value: str = "avg") -> DataFrame:
     """Mean of averages of two drivers, the faster one, and its lead as a share of the slower."""
     def avg_of(name):
-        return F.round(_mean(F.when(F.lower(driver) == name, F.col(value))), 4)
+        return mean_of_doubles(F.when(F.lower(driver) == name, F.col(value)))
 
     pair = runs.groupBy(*by).agg(avg_of(first).alias("first_mean"),
                                  avg_of(second).alias("second_mean"))
@@ -121,7 +116,7 @@ def driver_compare(runs: DataFrame, by: Sequence[str], first: str, second: str,
 def fetch_rates(fetches: DataFrame, first: str, second: str) -> DataFrame:
     """Rows per second per fetch size for two drivers and their ratio."""
     def secs(name):
-        return _mean(F.when(F.col("driver") == name, F.col("secs")))
+        return mean_of_doubles(F.when(F.col("driver") == name, F.col("secs")), digits=9)
 
     per = fetches.groupBy("rows").agg(secs(first).alias("s1"), secs(second).alias("s2"))
 
@@ -161,13 +156,11 @@ def scorecard(summary: DataFrame, target: str, categories: Mapping[str, tuple[st
 def mode_stats(runs: DataFrame) -> DataFrame:
     """Per mode and driver: spread of the averages and means of the other metrics over runs."""
     base = runs.groupBy("mode", "driver").agg(
-        F.count("*").alias("runs"), F.round(_mean("avg"), 4).alias("avg_mean"),
+        F.count("*").alias("runs"), mean_of_doubles("avg").alias("avg_mean"),
         F.round(F.coalesce(F.stddev_samp("avg"), F.lit(0.0)), 4).alias("avg_stdev"),
-        F.round(_mean("p95"), 4).alias("p95_mean"), F.min("p95").alias("p95_min"),
-        F.max("p95").alias("p95_max"), F.round(_mean("p99"), 4).alias("p99_mean"),
+        F.min("p95").alias("p95_min"), F.max("p95").alias("p95_max"),
         F.min("p99").alias("p99_min"), F.max("p99").alias("p99_max"),
-        F.round(_mean("min"), 4).alias("min_mean"), F.round(_mean("max"), 4).alias("max_mean"),
-        F.round(_mean("wall"), 4).alias("wall_mean"), F.round(_mean("qps"), 4).alias("qps_mean"))
+        *[mean_of_doubles(m).alias(f"{m}_mean") for m in ("p95", "p99", "min", "max", "wall", "qps")])
     medians = cumulative_counts(runs, ["mode", "driver"], "avg", LATENCY_CELL).groupBy(
         "mode", "driver").agg(F.round(_median("avg"), 4).alias("avg_median"))
     return base.join(medians, ["mode", "driver"], "left")

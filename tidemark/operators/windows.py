@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.means import mean, ratio
 from ..functions.segments import lag_in_key
-from .aggregates import mean, trunc
+from .aggregates import trunc
 
 
 def tumble(df: DataFrame, size: str, keys: Sequence[str], aggs: Mapping[str, Column],
@@ -107,7 +108,7 @@ def fraud_score(events: DataFrame, slide: str, panes: int, item: str = "item_id"
                 "h": F.count_if(F.col("value") > high_value)},
                {"order_count": F.sum("n"), "total_spent": F.sum("s"),
                 "unique_items": F.count_distinct(item),
-                "avg_order_value": F.round(F.sum("s").cast("double") / F.sum("n"), 4),
+                "avg_order_value": ratio(F.sum("s"), F.sum("n")),
                 "high_value_orders": F.sum("h"), "active_hours": F.count_distinct("_hour")},
                also=[item, "_hour"])
     return base.withColumns(score_columns(

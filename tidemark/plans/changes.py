@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import means
 from ..operators import aggregates as agg
 from ..operators import archive, changes, claims, enrich, versions
 from ..sources import files
@@ -235,7 +236,7 @@ def archive_range_stats(t: Tables):
     part = archive.Partition("asked", "1999-07-01", "2000-07-01")
     asked = hot_and_cold(t).filter(part.holds())
     return asked.groupBy("partition", "storage", "department").agg(
-        F.count("*").alias("employees"), agg.mean("salary", 2).alias("avg_salary"))
+        F.count("*").alias("employees"), means.mean("salary", 2).alias("avg_salary"))
 
 
 @plan("archive_health", with_views("emp", f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import means
 from ..operators import aggregates as agg
 from ..operators import anomaly, clean, enrich, ranking, windows
 from ..sources.tables import LINE_VERSION, MONEY, Tables
@@ -625,7 +626,7 @@ def category_hourly(t: Tables):
     joined = clean.with_total(t.orders_raw(user=False)).join(t.items(), "item_id", "left")
     return windows.tumble(joined, "7 days", ["category"], {
         "orders": F.count("*"), "revenue": F.sum("total_amount"),
-        "avg_order_value": agg.mean("total_amount")}).drop("window_end")
+        "avg_order_value": means.mean("total_amount")}).drop("window_end")
 
 
 @plan("trades_5min", with_views("trades", f"""

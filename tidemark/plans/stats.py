@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.means import mean
 from ..functions.quantiles import cumulative_counts, linear, rank_pick
 from ..operators import benchstats as bench
 from ..sources import files
@@ -138,7 +139,7 @@ def day_stats(t: Tables) -> DataFrame:
                             F.col("event_type").alias("driver"))
     return by.agg(
         F.count("*").alias("queries"),
-        F.round(F.sum("value").cast("double") / F.count("*"), 4).alias("avg"),
+        mean("value").alias("avg"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.max("value").cast("double").alias("top"), F.sum("value").alias("wall"),
         F.count_distinct("user_id").alias("users"))
