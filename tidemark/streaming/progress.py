@@ -1,0 +1,65 @@
+"""Health of running queries as tables."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+PROGRESS_SCHEMA = (
+    "query string, batch_id long, at string, input_rows long, rows_per_second double, "
+    "state_rows long, late_rows long, duration_ms long, status string, error string")
+
+
+def _number(value) -> float:
+    return float(value) if value is not None and value == value else 0.0
+
+
+def progress_row(name: str, p: dict) -> tuple:
+    ops = p.get("stateOperators") or []
+    return (name, int(p["batchId"]), p["timestamp"], int(p.get("numInputRows") or 0),
+            _number(p.get("processedRowsPerSecond")),
+            sum(int(o.get("numRowsTotal") or 0) for o in ops),
+            sum(int(o.get("numRowsDroppedByWatermark") or 0) for o in ops),
+            int((p.get("durationMs") or {}).get("triggerExecution") or 0), "ok", None)
+
+
+def progress_table(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
+    """One row per reported batch; a failed query adds a row with its error.
+
+    Spark keeps a fixed number of reports per query, so this is small.
+    """
+    rows = []
+    for q in queries:
+        name = q.name or str(q.id)
+        rows += [progress_row(name, json.loads(p.json)) for p in q.recentProgress]
+        error = q.exception()
+        if error is not None:
+            rows.append((name, -1, "", 0, 0.0, 0, 0, 0, "failed", str(error)))
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps the last reports of all queries of a session, for the same table."""
+
+    def __init__(self, keep: int = 1000):
+        self.rows: list[tuple] = []
+        self.keep = keep
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        self.rows = (self.rows + [progress_row(p.get("name") or p["id"], p)])[-self.keep:]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.rows.append((str(event.id), -1, "", 0, 0.0, 0, 0, 0, "failed", event.exception))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows, PROGRESS_SCHEMA)
