@@ -152,6 +152,20 @@ def test_change_feed_stream_equals_batch(spark, events, tmp_path):
     same_rows(got, want)
 
 
+def test_change_feed_by_batch_equals_batch(spark, events, tmp_path):
+    log = events.select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
+    order = ["ts", "event_id"]
+    write = state.change_feed_batches(spark, f"{tmp_path}/cf", "user_id", order, "status")
+
+    def twice(df, batch_id):  # every batch is repeated once
+        write(df, batch_id)
+        write(df, batch_id)
+    sinks.run(feed_folder(log, f"{tmp_path}/in"), f"{tmp_path}/cp", each=twice)
+    same_rows(spark.read.parquet(f"{tmp_path}/cf/feed").drop("batch_id"),
+              changes.feed_from_log(log, ["user_id"], order, "status",
+                                    F.date_trunc("day", "ts").cast("timestamp_ntz")))
+
+
 def test_latest_rows_over_batches(spark, events, tmp_path):
     keys, order = ["user_id"], ["ts", "event_id"]
     stream = feed_folder(events, f"{tmp_path}/in")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.segments import lag_in_key
+
 FEED_OPS = ("Insert", "Delete", "UpdateDelete", "UpdateInsert")
 
 
@@ -89,14 +91,15 @@ def feed_stats(feed: DataFrame) -> DataFrame:
 
 
 def feed_from_log(log: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                  cell: Column) -> DataFrame:
+                  cell: Column, known: str | None = None) -> DataFrame:
     """Change feed of a whole log: an Insert per key, then old and new row at every change.
 
-    Batch twin of the stateful stream operator.
+    Rows whose ``known`` flag is set only say what the key's value was before: they emit nothing.
     """
-    from ..functions.segments import lag_in_key
     marked = log.withColumn("_seen", F.struct(value))
     prev = lag_in_key(marked, list(keys), list(order), cell, "_seen", "_prev")
+    if known:
+        prev = prev.filter(~F.coalesce(F.col(known), F.lit(False)))
     now, before = F.col("_seen"), F.col("_prev")
 
     def row(op, value_col):

@@ -70,7 +70,7 @@ def enrichment_coverage(t: Tables):
 
 
 RULES = {
-    "id_not_null": ("o_orderkey IS NOT NULL", F.col("o_orderkey").isNotNull),
+    "id_not_null": ("o_orderkey IS NOT NULL", lambda: F.col("o_orderkey").isNotNull()),
     "status_in_list": ("o_orderstatus IN ('F', 'O')", lambda: F.col("o_orderstatus").isin("F", "O")),
     "price_in_range": ("o_totalprice BETWEEN 1000 AND 400000",
                        lambda: F.col("o_totalprice").between(1000, 400000)),

@@ -1 +1,133 @@
-"""Streaming queries over the event table (filled in below)."""
+"""Streaming queries over whole stored tables.
+
+Each runs a stream to the end of its input, with state and output in the shared folder, and returns
+the stored output. Append mode gives what the watermark has closed: the last windows stay open.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.aggregates import trunc
+from ..session import shared_dir
+from ..sources.streams import table_stream
+from ..sources.tables import LINE_VERSION, Tables
+from ..streaming import pipelines as p
+from ..streaming import sinks, state
+from .changes import LOG_FEED, LOG_LAG
+from .events import HIGH, MEDIUM, SESSION_ROWS, SESSIONS
+from .registry import plan
+from .sqltext import dbl, with_views
+
+
+class StreamTables(Tables):
+    """The same views over tables read as streams."""
+
+    def raw(self, name: str) -> DataFrame:
+        return table_stream(self.spark, self.path, name)
+
+
+def finish(t: Tables, stream: DataFrame, name: str, mode: str = "append", each=None) -> DataFrame:
+    """Run the stream over everything there is and read back what it wrote."""
+    base = shared_dir(t.spark, name)
+    write = each(f"{base}/out") if each else sinks.append_batches(f"{base}/out")
+    sinks.run(stream, f"{base}/checkpoint", mode, each=write)
+    return t.spark.read.parquet(f"{base}/out")
+
+
+def streamed(t: Tables) -> StreamTables:
+    return StreamTables(t.spark, t.path)
+
+
+@plan("stream_revenue_close", with_views("line_items items", f"""
+    SELECT coalesce(category, '') AS category, window_start,
+           window_start + INTERVAL 7 DAY AS window_end,
+           {dbl('SUM(amount)')} AS revenue, COUNT(*) AS order_count
+    FROM (SELECT *, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS window_start
+          FROM line_items LEFT JOIN items USING (item_id))
+    WHERE window_start + INTERVAL 7 DAY <= (SELECT MAX(ts) - INTERVAL 5 MINUTE FROM line_items)
+    GROUP BY 1, 2"""))
+def stream_revenue_close(t: Tables):
+    orders = p.with_event_time(streamed(t).line_items(), "5 minutes")
+    out = finish(t, p.revenue_by_category(orders, t.items(), "7 days"), "revenue-close")
+    return out.drop("batch_id")
+
+
+@plan("stream_revenue_updates", with_views("line_items", f"""
+    SELECT item_id, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS window_start,
+           time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 7 DAY AS window_end,
+           {dbl('SUM(amount)')} AS revenue, COUNT(*) AS order_count
+    FROM line_items GROUP BY 1, 2, 3"""))
+def stream_revenue_updates(t: Tables):
+    orders = p.with_event_time(streamed(t).line_items(), "5 minutes")
+    log = finish(t, p.windowed_revenue(orders, "7 days"), "revenue-updates", "update")
+    return sinks.collapse_log(log, ["item_id", "window_start", "window_end"])
+
+
+@plan("stream_sessions", with_views("ev", """
+    SELECT user_id, session_start, session_end, events_in_session, session_value FROM s
+    WHERE session_end + INTERVAL 2 HOUR <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM ev)""",
+    r=SESSION_ROWS, s=SESSIONS))
+def stream_sessions(t: Tables):
+    events = p.with_event_time(streamed(t).events(), "1 hour")
+    return finish(t, p.sessions(events, "2 hours"), "sessions").drop("batch_id")
+
+
+@plan("stream_fraud_score", with_views("ev", f"""
+    SELECT user_id, window_start, order_count, {dbl('s')} AS total_spent, unique_items,
+           CAST(CASE WHEN order_count > {HIGH[0]} THEN 30 ELSE 0 END
+              + CASE WHEN s > {HIGH[1]} THEN 40 ELSE 0 END
+              + CASE WHEN unique_items > {HIGH[2]} THEN 20 ELSE 0 END
+              + CASE WHEN s / order_count > {HIGH[3]} THEN 10 ELSE 0 END AS INTEGER) AS risk_score,
+           CASE WHEN order_count > {HIGH[0]} OR s > {HIGH[1]} OR unique_items > {HIGH[2]}
+                THEN 'HIGH_RISK' WHEN order_count > {MEDIUM[0]} OR s > {MEDIUM[1]}
+                THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS risk_category
+    FROM a WHERE window_start + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM ev)""",
+    hops="""SELECT *, unnest(generate_series(b - INTERVAL 18 HOUR, b, INTERVAL 6 HOUR)) AS window_start
+        FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS b FROM ev)""",
+    a="""SELECT user_id, window_start, COUNT(*) AS order_count, SUM(value) AS s,
+        COUNT(DISTINCT event_type) AS unique_items FROM hops GROUP BY 1, 2"""))
+def stream_fraud_score(t: Tables):
+    events = p.with_event_time(streamed(t).events(), "1 hour")
+    out = p.fraud_scores(events, "6 hours", "1 day", "event_type", HIGH, MEDIUM)
+    return finish(t, out, "fraud-score").drop("batch_id")
+
+
+@plan("stream_change_feed", with_views(
+    "ev", LOG_FEED.replace("event_type,", "event_type AS status,", 1), l=LOG_LAG))
+def stream_change_feed(t: Tables):
+    base = shared_dir(t.spark, "change-feed")
+    events = streamed(t).events().withColumnRenamed("event_type", "status")
+    sinks.run(events, f"{base}/checkpoint", each=state.change_feed_batches(
+        t.spark, base, "user_id", ["ts", "event_id"], "status"))
+    return t.spark.read.parquet(f"{base}/feed").drop("batch_id")
+
+
+@plan("stream_latest_rows", with_views("line_clean", f"""
+    SELECT order_id, line, ts, item_id, qty, {dbl('amount')} AS amount,
+           {dbl('discount_pct')} AS discount_pct FROM line_clean"""))
+def stream_latest_rows(t: Tables):
+    keys = ["order_id", "line"]
+    base = shared_dir(t.spark, "latest-rows")
+    sinks.run(streamed(t).line_items(), f"{base}/checkpoint",
+              each=state.latest_rows(f"{base}/out", keys, LINE_VERSION))
+    return state.read_latest(t.spark, f"{base}/out", keys, LINE_VERSION)
+
+
+@plan("stream_passthrough", with_views("ev", f"""
+    SELECT event_id, user_id, {dbl('value')} AS value, date_trunc('day', ts) AS day FROM ev"""))
+def stream_passthrough(t: Tables):
+    out = p.append_passthrough(streamed(t).events(), {
+        "event_id": F.col("event_id"), "user_id": F.col("user_id"), "value": F.col("value"),
+        "day": trunc("ts", "day")})
+    return finish(t, out, "passthrough").drop("batch_id")
+
+
+@plan("stream_topk", with_views("ev", f"""
+    SELECT user_id, {dbl('SUM(value)')} AS total, COUNT(*) AS row_count FROM ev GROUP BY 1
+    ORDER BY SUM(value) DESC, user_id LIMIT 10"""))
+def stream_topk(t: Tables):
+    log = finish(t, p.top_k(streamed(t).events(), ["user_id"], "value", 10), "topk", "complete")
+    last = log.agg(F.max("batch_id")).first()[0]
+    return log.filter(F.col("batch_id") == last).drop("batch_id")

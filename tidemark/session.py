@@ -17,13 +17,14 @@ RUNTIME = {
     # split a skewed join partition even where that costs one more shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # state on local disk with incremental uploads instead of on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 #: Settings for the sessions built here; a cluster brings its own.
 STATIC = {
     "spark.ui.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

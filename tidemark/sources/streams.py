@@ -43,10 +43,10 @@ def stream_source(spark: SparkSession, format: str, schema: str, path: str | Non
 
 def table_stream(spark: SparkSession, folder: str, table: str,
                  files_per_trigger: int | None = None) -> DataFrame:
-    """A stored Parquet table read as a stream."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    """A stored Parquet table, a file or a folder of files, read as a stream."""
+    path = f"{folder}/{table}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    # a table is a folder of files, or a single file, which a glob reads as well
+    # as a glob: a plain path would have to be a folder
     return reader.parquet(f"{folder}/{table}.parque[t]")

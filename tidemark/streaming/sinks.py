@@ -155,18 +155,22 @@ class UpsertTable:
             return -1
         return bases.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
 
-    def _log(self) -> DataFrame:
-        """Newest base as U rows, and all later changes."""
+    def _log(self, before: int | None) -> DataFrame:
+        """Newest base as U rows, and all later changes (of batches before the given one)."""
         upto = self._upto()
         later = (self.spark.read.parquet(f"{self.path}/changes")
-                 .filter(F.col("batch_id") > upto).drop("batch_id"))
+                 .filter(F.col("batch_id") > upto))
+        if before is not None:
+            later = later.filter(F.col("batch_id") < before)
+        later = later.drop("batch_id")
         if upto < 0:
             return later
         base = self._bases().filter(F.col("upto") == upto).drop("upto")
         return base.withColumn(self.op, F.lit("U")).unionByName(later)
 
-    def read(self) -> DataFrame:
-        return current_state(self._log(), self.keys, self.order, self.op)
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current rows; a batch that may be repeated asks for the state before itself."""
+        return current_state(self._log(before), self.keys, self.order, self.op)
 
     def compact(self) -> int:
         """Write the current rows as a base; returns the last batch it includes.

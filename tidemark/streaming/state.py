@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.aggregates import trunc
+from ..operators.changes import feed_from_log
 from ..operators.clean import latest_by_key
 from .pipelines import without_zone
-from .sinks import batch_path
+from .sinks import UpsertTable, append_batches, batch_path
 
 FEED_SCHEMA = "user_id bigint, ts timestamp, event_id bigint, status string, op string"
 
@@ -44,12 +46,38 @@ class ChangeFeed(StatefulProcessor):
 
 
 def change_feed_stream(events: DataFrame) -> DataFrame:
-    """``events`` has user_id, ts, event_id and status; files must arrive in time order."""
+    """``events`` has user_id, ts, event_id and status; files must arrive in time order.
+
+    A key's rows of one trigger are sorted in memory: bound the trigger (``maxFilesPerTrigger``), or
+    use ``change_feed_batches``, which has no such group.
+    """
     slim = events.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "status")
     return slim.groupBy("user_id").transformWithStateInPandas(
         ChangeFeed(), outputStructType=FEED_SCHEMA, outputMode="append", timeMode="None")
 
 
+def change_feed_batches(spark: SparkSession, path: str, key: str, order: Sequence[str], value: str,
+                        grain: str = "day") -> Callable[[DataFrame, int], None]:
+    """The change feed by batch, for keys too hot to sort in one task.
+
+    The last value of every key is kept as an upsert table. A batch is the stored values plus its
+    own rows, compared row by row in cells of time, whatever the share of one key. Files must
+    arrive in time order. Writes ``feed/`` and ``state/``.
+    """
+    table = UpsertTable(spark, f"{path}/state", [key], list(order))
+    emit = append_batches(f"{path}/feed")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = without_zone(df).select(key, *order, value)
+        log = rows.withColumn("known", F.lit(False))
+        if batch_id > 0:
+            stored = table.read(before=batch_id).withColumn("known", F.lit(True))
+            log = log.unionByName(stored.join(rows.select(key).distinct(), key, "left_semi"))
+        emit(feed_from_log(log, [key], order, value, trunc(order[0], grain), "known"), batch_id)
+        table.write(latest_by_key(rows, [key], order).withColumn("op", F.lit("U")), batch_id)
+    return write
+
+
 def latest_rows(path: str, keys: Sequence[str], order: Sequence[str]
                 ) -> Callable[[DataFrame, int], None]:
     """Newest row per key over a stream, skew-safe: each batch stores one row per key it touched.
