@@ -4,11 +4,14 @@
 task. When one key holds a third of the table that task is the job. Here the rows of a key are cut
 into *cells* (a day, a price band, a file block: any expression that never decreases along the
 order) and the window runs per (key, cell). What a cell must know about the cells before it fits in
-one row; it is worked out from a per-cell aggregate and sent into the cell as an extra *carry* row
-that sorts first and is dropped afterwards. The rows themselves are shuffled once and never joined.
+one row, which is worked out over rows per cell, not over the rows themselves:
 
-The per-cell aggregate has one row per (key, cell). Choose cells coarse enough that this table is
-small next to the rows and fine enough that one cell fits a task.
+* a lag is missing only in the first row of a cell, so first and last rows are matched up apart;
+* running sums and fills get a *carry* row per cell that sorts first and is dropped afterwards.
+
+The rows are shuffled once. Per key there is one small row per cell: choose cells coarse enough for
+that and fine enough that one cell fits a task. Where most keys are small and a few are hot,
+``hot_cells`` cuts only the hot ones.
 """
 
 from __future__ import annotations
@@ -18,6 +21,9 @@ from pyspark.sql import functions as F
 
 _CELL, _ROW, _W = "_cell", "_row", "_weight"
 
+#: a key with more rows than this is cut into cells
+HOT_ROWS = 1_000_000
+
 
 def _cells(df: DataFrame, cell: Column) -> DataFrame:
     return df.withColumn(_CELL, cell).withColumn(_ROW, F.lit(1))
@@ -38,16 +44,39 @@ def time_cell(ts: str | Column, grain: str = "day") -> Column:
     return F.date_trunc(grain, ts).cast("timestamp_ntz")
 
 
+def hot_cells(df: DataFrame, keys: list[str], cell: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds the cell column: ``cell`` for hot keys, one cell (NULL) for all others.
+
+    A table of n rows has fewer than n / hot_rows hot keys, so their list can be broadcast. Counting
+    reads the key columns only and combines on the map side.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    marked = df.join(F.broadcast(hot), same, "left")
+    return marked.withColumn(_CELL, F.when(F.col("_hot"), cell)).drop(
+        "_hot", *[f"_hot_{k}" for k in keys])
+
+
 def lag_in_key(df: DataFrame, keys: list[str], order: list[str], cell: Column,
-               value: str, out: str) -> DataFrame:
-    """Value of the previous row of the key; ``order`` must be a total order inside a key."""
-    rows = _cells(df, cell)
-    last = rows.groupBy(*keys, _CELL).agg(F.max_by(value, F.struct(*order)).alias(value))
-    nxt = F.lead(_CELL).over(Window.partitionBy(*keys).orderBy(_CELL))
-    carry = last.withColumn(_CELL, nxt).filter(F.col(_CELL).isNotNull())
-    return (_with_carry(rows, carry, keys)
-            .withColumn(out, F.lag(value).over(_cell_window(keys, order)))
-            .filter(F.col(_ROW) == 1).drop(_CELL, _ROW))
+               value: str, out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Value of the previous row of the key; ``order`` must be a total order inside a key.
+
+    Without ``hot_rows`` every key is cut, for inputs that are dear to read twice.
+    """
+    cut = df.withColumn(_CELL, cell) if hot_rows is None else hot_cells(df, keys, cell, hot_rows)
+    # both uses below read the same shuffle
+    rows = cut.repartition(*keys, _CELL)
+    in_cell = Window.partitionBy(*keys, _CELL).orderBy(*order)
+    rows = rows.withColumns({
+        out: F.lag(value).over(in_cell), "_nth": F.row_number().over(in_cell),
+        "_last": F.lead(F.lit(1)).over(in_cell).isNull()})
+    first = F.col("_nth") == 1
+    inner = rows.filter(~first)
+    edges = rows.filter(first | F.col("_last"))
+    of_key = Window.partitionBy(*keys).orderBy(_CELL, "_nth")
+    starts = edges.withColumn(out, F.lag(value).over(of_key)).filter(first)
+    return inner.unionByName(starts).drop(_CELL, "_nth", "_last")
 
 
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], cell: Column,
@@ -77,15 +106,20 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], cell: Column
     rows = rows.withColumn(_W, F.col(_W).cast(type_))
     by_key = Window.partitionBy(*keys)
     before = by_key.orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    total_col = total or "_total"
+    # the first cell of a key starts from nothing; a key of one cell needs no carry row at all
+    needed = F.col("_many") if total else F.col("_many") & F.col(_W).isNotNull()
     carry = sums.select(
-        *keys, _CELL,
-        F.coalesce(F.sum(_W).over(before), F.lit(0)).cast(type_).alias(_W),
-        F.sum(_W).over(by_key).cast(type_).alias(total_col))
+        *keys, _CELL, F.sum(_W).over(before).cast(type_).alias(_W),
+        F.sum(_W).over(by_key).cast(type_).alias("_total"),
+        (F.count("*").over(by_key) > 1).alias("_many")).filter(needed).drop("_many")
+    carry = carry.withColumn(_W, F.coalesce(_W, F.lit(0)).cast(type_))
+    if not total:
+        carry = carry.drop("_total")
     w = _cell_window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    done = (_with_carry(rows, carry, keys)
-            .withColumn(out, F.sum(_W).over(w).cast(type_))
-            # the carry row sorts first, so it is in every frame
-            .withColumn(total_col, F.first(total_col).over(w))
-            .filter(F.col(_ROW) == 1).drop(_CELL, _ROW, _W))
-    return done if total else done.drop(total_col)
+    done = _with_carry(rows, carry, keys).withColumn(out, F.sum(_W).over(w).cast(type_))
+    if total:
+        own = F.sum(F.when(F.col(_ROW) == 1, F.col(_W))).over(Window.partitionBy(*keys, _CELL))
+        # the carry row sorts first, so it is in every frame
+        done = done.withColumn(total, F.coalesce(F.first("_total").over(w), own.cast(type_)))
+        done = done.drop("_total")
+    return done.filter(F.col(_ROW) == 1).drop(_CELL, _ROW, _W)

@@ -60,8 +60,8 @@ def archive_health(union: DataFrame, time: str = "time") -> DataFrame:
 
 
 def route_by_time(df: DataFrame, path: str, time: str = "time") -> None:
-    """Append rows to the folder of their year."""
-    with_year = df.withColumn("year", F.year(time))
+    """Append rows to the folder of their year; a large year is written by several tasks."""
+    with_year = df.withColumn("year", F.year(time)).hint("rebalance", "year")
     with_year.write.partitionBy("year").mode("append").parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.segments import lag_in_key
+from ..functions.segments import HOT_ROWS, lag_in_key
 
 FEED_OPS = ("Insert", "Delete", "UpdateDelete", "UpdateInsert")
 
@@ -91,13 +91,14 @@ def feed_stats(feed: DataFrame) -> DataFrame:
 
 
 def feed_from_log(log: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                  cell: Column, known: str | None = None) -> DataFrame:
+                  cell: Column, known: str | None = None,
+                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Change feed of a whole log: an Insert per key, then old and new row at every change.
 
     Rows whose ``known`` flag is set only say what the key's value was before: they emit nothing.
     """
     marked = log.withColumn("_seen", F.struct(value))
-    prev = lag_in_key(marked, list(keys), list(order), cell, "_seen", "_prev")
+    prev = lag_in_key(marked, list(keys), list(order), cell, "_seen", "_prev", hot_rows)
     if known:
         prev = prev.filter(~F.coalesce(F.col(known), F.lit(False)))
     now, before = F.col("_seen"), F.col("_prev")

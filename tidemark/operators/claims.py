@@ -11,7 +11,7 @@ def pending(df: DataFrame, ledger: DataFrame | None = None, key: str = "id") ->
     open_rows = df.filter(~F.col("processed"))
     if ledger is None:
         return open_rows
-    return open_rows.join(ledger.select(key), key, "left_anti")
+    return open_rows.join(ledger.select(key).distinct(), key, "left_anti")
 
 
 def work_ready(df: DataFrame, threshold: int = 100) -> bool:

@@ -124,8 +124,11 @@ def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key:
 
 
 def semi_by_ids(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
-    """Rows whose id stands in a ledger table."""
-    return df.join(ledger.select(key), key, "left_semi")
+    """Rows whose id stands in a ledger table.
+
+    Ids are made distinct first, with map-side combining: a semi join cannot split a hot right side.
+    """
+    return df.join(ledger.select(key).distinct(), key, "left_semi")
 
 
 def catalog_join(objects: DataFrame, namespaces: DataFrame, left: str, right: str) -> DataFrame:

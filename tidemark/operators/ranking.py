@@ -22,8 +22,11 @@ def rank_in_group(df: DataFrame, group: str, value: str, width: float = 1.0,
     negated = counts.withColumn("_down", -F.col(value))
     ranked = running_total(negated, [group], ["_down"], F.floor(F.col("_down") / F.lit(width)),
                            F.col("_n"), "_cum")
-    ranks = ranked.select(group, value, (F.col("_cum") - F.col("_n") + 1).alias(out))
-    return df.join(ranks, [group, value], "left")
+    ranks = ranked.select(F.col(group).alias("_group"), F.col(value).alias("_value"),
+                          (F.col("_cum") - F.col("_n") + 1).alias(out))
+    # NULL is a group like any other; a row without a value has no rank
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_value"))
+    return df.join(ranks, same, "left").drop("_group", "_value")
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],

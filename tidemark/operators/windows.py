@@ -139,6 +139,6 @@ def user_sessions(events: DataFrame, gap_seconds: int, keys: Sequence[str] = ("u
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                   grain: str = "month", ts: str = "ts") -> DataFrame:
+                   grain: str = "day", ts: str = "ts") -> DataFrame:
     """Value of the key's previous row in time order."""
     return lag_in_key(df, list(keys), list(order), trunc(ts, grain), value, out)

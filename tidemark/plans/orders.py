@@ -526,7 +526,7 @@ PREV_ORDER = "ts, order_id, line, item_id, qty, amount, discount_pct"
 def prev_amount(t: Tables):
     lines = t.orders_raw(price=False)
     out = windows.previous_value(lines, ["user_id"], PREV_ORDER.split(", "), "amount",
-                                 "prev_amount", grain="year")
+                                 "prev_amount")
     return out.select("user_id", "order_id", "line", "item_id", "ts", "amount", "prev_amount")
 
 
@@ -550,7 +550,7 @@ def group_top_n(t: Tables):
     WHERE versions > 1"""))
 def key_history(t: Tables):
     numbered = ranking.key_history(t.line_items(), ["order_id", "line"], LINE_VERSION,
-                                   agg.trunc("ts", "year"))
+                                   agg.trunc("ts", "day"))
     return numbered.select("order_id", "line", "ts", "item_id", "qty", "amount", "version",
                            "versions")
 

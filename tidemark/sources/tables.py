@@ -149,3 +149,13 @@ class Tables:
             F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("person_id"),
             F.col("o_orderdate").alias("time"), F.col("o_orderpriority").alias("department"),
             money("o_totalprice").alias("salary"))
+
+    # ---- SQL -----------------------------------------------------------------------------------
+
+    VIEWS = ("orders_raw", "orders_clean", "items", "users", "instruments", "products", "trades",
+             "returns", "events", "change_log", "versions", "op_results", "transactions", "emp")
+
+    def register(self, prefix: str = "") -> None:
+        """Make the views available to ``spark.sql``."""
+        for name in self.VIEWS:
+            getattr(self, name)().createOrReplaceTempView(prefix + name)

@@ -194,7 +194,7 @@ def exactly_once(handle: Callable[[DataFrame], DataFrame], ledger: str, key: str
         todo = df.dropDuplicates([key])
         try:
             done = spark.read.parquet(ledger).filter(F.col("batch_id") != batch_id)
-            todo = todo.join(done.select(key), key, "left_anti")
+            todo = todo.join(done.select(key).distinct(), key, "left_anti")
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -215,7 +215,8 @@ def export_json(claims: DataFrame, path: str, run_id: str) -> str:
 
 def csv_by_day(df: DataFrame, path: str, day: str = "en_date") -> None:
     """A CSV folder per day with header; only the days in ``df`` are replaced."""
-    (df.repartition(day).write.partitionBy(day).mode("overwrite")
+    # rebalance gathers a day into few files and splits a day that is too large for one task
+    (df.hint("rebalance", day).write.partitionBy(day).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("header", "true")
      .option("encoding", "UTF-8").csv(path))
 

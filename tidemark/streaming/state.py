@@ -73,7 +73,8 @@ def change_feed_batches(spark: SparkSession, path: str, key: str, order: Sequenc
         if batch_id > 0:
             stored = table.read(before=batch_id).withColumn("known", F.lit(True))
             log = log.unionByName(stored.join(rows.select(key).distinct(), key, "left_semi"))
-        emit(feed_from_log(log, [key], order, value, trunc(order[0], grain), "known"), batch_id)
+        feed = feed_from_log(log, [key], order, value, trunc(order[0], grain), "known", None)
+        emit(feed, batch_id)
         table.write(latest_by_key(rows, [key], order).withColumn("op", F.lit("U")), batch_id)
     return write
 
