@@ -35,6 +35,19 @@ def test_lag(skewed, hot_rows):
     same_rows(got, skewed.withColumn("prev", F.lag("v").over(by_time())))
 
 
+@pytest.mark.parametrize("grain", ["minute", "hour"])
+def test_ties_on_one_instant_are_cut_too(skewed, grain):
+    """Rows moved to whole hours share their instant; the order then goes on with the id."""
+    rows = skewed.withColumn("ts", F.when(F.col("id") % 3 > 0, F.date_trunc("hour", "ts"))
+                             .otherwise(F.col("ts")).cast("timestamp_ntz"))
+    cell = segments.time_cell("ts", grain, F.floor(F.col("id") / 200))
+    got = segments.lag_in_key(rows, ["k"], ["ts", "id"], cell, "v", "prev", None)
+    same_rows(got, rows.withColumn("prev", F.lag("v").over(by_time())))
+    got = segments.running_total(rows, ["k"], ["ts", "id"], cell, F.lit(1), "n", "total")
+    same_rows(got, rows.withColumns({
+        "n": F.row_number().over(by_time()), "total": F.count("*").over(Window.partitionBy("k"))}))
+
+
 def test_running_total_with_key_total(skewed):
     got = segments.running_total(skewed, ["k"], ["ts", "id"], day(),
                                  F.coalesce("v", F.lit(0)), "run", "total")

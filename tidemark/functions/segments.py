@@ -40,8 +40,19 @@ def _cell_window(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys, _CELL).orderBy(_ROW, *order)
 
 
-def time_cell(ts: str | Column, grain: str = "day") -> Column:
-    return F.date_trunc(grain, ts).cast("timestamp_ntz")
+def time_cell(ts: str | Column, grain: str = "day", tie: Column | None = None) -> Column:
+    """Cells of one grain of time, for rows ordered by time and then by what ``tie`` is made of.
+
+    Coarse clocks put many rows of a key on one instant. With ``tie``, a column that never decreases
+    along the rest of the order, the rows that stand exactly on the start of a grain are cut further
+    by it; the later rows of the grain form one more cell.
+    """
+    t = F.col(ts) if isinstance(ts, str) else ts
+    start = F.date_trunc(grain, t).cast("timestamp_ntz")
+    if tie is None:
+        return start
+    later = t != start
+    return F.struct(start.alias("start"), later.alias("later"), F.when(~later, tie).alias("tie"))
 
 
 def hot_cells(df: DataFrame, keys: list[str], cell: Column, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.means import mean, ratio
-from ..functions.segments import lag_in_key
+from ..functions.segments import lag_in_key, time_cell
 from .aggregates import trunc
 
 
@@ -139,6 +139,7 @@ def user_sessions(events: DataFrame, gap_seconds: int, keys: Sequence[str] = ("u
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                   grain: str = "day", ts: str = "ts") -> DataFrame:
-    """Value of the key's previous row in time order."""
-    return lag_in_key(df, list(keys), list(order), trunc(ts, grain), value, out)
+                   cell: Column | None = None, ts: str = "ts") -> DataFrame:
+    """Value of the key's previous row in time order; hot keys are cut into ``cell`` (days)."""
+    cell = time_cell(ts) if cell is None else cell
+    return lag_in_key(df, list(keys), list(order), cell, value, out)

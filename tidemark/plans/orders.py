@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import means
+from ..functions.segments import time_cell
 from ..operators import aggregates as agg
 from ..operators import anomaly, clean, enrich, ranking, windows
 from ..sources.tables import LINE_VERSION, MONEY, Tables
@@ -526,7 +527,7 @@ PREV_ORDER = "ts, order_id, line, item_id, qty, amount, discount_pct"
 def prev_amount(t: Tables):
     lines = t.orders_raw(price=False)
     out = windows.previous_value(lines, ["user_id"], PREV_ORDER.split(", "), "amount",
-                                 "prev_amount")
+                                 "prev_amount", time_cell("ts", "day", F.floor(F.col("order_id") / 100_000)))
     return out.select("user_id", "order_id", "line", "item_id", "ts", "amount", "prev_amount")
 
 
@@ -549,8 +550,8 @@ def group_top_n(t: Tables):
                COUNT(*) OVER (PARTITION BY order_id, line) AS versions FROM line_items)
     WHERE versions > 1"""))
 def key_history(t: Tables):
-    numbered = ranking.key_history(t.line_items(), ["order_id", "line"], LINE_VERSION,
-                                   agg.trunc("ts", "day"))
+    cell = time_cell("ts", "day", F.floor(F.col("item_id") / 10_000))
+    numbered = ranking.key_history(t.line_items(), ["order_id", "line"], LINE_VERSION, cell)
     return numbered.select("order_id", "line", "ts", "item_id", "qty", "amount", "version",
                            "versions")
 

@@ -49,14 +49,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle sizes for an input: few enough blocks, partitions that fit a task.
+
+    A shuffle has map tasks times partitions blocks. Up to a few TB the defaults of Spark are fine
+    for scans; beyond that scan tasks grow, so that 100 TB is about 100,000 of them. Partitions aim
+    at 512 MB of input and adaptive execution merges those that turn out small.
+    """
+    mb = 1 << 20
+    scan = min(1024 * mb, max(128 * mb, input_bytes // 100_000))
+    partitions = min(50_000, max(2 * cores, input_bytes // (512 * mb)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+    }
+
+
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is reachable from every executor. Only where that
-    is unset (tests, a laptop) a local one is made and remembered in the session.
+    is unset (tests, a laptop) a local one is made, once per application.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.conf.get("spark.app.id", "local")
+        base = _local_dirs.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _local_dirs[app] = base
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
