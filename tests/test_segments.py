@@ -68,10 +68,13 @@ def test_fill_forward(skewed):
     same_rows(got, sparse.withColumn("v", F.last("v", ignorenulls=True).over(w)))
 
 
-def test_rank(skewed):
-    got = ranking.rank_in_group(skewed.filter("v IS NOT NULL"), "k", "v", 7.0)
-    want = skewed.filter("v IS NOT NULL").withColumn(
-        "rank_in_category", F.rank().over(Window.partitionBy("k").orderBy(F.desc("v"))))
+@pytest.mark.parametrize("hot_rows", [5, 30, 10 ** 6])
+def test_rank(skewed, hot_rows):
+    rows = skewed.withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(7)).otherwise(F.col("v"))
+                             .cast("decimal(18,2)"))
+    got = ranking.rank_in_group(rows, "k", "v", 7.0, hot_rows=hot_rows)
+    want = rows.withColumn("rank_in_category", F.when(F.col("v").isNotNull(), F.rank().over(
+        Window.partitionBy("k").orderBy(F.desc_nulls_last("v")))))
     same_rows(got, want)
 
 

@@ -21,19 +21,26 @@ def _median(value: str) -> Column:
     return (low + high) / 2
 
 
+def span_seconds(ts: str = "ts") -> Column:
+    """Wall time of a run from the times of its operations, as an aggregate."""
+    return F.timestamp_diff("SECOND", F.min(ts), F.max(ts)).cast("double")
+
+
 def latency_summary(results: DataFrame, keys: Sequence[str], cell: float = LATENCY_CELL,
-                    wall: str = "wall_time_sec") -> DataFrame:
+                    wall: Column | None = None) -> DataFrame:
     """Mean, percentiles by rank, extremes, deviation and MB/s of the successful operations.
 
-    ``results`` has success, time_sec, size_mb and the wall time of its run (repeated per row).
+    ``results`` has success, time_sec and size_mb. ``wall`` is the wall time of a run as an
+    aggregate; by default the greatest ``wall_time_sec`` of its rows.
     """
+    wall = F.max("wall_time_sec") if wall is None else wall
     keys = list(keys)
     ok = F.col("success")
     good = lambda c: F.when(ok, F.col(c))
     base = results.groupBy(*keys).agg(
         F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"),
         F.coalesce(F.sum(good("size_mb")), F.lit(0)).alias("total_data_mb"),
-        F.max(wall).alias("wall_time_sec"),
+        wall.alias("wall_time_sec"),
         mean_of_doubles(good("time_sec")).alias("latency_mean"),
         F.min(good("time_sec")).alias("latency_min"),
         F.max(good("time_sec")).alias("latency_max"),
@@ -48,14 +55,6 @@ def latency_summary(results: DataFrame, keys: Sequence[str], cell: float = LATEN
         "throughput_mbps", F.round(F.coalesce(rate, F.lit(0.0)), 4))
 
 
-def with_wall_time(results: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds the wall time of a run, seconds from its first to its last operation."""
-    span = results.groupBy(*keys).agg(
-        F.timestamp_diff("SECOND", F.min("ts"), F.max("ts")).cast("double")
-        .alias("wall_time_sec"))
-    return results.join(span, list(keys))
-
-
 def unpivot(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
                       for m in metrics])
@@ -141,11 +140,10 @@ def scorecard(summary: DataFrame, target: str, categories: Mapping[str, tuple[st
     for metric, small in categories.values():
         if small:
             smaller = smaller | (F.col("metric") == metric)
-    score = F.when(smaller, -F.col("value")).otherwise(F.col("value"))
-    scored = long.filter(F.col("value").isNotNull()).withColumn("score", score)
-    best = scored.groupBy(*by, "metric").agg(F.max("score").alias("best"))
-    winners = (scored.join(best, [*by, "metric"]).filter(F.col("score") == F.col("best"))
-               .groupBy(*by, "metric").agg(F.min(target).alias(target)))
+    rank = F.when(smaller, F.col("value")).otherwise(-F.col("value"))
+    best = (long.filter(F.col("value").isNotNull()).groupBy(*by, "metric")
+            .agg(F.min(F.struct(rank.alias("rank"), target)).alias("best")))
+    winners = best.select(F.col(f"best.{target}").alias(target))
     wins = winners.groupBy(target).agg(F.count("*").alias("wins"))
     total = len(categories)
     return (summary.select(target).distinct().join(wins, target, "left")

@@ -16,10 +16,6 @@ from .sqltext import avg4, with_views
 RUN = ["target", "mode", "run_id"]
 
 
-def results(t: Tables) -> DataFrame:
-    return bench.with_wall_time(t.op_results(), RUN)
-
-
 @plan("percentile_linear", """
     SELECT event_type, COUNT(*) AS n, ROUND(quantile_cont(value, 0.5), 4) AS p50,
            ROUND(quantile_cont(value, 0.95), 4) AS p95, ROUND(quantile_cont(value, 0.99), 4) AS p99
@@ -73,7 +69,7 @@ SUMMARY_CTES = {"walls": WALL, "numbered": NUMBERED, "picked": PICKED, "base": B
 
 @plan("latency_summary", with_views("op_results", SUMMARY, **SUMMARY_CTES))
 def latency_summary(t: Tables):
-    return bench.latency_summary(results(t), RUN)
+    return bench.latency_summary(t.op_results(), RUN, wall=bench.span_seconds())
 
 
 METRICS = ["wall_time_sec", "throughput_mbps", "latency_p50", "latency_p95", "latency_p99",
