@@ -268,6 +268,8 @@ def test_version_folders(spark, tables, tmp_path):
     listed = versions.list_versions(spark, path).orderBy("v").collect()
     assert [r.v for r in listed] == [1, 2, 3]
     assert sum(r.row_count for r in listed) == ev.count() and all(r.bytes > 0 for r in listed)
+    added = versions.added_between(spark.read.parquet(f"{path}/data"), 1, 3)
+    assert added.count() == ev.filter("event_id % 3 > 0").count()
     # a version without manifest does not exist
     ev.write.parquet(f"{path}/data/v=4")
     assert versions.read_as_of(spark, path).count() == ev.count()

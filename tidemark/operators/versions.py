@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = "v int, files long, bytes long, row_count long, committed_at timestamp_ntz"
@@ -32,20 +32,21 @@ def last_version(spark: SparkSession, path: str) -> int:
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Append the rows as the next version and return its number."""
+    """Append the rows as the next version and return its number.
+
+    Rows are counted while they are written; the files are only listed afterwards.
+    """
     spark = df.sparkSession
     v = last_version(spark, path) + 1
     target = f"{path}/data/v={v}"
-    df.write.mode("overwrite").parquet(target)
-    written = spark.read.parquet(target)
-    files = written.groupBy("_metadata.file_path").agg(
-        F.max("_metadata.file_size").alias("b"), F.count("*").alias("n"))
-    manifest = files.agg(
-        F.lit(v).alias("v"), F.count("*").alias("files"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
+              .agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
+    manifest = listed.select(
+        F.lit(v).alias("v"), "files", "bytes", F.lit(seen.get["rows"]).cast("long").alias("row_count"),
         F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
-    manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/v={v}")
+    manifest.write.mode("overwrite").parquet(f"{path}/manifest/v={v}")
     return v
 
 
@@ -60,6 +61,12 @@ def visible_at(versions: DataFrame, version: int) -> DataFrame:
     return versions.filter(F.col("v") <= version)
 
 
+def added_between(versions: DataFrame, old: int, new: int) -> DataFrame:
+    """Rows that came after one version up to another. Versions only append, so the folders between
+    the two are the whole change and nothing else is read."""
+    return versions.filter((F.col("v") > old) & (F.col("v") <= new))
+
+
 def version_counts(versions: DataFrame, at: Sequence[int]) -> DataFrame:
     """Rows visible at each of some versions, from one scan: counts per version are added up."""
     per = versions.groupBy("v").agg(F.count("*").alias("n"), F.sum("value").alias("s"))

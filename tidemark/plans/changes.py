@@ -151,6 +151,13 @@ def list_versions(t: Tables):
     return versions.version_sizes(t.versions())
 
 
+@plan("added_between", with_views(
+    "versions", f"""SELECT v, event_id, user_id, {dbl('value')} AS value FROM versions
+    WHERE v > 10 AND v <= 12"""))
+def added_between(t: Tables):
+    return versions.added_between(t.versions(), 10, 12).select("v", "event_id", "user_id", "value")
+
+
 def order_totals(t: Tables, where) -> DataFrame:
     return t.line_items().filter(where).groupBy("order_id").agg(
         F.sum("amount").alias("amount"), F.count("*").alias("line_count"))
