@@ -78,6 +78,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         app = spark.conf.get("spark.app.id", "local")
-        base = _local_dirs.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
-        _local_dirs[app] = base
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")
+        base = _local_dirs[app]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
