@@ -10,9 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
 import check  # noqa: E402
+from tidemark.plans import oracles, plans  # noqa: E402
 
-SQL = contract.oracle_sql()
-PLANS = contract.queries()
+SQL = oracles()
+PLANS = plans()
 # made of file sizes, which SQL does not see
 WITHOUT_SQL = {"storage_report"}
 
