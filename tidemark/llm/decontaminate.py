@@ -57,8 +57,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """
     n = len(symbols)
     bits = max(1, int(symbols.max()).bit_length())
-    wide = max(1, 62 // bits)  # so many symbols fit one sort key
-    wide = min(wide, 4)
+    wide = max(1, min(62 // bits, 4, n))  # so many symbols in one sort key
     key = symbols.astype(np.int64)
     for k in range(1, wide):
         key <<= bits
@@ -305,12 +304,14 @@ def cut_rows(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Record
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns of `docs`; texts have lost the benchmark's words. n_chars follows."""
-    first, *others = docs.columns
-    found = occurrences(docs, benchmark, first, text, tuple(others))
-    types = dict(docs.dtypes)
-    out = found.mapInArrow(lambda batches: cut_rows(batches, text),
-                           ", ".join(f"`{c}` {types[c]}" for c in docs.columns))
-    if "n_chars" in docs.columns:
+    names, types = docs.columns, dict(docs.dtypes)
+    plain = [f"c{i}" for i in range(len(names))]  # the input's own names may be used inside
+    at = plain[names.index(text)]
+    found = occurrences(docs.toDF(*plain), benchmark, plain[0], at, tuple(plain[1:]))
+    out = found.mapInArrow(lambda batches: cut_rows(batches, at), ", ".join(
+        f"{c} {types[n]}" for c, n in zip(plain, names))).toDF(*names)
+    if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(
-            F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)))
-    return out.select(*docs.columns)
+            F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(
+            types["n_chars"]))
+    return out

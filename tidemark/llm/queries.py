@@ -13,6 +13,7 @@ from . import (
     token_files, toxicity, wrappers,
 )
 from .common import table
+from .sql import ORACLES
 
 
 def tokenizer_path(name: str) -> str:
@@ -114,4 +115,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    import corpus_pipeline
+
+    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
