@@ -10,7 +10,8 @@ band no wider than the allowed edits, is at most 20 % of the longer text.
 Equal texts (same words) are one node from the start. A bucket of up to `SMALL` texts compares all
 pairs, at most `SMALL` - 1 per text. A crowded bucket compares each text with `LEADERS` of its own;
 where the links found leave it in several classes, texts of different classes are compared again
-in the buckets made of two sketches, so nothing is capped and no bucket is paired in full. Classes
+in the buckets made of two sketches, so nothing is capped and no bucket is paired in full. Pairs
+that are in one class already are not compared again. Classes
 are the connected components, found by contracting edges.
 
 Defined results: texts without words (null, empty) are linked to nothing and each is its own class;
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, rows_in, stored
@@ -114,21 +115,6 @@ def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["row_id", "doc_id", "digest", "signs", "words"])
 
 
-def common_run(a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
-    """How many words from places i and j on are equal."""
-    start, step = i, 8
-    while True:
-        x, y = a[i:i + step], b[j:j + step]
-        n = min(len(x), len(y))
-        differ = x[:n] != y[:n]
-        if differ.any():
-            return i - start + int(differ.argmax())
-        i, j = i + n, j + n
-        if n < step:
-            return i - start
-        step = min(4 * step, 4096)
-
-
 def shared_words(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the common multiset of two sequences."""
     x, n = np.unique(a, return_counts=True)
@@ -137,36 +123,60 @@ def shared_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
+def banded_distance(a: list[int], b: list[int], limit: int) -> int:
+    """The word edit distance if it is at most `limit`, else some number above it.
+
+    Row by row of b, the differences between neighbouring cells of the alignment table are the bits
+    of two integers (one step up, one step down), so a row costs a few integer operations. Only
+    cells at most `limit` off the diagonal are kept: beyond its edges the table is taken to rise,
+    which no alignment of at most `limit` edits notices. Lengths differ by at most `limit`.
+    """
+    low, high, top = 0, min(len(a), limit), 0  # rows low < i <= high; value at row low
+    rise, fall = (1 << high) - 1, 0
+    places: dict[int, int] = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << i
+    for j, w in enumerate(b, 1):
+        if j - limit > low + 1 and low < high:
+            top += (rise & 1) - (fall & 1)
+            rise, fall, low = rise >> 1, fall >> 1, low + 1
+        if high < len(a) and high < j + limit:
+            rise |= 1 << (high - low)
+            high += 1
+        inside = (1 << (high - low)) - 1
+        equal = places.get(w, 0) >> low & inside
+        level = equal | fall
+        across = (((equal & rise) + rise) ^ rise) | equal
+        up = (fall | ~(across | rise)) << 1 | 1
+        down = (rise & across) << 1
+        rise = (down | ~(level | up)) & inside
+        fall = up & level & inside
+        top += 1
+    return top + rise.bit_count() - fall.bit_count()
+
+
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
     """Whether at most `limit` inserted, deleted or replaced words turn a into b.
 
-    Sequences that share too few words are told apart without alignment. The alignment keeps, for
-    each number of edits, the furthest place on every diagonal of the band.
+    Equal beginnings and ends are cut off first. Few words replaced in place, or too few words in
+    common, decide without an alignment.
     """
-    n, m = len(a), len(b)
-    if abs(n - m) > limit:
+    if abs(len(a) - len(b)) > limit:
         return False
-    if n == m and int((a != b).sum()) <= limit:
+    n = min(len(a), len(b))
+    if not n:
         return True
-    if max(n, m) - shared_words(a, b) > limit:
+    differ = np.flatnonzero(a[:n] != b[:n])
+    if len(differ) + abs(len(a) - len(b)) <= limit:
+        return True
+    if max(len(a), len(b)) - shared_words(a, b) > limit:
         return False
-    goal = m - n
-    reach = {0: common_run(a, b, 0, 0)}
-    for d in range(limit + 1):
-        if reach.get(goal, -1) >= n:
-            return True
-        new = {}
-        for k in range(-d - 1, d + 2):
-            # an edit more than the rest of the band can repair leads nowhere
-            if abs(goal - k) > limit - d - 1:
-                continue
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
-            i = min(i, n, m - k)
-            if i < 0 or i + k < 0:
-                continue
-            new[k] = i + (common_run(a, b, i, i + k) if i < n and i + k < m else 0)
-        reach = new
-    return False
+    a, b = a[differ[0]:], b[differ[0]:]
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[::-1][:n] != b[::-1][:n])
+    end = int(differ[0]) if len(differ) else n
+    a, b = a[:len(a) - end], b[:len(b) - end]
+    return banded_distance(a.tolist(), b.tolist(), limit) <= limit
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
@@ -184,38 +194,59 @@ def verify_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             [batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def candidate_pairs(keys: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of nodes to compare, from rows of key, node.
+def leaders_of(keys: DataFrame, *more) -> DataFrame:
+    """key, n, leader0 ... of the buckets with several nodes, aggregated before the shuffle.
+
+    Leaders are the least nodes by several hashes, the same order in every bucket, so the buckets
+    of one large group lead to the same few pairs.
+    """
+    return keys.groupBy("key").agg(F.count("*").alias("n"), *[
+        F.min_by("node", F.xxhash64(F.lit(t), "node")).alias(f"leader{t}")
+        for t in range(LEADERS)], *more).filter("n > 1")
+
+
+def pairs_with(leader: str | Column) -> list[Column]:
+    return [F.least("node", leader).alias("a"), F.greatest("node", leader).alias("b")]
+
 
-    Counts and leaders are aggregated before the shuffle. Only buckets of up to SMALL nodes are
-    gathered; in larger ones each node meets the leaders, which come in the same order in every
-    bucket, so the buckets of one large group lead to the same few pairs.
+def first_pairs(keys: DataFrame) -> DataFrame:
+    """Each node with the first leader of its buckets: enough to join most groups."""
+    buckets = leaders_of(keys).select("key", "leader0")
+    return keys.join(buckets, "key").filter("node <> leader0").select(
+        *pairs_with("leader0")).distinct()
+
+
+def other_pairs(keys: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs left to compare in buckets that hold several classes so far.
+
+    Small buckets: all pairs of different classes, at most SMALL - 1 per node. Crowded ones: each
+    node with the leaders of other classes.
     """
-    order = [F.xxhash64(F.lit(t), "node") for t in range(LEADERS)]
-    buckets = keys.groupBy("key").agg(
-        F.count("*").alias("n"), *[F.min_by("node", o).alias(f"leader{t}")
-                                   for t, o in enumerate(order)]).filter("n > 1")
-    member = keys.join(buckets, "key")
+    rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    buckets = leaders_of(rooted, F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low < high").drop("low", "high")
+    member = rooted.join(buckets, "key")
     small = member.filter(F.col("n") <= SMALL).groupBy("key").agg(
-        F.sort_array(F.collect_list("node")).alias("nodes"))
-    within = small.select(F.explode(F.flatten(F.transform("nodes", lambda x, i: F.transform(
-        F.slice(F.col("nodes"), i + 2, F.lit(SMALL)), lambda y: F.struct(
-            x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-    star = member.filter(F.col("n") > SMALL).select("node", F.explode(F.array_distinct(F.array(
-        *[f"leader{t}" for t in range(LEADERS)]))).alias("leader")).filter(
-        "node <> leader").select(F.least("node", "leader").alias("a"),
-                                 F.greatest("node", "leader").alias("b"))
+        F.sort_array(F.collect_list(F.struct("node", "root"))).alias("m"))
+    within = small.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(
+        F.filter(F.slice(F.col("m"), i + 2, F.lit(SMALL)), lambda y: y["root"] != x["root"]),
+        lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select(
+        "p.a", "p.b")
+    crowded = member.filter(F.col("n") > SMALL).select("node", "root", F.explode(F.array_distinct(
+        F.array(*[f"leader{t}" for t in range(LEADERS)]))).alias("leader"))
+    leader_roots = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    star = crowded.join(leader_roots, "leader", "left").filter(
+        F.col("root") != F.coalesce("leader_root", "leader")).select(*pairs_with("leader"))
     return within.union(star).distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose texts are similar; only texts that stand in a pair are read for it."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    words = stored(texts.select("node", "words").join(wanted, "node", "left_semi"), "near-words")
-    both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("words_a")), "a"
-                      ).join(words.select(F.col("node").alias("b"),
-                                          F.col("words").alias("words_b")), "b")
-    return both.mapInArrow(lambda batches: verify_rows(batches, similarity), "a long, b long")
+    """The pairs whose texts (node, words) are similar, stored."""
+    a, b = (texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}")) for c in "ab")
+    # compared in as many tasks as the session shuffles into: pairs are small but slow
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(pairs.join(a, "a").join(b, "b").repartition(tasks, "a", "b").mapInArrow(
+        lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -256,7 +287,7 @@ def crowded_again(keys: DataFrame, roots: DataFrame) -> DataFrame:
     chosen = rooted.join(mixed, "key").groupBy("key", "root").agg(F.min("node").alias("node"))
     second = keys.select("node", F.col("key").alias("second"))
     return chosen.join(second, "node").filter("second > key").select(
-        F.xxhash64("key", "second").alias("key"), "node")
+        F.xxhash64("key", "second").alias("key"), "node").distinct()
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str | None = None,
@@ -278,12 +309,19 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
     texts = signed.select(F.col("row_id").alias("node"), "signs", "words").join(
         copies.select("node"), "node", "left_semi")
     keys = stored(texts.select("node", F.explode("signs").alias("key")), "near-keys")
-    edges = stored(linked(candidate_pairs(keys), texts, similarity), "near-links")
-    roots = components(edges)
-    again = linked(candidate_pairs(crowded_again(keys, roots).distinct()), texts, similarity)
-    more = stored(again, "near-links")
-    if not more.isEmpty():
-        roots = components(edges.union(more))
+    # only texts that share a bucket are compared; their words are read again in every round
+    shared = keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
+                       "left_semi")
+    keys = stored(shared, "near-shared")
+    words = stored(texts.select("node", "words").join(
+        keys.select("node").distinct(), "node", "left_semi"), "near-words")
+    links = linked(first_pairs(keys), words, similarity)
+    roots = components(links)
+    for again in (other_pairs, lambda k, r: other_pairs(crowded_again(k, r), r)):
+        more = linked(again(keys, roots), words, similarity)
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links)
     node = copies.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("root"))
     placed = signed.select("row_id", "doc_id", "digest").join(node, "digest", "left").select(
