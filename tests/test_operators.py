@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from streamkit import same_rows
 
-from tidemark.functions import calendars, text
+from tidemark.functions import calendars, means, text
 from tidemark.operators import (aggregates, anomaly, archive, benchstats, changes, claims, clean,
                                 enrich, market, quality, versions, windows)
+from tidemark.sources import files
 
 
 def rows(df, *cols):
@@ -93,8 +94,9 @@ def test_bands(spark):
     bands = spark.createDataFrame([("A", 0, 10), ("B", 10, 20)],
                                   "risk_level string, threshold_min int, threshold_max int")
     vals = spark.createDataFrame([(0,), (10,), (11,), (21,), (None,)], "v int")
-    assert [r.risk_level for r in enrich.join_bands(vals, "v", bands).collect()] == [
-        None, "A", "B", None, None]
+    got = enrich.join_bands(vals, "v", bands).orderBy(F.col("v").asc_nulls_last(), "risk_level")
+    assert [r.risk_level for r in got.collect()] == [
+        "A", "A", "B", "B", None, None]
 
 
 def test_order_size_uses_strict_bounds(spark):
@@ -428,3 +430,45 @@ def test_driver_compare(spark):
                                "mode string, driver string, avg double")
     got = benchstats.driver_compare(df, ["mode"], "psyco", "adb").first()
     assert (got.first_mean, got.second_mean, got.winner, got.lead_pct) == (2.0, 1.0, "adb", 50.0)
+
+
+def test_null_moves_are_changes(spark):
+    cols = "k int, a int, b int"
+    old = spark.createDataFrame([(1, 5, None), (2, None, None), (3, 1, 2)], cols)
+    new = spark.createDataFrame([(1, None, 5), (2, None, None), (3, 1, 2)], cols)
+    assert [tuple(r) for r in versions.snapshot_diff(old, new, ["k"], ["a", "b"]).collect()] == [
+        (1, "update")]
+    assert archive.content_check(old, ["k", "a", "b"]) != archive.content_check(
+        new, ["k", "a", "b"])
+
+
+def test_published_bands_and_overlaps(spark):
+    vals = spark.createDataFrame(
+        [("0.00",), ("10000.00",), ("10000.01",), ("50000.00",), ("50000.01",), ("1000000",)],
+        "s string").select(F.col("s").cast("decimal(18,2)").alias("v"))
+    got = enrich.join_bands(vals, "v", files.risk_bands(spark)).orderBy("v")
+    assert [r.risk_level for r in got.collect()] == [
+        "Low", "Low", "Medium", "Medium", "High", None]
+    many = spark.createDataFrame([(f"b{i}", -2000 + 2 * i, -1999 + 2 * i) for i in range(2000)]
+                                 + [("all", -5000, 5000)],
+                                 "risk_level string, threshold_min int, threshold_max int")
+    points = spark.createDataFrame([(-2000,), (-1,), (0,), (777,), (4000,)], "v int")
+    got = enrich.join_bands(points, "v", many).groupBy("v").count().orderBy("v")
+    assert [r["count"] for r in got.collect()] == [2, 2, 2, 2, 1]
+
+
+def test_means_of_large_values(spark):
+    df = spark.createDataFrame([(1e12,), (2e12,), (1e15,)], "x double")
+    assert df.select(means.mean_of_doubles("x").alias("m")).first().m == 334333333333333.3333
+
+
+def test_rows_outside_all_years_are_kept(spark):
+    df = spark.createDataFrame([("1990-05-05",), ("2001-01-01",), (None,)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("time"))
+    assert list(archive.years_of(df)) == list(range(1990, 2002))
+    parts = archive.yearly("p", [2001], 2000)
+    got = archive.label_partitions(df, parts).orderBy(F.col("time").asc_nulls_last()).collect()
+    assert [(r.partition, r.storage) for r in got] == [
+        ("default", "default"), ("p_2001", "local"), ("default", "default")]
+    assert archive.rest_of(df, parts).count() == 2
+    assert list(archive.years_of(df.limit(0))) == []

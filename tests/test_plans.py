@@ -41,9 +41,11 @@ def test_every_window_has_a_partition(texts):
     assert bad == []
 
 
-#: reports of one row, and the covered days of a table
+#: reports of one row, the covered days of a table, totals
 SINGLE = {"work_ready", "duplicate_report", "enrichment_coverage", "constraint_report",
-          "component_counts", "backfill_range", "backfill_summary"}
+          "component_counts", "backfill_range", "backfill_summary", "missing_periods",
+          # the share of all rows that makes a key hot
+          "prev_amount", "change_feed_log"}
 
 
 def test_single_task_stages_only_merge_partial_results(texts):

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 _CELL, _ROW, _W = "_cell", "_row", "_weight"
 
-#: a key with more rows than this is cut into cells
+#: a key is cut into cells if it has more rows than this, and more than one part in so many of all
 HOT_ROWS = 1_000_000
+HOT_PARTS = 2_000
 
 
 def _cells(df: DataFrame, cell: Column) -> DataFrame:
@@ -58,10 +59,13 @@ def time_cell(ts: str | Column, grain: str = "day", tie: Column | None = None) -
 def hot_cells(df: DataFrame, keys: list[str], cell: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds the cell column: ``cell`` for hot keys, one cell (NULL) for all others.
 
-    A table of n rows has fewer than n / hot_rows hot keys, so their list can be broadcast. Counting
-    reads the key columns only and combines on the map side.
+    A hot key also holds more than one part in HOT_PARTS of the table, so there are at most
+    HOT_PARTS of them at any size and their list can be broadcast. Counting reads the key columns
+    only and combines on the map side.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = counts.agg((F.sum("_n") / HOT_PARTS).alias("_share"))
+    counts = counts.filter(F.col("_n") > hot_rows).filter(F.col("_n") > share.scalar())
     hot = counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     marked = df.join(F.broadcast(hot), same, "left")

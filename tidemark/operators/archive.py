@@ -23,6 +23,10 @@ class Partition:
             t < F.lit(self.end).cast("timestamp_ntz"))
 
 
+#: rows that no other partition takes, those without a time among them
+DEFAULT = "default"
+
+
 def yearly(prefix: str, years: Sequence[int], hot_from: int) -> list[Partition]:
     """One partition per year; years before ``hot_from`` live in the archive."""
     return [Partition(f"{prefix}_{y}", f"{y}-01-01", f"{y + 1}-01-01",
@@ -43,10 +47,22 @@ def archive_union(branches: Mapping[Partition, DataFrame], time: str = "time") -
     return out
 
 
+def years_of(df: DataFrame, time: str = "time") -> range:
+    """The years from the first to the last row; empty for a table without times."""
+    row = df.agg(F.min(F.year(time)).alias("low"), F.max(F.year(time)).alias("high")).first()
+    return range(0) if row["low"] is None else range(row["low"], row["high"] + 1)
+
+
+def rest_of(df: DataFrame, partitions: Sequence[Partition], time: str = "time") -> DataFrame:
+    """Rows of the default partition: no partition holds their time, or they have none."""
+    return rows_out_of_bounds(df, partitions, time).withColumns(
+        {"partition": F.lit(DEFAULT), "storage": F.lit(DEFAULT)})
+
+
 def label_partitions(df: DataFrame, partitions: Sequence[Partition],
                      time: str = "time") -> DataFrame:
-    """Partition and storage of each row of a single store, in one scan; NULL outside all."""
-    name, storage = F.lit(None).cast("string"), F.lit(None).cast("string")
+    """Partition and storage of each row of a single store, in one scan; DEFAULT outside all."""
+    name, storage = F.lit(DEFAULT), F.lit(DEFAULT)
     for p in reversed(partitions):
         name = F.when(p.holds(time), p.name).otherwise(name)
         storage = F.when(p.holds(time), p.storage).otherwise(storage)
@@ -66,9 +82,10 @@ def route_by_time(df: DataFrame, path: str, time: str = "time") -> None:
 
 
 def content_check(df: DataFrame, columns: Sequence[str]) -> tuple[int, int]:
-    """Row count and an order-independent checksum of the rows."""
+    """Row count and an order-independent checksum of the rows, NULLs included."""
+    seen = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
     row = df.agg(F.count("*").alias("n"),
-                 F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0))
+                 F.coalesce(F.sum(F.xxhash64(*seen).cast("decimal(38,0)")), F.lit(0))
                  .alias("c")).first()
     return row["n"], int(row["c"])
 
@@ -119,12 +136,15 @@ def rows_out_of_bounds(df: DataFrame, partitions: Sequence[Partition],
     return df.filter(~F.coalesce(inside, F.lit(False)))
 
 
-def missing_periods(df: DataFrame, unit: str, start: str, end: str,
+def missing_periods(df: DataFrame, unit: str, start: str | None = None, end: str | None = None,
                     time: str = "time") -> DataFrame:
-    """Periods of a range without any row; the spine is made once and anti-joined."""
-    step = f"INTERVAL 1 {unit.upper()}"
-    spine = df.sparkSession.sql(
-        f"SELECT explode(sequence(TIMESTAMP_NTZ '{start}', TIMESTAMP_NTZ '{end}', {step})) "
-        "AS period")
+    """Periods without any row between two times, by default the table's first and last."""
+    def edge(given, found):
+        return F.lit(given).cast("timestamp_ntz") if given else F.date_trunc(
+            unit, found(time)).cast("timestamp_ntz")
+
+    spine = df.agg(edge(start, F.min).alias("low"), edge(end, F.max).alias("high")).filter(
+        "low is not null").select(F.explode(F.sequence(
+            "low", "high", F.expr(f"INTERVAL 1 {unit.upper()}"))).alias("period"))
     seen = df.select(F.date_trunc(unit, time).cast("timestamp_ntz").alias("period")).distinct()
     return spine.join(seen, "period", "left_anti")

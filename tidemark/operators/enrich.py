@@ -97,24 +97,25 @@ def return_rate(volume: DataFrame) -> DataFrame:
         F.round(rate, 2).alias("return_rate_percent"))
 
 
-#: a band table is a handful of rows; more than this is not one
-MAX_BANDS = 1000
+def magnitude(value: Column) -> Column:
+    """A whole number that never falls as the value rises; at most some hundred different ones."""
+    v = value.cast("double")
+    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1))).cast("int")
 
 
 def join_bands(df: DataFrame, value: str, bands: DataFrame, out: str = "risk_level") -> DataFrame:
-    """Label of the band (threshold_min, threshold_max] that holds the value; NULL outside all.
+    """Labels of the bands [threshold_min, threshold_max] that hold the value; NULL outside all.
 
-    The bounded band table becomes a chain of comparisons, so no range join is planned.
+    A value in two bands gives two rows, as a range join does. Each band stands under every
+    magnitude it reaches, so values meet bands by an equi-join and the bounds are tested after it.
     """
-    rows = bands.orderBy("threshold_min").limit(MAX_BANDS + 1).collect()
-    if len(rows) > MAX_BANDS:
-        raise ValueError(f"more than {MAX_BANDS} bands")
-    label = F.lit(None).cast("string")
-    for row in reversed(rows):
-        inside = (F.col(value) > F.lit(row["threshold_min"])) & (
-            F.col(value) <= F.lit(row["threshold_max"]))
-        label = F.when(inside, F.lit(row[out])).otherwise(label)
-    return df.withColumn(out, label)
+    spread = bands.select(
+        F.col("threshold_min").alias("_low"), F.col("threshold_max").alias("_high"), out).filter(
+        "_low <= _high").withColumn("_size", F.explode(F.sequence(
+            magnitude(F.col("_low")), magnitude(F.col("_high")))))
+    return df.join(spread, (magnitude(F.col(value)) == F.col("_size"))
+                   & F.col(value).between(F.col("_low"), F.col("_high")), "left").drop(
+        "_size", "_low", "_high")
 
 
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -28,8 +28,12 @@ def summary_inflation(insert_fed: DataFrame, final: DataFrame, category: str) ->
     return reconcile(insert_fed, final, [category], ["event_count", "total_value"])
 
 
-def daily_gaps(df: DataFrame, key: str, start: str, end: str, ts: str = "ts") -> DataFrame:
-    """Days without a row, per key, between two dates (inclusive)."""
+def daily_gaps(df: DataFrame, key: str, start: str | None = None, end: str | None = None,
+               ts: str = "ts") -> DataFrame:
+    """Days without a row, per key, between two dates (inclusive), by default the table's own."""
+    if not (start and end):
+        own = df.agg(F.min(F.to_date(ts)).alias("low"), F.max(F.to_date(ts)).alias("high")).first()
+        start, end = start or own["low"], end or own["high"]
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
     seen = df.select(key, F.to_date(ts).alias("day")).distinct()
     spine = seen.select(key).distinct().select(key, F.explode(days).alias("day"))

@@ -7,59 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.segments import HOT_ROWS, running_total
+from ..functions.segments import running_total
 
 
 def rank_in_group(df: DataFrame, group: str, value: str, width: float = 1.0,
-                  out: str = "rank_in_category", hot_rows: int = HOT_ROWS) -> DataFrame:
+                  out: str = "rank_in_category") -> DataFrame:
     """RANK() by value descending inside a group; a row without a value has no rank.
 
-    The window runs per group and value band of ``width``; a band starts from the number of rows in
-    the bands above it, which one carry row tells it. Rows that share a value cannot be told apart by
-    any band. Where more than ``hot_rows`` do, they stand in the window as one row with their number
-    as weight, and look their common rank up. There are fewer than n / hot_rows such values, so their
-    list can be broadcast; they are looked for in bands of more than ``hot_rows`` rows only.
+    Rows are counted per group and value first, so equal values are one row whatever their number.
+    Those rows are ranked in bands of ``width``: a band starts from the counts of the bands above it
+    and a window runs over the values inside it. The rows look their rank up by one join.
     """
-    down = -F.col(value)
-    rows = df.withColumns({"_down": down, "_cell": F.floor(down / F.lit(width))})
-    valued = rows.filter(F.col(value).isNotNull())
-
-    def of(*names):  # keys of a list under other names, to join on
-        return [F.col(n).alias(f"_of{i}") for i, n in enumerate(names)]
-
-    def same(*names):
-        return [F.col(n).eqNullSafe(F.col(f"_of{i}")) for i, n in enumerate(names)]
-
-    bands = valued.groupBy(group, "_cell").agg(F.count("*").alias("_w"))
-    crowded = F.broadcast(bands.filter(F.col("_w") > hot_rows).select(*of(group, "_cell")))
-    hot = (valued.join(crowded, same(group, "_cell"), "left_semi")
-           .groupBy(group, "_cell", "_down").agg(F.count("*").alias("_w"))
-           .filter(F.col("_w") > hot_rows))
-    marks = F.broadcast(hot.select(*of(group, "_down"), F.lit("hot").alias("_kind")))
-    marked = rows.join(marks, same(group, "_down"), "left").drop("_of0", "_of1")
-
-    above = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bands.select(group, "_cell", F.sum("_w").over(above).alias("_w")).filter("_w IS NOT NULL")
-    cold = marked.filter(F.col("_kind").isNull())
-    weighted = (
-        cold.withColumns({"_w": F.lit(1).cast("long"), "_kind": F.lit("row")})
-        .unionByName(hot.withColumn("_kind", F.lit("hot")), allowMissingColumns=True)
-        # without _down it sorts first
-        .unionByName(carry.withColumn("_kind", F.lit("carry")), allowMissingColumns=True)
-        .repartition(group, "_cell"))
-
-    upto = F.sum("_w").over(Window.partitionBy(group, "_cell").orderBy("_down"))
-    peers = F.sum("_w").over(Window.partitionBy(group, "_cell", "_down"))
-    rank = F.when(F.col("_down").isNotNull(), upto - peers + 1)
-
-    ranked = weighted.withColumn(out, rank).filter(F.col("_kind") == "row")
-    with_hot = F.broadcast(hot.select(*of(group, "_cell")).distinct())
-    hot_ranks = (weighted.join(with_hot, same(group, "_cell"), "left_semi").withColumn(out, rank)
-                 .filter(F.col("_kind") == "hot").select(*of(group, "_down"), out))
-    looked_up = marked.filter(F.col("_kind") == "hot").join(
-        F.broadcast(hot_ranks), same(group, "_down"))
-    columns = [*df.columns, out]
-    return ranked.select(*columns).unionByName(looked_up.select(*columns))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(
+        F.count("*").alias("_n")).withColumn("_band", F.floor(-F.col(value) / F.lit(width)))
+    above = Window.partitionBy(group).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = counts.groupBy(group, "_band").agg(F.sum("_n").alias("_n")).select(
+        F.col(group).alias("_in"), F.col("_band").alias("_at"),
+        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    before = Window.partitionBy(group, "_band").orderBy(F.desc(value)).rowsBetween(
+        Window.unboundedPreceding, -1)
+    ranks = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(
+        bands, F.col(group).eqNullSafe(F.col("_in")) & (F.col("_band") == F.col("_at"))).select(
+        F.col(group).alias("_of"), F.col(value).alias("_value"),
+        (F.col("_above") + F.col("_before") + 1).alias(out))
+    return df.join(ranks, F.col(group).eqNullSafe(F.col("_of")) & (
+        F.col(value) == F.col("_value")), "left").select(*df.columns, out)
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],

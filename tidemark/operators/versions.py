@@ -86,10 +86,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
     """Keys that were inserted, deleted or updated between two states.
 
     Each side is reduced to its key and one hash before the join. Equal hashes are compared
-    column by column nowhere, so two independent 64-bit hashes guard against a collision.
+    column by column nowhere, so two independent 64-bit hashes guard against a collision. The hash
+    function skips NULLs, so each value goes in with a flag that says whether it is one.
     """
     def side(df, name):
-        digest = F.struct(F.xxhash64(*values), F.xxhash64(F.lit("salt"), *values))
+        seen = [x for v in values for x in (F.col(v).isNull(), F.col(v))]
+        digest = F.struct(F.xxhash64(*seen), F.xxhash64(F.lit("salt"), *seen))
         return df.select(*keys, digest.alias(name))
 
     both = side(old, "_old").join(side(new, "_new"), list(keys), "full_outer")

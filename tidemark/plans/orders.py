@@ -8,6 +8,7 @@ from ..functions import means
 from ..functions.segments import time_cell
 from ..operators import aggregates as agg
 from ..operators import anomaly, clean, enrich, ranking, windows
+from ..sources import files
 from ..sources.tables import LINE_VERSION, MONEY, Tables
 from .registry import plan
 from .sqltext import avg4, big, dbl, with_views
@@ -229,13 +230,11 @@ def self_join_windows(t: Tables):
 
 @plan("risk_category_join", with_views("trades", f"""
     SELECT trade_id, line, {dbl('trade_value')} AS trade_value, b.risk_level
-    FROM trades LEFT JOIN (VALUES ('Low', 0, {LOW}), ('Medium', {LOW}, {MID}),
-        ('High', {MID}, 99999999)) AS b(risk_level, lo, hi)
-    ON trade_value > lo AND trade_value <= hi"""))
+    FROM trades LEFT JOIN (VALUES ('Low', 0.00, 10000.00), ('Medium', 10000.01, 50000.00),
+        ('High', 50000.01, 999999.99)) AS b(risk_level, lo, hi)
+    ON trade_value BETWEEN lo AND hi"""))
 def risk_category_join(t: Tables):
-    bands = t.spark.createDataFrame(
-        [("Low", 0, LOW), ("Medium", LOW, MID), ("High", MID, 99999999)],
-        "risk_level string, threshold_min int, threshold_max int")
+    bands = files.risk_bands(t.spark)
     return enrich.join_bands(t.trades().select("trade_id", "line", "trade_value"),
                              "trade_value", bands)
 

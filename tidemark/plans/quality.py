@@ -48,11 +48,12 @@ def mv_inflation(t: Tables):
 
 @plan("gap_report", with_views("ev", """
     SELECT user_id, CAST(day AS VARCHAR) AS day FROM (
-        SELECT user_id, CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30',
-               INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT user_id FROM ev))
+        SELECT user_id, CAST(unnest(generate_series((SELECT CAST(MIN(ts) AS DATE) FROM ev),
+               (SELECT CAST(MAX(ts) AS DATE) FROM ev), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM (SELECT DISTINCT user_id FROM ev))
     WHERE (user_id, day) NOT IN (SELECT (user_id, CAST(ts AS DATE)) FROM ev)"""))
 def gap_report(t: Tables):
-    return quality.daily_gaps(t.events(), "user_id", "2024-01-01", "2024-01-30")
+    return quality.daily_gaps(t.events(), "user_id")
 
 
 @plan("hourly_counts", "SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS row_count FROM events GROUP BY 1")

@@ -44,7 +44,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _load() -> None:
-    from . import changes, events, orders, quality, stats, streams  # noqa: F401
+    from . import changes, events, orders, quality, stats, stores, streams  # noqa: F401
 
 
 def plans() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -160,7 +160,7 @@ def suite_log_lines(t: Tables) -> DataFrame:
         text("  Throughput:   %.1f q/s", F.col("users").cast("double")),
         F.lit("-----"))
     # each driver writes its block at its own place in the file of the day
-    block = F.ascii("driver").cast("long") * 1000 + F.length("driver")
+    block = F.xxhash64("driver")
     return day_stats(t).select("file", block.alias("block"), F.posexplode(lines).alias("pos", "line"))
 
 
@@ -201,19 +201,15 @@ def driver_compare(t: Tables):
     return bench.driver_compare(parse_suite_logs(t), ["mode"], "click", "view")
 
 
-FETCH_DRIVERS = ("click", "view")
-
-
 def fetch_log_lines(t: Tables) -> DataFrame:
     """Fetch logs: a header per driver, then one line per fetch size and its seconds."""
-    by = (t.events().filter(F.col("event_type").isin(*FETCH_DRIVERS))
-          .groupBy(F.date_format("ts", "yyyy-MM-dd").alias("file"),
+    by = (t.events().groupBy(F.date_format("ts", "yyyy-MM-dd").alias("file"),
                    F.col("event_type").alias("driver"),
                    ((F.col("user_id") % 4 + 1) * 10000).alias("size"))
           .agg((F.sum("value") + 1).cast("double").alias("secs")))
     row = F.concat(F.lit("    "), F.format_number("size", 0), F.lit(" rows: "),
                    F.format_string("%.3f", F.col("secs")), F.lit("s (1 rows/sec)"))
-    block = F.ascii("driver").cast("long")
+    block = F.xxhash64("driver")
     head = by.select("file", "driver").distinct().select(
         "file", block.alias("block"), F.lit(0).cast("long").alias("pos"),
         F.concat(F.lit("Fetch-speed benchmark ("), F.upper("driver"), F.lit("):")).alias("line"))
@@ -223,7 +219,7 @@ def fetch_log_lines(t: Tables) -> DataFrame:
 
 FETCH = """SELECT strftime(ts, '%Y-%m-%d') AS file, event_type AS driver,
     (user_id % 4 + 1) * 10000 AS rows, CAST(SUM(value) + 1 AS DOUBLE) AS secs
-    FROM ev WHERE event_type IN ('click', 'view') GROUP BY ALL"""
+    FROM ev GROUP BY ALL"""
 
 
 @plan("parse_fetch_logs", with_views("ev", FETCH))
@@ -240,4 +236,4 @@ def parse_fetch_logs(t: Tables):
           {avg4('secs', where="driver = 'click'")} AS a4,
           {avg4('secs', where="driver = 'view'")} AS b4 FROM f GROUP BY 1)""", f=FETCH))
 def fetch_rates(t: Tables):
-    return bench.fetch_rates(parse_fetch_logs(t), *FETCH_DRIVERS)
+    return bench.fetch_rates(parse_fetch_logs(t), "click", "view")

@@ -73,10 +73,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is reachable from every executor. Only where that
-    is unset (tests, a laptop) a local one is made, once per application.
+    is unset and all tasks run on this machine (tests, a laptop) a local one is made, once per
+    application.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.conf.get("spark.app.id", "local")
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="tidemark-")

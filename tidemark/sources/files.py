@@ -176,8 +176,8 @@ DEMO_ITEMS = [
     (9, "External SSD", "Electronics", "199.99"),
     (10, "Mouse Pad", "Accessories", "19.99"),
 ]
-RISK_BANDS = [(1, "Low", "0", "10000"), (2, "Medium", "10000", "50000"),
-              (3, "High", "50000", "99999999")]
+RISK_BANDS = [(1, "Low", "0.00", "10000.00"), (2, "Medium", "10000.01", "50000.00"),
+              (3, "High", "50000.01", "999999.99")]
 
 
 def static_dimension(spark: SparkSession, rows: list[tuple], schema: str | T.StructType,
@@ -198,14 +198,3 @@ def risk_bands(spark: SparkSession) -> DataFrame:
         spark, RISK_BANDS,
         "risk_id int, risk_level string, threshold_min string, threshold_max string",
         ("threshold_min", "threshold_max"))
-
-
-# ---- remote partitions ---------------------------------------------------------------------------
-
-def read_remote(spark: SparkSession, url: str, table: str, predicates: list[str] | None = None,
-                **options: str) -> DataFrame:
-    """A table in a database; one reader task per predicate, filters and columns pushed down."""
-    properties = {"fetchsize": "10000", **options}
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)

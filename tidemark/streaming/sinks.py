@@ -3,7 +3,6 @@ its first attempt and readers see each batch once."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,15 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import current_state
-from ..operators.clean import null_safe
 from .pipelines import without_zone
 
 
 def run(stream: DataFrame, checkpoint: str, mode: str = "append", *,
         each: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
         format: str = "parquet", partition_by: Sequence[str] = (), wait: bool = True,
-        **options: str) -> StreamingQuery:
-    """Start a query over everything available now, into a batch function or a file sink."""
+        drop_late: bool = False, **options: str) -> StreamingQuery:
+    """Start a query over everything available now, into a batch function or a file sink.
+
+    Rows that come after the watermark fail the query, so that none is lost unseen, unless
+    `drop_late` says that they may be.
+    """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.options(**options).trigger(availableNow=True)
     if each is not None:
@@ -32,9 +34,18 @@ def run(stream: DataFrame, checkpoint: str, mode: str = "append", *,
         query = writer.start(path)
     if wait:
         query.awaitTermination()
+        late = late_rows(query)
+        if late and not drop_late:
+            raise RuntimeError(f"{late} rows came after the watermark and were dropped")
     return query
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark excluded in the batches the query still reports."""
+    return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress
+               for s in p.stateOperators)
+
+
 def parquet_by_day(stream: DataFrame, path: str, checkpoint: str, ts: str) -> StreamingQuery:
     """Exactly-once Parquet folder partitioned by day."""
     dated = without_zone(stream.withColumn("dt", F.date_format(ts, "yyyy-MM-dd")))
@@ -87,43 +98,6 @@ def fan_out(writers: Sequence[Callable[[DataFrame, int], None]]) -> Callable[[Da
     return write
 
 
-#: how databases say that a table is not there yet
-NO_TABLE = re.compile("does not exist|doesn't exist|not found|no such table|unknown table", re.I)
-
-
-class JdbcTable:
-    """A database table whose rows carry the batch they came with."""
-
-    def __init__(self, url: str, table: str, properties: Mapping[str, str] | None = None):
-        self.url, self.table, self.properties = url, table, dict(properties or {})
-
-    def has_batch(self, spark: SparkSession, batch_id: int) -> bool:
-        try:
-            rows = spark.read.jdbc(self.url, self.table, properties=self.properties)
-        except Exception as e:
-            if not NO_TABLE.search(str(e)):
-                raise
-            return False
-        return rows.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
-
-    def append(self, rows: DataFrame) -> None:
-        rows.write.jdbc(self.url, self.table, mode="append", properties=self.properties)
-
-
-def warehouse(table: JdbcTable, defaults: Mapping[str, object]
-              ) -> Callable[[DataFrame, int], None]:
-    """Append to a database table, NULLs replaced; a batch that is there is not written again.
-
-    A database write is not atomic across tasks: a batch that died half way is seen as present and
-    must be removed by its id before the query is restarted.
-    """
-    def write(df: DataFrame, batch_id: int) -> None:
-        if not table.has_batch(df.sparkSession, batch_id):
-            rows = without_zone(null_safe(df, defaults))
-            table.append(rows.withColumn("batch_id", F.lit(int(batch_id))))
-    return write
-
-
 class UpsertTable:
     """A keyed table kept as a base snapshot plus one change folder per batch.
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.aggregates import trunc
 from ..operators.changes import feed_from_log
@@ -15,50 +13,9 @@ from ..operators.clean import latest_by_key
 from .pipelines import without_zone
 from .sinks import UpsertTable, append_batches, batch_path
 
-FEED_SCHEMA = "user_id bigint, ts timestamp, event_id bigint, status string, op string"
-
-
-class ChangeFeed(StatefulProcessor):
-    """Keeps the last value of a key and emits Insert, or old and new row at a change."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "status string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        # the rows of one key in one micro-batch, bounded by the trigger's input
-        rows = pd.concat(list(rows)).sort_values(["ts", "event_id"], kind="stable")
-        known = self.last.exists()
-        before = rows["status"].shift()
-        if known:
-            before.iloc[0] = self.last.get()[0]
-        first = pd.Series(False, index=rows.index)
-        first.iloc[0] = not known
-        changed = (rows["status"] != before) & ~first
-        new = rows.assign(op=first.map({True: "Insert", False: "UpdateInsert"}), side=1)
-        old = rows.assign(status=before, op="UpdateDelete", side=0)
-        out = pd.concat([old[changed.values], new[(first | changed).values]])
-        self.last.update((str(rows["status"].iloc[-1]),))
-        yield (out.sort_values(["ts", "event_id", "side"], kind="stable")
-               .assign(user_id=key[0])[["user_id", "ts", "event_id", "status", "op"]])
-
-    def close(self) -> None:
-        pass
-
-
-def change_feed_stream(events: DataFrame) -> DataFrame:
-    """``events`` has user_id, ts, event_id and status; files must arrive in time order.
-
-    A key's rows of one trigger are sorted in memory: bound the trigger (``maxFilesPerTrigger``), or
-    use ``change_feed_batches``, which has no such group.
-    """
-    slim = events.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "status")
-    return slim.groupBy("user_id").transformWithStateInPandas(
-        ChangeFeed(), outputStructType=FEED_SCHEMA, outputMode="append", timeMode="None")
-
-
 def change_feed_batches(spark: SparkSession, path: str, key: str, order: Sequence[str], value: str,
                         grain: str = "day") -> Callable[[DataFrame, int], None]:
-    """The change feed by batch, for keys too hot to sort in one task.
+    """The change feed by batch.
 
     The last value of every key is kept as an upsert table. A batch is the stored values plus its
     own rows, compared row by row in cells of time, whatever the share of one key. Files must
