@@ -195,28 +195,37 @@ def verify_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
 
 
 def leaders_of(keys: DataFrame, *more) -> DataFrame:
-    """key, n, leader0 ... of the buckets with several nodes, aggregated before the shuffle.
+    """key, n, leader0 ... (node, size) of the buckets with several nodes, aggregated before the
+    shuffle.
 
     Leaders are the least nodes by several hashes, the same order in every bucket, so the buckets
     of one large group lead to the same few pairs.
     """
     return keys.groupBy("key").agg(F.count("*").alias("n"), *[
-        F.min_by("node", F.xxhash64(F.lit(t), "node")).alias(f"leader{t}")
+        F.min_by(F.struct("node", "size"), F.xxhash64(F.lit(t), "node")).alias(f"leader{t}")
         for t in range(LEADERS)], *more).filter("n > 1")
 
 
-def pairs_with(leader: str | Column) -> list[Column]:
-    return [F.least("node", leader).alias("a"), F.greatest("node", leader).alias("b")]
+def near_in_size(x: Column, y: Column, similarity: float) -> Column:
+    """Whether the numbers of words leave room for the similarity: each word more is an edit."""
+    return F.abs(x - y) <= F.floor(F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9))
 
 
-def first_pairs(keys: DataFrame) -> DataFrame:
-    """Each node with the first leader of its buckets: enough to join most groups."""
-    buckets = leaders_of(keys).select("key", "leader0")
-    return keys.join(buckets, "key").filter("node <> leader0").select(
-        *pairs_with("leader0")).distinct()
+def pair(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def other_pairs(keys: DataFrame, roots: DataFrame) -> DataFrame:
+def first_pairs(keys: DataFrame, similarity: float) -> DataFrame:
+    """Each node with one leader, the least of all that its buckets have: that joins most groups."""
+    leader = F.col("leader0")
+    met = keys.join(leaders_of(keys).select("key", "leader0"), "key").filter(
+        (F.col("node") != leader["node"]) & near_in_size(F.col("size"), leader["size"], similarity))
+    return met.groupBy("node").agg(F.min_by("leader0.node", F.xxhash64(
+        F.lit(0), "leader0.node")).alias("leader")).select(
+        *pair(F.col("node"), F.col("leader"))).distinct()
+
+
+def other_pairs(keys: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """The pairs left to compare in buckets that hold several classes so far.
 
     Small buckets: all pairs of different classes, at most SMALL - 1 per node. Crowded ones: each
@@ -227,16 +236,20 @@ def other_pairs(keys: DataFrame, roots: DataFrame) -> DataFrame:
         "low < high").drop("low", "high")
     member = rooted.join(buckets, "key")
     small = member.filter(F.col("n") <= SMALL).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("node", "root"))).alias("m"))
+        F.sort_array(F.collect_list(F.struct("node", "root", "size"))).alias("m"))
     within = small.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(
-        F.filter(F.slice(F.col("m"), i + 2, F.lit(SMALL)), lambda y: y["root"] != x["root"]),
+        F.filter(F.slice(F.col("m"), i + 2, F.lit(SMALL)), lambda y: (y["root"] != x["root"])
+                 & near_in_size(x["size"], y["size"], similarity)),
         lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select(
         "p.a", "p.b")
-    crowded = member.filter(F.col("n") > SMALL).select("node", "root", F.explode(F.array_distinct(
-        F.array(*[f"leader{t}" for t in range(LEADERS)]))).alias("leader"))
+    crowded = member.filter(F.col("n") > SMALL).select("node", "root", "size", F.explode(
+        F.array_distinct(F.array(*[f"leader{t}" for t in range(LEADERS)]))).alias("l")).filter(
+        near_in_size(F.col("size"), F.col("l.size"), similarity)).select(
+        "node", "root", F.col("l.node").alias("leader"))
     leader_roots = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
     star = crowded.join(leader_roots, "leader", "left").filter(
-        F.col("root") != F.coalesce("leader_root", "leader")).select(*pairs_with("leader"))
+        F.col("root") != F.coalesce("leader_root", "leader")).select(
+        *pair(F.col("node"), F.col("leader")))
     return within.union(star).distinct()
 
 
@@ -278,16 +291,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def crowded_again(keys: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, node for buckets above SMALL that hold several classes: one node of each class, and a
+    """key, node, size for buckets above SMALL that hold several classes: one node of each class, and a
     key for every second sketch the node has."""
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key").agg(
         F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
         (F.col("n") > SMALL) & (F.col("low") < F.col("high"))).select("key")
-    chosen = rooted.join(mixed, "key").groupBy("key", "root").agg(F.min("node").alias("node"))
+    chosen = rooted.join(mixed, "key").groupBy("key", "root").agg(
+        F.min(F.struct("node", "size")).alias("first")).select("key", "first.*")
     second = keys.select("node", F.col("key").alias("second"))
     return chosen.join(second, "node").filter("second > key").select(
-        F.xxhash64("key", "second").alias("key"), "node").distinct()
+        F.xxhash64("key", "second").alias("key"), "node", "size").distinct()
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str | None = None,
@@ -308,17 +322,19 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
     copies = stored(copies, "near-copies")
     texts = signed.select(F.col("row_id").alias("node"), "signs", "words").join(
         copies.select("node"), "node", "left_semi")
-    keys = stored(texts.select("node", F.explode("signs").alias("key")), "near-keys")
+    keys = stored(texts.select(
+        "node", (F.octet_length("words") / 4).cast("int").alias("size"),
+        F.explode("signs").alias("key")), "near-keys")
     # only texts that share a bucket are compared; their words are read again in every round
     shared = keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                        "left_semi")
     keys = stored(shared, "near-shared")
     words = stored(texts.select("node", "words").join(
         keys.select("node").distinct(), "node", "left_semi"), "near-words")
-    links = linked(first_pairs(keys), words, similarity)
+    links = linked(first_pairs(keys, similarity), words, similarity)
     roots = components(links)
-    for again in (other_pairs, lambda k, r: other_pairs(crowded_again(k, r), r)):
-        more = linked(again(keys, roots), words, similarity)
+    for buckets in (lambda: keys, lambda: crowded_again(keys, roots)):
+        more = linked(other_pairs(buckets(), roots, similarity), words, similarity)
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links)
