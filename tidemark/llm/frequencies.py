@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_in, stored
@@ -23,10 +23,12 @@ CHUNK_ROWS, CHUNK_BYTES = 8_192, 16 << 20
 #: sums that a task holds before it hands them on
 HELD = 2_000_000
 
-SCHEMA = ("chunk long, word binary, places binary, counts binary, trained long, "
-          "doc_ids array<long>, sizes array<long>, totals array<long>")
 
-NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+def schema_of(groups: int) -> list[str]:
+    """Columns of the table; c0, c1 ... count a word in the documents of each group."""
+    return ["chunk long", "word binary", "places binary", "counts binary",
+            *[f"c{g} long" for g in range(groups)],
+            "doc_ids array<long>", "sizes array<long>", "totals array<long>"]
 
 
 def binaries(ends: np.ndarray, data: np.ndarray) -> pa.Array:
@@ -36,10 +38,11 @@ def binaries(ends: np.ndarray, data: np.ndarray) -> pa.Array:
         None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def chunk_rows(batches: Iterator[pa.RecordBatch], split: Callable[[str | None], list[bytes]]
-               ) -> Iterator[pa.RecordBatch]:
-    """doc_id, text, trains -> the rows of SCHEMA: one per word, and one per chunk without a word
-    that has the ids, UTF-8 sizes and word totals of its documents."""
+def chunk_rows(batches: Iterator[pa.RecordBatch], split: Callable[[str | None], list[bytes]],
+               groups: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text, in_group -> the rows of schema_of(groups): one per word, and one per chunk
+    without a word that has the ids, UTF-8 sizes and word totals of its documents."""
+    columns = [c.split()[0] for c in schema_of(groups)]
     first = TaskContext.get().partitionId() << 33
     for number, rows in enumerate(rows_in(batches, CHUNK_ROWS, CHUNK_BYTES)):
         names: dict[bytes, int] = defaultdict()
@@ -54,9 +57,11 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], split: Callable[[str | None],
         flat = np.concatenate(coded)
         place = np.repeat(np.arange(len(texts)), totals)
         pair, count = np.unique((flat << 16) | place, return_counts=True)
-        trains = np.array([bool(x) for x in rows["trains"].to_pylist()])
         word = pair >> 16
-        trained = np.bincount(word, weights=count * trains[pair & 0xFFFF], minlength=len(names))
+        group = rows["in_group"].combine_chunks().fill_null(-1).to_numpy()[pair & 0xFFFF]
+        by_group = [pa.array(np.bincount(word, weights=count * (group == g),
+                                         minlength=len(names)).astype(np.int64))
+                    for g in range(groups)]
         times = (count + 254) // 255  # a count above 255 takes several entries
         rest = count - 255 * (times - 1)
         lasts = np.cumsum(times) - 1
@@ -71,22 +76,23 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], split: Callable[[str | None],
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(n, chunk)), pa.array(list(names), type=pa.binary()),
             binaries(ends, places), binaries(ends, counts),
-            pa.array(trained.astype(np.int64)), none, none, none], names=NAMES)
+            *by_group, none, none, none], names=columns)
         sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
         yield pa.RecordBatch.from_arrays([
             pa.array([chunk]), pa.array([None], type=pa.binary()),
             pa.array([None], type=pa.binary()), pa.array([None], type=pa.binary()),
-            pa.array([None], type=pa.int64()),
+            *[pa.array([None], type=pa.int64())] * groups,
             *[pa.array([x], type=pa.list_(pa.int64()))
-              for x in (rows["doc_id"].to_pylist(), sizes, totals.tolist())]], names=NAMES)
+              for x in (rows["doc_id"].to_pylist(), sizes, totals.tolist())]], names=columns)
 
 
 def frequencies(docs: DataFrame, split: Callable[[str | None], list[bytes]], id: str = "doc_id",
-                text: str = "text", trains=None) -> DataFrame:
-    """The stored table of SCHEMA; `trained` counts the word in documents where `trains` holds."""
+                text: str = "text", in_group: Column | None = None, groups: int = 0) -> DataFrame:
+    """The stored table. in_group: the number of a row's group, null for none."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                       (F.lit(False) if trains is None else trains).alias("trains"))
-    return stored(rows.mapInArrow(lambda b: chunk_rows(b, split), SCHEMA), "frequencies")
+                       (F.lit(None) if in_group is None else in_group).cast("int").alias("in_group"))
+    return stored(rows.mapInArrow(lambda b: chunk_rows(b, split, groups),
+                                  ", ".join(schema_of(groups))), "frequencies")
 
 
 def documents_of(table: DataFrame) -> DataFrame:
