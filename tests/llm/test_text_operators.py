@@ -234,7 +234,8 @@ def test_schedule_is_even_throughout(spark):
 
 def test_mixed_documents(documents):
     rows = [(i, t, f"s{i % 3}") for i, t in sentences(11, 90)]
-    out = mixing.mixed_documents(documents(rows))
+    odd = [(500, "", "s0"), (501, None, None), (None, "a b c", "s1")]
+    out = mixing.mixed_documents(documents(rows + odd))
     assert out.columns == documents(rows).columns
     n = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert set(n.values()) <= {1, 2} and 2 in n.values()

@@ -174,7 +174,7 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", source: str = "source",
         F.struct("*").alias("row"), size_of(text).alias("size"))), "mix-documents")
     sizes = rows.select("row_id", F.col(f"row.{id}").alias("doc_id"),
                         F.col(f"row.{source}").alias("source"), "size")
-    times = mixed(sizes).select("row_id", F.round(F.col("taken") / F.col("size")).cast(
-        "int").alias("times")).filter("times > 0")
+    times = mixed(sizes).filter("taken > 0").select("row_id", F.round(
+        F.col("taken") / F.col("size")).cast("int").alias("times")).filter("times > 0")
     return rows.join(times, "row_id").select("row", F.explode(
         F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
