@@ -3,7 +3,7 @@
 A chunk is a run of up to 8,192 documents of one task. For every distinct word of a chunk there is
 one row with the documents it stands in and how often, so a word is stored once per chunk instead
 of once per document. Values known per distinct word come back to the documents by a join on the
-word and sums per (chunk, place); the sums of one task are combined before they are shuffled.
+word; a task adds up what it has per chunk, and only these sums are shuffled.
 """
 
 from __future__ import annotations
@@ -104,8 +104,15 @@ def documents_of(table: DataFrame) -> DataFrame:
 
 
 def sum_rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """chunk, places, counts, columns -> chunk, places, sums: one row per chunk that a task met.
+
+    sums holds a number per column and place. What is held stays below HELD sums; then the rows go
+    out and the task starts anew.
+    """
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
+    chunk_list: list[int] = []  # chunks by the small numbers that keys use
+    numbers: dict[int, int] = {}
 
     def combined():
         keys = np.concatenate([k for k, _ in held])
@@ -114,18 +121,21 @@ def sum_rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
         return distinct, np.stack([np.bincount(at, weights=v) for v in values])
 
     def out(keys, values):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.array(chunk_list, np.int64)[keys >> 16]),
-             pa.array((keys & 0xFFFF).astype(np.int32)), *[pa.array(v) for v in values]],
-            names=["chunk", "place", *columns])
+        heads = np.flatnonzero(np.diff(keys >> 16, prepend=-1))
+        ends = [*heads[1:], len(keys)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([chunk_list[keys[h] >> 16] for h in heads], type=pa.int64()),
+            pa.array([(keys[a:b] & 0xFFFF).astype("<u2").tobytes() for a, b in zip(heads, ends)],
+                     type=pa.binary()),
+            pa.array([values[:, a:b].tobytes() for a, b in zip(heads, ends)], type=pa.binary()),
+        ], names=["chunk", "places", "sums"])
 
-    chunk_list: list[int] = []  # chunks by the small numbers that keys use
-    numbers: dict[int, int] = {}
     for batch in batches:
         if not batch.num_rows:
             continue
         places, counts = batch.column("places"), batch.column("counts")
-        flat = [np.frombuffer(c.buffers()[2], kind) for c, kind in ((places, "<u2"), (counts, np.uint8))]
+        flat = [np.frombuffer(c.buffers()[2], kind)
+                for c, kind in ((places, "<u2"), (counts, np.uint8))]
         ends = np.frombuffer(counts.buffers()[1], "<i4")[
             counts.offset:counts.offset + len(counts) + 1].astype(np.int64)
         place, count = flat[0][ends[0]:ends[-1]].astype(np.int64), flat[1][ends[0]:ends[-1]]
@@ -150,6 +160,30 @@ def sum_rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
         yield from out(*combined())
 
 
+def total_rows(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of `sum_rows` in the order of their chunks -> one row per document."""
+    current, sums, seen = None, None, None
+
+    def out():
+        at = np.flatnonzero(seen)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), current)), pa.array(at.astype(np.int32)),
+             *[pa.array(v[at]) for v in sums]], names=["chunk", "place", *columns])
+
+    for batch in batches:
+        for chunk, places, values in zip(*(batch.column(c) for c in ("chunk", "places", "sums"))):
+            if chunk.as_py() != current:
+                if current is not None:
+                    yield out()
+                current = chunk.as_py()
+                sums, seen = np.zeros((len(columns), CHUNK_ROWS)), np.zeros(CHUNK_ROWS, bool)
+            at = np.frombuffer(places.as_buffer(), "<u2")
+            seen[at] = True
+            sums[:, at] += np.frombuffer(values.as_buffer()).reshape(len(columns), -1)
+    if current is not None:
+        yield out()
+
+
 def document_sums(table: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
     """documents_of(table) with, for each column of `values` (word, columns), its sum over the
     words of the document."""
@@ -157,7 +191,10 @@ def document_sums(table: DataFrame, values: DataFrame, columns: list[str]) -> Da
     joined = postings.join(values, "word").select(
         "chunk", "places", "counts", *[F.col(c).cast("double") for c in columns])
     schema = ", ".join(["chunk long", "place int", *[f"{c} double" for c in columns]])
-    sums = joined.mapInArrow(lambda b: sum_rows(b, columns), schema).groupBy(
-        "chunk", "place").agg(*[F.sum(c).alias(c) for c in columns])
+    partial = joined.mapInArrow(lambda b: sum_rows(b, columns),
+                                "chunk long, places binary, sums binary")
+    # a chunk is met by many tasks; its rows come together in order and are added one by one
+    sums = partial.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(
+        lambda b: total_rows(b, columns), schema)
     return documents_of(table).join(sums, ["chunk", "place"], "left").drop(
         "chunk", "place").fillna(0.0, columns)
