@@ -29,8 +29,8 @@ from .common import rows_in
 END_ID = 0
 #: texts encoded at a time: rows and bytes
 BATCH_ROWS, BATCH_BYTES = 4_000, 8 << 20
-#: pieces whose ids a worker remembers
-CACHE_PIECES = 400_000
+#: pieces whose ids a worker remembers, and pieces encoded in one call
+CACHE_PIECES, LINES = 1_000_000, 10_000
 #: at these a text is not cut into pieces
 SPACES_TOGETHER = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -50,12 +50,25 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, dtype="<u4")
         self.known: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def each(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without line breaks, from one text that has a piece per line."""
+        out: list[bytes] = []
+        for a in range(0, len(pieces), LINES):
+            lines = pieces[a:a + LINES]
+            ids = np.frombuffer(self.direct(["\n".join(lines)])[0], dtype="<u4")
+            ends = np.flatnonzero(ids == self.line[0]) * 4
+            whole = ids.tobytes()
+            out += [whole[x:y] for x, y in zip([0, *(ends + 4).tolist()],
+                                               [*ends.tolist(), len(whole)])]
+        return out
+
     def pieces(self, text: str) -> list[str] | None:
         if any(s in text for s in SPACES_TOGETHER) or any(s in text for s in self.specials) or (
                 not text.isascii() and OTHER_SPACE.search(text)):
@@ -66,11 +79,14 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.pieces(t) for t in texts]
         known = self.known
-        new = list(set().union(*[p for p in cut if p is not None]).difference(known))
+        every = set().union(*[p for p in cut if p is not None])
+        new = every.difference(known)
         if len(known) + len(new) > CACHE_PIECES:
             known.clear()
-            new = list(set().union(*[p for p in cut if p is not None]))
-        known.update(zip(new, self.direct(new)))
+            new = every
+        new = list(new.difference(("", "\n")))
+        known.update(zip(new, self.each(new), strict=True))
+        known.update({"": b"", "\n": self.line.tobytes()})
         whole = iter(self.direct([t for t, p in zip(texts, cut) if p is None]))
         return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
 
