@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: folders of intermediate tables that were not discarded yet
+_folders: list[str] = []
+
+
+def stored(df: DataFrame, name: str, temporary: bool = True) -> DataFrame:
     """Write a table into the cluster's shared folder and read it back.
 
     Cuts the lineage like a checkpoint (a lost executor costs no recomputation of what came before)
@@ -20,9 +24,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    if temporary:
+        _folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folders() -> int:
+    """How many intermediate tables there are; `discard` takes the number to go back to."""
+    return len(_folders)
+
+
+def discard(spark: SparkSession, since: int = 0) -> None:
+    """Delete intermediate tables made after a point; nothing that is still to be read may need
+    them."""
+    while len(_folders) > since:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

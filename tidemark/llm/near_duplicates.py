@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, rows_in, stored
+from .common import discard, folders, numbered, rows_in, stored
 from .decontaminate import words_of
 
 K = 5
@@ -362,5 +362,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text",
     rows = stored(numbered(docs.select(F.struct("*").alias("row"))), "near-documents")
     flat = rows.select("row_id", F.col(f"row.{id}").alias("doc_id"),
                        F.col(f"row.{text}").alias("text"))
-    placed = classes(flat, "doc_id", "text", "row_id", similarity)
-    return rows.join(repeated_rows(placed), "row_id", "left_anti").select("row.*")
+    before = folders()
+    repeated = repeated_rows(classes(flat, "doc_id", "text", "row_id", similarity))
+    repeated = stored(repeated, "near-repeated", temporary=False)
+    discard(docs.sparkSession, before)
+    return rows.join(repeated, "row_id", "left_anti").select("row.*")
