@@ -49,8 +49,9 @@ def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts.token_counts(
-        table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    # a scan of files gives its rows in the same order each time, so nothing needs to be stored
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                       tokenizer_path("piece_bpe_32k.model"), store=False)
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 

@@ -73,9 +73,10 @@ def count_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
                                             type=pa.int64())], names=["word", "tokens"])
 
 
-def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens for every row."""
-    table = frequencies(docs, partial(pre_tokens, path=path), id, text)
+def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
+                 store: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_tokens for every row. store: see `frequencies`."""
+    table = frequencies(docs, partial(pre_tokens, path=path), id, text, store=store)
     distinct = table.filter("word is not null").select("word").distinct()
     counted = distinct.mapInArrow(lambda b: count_rows(b, path), "word binary, tokens long")
     return document_sums(table, counted, ["tokens"]).select(
