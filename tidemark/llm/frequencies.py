@@ -87,17 +87,12 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], split: Callable[[str | None],
 
 
 def frequencies(docs: DataFrame, split: Callable[[str | None], list[bytes]], id: str = "doc_id",
-                text: str = "text", in_group: Column | None = None, groups: int = 0,
-                store: bool = True) -> DataFrame:
-    """The table, stored. in_group: the number of a row's group, null for none.
-
-    Not stored it takes no disk but is made again for each use; `docs` must then give its rows in
-    the same order each time, as a scan of files does.
-    """
+                text: str = "text", in_group: Column | None = None, groups: int = 0) -> DataFrame:
+    """The stored table. in_group: the number of a row's group, null for none."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        (F.lit(None) if in_group is None else in_group).cast("int").alias("in_group"))
     table = rows.mapInArrow(lambda b: chunk_rows(b, split, groups), ", ".join(schema_of(groups)))
-    return stored(table, "frequencies") if store else table
+    return stored(table, "frequencies")
 
 
 def documents_of(table: DataFrame) -> DataFrame:
