@@ -1,60 +1,113 @@
 """Versioned Parquet datasets: append-only version folders, as-of reads, diffs.
 
-A dataset is a folder with ``data/v=N/`` and ``manifest/v=N/``. One writer at a time; a version
-exists once its manifest row does, so a writer that dies leaves a folder nobody reads.
+A dataset is a folder with ``data/v=N/`` and one small JSON file per version below ``manifest/``, which
+also holds the schema. One writer at a time; a version exists once its manifest file does, so a writer
+that dies leaves a folder nobody reads. Manifests are read through the file system, so a reader starts
+no Spark job before the query itself.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MANIFEST_SCHEMA = "v int, files long, bytes long, row_count long, committed_at timestamp_ntz"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system's object."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _manifests(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Version number and file of every committed version, from one listing."""
+    fs, at = _folder(spark, f"{path}/manifest")
+    if not fs.exists(at):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(at)]
+    return sorted((int(n[2:-5]), f"{path}/manifest/{n}") for n in names
+                  if n.startswith("v=") and n.endswith(".json"))
+
+
 def list_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Committed versions with row counts, from the manifest only."""
-    try:
-        found = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Committed versions with row counts, from the manifests only."""
+    found = [f for _, f in _manifests(spark, path)]
+    if not found:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return found
+    return spark.read.schema(MANIFEST_SCHEMA).json(found)
 
 
 def last_version(spark: SparkSession, path: str) -> int:
     """Newest committed version, 0 when there is none."""
-    return list_versions(spark, path).agg(F.coalesce(F.max("v"), F.lit(0))).first()[0]
+    return max((v for v, _ in _manifests(spark, path)), default=0)
 
 
 def write_version(df: DataFrame, path: str) -> int:
     """Append the rows as the next version and return its number.
 
-    Rows are counted while they are written; the files are only listed afterwards.
+    Rows are counted while they are written; the files are only listed afterwards. The manifest gets
+    its name when it is complete.
     """
     spark = df.sparkSession
     v = last_version(spark, path) + 1
     target = f"{path}/data/v={v}"
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(target)
-              .agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
-    manifest = listed.select(
-        F.lit(v).alias("v"), "files", "bytes", F.lit(seen.get["rows"]).cast("long").alias("row_count"),
-        F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
-    manifest.write.mode("overwrite").parquet(f"{path}/manifest/v={v}")
+    fs, at = _folder(spark, target)
+    sizes = [f.getLen() for f in fs.listStatus(at) if f.getPath().getName().endswith(".parquet")]
+    line = json.dumps({
+        "v": v, "files": len(sizes), "bytes": sum(sizes), "row_count": seen.get["rows"],
+        "committed_at": datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%S.%f"),
+        "schema": df.schema.json()})
+    _, draft = _folder(spark, f"{path}/manifest/_v={v}")
+    out = fs.create(draft, True)
+    out.write(bytearray(line.encode()))
+    out.close()
+    fs.rename(draft, _folder(spark, f"{path}/manifest/v={v}.json")[1])
     return v
 
 
+def read_versions(spark: SparkSession, path: str, after: int = 0, upto: int | None = None
+                  ) -> DataFrame:
+    """Rows of the committed versions in (after, upto], with their version v.
+
+    Only their folders are listed and read, with the schema of the newest of them.
+    """
+    asked = [(v, f) for v, f in _manifests(spark, path) if v > after and (upto is None or v <= upto)]
+    if not asked:
+        every = _manifests(spark, path)
+        schema = _schema(spark, every[-1][1]) if every else T.StructType()
+        return spark.createDataFrame([], schema.add("v", T.IntegerType()))
+    schema = _schema(spark, asked[-1][1]).add("v", T.IntegerType())
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(
+        *[f"{path}/data/v={v}" for v, _ in asked])
+
+
+def _schema(spark: SparkSession, manifest: str) -> T.StructType:
+    fs, at = _folder(spark, manifest)
+    stream = fs.open(at)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(json.loads(text)["schema"]))
+
+
 def read_as_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Rows of all versions up to the given one; the filter on v prunes folders."""
-    newest = last_version(spark, path)
-    upto = newest if version is None else min(version, newest)
-    return visible_at(spark.read.parquet(f"{path}/data"), upto)
+    """Rows of all versions up to the given one."""
+    return read_versions(spark, path, 0, version)
+
+
+def added_since(spark: SparkSession, path: str, old: int, new: int | None = None) -> DataFrame:
+    """Rows that came after one version up to another, reading nothing else."""
+    return read_versions(spark, path, old, new)
 
 
 def visible_at(versions: DataFrame, version: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import archive
+from ..operators import archive, versions
 from ..session import shared_dir
 from ..sources.streams import table_stream
 from ..sources.tables import Tables
@@ -197,3 +197,70 @@ def mv_cascade(t: Tables):
     return t.spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+
+
+BLOCK = "CAST(date_diff('day', (SELECT CAST(MIN(ts) AS DATE) FROM ev), CAST(ts AS DATE)) // 10 AS INTEGER)"
+
+
+def version_store(t: Tables) -> str:
+    """Events written as one version per ten days."""
+    path = shared_dir(t.spark, "versions")
+    rows = events_of(t)
+    first = rows.agg(F.min(F.to_date("ts"))).first()[0]
+    block = F.floor(F.datediff("ts", F.lit(first)) / 10)
+    for b in range(rows.agg(F.max(block)).first()[0] + 1):
+        versions.write_version(rows.filter(block == b), path)
+    return path
+
+
+@plan("store_as_of", with_views("ev", f"SELECT {EVENT}, {BLOCK} + 1 AS v FROM ev WHERE {BLOCK} < 2"))
+def store_as_of(t: Tables):
+    return versions.read_as_of(t.spark, version_store(t), 2)
+
+
+@plan("store_added", with_views("ev", f"SELECT {EVENT}, {BLOCK} + 1 AS v FROM ev WHERE {BLOCK} = 1"))
+def store_added(t: Tables):
+    return versions.added_since(t.spark, version_store(t), 1, 2)
+
+
+@plan("store_versions", with_views("ev", f"""
+    SELECT {BLOCK} + 1 AS v, COUNT(*) AS row_count FROM ev GROUP BY 1"""))
+def store_versions(t: Tables):
+    return versions.list_versions(t.spark, version_store(t)).select("v", "row_count")
+
+
+@plan("running_last_interval", with_views("ev", f"""
+    SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+           COUNT(*) AS trade_count, {dbl('SUM(value)')} AS total_value
+    FROM (SELECT *, unnest(generate_series(b - INTERVAL 45 MINUTE, b, INTERVAL 15 MINUTE))
+            AS window_start
+          FROM (SELECT *, time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01') AS b FROM ev))
+    GROUP BY 1, 2"""))
+def running_last_interval(t: Tables):
+    """Every value that the last-hour aggregate takes, in steps of a quarter of an hour."""
+    stream = p.with_event_time(table_stream(t.spark, t.path, "events"), "1 hour").withColumn(
+        "value", F.col("value").cast("decimal(18,2)"))
+    base = shared_dir(t.spark, "last-hour")
+    sinks.run(p.last_interval(stream, "15 minutes", "1 hour", "user_id", "value"),
+              f"{base}/checkpoint", "update", each=sinks.append_batches(f"{base}/out"))
+    log = t.spark.read.parquet(f"{base}/out")
+    return sinks.collapse_log(log, ["user_id", "window_start", "window_end"])
+
+
+@plan("join_within", with_views("trades returns", f"""
+    SELECT t.trade_id, t.line AS trade_line, {dbl('trade_value')} AS trade_value, r.line AS return_line,
+           {dbl('refund_amount')} AS refund_amount
+    FROM (SELECT * FROM trades WHERE side <> 'R') t
+    JOIN returns r ON r.order_id = t.trade_id AND r.ts >= t.ts AND r.ts <= t.ts + INTERVAL 30 DAY"""))
+def join_within(t: Tables):
+    """Trades and the returns that follow within thirty days, joined as streams."""
+    live = Tables(t.spark, t.path)
+    live.raw = lambda name: table_stream(t.spark, t.path, name)
+    trades = live.trades().filter("side <> 'R'").select("trade_id", "line", "trade_value", "ts")
+    returned = live.returns().withColumnRenamed("line", "return_line")
+    out = p.join_within(trades, returned, "30 days", "1 hour").filter("order_id is not null").select(
+        "trade_id", F.col("line").alias("trade_line"), "trade_value", "return_line",
+        "refund_amount")
+    base = shared_dir(t.spark, "returns")
+    sinks.run(out, f"{base}/checkpoint", each=sinks.append_batches(f"{base}/out"))
+    return t.spark.read.parquet(f"{base}/out").drop("batch_id")
