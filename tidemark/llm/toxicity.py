@@ -65,20 +65,18 @@ class Vocabulary:
     def __init__(self, terms: list[bytes], frequencies: list[int], examples: int):
         self.number = {t: i for i, t in enumerate(terms)}
         self.idf = np.log((1 + examples) / (1 + np.array(frequencies, np.float64))) + 1
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        #: how a word with any term begins
+        self.stems = {t.rstrip(b"*")[:PREFIXES[0]] for t in terms}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, and weights of length 1 (none if the text has no term)."""
-        known, number = self.known, self.number
+        number, stems = self.number, self.stems
         n: Counter = Counter()
-        if len(known) > 500_000:
-            known.clear()
-        for word, count in Counter(words_of(text)).items():
-            at = known.get(word)
-            if at is None:
-                at = known[word] = tuple(number[t] for t in terms_of(word) if t in number)
-            for t in at:
-                n[t] += count
+        words = [w for w in words_of(text) if w[:PREFIXES[0]] in stems]
+        for word, count in Counter(words).items():
+            for t in terms_of(word):
+                if t in number:
+                    n[number[t]] += count
         terms = np.array(sorted(n), np.int64)
         weights = (1 + np.log(np.array([n[t] for t in terms.tolist()], np.float64))) * \
             self.idf[terms] if len(terms) else np.zeros(0)
