@@ -83,6 +83,14 @@ class Vocabulary:
         return terms, weights / np.linalg.norm(weights) if len(terms) else weights
 
 
+def spread(low: np.ndarray, high: np.ndarray, values: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, and the value of the range that each comes from."""
+    n = high - low
+    shift = low - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else low
+    return np.repeat(shift, n) + np.arange(int(n.sum())), np.repeat(values, n)
+
+
 class BlockMaxIndex:
     """Inverted lists of examples in blocks, with the largest weight of each term in each block."""
 
@@ -106,27 +114,29 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1
                 ) -> tuple[np.ndarray, np.ndarray]:
         """The NEIGHBOURS examples with the highest cosine above 0, ties by place, and the cosines."""
-        bound = np.zeros(self.blocks)
-        of_block: dict[int, list] = {}
-        for t, w in zip(terms.tolist(), weights.tolist()):
-            for k in range(self.lists[t], self.lists[t + 1]):
-                b = int(self.block[k])
-                bound[b] += w * self.highest[k]
-                of_block.setdefault(b, []).append((k, w))
+        lists, w = spread(self.lists[terms], self.lists[terms + 1], weights)
+        block = self.block[lists]
+        bound = np.bincount(block, weights=w * self.highest[lists], minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")[:int((bound > 0).sum())]
+        turn = np.empty(self.blocks, np.int64)
+        turn[order] = np.arange(len(order))
+        turn = turn[block]
         found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in sorted(of_block, key=lambda b: (-bound[b], b)):
-            if len(found) == NEIGHBOURS and bound[b] < cosine[-1] - 1e-12:
+        at, step = 0, 2
+        while at < len(order):
+            if len(found) == NEIGHBOURS and bound[order[at]] < cosine[-1] - 1e-12:
                 break
-            sums = np.zeros(BLOCK)
-            for k, w in of_block[b]:
-                at = slice(self.starts[k], self.starts[k + 1])
-                sums[self.example[at] - b * BLOCK] += w * self.weight[at]
+            open_ = (turn >= at) & (turn < at + step)
+            places, value = spread(self.starts[lists[open_]], self.starts[lists[open_] + 1],
+                                   w[open_])
+            sums = np.bincount(self.example[places], weights=value * self.weight[places])
             hit = np.flatnonzero(sums > 0)
-            hit = hit[hit + b * BLOCK != without]
-            found = np.concatenate([found, hit + b * BLOCK])
+            hit = hit[hit != without]
+            found = np.concatenate([found, hit])
             cosine = np.concatenate([cosine, np.round(sums[hit], 12)])
             best = np.lexsort((found, -cosine))[:NEIGHBOURS]
             found, cosine = found[best], cosine[best]
+            at, step = at + step, 2 * step
         return found, cosine
 
 
