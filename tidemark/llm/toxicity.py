@@ -33,8 +33,9 @@ from .common import rows_in, stored
 from .decontaminate import words_of
 
 MAX_EXAMPLES, MAX_TERMS = 20_000, 4_000
-#: chi-square and documents that a term needs
-LEAST_CHI, LEAST_DOCUMENTS = 30.0, 4
+#: what a term needs: chi-square, the same as a share of the examples (a group of copies alone does not
+#: reach it), and documents
+LEAST_CHI, LEAST_SHARE, LEAST_DOCUMENTS = 30.0, 0.01, 4
 PREFIXES = (4, 5, 6)
 NEIGHBOURS, BLOCK = 15, 64
 THRESHOLD = 0.7
@@ -242,7 +243,7 @@ def fitted(examples: DataFrame) -> Model:
         term_rows, "term binary, pos long, neg long").groupBy("term").agg(
         F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg")).filter(
         (a + b >= LEAST_DOCUMENTS) & (a + b < p + n)).withColumn("chi", chi).filter(
-        F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(MAX_TERMS).collect()
+        F.col("chi") >= max(LEAST_CHI, LEAST_SHARE * (p + n))).orderBy(F.desc("chi"), "term").limit(MAX_TERMS).collect()
     vocabulary = Vocabulary([bytes(r["term"]) for r in terms],
                             [int(r["pos"] + r["neg"]) for r in terms], p + n)
     sent = examples.sparkSession.sparkContext.broadcast(vocabulary)
