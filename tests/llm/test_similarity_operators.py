@@ -102,6 +102,51 @@ def test_links_against_all_pairs(spark):
     assert sum(got[i] == want[i] for i in linked) >= 0.95 * len(linked)
 
 
+def brute_classes(texts):
+    """The smallest id of the class of each id, with all pairs aligned."""
+    words = {i: np.array([zlib.crc32(w) for w in near_duplicates.words_of(t)], np.uint32)
+             for i, t in texts}
+    root = {i: i for i in words}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(words)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1:]:
+            if find(i) != find(j) and near_duplicates.similar(words[i], words[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in ids}
+
+
+def family(seed, size):
+    """Chains of heavily edited variants of one text: a variant is a copy of an earlier one with up
+    to a fifth of its words replaced in one run, or words added at the end."""
+    r = random.Random(seed)
+    out = [[f"w{r.randrange(400)}" for _ in range(70)]]
+    while len(out) < size:
+        v = list(r.choice(out))
+        if r.random() < 0.3:
+            v += [f"n{r.randrange(10**6)}" for _ in range(r.randint(1, len(v) // 5))]
+        else:
+            n = r.randint(len(v) // 8, len(v) // 4)
+            at = r.randrange(10, len(v) - n)
+            v[at:at + n] = [f"n{r.randrange(10**6)}" for _ in range(n)]
+        out.append(v)
+    r.shuffle(out)
+    return [(i, " ".join(v)) for i, v in enumerate(out)]
+
+
+def test_family_of_edited_variants(documents):
+    rows = family(12, 500)
+    want = brute_classes(rows)
+    got = {r.doc_id: r.class_id for r in near_duplicates.classes(documents(rows)).collect()}
+    assert 20 < len(set(want.values())) < 480
+    assert got == want
+
+
 def test_components(spark):
     r = random.Random(3)
     path = list(range(400))

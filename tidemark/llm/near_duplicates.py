@@ -7,12 +7,13 @@ follows edit similarity, where a plain set of shingles does not see moved parts.
 sketch are candidates. A candidate pair becomes a link if the word edit distance, aligned inside a
 band no wider than the allowed edits, is at most 20 % of the longer text.
 
-Equal texts (same words) are one node from the start. A bucket of up to `SMALL` texts compares all
-pairs, at most `SMALL` - 1 per text. A crowded bucket compares each text with `LEADERS` of its own;
-where the links found leave it in several classes, texts of different classes are compared again
-in the buckets made of two sketches, so nothing is capped and no bucket is paired in full. Pairs
-that are in one class already are not compared again. Classes
-are the connected components, found by contracting edges.
+Equal texts (same words) are one node from the start. Each text is first compared with one leader of
+its buckets, which joins most of a large group. Where a bucket still holds several classes, all its
+pairs of different classes are candidates, in blocks of `BLOCK` by `BLOCK` texts that Spark shuffles;
+what the numbers of words, or of words in each of `BINS` bins, show to be too far apart is left out,
+as no alignment can bring it back. The `NEAREST` of each text are aligned before the rest, so that
+most pairs of the last round are in one class by then and need no alignment. No bucket is capped.
+Classes are the connected components, found by contracting edges.
 
 Defined results: texts without words (null, empty) are linked to nothing and each is its own class;
 repeated rows and equal texts share a class; a null id is kept as a row but never names a class
@@ -36,7 +37,7 @@ from .decontaminate import words_of
 K = 5
 SKETCHES, PICKED = 24, 2
 SIMILARITY = 0.8
-SMALL, LEADERS = 12, 4
+BLOCK, BINS, NEAREST = 256, 128, 4
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -93,10 +94,17 @@ def sketches(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def bag_of(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each of BINS bins by their hashes, at most 255."""
+    bins = (words.astype(np.uint64) * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) * \
+        np.uint64(BINS) >> np.uint64(32)
+    return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+
+
 def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, int] = {}
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
-        digest, signs, sequence = [], [], []
+        digest, signs, bags, sequence = [], [], [], []
         if len(known) > 1_000_000:
             known.clear()
         for text in rows["text"].to_pylist():
@@ -107,12 +115,13 @@ def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest()
                           if words else None)
             signs.append(sketches(hashed).view(np.int64) if words else None)
+            bags.append(bag_of(hashed).tobytes())
             sequence.append(hashed.tobytes())
         yield pa.RecordBatch.from_arrays(
             [rows["row_id"].combine_chunks(), rows["doc_id"].combine_chunks(),
              pa.array(digest, type=pa.binary()), pa.array(signs, type=pa.list_(pa.int64())),
-             pa.array(sequence, type=pa.binary())],
-            names=["row_id", "doc_id", "digest", "signs", "words"])
+             pa.array(bags, type=pa.binary()), pa.array(sequence, type=pa.binary())],
+            names=["row_id", "doc_id", "digest", "signs", "bag", "words"])
 
 
 def shared_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -194,18 +203,6 @@ def verify_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             [batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def leaders_of(keys: DataFrame, *more) -> DataFrame:
-    """key, n, leader0 ... (node, size) of the buckets with several nodes, aggregated before the
-    shuffle.
-
-    Leaders are the least nodes by several hashes, the same order in every bucket, so the buckets
-    of one large group lead to the same few pairs.
-    """
-    return keys.groupBy("key").agg(F.count("*").alias("n"), *[
-        F.min_by(F.struct("node", "size"), F.xxhash64(F.lit(t), "node")).alias(f"leader{t}")
-        for t in range(LEADERS)], *more).filter("n > 1")
-
-
 def near_in_size(x: Column, y: Column, similarity: float) -> Column:
     """Whether the numbers of words leave room for the similarity: each word more is an edit."""
     return F.abs(x - y) <= F.floor(F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9))
@@ -216,41 +213,111 @@ def pair(x: Column, y: Column) -> list[Column]:
 
 
 def first_pairs(keys: DataFrame, similarity: float) -> DataFrame:
-    """Each node with one leader, the least of all that its buckets have: that joins most groups."""
-    leader = F.col("leader0")
-    met = keys.join(leaders_of(keys).select("key", "leader0"), "key").filter(
+    """Each node with one leader, the least of all that its buckets have: that joins most groups.
+
+    Leaders are the least nodes by a hash, the same order in every bucket, so the buckets of one
+    large group lead to the same few pairs; they are aggregated before the shuffle.
+    """
+    leader = F.col("leader")
+    leaders = keys.groupBy("key").agg(F.count("*").alias("n"), F.min_by(
+        F.struct("node", "size"), F.xxhash64(F.lit(0), "node")).alias("leader")).filter("n > 1")
+    met = keys.join(leaders, "key").filter(
         (F.col("node") != leader["node"]) & near_in_size(F.col("size"), leader["size"], similarity))
-    return met.groupBy("node").agg(F.min_by("leader0.node", F.xxhash64(
-        F.lit(0), "leader0.node")).alias("leader")).select(
+    return met.groupBy("node").agg(F.min_by("leader.node", F.xxhash64(
+        F.lit(0), "leader.node")).alias("leader")).select(
         *pair(F.col("node"), F.col("leader"))).distinct()
 
 
-def other_pairs(keys: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """The pairs left to compare in buckets that hold several classes so far.
+def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, similarity: float
+                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Nodes of the pairs of different classes that the words in the bins leave room for.
 
-    Small buckets: all pairs of different classes, at most SMALL - 1 per node. Crowded ones: each
-    node with the leaders of other classes.
+    Inside one salt (`same`) each pair once, else each node of the lower salt with each of the
+    higher. With `nearest`, only so many of each node, those that differ least in the bins.
     """
+    root, size, node, salt = (block[c] for c in ("root", "size", "node", "salt"))
+    bags = block["bag"]
+    left = np.arange(len(node)) if same else np.flatnonzero(salt == salt.min())
+    right = left if same else np.flatnonzero(salt != salt.min())
+    for at in range(0, len(left), 64):
+        some = left[at:at + 64]
+        limit = np.floor(np.maximum(size[some, None], size[right]) * (1 - similarity) + 1e-9)
+        open_ = (root[some, None] != root[right]) & \
+            (np.abs(size[some, None] - size[right]) <= limit)
+        if same and nearest is None:
+            open_ &= right > some[:, None]
+        x, y = np.nonzero(open_)
+        if not len(x):
+            continue
+        apart = np.empty(len(x), np.int64)
+        for k in range(0, len(x), 8192):
+            d = bags[some[x[k:k + 8192]]] - bags[right[y[k:k + 8192]]]
+            more = np.maximum(d, 0).sum(axis=1, dtype=np.int64)
+            apart[k:k + 8192] = np.maximum(more, more - d.sum(axis=1, dtype=np.int64))
+        near = apart <= limit[x, y]
+        x, y, apart = x[near], y[near], apart[near]
+        if nearest is not None and len(x):
+            order = np.lexsort((y, apart, x))
+            x, y = x[order], y[order]
+            first = np.flatnonzero(np.diff(x, prepend=-1))
+            rank = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
+            x, y = x[rank < nearest], y[rank < nearest]
+        yield node[some[x]], node[right[y]]
+
+
+def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity: float
+              ) -> Iterator[pa.RecordBatch]:
+    """key, low, high, salt, node, root, size, bag sorted by block (key, low, high) -> a, b."""
+    def pairs_of(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        if block.num_rows < 2:
+            return
+        held = {c: block[c].to_numpy() for c in ("salt", "node", "root", "size")}
+        if held["root"].min() == held["root"].max():
+            return
+        same = block["low"][0].as_py() == block["high"][0].as_py()
+        if not same and held["salt"].min() == held["salt"].max():
+            return
+        held["bag"] = np.frombuffer(b"".join(block["bag"].to_pylist()), np.uint8).reshape(
+            -1, BINS).astype(np.int16)
+        for a, b in block_pairs(held, same, nearest, similarity):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []  # rows of the block at hand
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch.column(c).to_numpy() for c in ("key", "low", "high")])
+        starts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist()]
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            block = tuple(at[:, start].tolist())
+            if block != last and held:
+                yield from pairs_of(pa.Table.from_batches(held))
+                held = []
+            last = block
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield from pairs_of(pa.Table.from_batches(held))
+
+
+def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float,
+                nearest: int | None = None) -> DataFrame:
+    """The pairs left to align in buckets that hold several classes so far: all of different
+    classes that sizes and bags leave room for, or with `nearest` only that many of each node in a
+    block."""
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    buckets = leaders_of(rooted, F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low < high").drop("low", "high")
-    member = rooted.join(buckets, "key")
-    small = member.filter(F.col("n") <= SMALL).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("node", "root", "size"))).alias("m"))
-    within = small.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(
-        F.filter(F.slice(F.col("m"), i + 2, F.lit(SMALL)), lambda y: (y["root"] != x["root"])
-                 & near_in_size(x["size"], y["size"], similarity)),
-        lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select(
-        "p.a", "p.b")
-    crowded = member.filter(F.col("n") > SMALL).select("node", "root", "size", F.explode(
-        F.array_distinct(F.array(*[f"leader{t}" for t in range(LEADERS)]))).alias("l")).filter(
-        near_in_size(F.col("size"), F.col("l.size"), similarity)).select(
-        "node", "root", F.col("l.node").alias("leader"))
-    leader_roots = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    star = crowded.join(leader_roots, "leader", "left").filter(
-        F.col("root") != F.coalesce("leader_root", "leader")).select(
-        *pair(F.col("node"), F.col("leader")))
-    return within.union(star).distinct()
+    mixed = rooted.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("salts"))
+    member = rooted.join(mixed, "key").join(texts.select("node", "bag"), "node").withColumn(
+        "salt", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("salts")).cast("int"))
+    blocks = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(
+        "key", F.least("salt", "other").alias("low"), F.greatest("salt", "other").alias("high"),
+        "salt", "node", "root", "size", "bag")
+    return blocks.repartition("key", "low", "high").sortWithinPartitions(
+        "key", "low", "high").mapInArrow(
+        lambda batches: pair_rows(batches, nearest, similarity), "a long, b long").distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -290,20 +357,6 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def crowded_again(keys: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, node, size for buckets above SMALL that hold several classes: one node of each class, and a
-    key for every second sketch the node has."""
-    rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        (F.col("n") > SMALL) & (F.col("low") < F.col("high"))).select("key")
-    chosen = rooted.join(mixed, "key").groupBy("key", "root").agg(
-        F.min(F.struct("node", "size")).alias("first")).select("key", "first.*")
-    second = keys.select("node", F.col("key").alias("second"))
-    return chosen.join(second, "node").filter("second > key").select(
-        F.xxhash64("key", "second").alias("key"), "node", "size").distinct()
-
-
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str | None = None,
             similarity: float = SIMILARITY) -> DataFrame:
     """row_id, doc_id, class_row, class_id for every row.
@@ -315,12 +368,13 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
                        F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = stored((rows if row_id else numbered(rows)).select(
         "row_id", "doc_id", "text").mapInArrow(
-        sketch_rows, "row_id long, doc_id long, digest binary, signs array<long>, words binary"),
+        sketch_rows, "row_id long, doc_id long, digest binary, signs array<long>, bag binary, "
+        "words binary"),
         "near-sketches")
     copies = signed.filter("digest is not null").groupBy("digest").agg(
         F.min("row_id").alias("node"))
     copies = stored(copies, "near-copies")
-    texts = signed.select(F.col("row_id").alias("node"), "signs", "words").join(
+    texts = signed.select(F.col("row_id").alias("node"), "signs", "bag", "words").join(
         copies.select("node"), "node", "left_semi")
     keys = stored(texts.select(
         "node", (F.octet_length("words") / 4).cast("int").alias("size"),
@@ -329,12 +383,12 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
     shared = keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                        "left_semi")
     keys = stored(shared, "near-shared")
-    words = stored(texts.select("node", "words").join(
+    words = stored(texts.select("node", "bag", "words").join(
         keys.select("node").distinct(), "node", "left_semi"), "near-words")
     links = linked(first_pairs(keys, similarity), words, similarity)
     roots = components(links)
-    for buckets in (lambda: keys, lambda: crowded_again(keys, roots)):
-        more = linked(other_pairs(buckets(), roots, similarity), words, similarity)
+    for nearest in (NEAREST, None):
+        more = linked(other_pairs(keys, roots, words, similarity, nearest), words, similarity)
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links)
