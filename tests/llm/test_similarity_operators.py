@@ -147,6 +147,34 @@ def test_family_of_edited_variants(documents):
     assert got == want
 
 
+def edited_pairs(seed, pairs=6):
+    """Pairs of texts with a fifth of the words replaced, every fifth word or at random places."""
+    r = random.Random(seed)
+    out = []
+    for n in (5, 7, 9, 10, 14, 19, 31, 32, 39, 40, 41, 60, 100, 300, 1000):
+        for k in range(pairs):
+            a = [f"p{n}x{k}w{r.randrange(400)}" for _ in range(n)]
+            b = list(a)
+            for at in range(4, n, 5) if k % 2 else r.sample(range(n), n // 5):
+                b[at] = f"n{r.randrange(10**9)}"
+            out.append((" ".join(a), " ".join(b)))
+    return out
+
+
+def test_every_link_at_the_limit_is_found(documents):
+    pairs = edited_pairs(31)
+    rows = [(2 * i + side, t) for i, p in enumerate(pairs) for side, t in enumerate(p)]
+    got = {r.doc_id: r.class_id for r in near_duplicates.classes(documents(rows)).collect()}
+    assert [i for i in range(len(pairs)) if got[2 * i + 1] != 2 * i] == []
+
+
+def test_all_links_of_the_small_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()]
+    got = {r.doc_id: r.class_id for r in queries()["op7_order_minhash"](spark, TINY).collect()}
+    assert got == brute_classes([(i, t) for i, t in rows if near_duplicates.words_of(t)]) | {
+        i: i for i, t in rows if not near_duplicates.words_of(t)}
+
+
 def test_components(spark):
     r = random.Random(3)
     path = list(range(400))

@@ -1,9 +1,11 @@
 """Near-duplicates by order MinHash, verified by banded alignment.
 
-The k-mers of a text are its runs of five words, labelled with how often the same run came before.
-Each of `SKETCHES` hash functions picks the `PICKED` smallest k-mers; their order in the text goes
-into the sketch, so two texts agree on a sketch if they share the k-mers in the same order. That
-follows edit similarity, where a plain set of shingles does not see moved parts. Texts that share a
+The items of a text are its words, labelled with how often the same word came before. Each hash
+function of a tier picks the smallest items; their order in the text goes into the sketch, so two
+texts agree on a sketch if they share the items in the same order. An edit touches one item whatever
+stands beside it: texts at the limit of 20 % edits share two thirds of the items of both wherever the
+edits are, and a tier (`TIERS`) has enough hash functions to find such a pair in more than 99 of 100
+cases. Texts near the border of two tiers have the sketches of both. Texts that share a
 sketch are candidates. A candidate pair becomes a link if the word edit distance, aligned inside a
 band no wider than the allowed edits, is at most 20 % of the longer text.
 
@@ -34,10 +36,10 @@ from pyspark.sql import functions as F
 from .common import discard, folders, numbered, rows_in, stored
 from .decontaminate import words_of
 
-K = 5
-SKETCHES, PICKED = 24, 2
+#: words of the longer text from which a tier holds, items picked, hash functions
+TIERS = ((0, 3, 40), (40, 4, 56))
 SIMILARITY = 0.8
-BLOCK, BINS, NEAREST = 256, 128, 4
+BLOCK, BINS, NEAREST = 256, 256, 1
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -51,16 +53,8 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _SHIFT)
 
 
-SEEDS = mixed_bits(np.arange(1, SKETCHES + 1, dtype=np.uint64))
-
-
-def kmers(words: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of K words; a shorter text is one run."""
-    n = max(1, len(words) - K + 1)
-    out = np.zeros(n, dtype=np.uint64)
-    for k in range(min(K, len(words))):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + words[k:k + n].astype(np.uint64) + np.uint64(1)
-    return mixed_bits(out)
+SEEDS = [mixed_bits(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(t << 32))
+         for t, (_, _, n) in enumerate(TIERS)]
 
 
 def occurrence_labels(values: np.ndarray) -> np.ndarray:
@@ -74,24 +68,28 @@ def occurrence_labels(values: np.ndarray) -> np.ndarray:
     return labels
 
 
-def sketches(words: np.ndarray) -> np.ndarray:
-    """One 64-bit number per hash function for the word hashes of a text that has words."""
-    runs = kmers(words)
-    labelled = runs + occurrence_labels(runs) * np.uint64(0xD6E8FEB86659FD93)
-    picked = min(PICKED, len(runs))
-    out = np.empty(SKETCHES, dtype=np.uint64)
-    step = max(1, (1 << 18) // len(runs))  # hash functions at a time: bounded memory
-    for a in range(0, SKETCHES, step):
-        seeds = SEEDS[a:a + step, None]
-        values = mixed_bits(labelled[None, :] ^ seeds)
-        least = np.argpartition(values, picked - 1, axis=1)[:, :picked] if len(runs) > picked \
-            else np.tile(np.arange(len(runs)), (len(values), 1))
-        least.sort(axis=1)  # the order in the text
-        key = seeds[:, 0]
-        for column in range(picked):
-            key = mixed_bits(key + runs[least[:, column]])
-        out[a:a + step] = key
-    return out
+def sketches(words: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """One 64-bit number per hash function of its tiers for the word hashes of a text that has
+    words. A tier holds every text whose longer partner may be in it."""
+    items = mixed_bits(words.astype(np.uint64) + np.uint64(1))
+    labelled = items + occurrence_labels(items) * np.uint64(0xD6E8FEB86659FD93)
+    out = []
+    for t, (start, picked, _) in enumerate(TIERS):
+        end = TIERS[t + 1][0] if t + 1 < len(TIERS) else len(items) + 1
+        if not start * similarity - 1e-9 <= len(items) < end:
+            continue
+        picked = min(picked, len(items))
+        step = max(1, (1 << 18) // len(items))  # hash functions at a time: bounded memory
+        for a in range(0, len(SEEDS[t]), step):
+            seeds = SEEDS[t][a:a + step, None]
+            values = mixed_bits(labelled[None, :] ^ seeds)
+            least = np.argpartition(values, picked - 1, axis=1)[:, :picked]
+            least.sort(axis=1)  # the order in the text
+            key = seeds[:, 0]
+            for column in range(picked):
+                key = mixed_bits(key + items[least[:, column]])
+            out.append(key)
+    return np.concatenate(out)
 
 
 def bag_of(words: np.ndarray) -> np.ndarray:
@@ -101,10 +99,10 @@ def bag_of(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8)
 
 
-def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, int] = {}
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
-        digest, signs, bags, sequence = [], [], [], []
+        digest, signs, bags, sequence, size = [], [], [], [], []
         if len(known) > 1_000_000:
             known.clear()
         for text in rows["text"].to_pylist():
@@ -114,14 +112,16 @@ def sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashed = np.fromiter(map(known.__getitem__, words), dtype=np.uint32, count=len(words))
             digest.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest()
                           if words else None)
-            signs.append(sketches(hashed).view(np.int64) if words else None)
+            signs.append(sketches(hashed, similarity).view(np.int64) if words else None)
+            size.append(len(words))
             bags.append(bag_of(hashed).tobytes())
             sequence.append(hashed.tobytes())
         yield pa.RecordBatch.from_arrays(
             [rows["row_id"].combine_chunks(), rows["doc_id"].combine_chunks(),
              pa.array(digest, type=pa.binary()), pa.array(signs, type=pa.list_(pa.int64())),
-             pa.array(bags, type=pa.binary()), pa.array(sequence, type=pa.binary())],
-            names=["row_id", "doc_id", "digest", "signs", "bag", "words"])
+             pa.array(size, type=pa.int32()), pa.array(bags, type=pa.binary()),
+             pa.array(sequence, type=pa.binary())],
+            names=["row_id", "doc_id", "digest", "signs", "size", "bag", "words"])
 
 
 def shared_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -212,8 +212,8 @@ def pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def first_pairs(keys: DataFrame, similarity: float) -> DataFrame:
-    """Each node with one leader, the least of all that its buckets have: that joins most groups.
+def first_pairs(keys: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Each node with one leader, the one that leads most of its buckets: that joins most groups.
 
     Leaders are the least nodes by a hash, the same order in every bucket, so the buckets of one
     large group lead to the same few pairs; they are aggregated before the shuffle.
@@ -222,10 +222,35 @@ def first_pairs(keys: DataFrame, similarity: float) -> DataFrame:
     leaders = keys.groupBy("key").agg(F.count("*").alias("n"), F.min_by(
         F.struct("node", "size"), F.xxhash64(F.lit(0), "node")).alias("leader")).filter("n > 1")
     met = keys.join(leaders, "key").filter(
-        (F.col("node") != leader["node"]) & near_in_size(F.col("size"), leader["size"], similarity))
-    return met.groupBy("node").agg(F.min_by("leader.node", F.xxhash64(
-        F.lit(0), "leader.node")).alias("leader")).select(
+        (F.col("node") != leader["node"]) & near_in_size(F.col("size"), leader["size"], similarity)
+    ).groupBy("node", F.col("leader.node").alias("leader")).agg(F.count("*").alias("n"))
+    pairs = met.groupBy("node").agg(F.max_by("leader", F.struct(
+        "n", F.xxhash64(F.lit(1), "leader"))).alias("leader")).select(
         *pair(F.col("node"), F.col("leader"))).distinct()
+    a, b = (texts.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"),
+                         F.col("bag").alias(f"bag_{c}")) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").mapInArrow(
+        lambda batches: near_in_bags(batches, similarity), "a long, b long")
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The edits that bags (rows of int16) need at least."""
+    d = x - y
+    more = np.maximum(d, 0).sum(axis=1, dtype=np.int64)
+    return np.maximum(more, more - d.sum(axis=1, dtype=np.int64))
+
+
+def bags_in(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+
+
+def near_in_bags(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        longest = np.maximum(*(batch.column(f"size_{c}").to_numpy() for c in "ab"))
+        keep = pa.array(apart(*(bags_in(batch.column(f"bag_{c}")) for c in "ab"))
+                        <= np.floor(longest * (1 - similarity) + 1e-9))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
 def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, similarity: float
@@ -249,15 +274,13 @@ def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, s
         x, y = np.nonzero(open_)
         if not len(x):
             continue
-        apart = np.empty(len(x), np.int64)
+        edits = np.empty(len(x), np.int64)
         for k in range(0, len(x), 8192):
-            d = bags[some[x[k:k + 8192]]] - bags[right[y[k:k + 8192]]]
-            more = np.maximum(d, 0).sum(axis=1, dtype=np.int64)
-            apart[k:k + 8192] = np.maximum(more, more - d.sum(axis=1, dtype=np.int64))
-        near = apart <= limit[x, y]
-        x, y, apart = x[near], y[near], apart[near]
+            edits[k:k + 8192] = apart(bags[some[x[k:k + 8192]]], bags[right[y[k:k + 8192]]])
+        near = edits <= limit[x, y]
+        x, y, edits = x[near], y[near], edits[near]
         if nearest is not None and len(x):
-            order = np.lexsort((y, apart, x))
+            order = np.lexsort((y, edits, x))
             x, y = x[order], y[order]
             first = np.flatnonzero(np.diff(x, prepend=-1))
             rank = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
@@ -277,8 +300,7 @@ def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity
         same = block["low"][0].as_py() == block["high"][0].as_py()
         if not same and held["salt"].min() == held["salt"].max():
             return
-        held["bag"] = np.frombuffer(b"".join(block["bag"].to_pylist()), np.uint8).reshape(
-            -1, BINS).astype(np.int16)
+        held["bag"] = bags_in(block["bag"])
         for a, b in block_pairs(held, same, nearest, similarity):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -368,27 +390,27 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
                        F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = stored((rows if row_id else numbered(rows)).select(
         "row_id", "doc_id", "text").mapInArrow(
-        sketch_rows, "row_id long, doc_id long, digest binary, signs array<long>, bag binary, "
-        "words binary"),
+        lambda batches: sketch_rows(batches, similarity), "row_id long, doc_id long, digest binary, signs array<long>, size int, "
+        "bag binary, words binary"),
         "near-sketches")
     copies = signed.filter("digest is not null").groupBy("digest").agg(
         F.min("row_id").alias("node"))
     copies = stored(copies, "near-copies")
-    texts = signed.select(F.col("row_id").alias("node"), "signs", "bag", "words").join(
-        copies.select("node"), "node", "left_semi")
-    keys = stored(texts.select(
-        "node", (F.octet_length("words") / 4).cast("int").alias("size"),
-        F.explode("signs").alias("key")), "near-keys")
-    # only texts that share a bucket are compared; their words are read again in every round
-    shared = keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
-                       "left_semi")
-    keys = stored(shared, "near-shared")
-    words = stored(texts.select("node", "bag", "words").join(
-        keys.select("node").distinct(), "node", "left_semi"), "near-words")
-    links = linked(first_pairs(keys, similarity), words, similarity)
+    # a node is the row number of one of its texts
+    texts = signed.select(F.col("row_id").alias("node"), "signs", "size", "bag", "words")
+    keys = stored(texts.join(copies.select("node"), "node", "left_semi").select(
+        "node", "size", F.explode("signs").alias("key")), "near-keys")
+    # only texts that share a bucket are compared
+    keys = stored(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
+                            "left_semi"), "near-shared")
+    tried = stored(first_pairs(keys, texts, similarity), "near-pairs")
+    links = linked(tried, texts, similarity)
     roots = components(links)
     for nearest in (NEAREST, None):
-        more = linked(other_pairs(keys, roots, words, similarity, nearest), words, similarity)
+        pairs = stored(other_pairs(keys, roots, texts, similarity, nearest).join(
+            tried, ["a", "b"], "left_anti"), "near-pairs")
+        tried = tried.union(pairs)
+        more = linked(pairs, texts, similarity)
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links)
