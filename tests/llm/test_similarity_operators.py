@@ -275,6 +275,19 @@ def test_main_text(spark):
     assert wrappers.extracted(pages_table(spark, [])).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    page = ("<body><article><p>A first paragraph of the article.</p><ul><li>one point</li></ul>"
+            "<section><p>A part of the article</p></section></article></body>")
+    other = "<body><article><p>Other words {i}.</p></article></body>"
+    want = "A first paragraph of the article.\n\none point\n\nA part of the article"
+    rows = [(i, "https://copies.example/a", page) for i in range(5)]
+    rows += [(10 + i, "https://mixed.example/a", page) for i in range(5)]
+    rows += [(20 + i, f"https://mixed.example/{i}", other.format(i=i)) for i in range(3)]
+    text = {r.page_id: r.text for r in wrappers.extracted(pages_table(spark, rows)).collect()}
+    assert {text[i] for i in range(5)} == {text[10 + i] for i in range(5)} == {want}
+    assert [text[20 + i] for i in range(3)] == [f"Other words {i}." for i in range(3)]
+
+
 def test_pages_against_their_articles(spark):
     from html import unescape
 

@@ -69,7 +69,7 @@ SPACES = re.compile(r"\s+")
 
 #: share of the changing text that the content slot keeps
 HOLDS = 0.98
-#: pages of a host that must agree before a node inside the slot counts as template
+#: different pages of a host that must agree before a node inside the slot counts as template
 AGREE = 3
 
 
@@ -288,9 +288,10 @@ def text_hash(texts: list[str]) -> int:
 
 
 def tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, html -> host, skeleton, node, pages, chars, low, high; pages with equal trees are
-    combined as far as a batch goes."""
-    names = ["host", "skeleton", "node", "pages", "chars", "low", "high"]
+    """host, html -> host, skeleton, node, pages, chars, low, high, page; pages with equal trees are
+    combined as far as a batch goes. `page` names pages by their texts, so copies have one name: a
+    row for each of the AGREE least names of a node, which tells whether it has so many."""
+    names = ["host", "skeleton", "node", "pages", "chars", "low", "high", "page"]
     for batch in batches:
         found: dict[tuple, list] = {}
         for host, source in zip(batch.column("host").to_pylist(),
@@ -299,16 +300,21 @@ def tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             page = Page(source)
             skeleton, node = page.skeleton()
+            name = text_hash([t for _, t in page.blocks])
             texts: dict[int, list[str]] = {0: []}
             for container, text in page.blocks:
                 texts.setdefault(node[container], []).append(text)
             for k, t in texts.items():
                 h, chars = text_hash(t), sum(map(len, t))
-                row = found.setdefault((host, skeleton, k), [0, 0, h, h])
+                row = found.setdefault((host, skeleton, k), [0, 0, h, h, set()])
                 row[0] += 1
                 row[1] += chars
                 row[2], row[3] = min(row[2], h), max(row[3], h)
-        rows = [(*k, *v) for k, v in found.items()]
+                row[4].add(name)
+                if len(row[4]) > AGREE:
+                    row[4].remove(max(row[4]))
+        rows = [(*k, *(v[:2] if not i else (0, 0)), *v[2:4], name)
+                for k, v in found.items() for i, name in enumerate(sorted(v[4]))]
         columns = zip(*rows) if rows else [[]] * len(names)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), type=pa.string() if i < 2 else pa.int32() if i == 2 else pa.int64())
@@ -321,8 +327,8 @@ def align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(c).to_pylist() for c in ("skeleton", "wrapper", "node")))]
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c) for c in ("host", "wrapper")], pa.array(at, type=pa.int32()),
-             *[batch.column(c) for c in ("pages", "chars", "low", "high")]],
-            names=["host", "wrapper", "node", "pages", "chars", "low", "high"])
+             *[batch.column(c) for c in ("different", "chars", "low", "high")]],
+            names=["host", "wrapper", "node", "different", "chars", "low", "high"])
 
 
 def host_of(url: str | Column) -> Column:
@@ -331,23 +337,23 @@ def host_of(url: str | Column) -> Column:
 
 
 def induced(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per host: wrapper (a skeleton) and nodes: node, pages, chars, low, high for each of
-    its nodes that held text. The html is reduced in the tasks that read it, never shuffled."""
+    """One row per host: wrapper (a skeleton) and nodes: node, different (pages, exact up to AGREE),
+    chars, low, high for each of its nodes that held text. Pages of different trees differ. The html is reduced in the tasks that read it, never shuffled."""
     trees = stored(pages.select(host_of(url).alias("host"), F.col(html).alias("html")).mapInArrow(
         tree_rows, "host string, skeleton string, node int, pages long, chars long, low long, "
-        "high long").groupBy("host", "skeleton", "node").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"),
+        "high long, page long").groupBy("host", "skeleton", "node").agg(
+        F.sum("pages").alias("pages"), F.count_distinct("page").alias("different"), F.sum("chars").alias("chars"), F.min("low").alias("low"),
         F.max("high").alias("high")), "page-trees")
     wrapper = trees.filter("node = 0").groupBy("host").agg(
         F.max_by("skeleton", F.struct("pages", "skeleton")).alias("wrapper"))
     aligned = trees.join(wrapper, "host").mapInArrow(
-        align_rows, "host string, wrapper string, node int, pages long, chars long, low long, "
+        align_rows, "host string, wrapper string, node int, different long, chars long, low long, "
         "high long").filter("node >= 0")
     nodes = aligned.groupBy("host", "wrapper", "node").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"),
+        F.sum("different").alias("different"), F.sum("chars").alias("chars"), F.min("low").alias("low"),
         F.max("high").alias("high"))
     return nodes.groupBy("host", "wrapper").agg(F.sort_array(F.collect_list(
-        F.struct("node", "pages", "chars", "low", "high"))).alias("nodes"))
+        F.struct("node", "different", "chars", "low", "high"))).alias("nodes"))
 
 
 @lru_cache(maxsize=10_000)
@@ -356,11 +362,11 @@ def slot_of(wrapper: str, nodes: tuple) -> tuple[frozenset, frozenset]:
     labels, parents, children = tree_of(wrapper)
     changing, all_text = [0] * len(labels), [0] * len(labels)
     template = set()
-    for node, pages, chars, low, high in nodes:
+    for node, different, chars, low, high in nodes:
         all_text[node] = chars
         if low != high:
             changing[node] = chars
-        elif pages >= AGREE and not labels[node].startswith(("article", "main", "body", "#page")):
+        elif different >= AGREE and not labels[node].startswith(("article", "main", "body", "#page")):
             template.add(node)
     held = changing if any(changing) else all_text
     if not any(held):
