@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, tune
 from . import (
-    context_mixing, decontaminate, fixity, mixing, near_duplicates, quality, token_counts,
-    token_files, toxicity, wrappers,
+    context_mixing, decontaminate, fixity, mixing, near_duplicates, quality, suffix_runs,
+    token_counts, token_files, toxicity, wrappers,
 )
 from .common import table
 from .sql import ORACLES
@@ -92,6 +92,10 @@ def op10_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_ids(spark, out))
 
 
+def op11_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_runs.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,7 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_merkle_audit, op2_wrapper_text, op3_fm_index, op4_piece_counts, op5_host_rules,
         op6_nearest_examples, op7_order_minhash, op8_source_schedule, op9_context_mixing,
-        op10_orc_ids, pipeline,
+        op10_orc_ids, op11_suffix_runs, pipeline,
     ]
     return {q.__name__: tuned(q) for q in found}
 
