@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir, tune
 from . import (
-    context_mixing, decontaminate, fixity, mixing, near_duplicates, quality, suffix_runs,
-    token_counts, token_files, toxicity, wrappers,
+    context_mixing, decontaminate, fixity, mixing, near_duplicates, quality, spelling, suffix_runs,
+    token_counts, token_files, toxicity, whitening, wrappers,
 )
 from .common import table
 from .sql import ORACLES
@@ -96,6 +96,14 @@ def op11_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_runs.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bloom_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,7 +121,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_merkle_audit, op2_wrapper_text, op3_fm_index, op4_piece_counts, op5_host_rules,
         op6_nearest_examples, op7_order_minhash, op8_source_schedule, op9_context_mixing,
-        op10_orc_ids, op11_suffix_runs, pipeline,
+        op10_orc_ids, op11_suffix_runs, op12_qd_whitening, op13_bloom_variants,
+        pipeline,
     ]
     return {q.__name__: tuned(q) for q in found}
 

@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from .common import numbered, rows_in, stored
 
 LENGTH, GRAM = 400, 128
-#: records of a range, of a run, and anchors from which a string is hot
-RANGE_ROWS, RUN_ROWS, HOT = 100_000, 50_000, 20_000
+#: records of a range (more where shuffle partitions are fewer), of a run, worked on at a time, and
+#: anchors from which a string is hot
+RANGE_ROWS, RUN_ROWS, GROUP_ROWS, HOT = 50_000, 30_000, 10_000, 20_000
 BATCH_ROWS, BATCH_BYTES, CHUNK = 4_000, 8 << 20, 1 << 21
 
 _BASE = 0x9E3779B97F4A7C15
@@ -166,7 +167,7 @@ def decoded(shared: bytes, sizes: bytes, rest: bytes) -> Iterator[tuple[bytes, i
     """The strings again, each with the prefix length it shares with the one before."""
     last, at = b"", 0
     for n, size in zip(np.frombuffer(shared, "<u2").tolist(), np.frombuffer(sizes, "<u2").tolist()):
-        last = last[:n] + rest[at:at + size]
+        last = last[:n] + bytes(rest[at:at + size])
         at += size
         yield last, n
 
@@ -321,30 +322,49 @@ def repeated_in_range(right: np.ndarray, lefts: list[bytes], far: np.ndarray, ne
 
 
 def merge_rows(key, table: pa.Table, length: int) -> pa.Table:
-    """All runs of a range -> rec, low, high: the repeated windows, by bytes before the anchor."""
-    runs = table.to_pylist()
-    numbers = [np.frombuffer(r["numbers"], "<i8").reshape(4, -1) for r in runs]
+    """All runs of a range -> rec, low, high: the repeated windows, by bytes before the anchor.
+
+    Runs stay front-coded. The merge decodes a string of each at a time, and records are worked on in
+    groups of whole anchor strings, so memory is the runs and a group."""
+    runs = [[b.as_buffer() for b in r] for r in table["right"]]
+    lefts = [decoded(*[b.as_buffer() for b in r]) for r in table["left"]]
+    numbers = [np.frombuffer(b.as_buffer(), "<i8").reshape(4, -1) for b in table["numbers"]]
     places = [0] * len(runs)
-    picked, right = [], []
-    offsets = np.concatenate([[0], np.cumsum([x.shape[1] for x in numbers])]).tolist()
-    for run, _, shared in merged([decoded(*r["right"]) for r in runs]):
-        picked.append(offsets[run] + places[run])
+    out = []
+    right: list[int] = []
+    left: list[bytes] = []
+    every: list[tuple] = []
+
+    def close():
+        out.append(repeated_windows(np.array(right), left, np.array(every), length))
+        right.clear()
+        left.clear()
+        every.clear()
+
+    for run, _, shared in merged([decoded(*r) for r in runs]):
+        if shared < _HEAD and len(right) >= GROUP_ROWS:
+            close()
         right.append(shared)
+        left.append(next(lefts[run])[0])
+        every.append(numbers[run][:, places[run]])
         places[run] += 1
-    every = np.concatenate(numbers, axis=1)[:, picked]
-    lefts = [s for r in runs for s, _ in decoded(*r["left"])]
-    lefts = [lefts[i] for i in picked]
-    right = np.array(right)
+    if right:
+        close()
+    return pa.concat_tables(out) if out else SPAN_SCHEMA.empty_table()
+
+
+def repeated_windows(right: np.ndarray, lefts: list[bytes], every: np.ndarray, length: int
+                     ) -> pa.Table:
     # strings of one record and one copy have nothing to meet
     heads = np.cumsum(right < _HEAD + 1)
-    several = np.bincount(heads, weights=every[3])[heads] > 1
-    if not several.any():
-        return pa.Table.from_pydict({"rec": [], "low": [], "high": []}, schema=SPAN_SCHEMA)
+    several = np.bincount(heads, weights=every[:, 3])[heads] > 1
     some = np.flatnonzero(several)
+    if not len(some):
+        return SPAN_SCHEMA.empty_table()
     # leaving out whole strings keeps the prefixes of the others, whose first shares no string
-    found = repeated_in_range(right[some], [lefts[i] for i in some], every[1][some], every[2][some],
-                              every[3][some], length)
-    rec = every[0][some]
+    found = repeated_in_range(right[some], [lefts[i] for i in some], every[some, 1], every[some, 2],
+                              every[some, 3], length)
+    rec = every[some, 0]
     edges = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     row, low = np.nonzero(edges == 1)
     _, high = np.nonzero(edges == -1)
@@ -394,11 +414,12 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HO
     picked = stored(numbered(texts.hint("merge").join(flagged.hint("merge"), "key")
                              .select("text", "found")), "suffix-texts")
     n = picked.agg(F.sum(F.size("found"))).first()[0] or 0
-    ranges = 1 + n // RANGE_ROWS
+    ranges = 1 + min(n // RANGE_ROWS, 2 * int(docs.sparkSession.conf.get(
+        "spark.sql.shuffle.partitions")))
     runs = stored(picked.select("row_id", "text", "found").mapInArrow(
         lambda b: run_rows(b, length, gram, ranges), _RUNS), "suffix-runs")
     cold = (runs.filter("range is not null").select("range", "right", "left", "numbers")
-            .groupBy("range").applyInArrow(lambda k, t: merge_rows(k, t, length),
+            .repartition(ranges, "range").groupBy("range").applyInArrow(lambda k, t: merge_rows(k, t, length),
                                            "rec long, low int, high int"))
     windows = runs.filter("digest is not null").select("rec", "far", "copies", "digest")
     twice = windows.groupBy("digest").agg(F.sum("copies").alias("n")).filter("n > 1")
