@@ -152,6 +152,8 @@ def misspelled(seed, n=300):
             text.append(v.upper() if r.random() < 0.1 else v)
     r.shuffle(text)
     rows = [(i, r.choice([" ", ", ", "-", "1"]).join(text[i::n])) for i in range(n)]
+    for word, docs, times in (("longchained", 20, 20), ("longchaine", 15, 2), ("longchain", 1, 2)):
+        rows += [(1000 * len(word) + i, f"{word} " * times) for i in range(docs)]
     return rows + ODD + [(70, "Ångström ÅNGSTRÖM ångström " * 3), (70, "y" * 9000 + " " + "y" * 9000),
                          (71, "y" * 8999 + " " + "y" * 8999)]
 

@@ -87,14 +87,10 @@ def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
 
 
-def places_of(h: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Word of the block and bit of the word, per probe."""
-    g = mixed_bits(h + np.uint64(1))
-    out = []
-    for i in range(PROBES):
-        place = (g >> np.uint64(9 * i)) & np.uint64(511)
-        out.append(((place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)))
-    return out
+def place_of(g: np.ndarray, probe: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the block and bit of the word, from nine bits of a second hash."""
+    place = (g >> np.uint64(9 * probe)) & np.uint64(511)
+    return (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
 
 
 class Shard:
@@ -105,20 +101,21 @@ class Shard:
         self.bits = np.zeros((high - low) * 8, np.uint64)
 
     def add(self, h: np.ndarray) -> None:
-        at = (block_of(h, self.blocks) - self.low) * 8
-        for word, bit in places_of(h):
-            np.bitwise_or.at(self.bits, at + word, np.uint64(1) << bit)
+        at, g = (block_of(h, self.blocks) - self.low) * 8, mixed_bits(h + np.uint64(1))
+        for i in range(PROBES):
+            word, bit = place_of(g, i)
+            np.bitwise_or.at(self.bits, at + word, bit)
 
     def knows(self, polynomials: np.ndarray) -> np.ndarray:
         """Indices of those that may be words of the vocabulary."""
         h = mixed_bits(polynomials)
         block = block_of(h, self.blocks)
         left = np.flatnonzero((self.low <= block) & (block < self.high))
-        at, h = (block[left] - self.low) * 8, h[left]
+        at, g = (block[left] - self.low) * 8, mixed_bits(h[left] + np.uint64(1))
         for i in range(PROBES):
-            word, bit = places_of(h)[i]
-            hit = (self.bits[at + word] >> bit) & np.uint64(1) != 0
-            left, at, h = left[hit], at[hit], h[hit]
+            word, bit = place_of(g, i)
+            hit = self.bits[at + word] & bit != 0
+            left, at, g = left[hit], at[hit], g[hit]
         return left
 
 
@@ -155,12 +152,12 @@ def known_edits(words: list[str], shards: dict[int, list[Shard]], alphabet: np.n
                 ) -> Iterator[tuple[int, str]]:
     """Index of a word of one length, and an edit of it that a shard knows."""
     length = len(words[0])
-    power = powers(length + 1)
+    power = powers(length)
     rows = max(1, STEP // (length * len(alphabet)))
     wide = max(1, STEP // len(alphabet))  # places at a time, for very long words
     for a in range(0, len(words), rows):
         points = code_points(words[a:a + rows])
-        terms = points * power[:length]
+        terms = points * power
         whole = terms.sum(axis=1, dtype=np.uint64)
         for shard in shards.get(length, ()):
             for p in range(0, length, wide):

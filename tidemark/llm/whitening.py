@@ -100,8 +100,9 @@ def triangle_rows(batches: Iterator[pa.RecordBatch], n: int, total: np.ndarray
             if x.shape[1] == len(total):
                 r = triangle([r, centred(x, n, total)])
     if len(r):
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()],
-                                          "r": [r.tobytes()]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()], pa.int32()),
+             pa.array([r.tobytes()], pa.binary())], names=["part", "r"])
 
 
 def reduced(embeddings: DataFrame, n: int, total: np.ndarray) -> np.ndarray:
