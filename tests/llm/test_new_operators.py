@@ -69,14 +69,17 @@ def test_every_window_has_one_anchor(monkeypatch):
         monkeypatch.setattr(suffix_runs, "CHUNK", chunk)
         windows = {}
         for rows in suffix_runs.anchor_rows(iter([batch]), 40, 13):
-            for key, h, at, far, near in zip(*(c.to_pylist() for c in rows.columns)):
-                for d in range(near, far + 1):
-                    assert (key, at - d) not in windows
-                    windows[key, at - d] = (h, d)
+            for key, h, *places in zip(*(c.to_pylist() for c in rows.columns)):
+                for at, far, near in zip(*places):
+                    for d in range(near, far + 1):
+                        assert (key, at - d) not in windows
+                        windows[key, at - d] = (h, d)
         picked.append(windows)
     assert picked[0] == picked[1]
     assert set(picked[0]) == {(k, i) for k, t in enumerate(texts)
                               for i in range(len(t.encode()) - 39)}
+    hashes = np.array([h for h, _ in set(picked[0].values())], np.int64).view(np.uint64)
+    assert 0.4 < np.mean(hashes < np.uint64(1 << 63)) < 0.6, "spread evenly over ranges"
     # equal windows pick equal anchors
     by_bytes = {}
     for (k, i), choice in picked[0].items():

@@ -108,12 +108,15 @@ def anchors(data: np.ndarray, valid: np.ndarray, length: int, gram: int) -> tupl
             some = starts < stops
             parts.append((starts[some], stops[some], again[some]))
         first, end, at = (np.concatenate(x) for x in zip(*parts))
-    return h[at], at, first, end - 1
+    # minima are small numbers; ranges need them spread evenly again
+    h = h[at] * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B185EBCA87), at, first, end - 1
 
 
 def anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int
                 ) -> Iterator[pa.RecordBatch]:
-    """key, text -> key, hash, at, first, last: anchors of each text, windows as distances to it.
+    """key, text -> key, hash and lists at, far, near: the places of a string that is an anchor in the
+    text, and how far before each the first and the last window that picked it begin.
 
     Texts of a batch are worked on together, in chunks of windows, so a long text needs no more
     memory than many short ones."""
@@ -135,9 +138,16 @@ def anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int
                 continue
             h, at, first, last = anchors(piece, ok, length, gram)
             doc = np.searchsorted(ends, at + c, side="right") - 1
+            order = np.lexsort((h, doc))
+            h, doc, at, first, last = (x[order] for x in (h, doc, at, first, last))
+            head = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)) | np.diff(doc, prepend=-1)
+                                  .astype(np.uint64))
+            cuts = pa.array(np.append(head, len(h)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[doc]), pa.array(h.view(np.int64)), pa.array(at + c - ends[doc]),
-                 pa.array((at - first).astype(np.int32)), pa.array((at - last).astype(np.int32))],
+                [pa.array(keys[doc[head]]), pa.array(h[head].view(np.int64)),
+                 pa.ListArray.from_arrays(cuts, pa.array(at + c - ends[doc])),
+                 pa.ListArray.from_arrays(cuts, pa.array((at - first).astype(np.int32))),
+                 pa.ListArray.from_arrays(cuts, pa.array((at - last).astype(np.int32)))],
                 names=["key", "hash", "at", "far", "near"])
 
 
@@ -232,7 +242,10 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
     from pyspark import TaskContext
 
     base = TaskContext.get().partitionId() << 40
-    known: dict[tuple, list] = {}
+    known: dict[tuple, dict[int, list]] = {}
+
+    def copies(record):
+        return min(sum(map(len, known[record].values())), 2)
 
     def out(**columns):
         n = max(len(v) for v in columns.values())
@@ -248,8 +261,8 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
         for a in range(0, len(order), RUN_ROWS):
             some = order[a:a + RUN_ROWS]
             yield out(rec=[ids[r] for r in some for _ in known[r]],
-                      row_id=[p[0] for r in some for p in known[r]],
-                      at=[p[1] for r in some for p in known[r]])
+                      row_id=[row for r in some for row in known[r]],
+                      at=[places for r in some for places in known[r].values()])
         cold = [r for r in order if not r[4]]
         where = [int.from_bytes(r[0][:_HEAD], "big") * ranges >> 64 for r in cold]
         cuts = np.flatnonzero(np.diff(where, prepend=-1, append=ranges)).tolist()
@@ -257,7 +270,7 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
             part = cold[a:b]
             right = front_coded([r[0] for r in part], length + _HEAD)
             left = front_coded([r[1] for r in part], length)
-            numbers = np.array([[ids[r], r[2], r[3], min(len(known[r]), 2)] for r in part], "<i8")
+            numbers = np.array([[ids[r], r[2], r[3], copies(r)] for r in part], "<i8")
             yield out(range=[where[a]], right=[list(right)], left=[list(left)],
                       numbers=[numbers.T.tobytes()])
         for r in order:
@@ -265,7 +278,7 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
                 # the text around the anchor; the windows are those the anchor was picked by
                 around = r[1][::-1] + r[0][_HEAD:]
                 far = list(range(r[3], r[2] + 1))
-                yield out(rec=[ids[r]] * len(far), far=far, copies=[min(len(known[r]), 2)] * len(far),
+                yield out(rec=[ids[r]] * len(far), far=far, copies=[copies(r)] * len(far),
                           digest=[hashlib.blake2b(around[r[2] - d:r[2] - d + length],
                                                   digest_size=16).digest() for d in far])
         known.clear()
@@ -275,14 +288,14 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
                                     rows["found"].to_pylist()):
             text = text.encode()
             for f in found:
-                at, far, near = f["at"], f["far"], f["near"]
-                if at < far or at - near + length > len(text):
-                    continue  # another text with the same key
                 # as unsigned, so the order is that of the bytes
                 head = (f["hash"] & 0xFFFFFFFFFFFFFFFF).to_bytes(_HEAD, "big")
-                record = (head + text[at:at + length - near], text[at - far:at][::-1], far, near,
-                          f["hot"])
-                known.setdefault(record, []).append((row, at))
+                for at, far, near in zip(f["at"], f["far"], f["near"]):
+                    if at < far or at - near + length > len(text):
+                        continue  # another text with the same key
+                    record = (head + text[at:at + length - near], text[at - far:at][::-1], far, near,
+                              f["hot"])
+                    known.setdefault(record, {}).setdefault(row, []).append(at)
             if len(known) >= RUN_ROWS:
                 yield from flush()
     yield from flush()
@@ -291,10 +304,10 @@ def run_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, ranges:
 _CODED = pa.list_(pa.binary())
 RUN_SCHEMA = pa.schema([
     ("range", pa.int32()), ("right", _CODED), ("left", _CODED), ("numbers", pa.binary()),
-    ("rec", pa.int64()), ("row_id", pa.int64()), ("at", pa.int64()),
+    ("rec", pa.int64()), ("row_id", pa.int64()), ("at", pa.list_(pa.int64())),
     ("far", pa.int32()), ("copies", pa.int32()), ("digest", pa.binary())])
 _RUNS = ("range int, right array<binary>, left array<binary>, numbers binary, rec long, row_id long, "
-         "at long, far int, copies int, digest binary")
+         "at array<long>, far int, copies int, digest binary")
 
 
 def repeated_in_range(right: np.ndarray, lefts: list[bytes], far: np.ndarray, near: np.ndarray,
@@ -322,7 +335,8 @@ def repeated_in_range(right: np.ndarray, lefts: list[bytes], far: np.ndarray, ne
 
 
 def merge_rows(key, table: pa.Table, length: int) -> pa.Table:
-    """All runs of a range -> rec, low, high: the repeated windows, by bytes before the anchor.
+    """All runs of a range -> rec, low, high: the last and the first repeated window, by the bytes
+    that they begin before the anchor. Windows of one anchor overlap, so these two bound what goes.
 
     Runs stay front-coded. The merge decodes a string of each at a time, and records are worked on in
     groups of whole anchor strings, so memory is the runs and a group."""
@@ -364,57 +378,66 @@ def repeated_windows(right: np.ndarray, lefts: list[bytes], every: np.ndarray, l
     # leaving out whole strings keeps the prefixes of the others, whose first shares no string
     found = repeated_in_range(right[some], [lefts[i] for i in some], every[some, 1], every[some, 2],
                               every[some, 3], length)
-    rec = every[some, 0]
-    edges = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-    row, low = np.nonzero(edges == 1)
-    _, high = np.nonzero(edges == -1)
-    return pa.table({"rec": rec[row], "low": low.astype(np.int32),
-                     "high": (high - 1).astype(np.int32)}, schema=SPAN_SCHEMA)
+    hit = np.flatnonzero(found.any(axis=1))
+    low = found[hit].argmax(axis=1)
+    high = found.shape[1] - 1 - found[hit][:, ::-1].argmax(axis=1)
+    return pa.table({"rec": every[some, 0][hit], "low": low.astype(np.int32),
+                     "high": high.astype(np.int32)}, schema=SPAN_SCHEMA)
 
 
 SPAN_SCHEMA = pa.schema([("rec", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
 
 
-def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """text, spans -> the text's digest and what is left of it."""
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
         whole, removed, runs, kept = [], [], [], []
         for text, spans in zip(rows["text"].to_pylist(), rows["spans"].to_pylist()):
             text = text.encode()
-            end = n = k = 0
+            gone = merged_spans(spans, length)
             left = hashlib.sha256()
-            for s in sorted(spans, key=lambda s: s["start"]):
-                if s["start"] > end or not k:
-                    left.update(text[end:s["start"]])
-                    k, end = k + 1, s["start"]
-                if s["end"] > end:
-                    n, end = n + s["end"] - end, s["end"]
+            end = 0
+            for start, stop in gone:
+                left.update(text[end:start])
+                end = stop
             left.update(text[end:])
             whole.append(hashlib.sha256(text).digest())
-            removed.append(n)
-            runs.append(k)
+            removed.append(sum(stop - start for start, stop in gone))
+            runs.append(len(gone))
             kept.append(left.hexdigest())
         yield pa.RecordBatch.from_arrays(
             [pa.array(whole, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
              pa.array(kept, pa.string())], names=["whole", "n_removed", "n_spans", "kept_sha256"])
 
 
-def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """text, spans (start, end in bytes): texts with repeated windows, and those windows' bytes.
+def merged_spans(spans: list[dict], length: int) -> list[tuple[int, int]]:
+    """Disjoint byte ranges, in order, of the windows around anchors; touching ones are one."""
+    at = [np.array(s["at"], np.int64) for s in spans]
+    start = np.concatenate([a - s["high"] for a, s in zip(at, spans)])
+    stop = np.concatenate([a - s["low"] + length for a, s in zip(at, spans)])
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    first = np.flatnonzero(np.append(True, start[1:] > stop[:-1]))
+    return list(zip(start[first].tolist(), stop[np.append(first[1:], len(stop)) - 1].tolist()))
 
-    Equal texts may come more than once, each time with all their spans. Spans may overlap."""
+
+def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """text, spans (anchors' places, and how far before them the last and the first repeated window
+    begins): the texts that hold repeated windows. Equal texts may come more than once, each time with
+    all their spans."""
     texts = docs.select(F.xxhash64("text").alias("key"), "text").filter(
         F.octet_length("text") >= length)
     found = stored(texts.mapInArrow(lambda b: anchor_rows(b, length, gram),
-                                    "key long, hash long, at long, far int, near int"),
+                                    "key long, hash long, at array<long>, far array<int>, "
+                                    "near array<int>"),
                    "suffix-anchors")
-    again = found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    again = found.groupBy("hash").agg(F.sum(F.size("at")).alias("n")).filter("n > 1")
     flagged = found.join(again, "hash").groupBy("key").agg(F.collect_set(F.struct(
         "hash", "at", "far", "near", (F.col("n") > hot).alias("hot"))).alias("found"))
     picked = stored(numbered(texts.hint("merge").join(flagged.hint("merge"), "key")
                              .select("text", "found")), "suffix-texts")
-    n = picked.agg(F.sum(F.size("found"))).first()[0] or 0
-    ranges = 1 + min(n // RANGE_ROWS, 2 * int(docs.sparkSession.conf.get(
+    n = picked.agg(F.sum(F.aggregate("found", F.lit(0), lambda n, f: n + F.size(f["at"])))).first()[0]
+    ranges = 1 + min((n or 0) // RANGE_ROWS, 2 * int(docs.sparkSession.conf.get(
         "spark.sql.shuffle.partitions")))
     runs = stored(picked.select("row_id", "text", "found").mapInArrow(
         lambda b: run_rows(b, length, gram, ranges), _RUNS), "suffix-runs")
@@ -423,12 +446,11 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HO
                                            "rec long, low int, high int"))
     windows = runs.filter("digest is not null").select("rec", "far", "copies", "digest")
     twice = windows.groupBy("digest").agg(F.sum("copies").alias("n")).filter("n > 1")
-    warm = windows.join(twice, "digest").select("rec", F.col("far").alias("low"),
-                                                F.col("far").alias("high"))
+    warm = windows.join(twice, "digest").groupBy("rec").agg(F.min("far").alias("low"),
+                                                            F.max("far").alias("high"))
     places = runs.filter("row_id is not null").select("rec", "row_id", "at")
-    each = places.join(cold.unionByName(warm), "rec").groupBy("row_id").agg(F.collect_list(F.struct(
-        (F.col("at") - F.col("high")).alias("start"),
-        (F.col("at") - F.col("low") + length).alias("end"))).alias("spans"))
+    each = places.join(cold.unionByName(warm), "rec").groupBy("row_id").agg(
+        F.collect_list(F.struct("at", "low", "high")).alias("spans"))
     return picked.select("row_id", "text").join(each, "row_id").select("text", "spans")
 
 
@@ -439,7 +461,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
         F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("whole"))
     cut = spans(docs, length, gram, hot).mapInArrow(
-        cut_rows, "whole binary, n_removed long, n_spans long, kept_sha256 string")
+        lambda b: cut_rows(b, length), "whole binary, n_removed long, n_spans long, kept_sha256 string")
     cut = cut.dropDuplicates(["whole"])
     zero = F.lit(0).cast("long")
     return whole.join(cut, "whole", "left").select(
