@@ -41,6 +41,11 @@ def size_of(text: str | Column) -> Column:
     return F.regexp_count(F.coalesce(t, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """A side that grows with the data: it is shuffled by the key of the join, never broadcast."""
+    return df.hint("merge")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             share: tuple[int, int] = SHARE, passes: int = PASSES) -> DataFrame:
     """source, source_no, source_size, target: words shared by weight, none above passes * size.
@@ -90,8 +95,8 @@ def slots(goals: DataFrame, bits: int) -> DataFrame:
         "before", F.coalesce(F.sum("n").over(Window.partitionBy("source_no").orderBy(
             "run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.row_number().over(Window.partitionBy("source_no", "run").orderBy("slot")) - 1
-    return rows.withColumn("inside", inside).join(
-        runs.drop("n"), ["source_no", "run"]).select(
+    return by_key(rows.withColumn("inside", inside)).join(
+        by_key(runs.drop("n")), ["source_no", "run"]).select(
         "source_no", "slot", (F.col("before") + F.col("inside")).alias("rank"))
 
 
@@ -110,7 +115,8 @@ def shuffled(sizes: DataFrame, seed: str, rows: int) -> DataFrame:
             "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     inside = F.coalesce(F.sum("size").over(Window.partitionBy("source_no", "cell").orderBy(
         "key", "row_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return keyed.withColumn("inside", inside).join(cells, ["source_no", "cell"]).withColumn(
+    return by_key(keyed.withColumn("inside", inside)).join(
+        by_key(cells), ["source_no", "cell"]).withColumn(
         "start", F.col("before") + F.col("inside")).drop("key", "cell", "before", "inside")
 
 
@@ -149,9 +155,9 @@ def mixed(sizes: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS
         F.greatest(F.lit(0).cast("long"), F.floor(F.col("start") / block) - 1),
         F.floor((F.col("start") + F.col("size")) / block) + 1))).withColumn(
         "words", overlap).filter("words > 0").select("row_id", "source_no", "rank", "words")
-    taken = blocks.join(slots(goal, bits), ["source_no", "rank"]).groupBy("row_id").agg(
+    taken = by_key(blocks).join(by_key(slots(goal, bits)), ["source_no", "rank"]).groupBy("row_id").agg(
         F.sum("words").cast("long").alias("taken"))
-    return named.join(taken, "row_id", "left").drop("source_no").withColumn(
+    return by_key(named).join(by_key(taken), "row_id", "left").drop("source_no").withColumn(
         "taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
@@ -176,5 +182,5 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", source: str = "source",
                         F.col(f"row.{source}").alias("source"), "size")
     times = mixed(sizes).filter("taken > 0").select("row_id", F.round(
         F.col("taken") / F.col("size")).cast("int").alias("times")).filter("times > 0")
-    return rows.join(times, "row_id").select("row", F.explode(
+    return by_key(rows).join(by_key(times), "row_id").select("row", F.explode(
         F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
