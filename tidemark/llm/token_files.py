@@ -29,8 +29,9 @@ from .common import rows_in
 END_ID = 0
 #: texts encoded at a time: rows and bytes
 BATCH_ROWS, BATCH_BYTES = 4_000, 8 << 20
-#: pieces whose ids a worker remembers, and pieces encoded in one call
-CACHE_PIECES, LINES = 1_000_000, 10_000
+#: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
+#: and pieces encoded in one call
+CACHE_PIECES, LINES = 600_000, 10_000
 #: at these a text is not cut into pieces
 SPACES_TOGETHER = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -51,7 +52,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, dtype="<u4")
-        self.known: dict[str, bytes] = {}
+        self.known, self.older = self.always(), {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -79,16 +80,19 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.pieces(t) for t in texts]
         known = self.known
-        every = set().union(*[p for p in cut if p is not None])
-        new = every.difference(known)
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-            new = every
-        new = list(new.difference(("", "\n")))
+        missing = set().union(*[p for p in cut if p is not None]).difference(known)
+        again = missing & self.older.keys()
+        known.update((p, self.older[p]) for p in again)
+        new = list(missing - again)
         known.update(zip(new, self.each(new), strict=True))
-        known.update({"": b"", "\n": self.line.tobytes()})
         whole = iter(self.direct([t for t, p in zip(texts, cut) if p is None]))
-        return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
+        out = [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
+        if len(known) > CACHE_PIECES:
+            self.older, self.known = known, self.always()
+        return out
+
+    def always(self) -> dict[str, bytes]:
+        return {"": b"", "\n": self.line.tobytes()}
 
 
 _encoders: dict[str, Encoder] = {}
@@ -133,7 +137,7 @@ def write_ids(docs: DataFrame, out: str, tokenizer: str, id: str = "doc_id", tex
         "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>")
     coded.write.option("orc.bloom.filter.columns", "doc_id").option(
         "orc.bloom.filter.fpp", fpp).option("orc.stripe.size", stripe_mb << 20).option(
-        "orc.row.index.stride", row_group).option("compression", "zstd").orc(out)
+        "orc.row.index.stride", row_group).option("compression", "snappy").orc(out)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
