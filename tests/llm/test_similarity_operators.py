@@ -414,3 +414,14 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, TINY).columns == docs.columns
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_a_stage_leaves_the_tables_of_other_queries(spark):
+    """Results built before, and read after, stages and whole runs."""
+    lazy = {n: q(spark, TINY) for n, q in queries().items() if n != "pipeline"}
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, TINY)
+    corpus_pipeline.run(spark, TINY)
+    for name, df in lazy.items():
+        assert df.count() > 0, name

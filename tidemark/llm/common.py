@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,31 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
-#: folders of intermediate tables that were not discarded yet
-_folders: list[str] = []
+class Scratch:
+    """The intermediate tables that one run makes, so that it can delete those and no others.
+
+    Tables stored inside its ``with`` block belong to it; blocks may be nested, and results that are
+    to outlast it are stored outside or with ``temporary=False``, which leaves them to the block around.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self.outer = _scratch.set((*_scratch.get(), self))
+        return self
+
+    def __exit__(self, *error) -> None:
+        _scratch.reset(self.outer)
+
+    def clear(self) -> None:
+        """Delete the tables; nothing that is still to be read may need them."""
+        while self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_scratch: ContextVar[tuple[Scratch, ...]] = ContextVar("scratch", default=())
 
 
 def stored(df: DataFrame, name: str, temporary: bool = True) -> DataFrame:
@@ -20,28 +44,21 @@ def stored(df: DataFrame, name: str, temporary: bool = True) -> DataFrame:
 
     Cuts the lineage like a checkpoint (a lost executor costs no recomputation of what came before)
     and fixes row ids that were made while writing; columns are pruned when it is read.
+
+    The shuffle files of what was written are not needed any more. Executors delete them when the
+    driver's JVM has collected the plan, which a long run on a large heap puts off until the disks
+    are full, so the collection is asked for here.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    if temporary:
-        _folders.append(path)
+    owners = _scratch.get()[:None if temporary else -1]
+    if owners:
+        owners[-1].paths.append(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
-def folders() -> int:
-    """How many intermediate tables there are; `discard` takes the number to go back to."""
-    return len(_folders)
-
-
-def discard(spark: SparkSession, since: int = 0) -> None:
-    """Delete intermediate tables made after a point; nothing that is still to be read may need
-    them."""
-    while len(_folders) > since:
-        at = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

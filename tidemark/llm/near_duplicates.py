@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, folders, numbered, rows_in, stored
+from .common import Scratch, numbered, rows_in, stored
 from .decontaminate import words_of
 
 #: words of the longer text from which a tier holds, items picked, hash functions
@@ -357,26 +357,41 @@ def components(edges: DataFrame) -> DataFrame:
     Every node points to its smallest neighbour, pointers are followed twice, and the edges between
     different roots remain; their number at least halves each time and a star takes one step.
     """
-    left = stored(edges.select("a", "b").filter("a <> b").distinct(), "near-edges")
-    roots = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn(
-        "root", F.col("node"))
+    spark = edges.sparkSession
+    made = Scratch(spark)  # of the step before
+    with made:
+        left = stored(edges.select("a", "b").filter("a <> b").distinct(), "near-edges")
+        roots = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn(
+            "root", F.col("node")), "near-roots")
     while not left.isEmpty():
-        both = left.union(left.select("b", "a"))
-        hook = both.groupBy("a").agg(F.min("b").alias("to")).select(
-            F.col("a").alias("from"), F.least("a", "to").alias("to"))
-        hook = stored(hook, "near-hooks")
-        for _ in range(2):
-            ahead = hook.select(F.col("from").alias("to"), F.col("to").alias("next"))
-            hook = hook.join(ahead, "to", "left").select(
-                "from", F.coalesce("next", "to").alias("to"))
-        hook = stored(hook, "near-hooks")
-        roots = stored(roots.join(hook, F.col("root") == F.col("from"), "left").select(
-            "node", F.coalesce("to", "root").alias("root")), "near-roots")
-        at = [hook.select(F.col("from").alias(c), F.col("to").alias(f"{c}_to")) for c in "ab"]
-        left = stored(left.join(at[0], "a").join(at[1], "b").select(
-            F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).filter(
-            "a <> b").distinct(), "near-edges")
-    return roots
+        with Scratch(spark) as now, Scratch(spark) as hooks:
+            left, roots = contracted(left, roots)
+        hooks.clear()
+        made.clear()
+        made = now
+    out = stored(roots, "near-roots")
+    made.clear()
+    return out
+
+
+def contracted(left: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One step: the edges between roots that are left, and every node's root."""
+    both = left.union(left.select("b", "a"))
+    hook = both.groupBy("a").agg(F.min("b").alias("to")).select(
+        F.col("a").alias("from"), F.least("a", "to").alias("to"))
+    hook = stored(hook, "near-hooks")
+    for _ in range(2):
+        ahead = hook.select(F.col("from").alias("to"), F.col("to").alias("next"))
+        hook = hook.join(ahead, "to", "left").select(
+            "from", F.coalesce("next", "to").alias("to"))
+    hook = stored(hook, "near-hooks")
+    roots = stored(roots.join(hook, F.col("root") == F.col("from"), "left").select(
+        "node", F.coalesce("to", "root").alias("root")), "near-roots", temporary=False)
+    at = [hook.select(F.col("from").alias(c), F.col("to").alias(f"{c}_to")) for c in "ab"]
+    left = stored(left.join(at[0], "a").join(at[1], "b").select(
+        F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).filter(
+        "a <> b").distinct(), "near-edges", temporary=False)
+    return left, roots
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str | None = None,
@@ -388,19 +403,28 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
     """
     rows = docs.select(*([F.col(row_id).alias("row_id")] if row_id else []),
                        F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = stored((rows if row_id else numbered(rows)).select(
-        "row_id", "doc_id", "text").mapInArrow(
-        lambda batches: sketch_rows(batches, similarity), "row_id long, doc_id long, digest binary, signs array<long>, size int, "
-        "bag binary, words binary"),
-        "near-sketches")
+    with Scratch(docs.sparkSession) as made:
+        placed = placed_rows(rows if row_id else numbered(rows), similarity)
+    made.clear()
+    named = placed.groupBy("class_row").agg(F.min("doc_id").alias("class_id"),
+                                            F.count("*").alias("n_rows"))
+    return placed.join(named, "class_row")
+
+
+def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
+    """row_id, doc_id, class_row of rows (row_id, doc_id, text), stored."""
+    signed = stored(rows.select("row_id", "doc_id", "text").mapInArrow(
+        lambda batches: sketch_rows(batches, similarity),
+        "row_id long, doc_id long, digest binary, signs array<long>, size int, bag binary, "
+        "words binary"), "near-sketches")
     copies = signed.filter("digest is not null").groupBy("digest").agg(
         F.min("row_id").alias("node"))
     copies = stored(copies, "near-copies")
     # a node is the row number of one of its texts
     texts = signed.select(F.col("row_id").alias("node"), "signs", "size", "bag", "words")
-    keys = stored(texts.join(copies.select("node"), "node", "left_semi").select(
-        "node", "size", F.explode("signs").alias("key")), "near-keys")
-    # only texts that share a bucket are compared
+    keys = texts.join(copies.select("node"), "node", "left_semi").select(
+        "node", "size", F.explode("signs").alias("key"))
+    # only texts that share a bucket are compared, and only those keys are stored
     keys = stored(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                             "left_semi"), "near-shared")
     tried = stored(first_pairs(keys, texts, similarity), "near-pairs")
@@ -418,10 +442,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
         "digest", F.coalesce("root", "node").alias("root"))
     placed = signed.select("row_id", "doc_id", "digest").join(node, "digest", "left").select(
         "row_id", "doc_id", F.coalesce("root", "row_id").alias("class_row"))
-    placed = stored(placed, "near-classes")
-    named = placed.groupBy("class_row").agg(F.min("doc_id").alias("class_id"),
-                                            F.count("*").alias("n_rows"))
-    return placed.join(named, "class_row")
+    return stored(placed, "near-classes", temporary=False)
 
 
 def repeated_rows(placed: DataFrame) -> DataFrame:
@@ -438,8 +459,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text",
     rows = stored(numbered(docs.select(F.struct("*").alias("row"))), "near-documents")
     flat = rows.select("row_id", F.col(f"row.{id}").alias("doc_id"),
                        F.col(f"row.{text}").alias("text"))
-    before = folders()
-    repeated = repeated_rows(classes(flat, "doc_id", "text", "row_id", similarity))
-    repeated = stored(repeated, "near-repeated", temporary=False)
-    discard(docs.sparkSession, before)
+    with Scratch(docs.sparkSession) as made:
+        repeated = repeated_rows(classes(flat, "doc_id", "text", "row_id", similarity))
+        repeated = stored(repeated, "near-repeated", temporary=False)
+    made.clear()
     return rows.join(repeated, "row_id", "left_anti").select("row.*")
