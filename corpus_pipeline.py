@@ -1,7 +1,7 @@
 """From documents to token files: quality rules, near-duplicates, benchmark passages, mixing, ids.
 
-A stage's result is written before the next stage is called, so a stage begins by discarding the
-intermediate tables of those before it.
+A stage's result is written before the next stage is called; `run` then deletes the intermediate tables
+that the stage made, and no others.
 """
 
 from __future__ import annotations
@@ -9,38 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, near_duplicates, quality, token_files
-from tidemark.llm.common import discard, stored, table
+from tidemark.llm.common import Scratch, stored, table
 from tidemark.llm.queries import tokenizer_path
 from tidemark.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose source is not rejected."""
-    discard(spark)
     return quality.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    discard(spark)
     return near_duplicates.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; the words of benchmark passages are cut out of the texts."""
-    discard(spark)
     return decontaminate.cleaned(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix by source weights takes them."""
-    discard(spark)
     return mixing.mixed_documents(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes ids as ORC files and gives doc_id, start, n_tokens, ids_crc32 read back from them."""
-    discard(spark)
     out = shared_dir(spark, "token-files")
     token_files.write_ids(docs, out, tokenizer_path("byte_bpe_50k.json"))
     return token_files.digests(token_files.read_ids(spark, out))
@@ -62,5 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each stage's rows are stored and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name, temporary=False)
+        with Scratch(spark) as made:
+            docs = stored(stage(spark, docs, sf_dir), name, temporary=False)
+        made.clear()
     return STAGES[-1][1](spark, docs, sf_dir)
