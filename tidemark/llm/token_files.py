@@ -32,6 +32,8 @@ BATCH_ROWS, BATCH_BYTES = 4_000, 8 << 20
 #: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
 #: and pieces encoded in one call
 CACHE_PIECES, LINES = 600_000, 10_000
+#: marks that are encoded apart from the word before them
+MARKS = ".,;:!?"
 #: at these a text is not cut into pieces
 SPACES_TOGETHER = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -52,6 +54,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, dtype="<u4")
+        self.marks = dict(zip(MARKS, self.direct(list(MARKS))))
         self.known, self.older = self.always(), {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
@@ -81,10 +84,15 @@ class Encoder:
         cut = [self.pieces(t) for t in texts]
         known = self.known
         missing = set().union(*[p for p in cut if p is not None]).difference(known)
-        again = missing & self.older.keys()
-        known.update((p, self.older[p]) for p in again)
-        new = list(missing - again)
-        known.update(zip(new, self.each(new), strict=True))
+        known.update((p, self.older[p]) for p in missing & self.older.keys())
+        new = missing.difference(known)
+        # a word and the punctuation mark behind it are never joined either
+        ended = {p: p[:-1] for p in new if p[-1] in self.marks and p[-2:-1].isalnum()}
+        words = set(ended.values()).difference(known)
+        known.update((p, self.older[p]) for p in words & self.older.keys())
+        direct = list(new.difference(ended).union(words).difference(known))
+        known.update(zip(direct, self.each(direct), strict=True))
+        known.update((p, known[w] + self.marks[p[-1]]) for p, w in ended.items())
         whole = iter(self.direct([t for t, p in zip(texts, cut) if p is None]))
         out = [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
         if len(known) > CACHE_PIECES:
@@ -137,7 +145,7 @@ def write_ids(docs: DataFrame, out: str, tokenizer: str, id: str = "doc_id", tex
         "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>")
     coded.write.option("orc.bloom.filter.columns", "doc_id").option(
         "orc.bloom.filter.fpp", fpp).option("orc.stripe.size", stripe_mb << 20).option(
-        "orc.row.index.stride", row_group).option("compression", "snappy").orc(out)
+        "orc.row.index.stride", row_group).option("compression", "zstd").orc(out)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
