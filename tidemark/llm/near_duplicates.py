@@ -115,7 +115,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             signs.append(sketches(hashed, similarity).view(np.int64) if words else None)
             size.append(len(words))
             bags.append(bag_of(hashed).tobytes())
-            sequence.append(hashed.tobytes())
+            sequence.append(packed(hashed))
         yield pa.RecordBatch.from_arrays(
             [rows["row_id"].combine_chunks(), rows["doc_id"].combine_chunks(),
              pa.array(digest, type=pa.binary()), pa.array(signs, type=pa.list_(pa.int64())),
@@ -124,6 +124,24 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             names=["row_id", "doc_id", "digest", "signs", "size", "bag", "words"])
 
 
+def packed(words: np.ndarray) -> bytes:
+    """Words of a text for a shuffle: half the bytes of the numbers."""
+    return len(words).to_bytes(4, "little") + pa.compress(words.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(column) -> list[np.ndarray]:
+    """Each text of a run of equal ones is unpacked once."""
+    out, last, words = [], None, None
+    for value in column:
+        raw = value.as_buffer()
+        if last is None or raw != last:
+            last = raw
+            n = int.from_bytes(raw[:4].to_pybytes(), "little")
+            words = np.frombuffer(pa.decompress(raw[4:], 4 * n, "zstd"), np.uint32)
+        out.append(words)
+    return out
+
+
 def shared_words(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the common multiset of two sequences."""
     x, n = np.unique(a, return_counts=True)
@@ -195,14 +213,18 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 
 def verify_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [similar(np.frombuffer(x.as_buffer(), np.uint32),
-                        np.frombuffer(y.as_buffer(), np.uint32), similarity)
-                for x, y in zip(batch.column("words_a"), batch.column("words_b"))]
+        keep = [similar(x, y, similarity) for x, y in zip(
+            unpacked(batch.column("words_a")), unpacked(batch.column("words_b")))]
         keep = pa.array(keep, type=pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """A side that grows with the data: shuffled by the key of the join."""
+    return df.hint("merge")
+
+
 def near_in_size(x: Column, y: Column, similarity: float) -> Column:
     """Whether the numbers of words leave room for the similarity: each word more is an edit."""
     return F.abs(x - y) <= F.floor(F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9))
@@ -427,6 +449,9 @@ def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
     # only texts that share a bucket are compared, and only those keys are stored
     keys = stored(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                             "left_semi"), "near-shared")
+    # the joins of pairs below shuffle texts: only those that can be in a pair
+    texts = stored(by_key(texts.select("node", "bag", "size", "words")).join(
+        by_key(keys.select("node").distinct()), "node", "left_semi"), "near-texts")
     tried = stored(first_pairs(keys, texts, similarity), "near-pairs")
     links = linked(tried, texts, similarity)
     roots = components(links)
