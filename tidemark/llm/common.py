@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+#: Spark's setting to remove an execution's shuffle files when it has ended
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """The intermediate tables that one run makes, so that it can delete those and no others.
 
@@ -45,17 +49,20 @@ def stored(df: DataFrame, name: str, temporary: bool = True) -> DataFrame:
     Cuts the lineage like a checkpoint (a lost executor costs no recomputation of what came before)
     and fixes row ids that were made while writing; columns are pruned when it is read.
 
-    The shuffle files of what was written are not needed any more. Executors delete them when the
-    driver's JVM has collected the plan, which a long run on a large heap puts off until the disks
-    are full, so the collection is asked for here.
+    The shuffle files of the write are removed at its end: nothing else reads them, and without that
+    they stay on the executors' disks until the driver's JVM happens to collect the plan.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     owners = _scratch.get()[:None if temporary else -1]
     if owners:
         owners[-1].paths.append(path)
-    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
