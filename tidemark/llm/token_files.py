@@ -28,7 +28,7 @@ from .common import rows_in
 
 END_ID = 0
 #: texts encoded at a time: rows and bytes
-BATCH_ROWS, BATCH_BYTES = 4_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 4_000, 4 << 20
 #: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
 #: and pieces encoded in one call
 CACHE_PIECES, LINES = 600_000, 10_000
@@ -42,9 +42,11 @@ OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 class Encoder:
     """Ids of texts by the tokenizers library; pieces that occur often are encoded once.
 
-    The pre-tokenizer never joins what stands before a single space or around a single line break,
-    so a text is cut there and each distinct piece is encoded on its own. Texts with other white
-    space, or with a special token's string, go to the library whole.
+    The pre-tokenizer never joins what stands before a single space or around a single line break, nor a
+    letter or digit and a punctuation mark that ends a word, so texts are cut there and each distinct
+    piece is encoded on its own. Pieces are found, told apart and put together as arrays: two 64-bit
+    hashes stand for a piece, differences of running sums over the bytes. Texts with other white space,
+    or with a special token's string, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -54,53 +56,166 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, dtype="<u4")
-        self.marks = dict(zip(MARKS, self.direct(list(MARKS))))
-        self.known, self.older = self.always(), {}
+        self.known, self.older = Pieces(), Pieces()
 
-    def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
+    def direct(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4")
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def each(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without line breaks, from one text that has a piece per line."""
-        out: list[bytes] = []
+    def each(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces, of which those without line breaks stand in one text, a line each."""
+        out: list[np.ndarray] = []
         for a in range(0, len(pieces), LINES):
             lines = pieces[a:a + LINES]
-            ids = np.frombuffer(self.direct(["\n".join(lines)])[0], dtype="<u4")
-            ends = np.flatnonzero(ids == self.line[0]) * 4
-            whole = ids.tobytes()
-            out += [whole[x:y] for x, y in zip([0, *(ends + 4).tolist()],
-                                               [*ends.tolist(), len(whole)])]
+            ids = self.direct(["\n".join(lines)])[0]
+            ends = np.flatnonzero(ids == self.line[0])
+            out += np.split(ids, np.stack([ends, ends + 1], axis=1).ravel())[::2]
         return out
 
-    def pieces(self, text: str) -> list[str] | None:
-        if any(s in text for s in SPACES_TOGETHER) or any(s in text for s in self.specials) or (
-                not text.isascii() and OTHER_SPACE.search(text)):
-            return None
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        missing = set().union(*[p for p in cut if p is not None]).difference(known)
-        known.update((p, self.older[p]) for p in missing & self.older.keys())
-        new = missing.difference(known)
-        # a word and the punctuation mark behind it are never joined either
-        ended = {p: p[:-1] for p in new if p[-1] in self.marks and p[-2:-1].isalnum()}
-        words = set(ended.values()).difference(known)
-        known.update((p, self.older[p]) for p in words & self.older.keys())
-        direct = list(new.difference(ended).union(words).difference(known))
-        known.update(zip(direct, self.each(direct), strict=True))
-        known.update((p, known[w] + self.marks[p[-1]]) for p, w in ended.items())
-        whole = iter(self.direct([t for t, p in zip(texts, cut) if p is None]))
-        out = [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
-        if len(known) > CACHE_PIECES:
-            self.older, self.known = known, self.always()
-        return out
-
-    def always(self) -> dict[str, bytes]:
-        return {"": b"", "\n": self.line.tobytes()}
+    def whole(self, text: str) -> bool:
+        return any(s in text for s in SPACES_TOGETHER) or any(s in text for s in self.specials) or (
+            not text.isascii() and OTHER_SPACE.search(text) is not None)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one text after another, and how many each text has."""
+        cut = [i for i, t in enumerate(texts) if not self.whole(t)]
+        counts = np.zeros(len(texts), np.int64)
+        ids, counts[cut] = self.from_pieces([texts[i].encode() for i in cut])
+        if len(cut) == len(texts):
+            return ids, counts
+        left = np.ones(len(texts), bool)
+        left[cut] = False
+        rest = np.flatnonzero(left)
+        others = self.direct([texts[i] for i in rest])
+        counts[rest] = [len(x) for x in others]
+        parts = dict(zip(rest.tolist(), others))
+        parts.update(zip(cut, np.split(ids, np.cumsum(counts[cut])[:-1]) if cut else []))
+        return np.concatenate([parts[i] for i in range(len(texts))]), counts
+
+    def from_pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([0, *map(len, texts)])
+        starts = piece_starts(data, ends)
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        stops = np.append(starts[1:], len(data))
+        first, second = piece_hashes(data, starts, stops)
+        distinct, at, which = np.unique(first, return_index=True, return_inverse=True)
+        if not (second[at][which] == second).all():  # two pieces with one hash
+            whole = self.direct([t.decode() for t in texts])
+            return (np.concatenate([np.zeros(0, "<u4"), *whole]),
+                    np.array([len(x) for x in whole], np.int64))
+        second = second[at]
+        missing = np.flatnonzero(self.known.missing(distinct, second))
+        again = ~self.older.missing(distinct[missing], second[missing])
+        old = missing[again]
+        self.known.add(distinct[old], second[old], *self.older.take(distinct[old]))
+        new = missing[~again]
+        raw = data.tobytes()
+        pieces = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist())]
+        lines = np.array([p == "\n" for p in pieces], bool)
+        found = self.each([p for p in pieces if p != "\n"])
+        if lines.any():
+            found.insert(int(np.flatnonzero(lines)[0]), self.line)
+        self.known.add(distinct[new], second[new], np.concatenate([np.zeros(0, "<u4"), *found]),
+                       np.array([len(x) for x in found], np.int64))
+        ids, sizes = self.known.take(distinct)
+        ids, sizes = spread(ids, sizes, which)
+        counts = np.add.reduceat(np.append(sizes, 0), np.searchsorted(starts, ends[:-1]))
+        counts[np.diff(ends) == 0] = 0
+        if len(self.known) > CACHE_PIECES:
+            self.older, self.known = self.known, Pieces()
+        return ids, counts
+
+
+class Pieces:
+    """Ids of known pieces, in the order of their first hashes."""
+
+    def __init__(self):
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.sizes, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def missing(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Which of some pieces are unknown."""
+        at = np.minimum(np.searchsorted(self.first, first), max(0, len(self) - 1))
+        if not len(self):
+            return np.ones(len(first), bool)
+        return (self.first[at] != first) | (self.second[at] != second)
+
+    def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        order = np.argsort(np.concatenate([self.first, first]), kind="stable")
+        self.first = np.concatenate([self.first, first])[order]
+        self.second = np.concatenate([self.second, second])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def take(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number of known pieces."""
+        at = np.searchsorted(self.first, first)
+        return ragged(self.ids, self.starts[at], self.sizes[at]), self.sizes[at]
+
+
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of an array, one after another."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts - ends + sizes, sizes)]
+
+
+def spread(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches repeated and ordered as `which` says."""
+    starts = np.cumsum(sizes) - sizes
+    return ragged(ids, starts[which], sizes[which]), sizes[which]
+
+
+ALNUM = np.zeros(256, bool)
+ALNUM[[*b"0123456789", *range(65, 91), *range(97, 123)]] = True
+MARK = np.zeros(256, bool)
+MARK[list(MARKS.encode())] = True
+
+
+def piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at texts, at spaces, at and behind line breaks, and at a mark that ends a
+    word."""
+    space, line = data == 32, data == 10
+    cut = np.zeros(len(data) + 1, bool)
+    cut[:-1] = space | line
+    cut[1:] |= line
+    cut[ends] = True
+    mark = np.flatnonzero(MARK[data[1:]] & ALNUM[data[:-1]]) + 1
+    cut[mark[cut[mark + 1]]] = True
+    return np.flatnonzero(cut[:-1])
+
+
+_BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    if base not in _powers or len(_powers[base]) < n:
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        _powers[base] = np.multiply.accumulate(p)
+    return _powers[base][:n]
+
+
+def piece_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each piece and its length: polynomials over its bytes, modulo 2^64."""
+    out = []
+    size = (stops - starts).astype(np.uint64)
+    for base, inverse in _BASES:
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.multiply(data + np.uint64(1), powers(base, len(data)), out=sums[1:])
+        np.cumsum(sums, out=sums)
+        h = (sums[stops] - sums[starts]) * powers(inverse, len(data) + 1)[starts] + size
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out.append(h ^ (h >> np.uint64(29)))
+    return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -115,16 +230,18 @@ def encoder(path: str) -> Encoder:
 def encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> doc_id, part, start_in_part, n_tokens, ids, in the order of the rows."""
     library, part, start = encoder(path), TaskContext.get().partitionId(), 0
-    end = np.array([END_ID], dtype="<u4").tobytes()
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
-        ids = [x + end for x in library.encode([t or "" for t in rows["text"].to_pylist()])]
-        n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        ids, sizes = library.encode([t or "" for t in rows["text"].to_pylist()])
+        n = sizes + 1
         ends = np.concatenate([[0], np.cumsum(n)])
-        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+        values = np.full(ends[-1], END_ID, dtype="<u4")
+        inside = np.ones(len(values), bool)
+        inside[ends[1:] - 1] = False
+        values[inside] = ids
         yield pa.RecordBatch.from_arrays([
             rows["doc_id"].combine_chunks(), pa.array(np.full(len(n), part, dtype=np.int32)),
             pa.array(start + ends[:-1]), pa.array(n),
-            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values),
+            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view("<i4"))),
         ], names=["doc_id", "part", "start_in_part", "n_tokens", "ids"])
         start += int(ends[-1])
 
