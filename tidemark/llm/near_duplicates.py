@@ -365,11 +365,11 @@ def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
 
 
 def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose texts (node, words) are similar, stored."""
+    """The pairs whose texts (node, words) are similar, stored.
+
+    Texts are compared where the second join has put them: each pair moves one text, once."""
     a, b = (texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}")) for c in "ab")
-    # compared in as many tasks as the session shuffles into: pairs are small but slow
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored(pairs.join(a, "a").join(b, "b").repartition(tasks, "a", "b").mapInArrow(
+    return stored(by_key(by_key(pairs).join(by_key(a), "a")).join(by_key(b), "b").mapInArrow(
         lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
 
 
