@@ -41,6 +41,8 @@ TIERS = ((0, 3, 40), (40, 4, 56))
 SIMILARITY = 0.8
 BLOCK, BINS, NEAREST = 256, 256, 1
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+#: words that a round of comparisons may move, in terms of those of all texts
+MOVED = 4
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
@@ -367,10 +369,20 @@ def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
 def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose texts (node, words) are similar, stored.
 
-    Texts are compared where the second join has put them: each pair moves one text, once."""
+    Texts are compared where the second join has put them: each pair moves one text, once. Many pairs of
+    long texts would move far more than there is, so the pairs are taken in rounds of at most about
+    `MOVED` times the words of all texts; a round's shuffle files go with it."""
     a, b = (texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}")) for c in "ab")
-    return stored(by_key(by_key(pairs).join(by_key(a), "a")).join(by_key(b), "b").mapInArrow(
-        lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
+    moved = pairs.join(texts.select(F.col("node").alias("a"), "size"), "a").agg(F.sum("size")).first()[0]
+    held = texts.agg(F.sum("size")).first()[0]
+    rounds = 1 + (moved or 0) // (MOVED * max(1, held or 0))
+    out = None
+    for i in range(rounds):
+        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == i)
+        found = stored(by_key(by_key(some).join(by_key(a), "a")).join(by_key(b), "b").mapInArrow(
+            lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
