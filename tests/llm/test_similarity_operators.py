@@ -5,15 +5,19 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TINY
 from llm.conftest import ODD
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import context_mixing, fixity, near_duplicates, toxicity, wrappers
 from tidemark.llm.common import stored
-from tidemark.llm.queries import held_out, queries
+from tidemark.llm.queries import held_out, queries, tokenizer_path
+from tidemark.llm.sql import ORACLES
 
 
 def edit_distance(a, b):
@@ -416,6 +420,101 @@ def test_pipeline(spark):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
+def plain_chain(docs, items):
+    """The pipeline's five rules without its operators: (doc_id, text, source) to (doc_id, start,
+    n_tokens, ids_crc32)."""
+    con = duckdb.connect()
+
+    def by_sql(name):
+        con.register("documents", pa.table({
+            "doc_id": pa.array([d for d, _, _ in docs], pa.int64()),
+            "text": pa.array([t for _, t, _ in docs], pa.string()),
+            "source": pa.array([s for _, _, s in docs], pa.string())}))
+        cur = con.execute(ORACLES[name])
+        names = [c[0] for c in cur.description]
+        return {r["doc_id"]: r for r in (dict(zip(names, row)) for row in cur.fetchall())}
+
+    good = by_sql("op5_host_rules")
+    docs = [d for d in docs if good[d[0]]["kept"]]
+
+    def words(text):
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+    group = {d: d for d, _, _ in docs}
+
+    def root(d):
+        while group[d] != d:
+            d = group[d]
+        return d
+
+    said = [(d, np.array([zlib.crc32(w.encode()) for w in words(t)], np.uint32)) for d, t, _ in docs]
+    for i, (d, x) in enumerate(said):
+        for e, y in said[:i]:
+            longest = max(len(x), len(y))
+            if len(x) and len(y) and near_duplicates.edits_within(x, y, int(longest * 0.2 + 1e-9)):
+                a, b = sorted((root(d), root(e)))
+                group[b] = a
+    docs = [d for d in docs if root(d[0]) == d[0]]
+
+    windows = set()
+    for item in items:
+        w = words(item)
+        windows |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    sizes = {len(w) for w in windows}
+
+    def cleaned(text):
+        w = words(text)
+        hit = [False] * len(w)
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in windows:
+                    hit[i:i + n] = [True] * n
+        at = [m.span() for m in re.finditer("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
+        out, last, i = "", 0, 0
+        while i < len(w):
+            if hit[i]:
+                end = i
+                while end < len(w) and hit[end]:
+                    end += 1
+                out, last, i = out + text[last:at[i][0]], at[end - 1][1], end
+            else:
+                i += 1
+        return out + (text or "")[last:]
+
+    before = docs
+    docs = [(d, cleaned(t), s) for d, t, s in docs]
+    assert [d[1] for d in docs] != [d[1] for d in before]
+    mix = by_sql("op8_source_schedule")
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    out, start = [], 0
+    for d, text, _ in sorted(docs):
+        times = int(mix[d]["taken"] / mix[d]["size"] + 0.5) if mix[d]["size"] else 0
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        for _ in range(times):
+            out.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
+            start += len(ids)
+    return out
+
+
+def test_pipeline_equals_a_plain_chain(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text", "source")
+    items = [r.text for r in spark.read.parquet(f"{TINY}/benchmark.parquet").collect()]
+    want = plain_chain([tuple(r) for r in docs.collect()], items)
+    got = sorted(map(tuple, corpus_pipeline.run(spark, TINY).collect()), key=lambda r: r[1])
+    assert len(want) > 50 and got == want
+
+
+def test_stages_on_odd_tables(spark, documents):
+    """Null, empty and repeated rows, a null id, clashing columns, and no rows at all."""
+    for docs in (documents(ODD), documents(ODD).limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, TINY)
+            assert out.count() >= 0, name
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns, name
+
+
 def test_a_stage_leaves_the_tables_of_other_queries(spark):
     """Results built before, and read after, stages and whole runs."""
     lazy = {n: q(spark, TINY) for n, q in queries().items() if n != "pipeline"}
