@@ -45,7 +45,9 @@ def test_every_window_has_a_partition(texts):
 SINGLE = {"work_ready", "duplicate_report", "enrichment_coverage", "constraint_report",
           "component_counts", "backfill_range", "backfill_summary", "missing_periods",
           # the share of all rows that makes a key hot
-          "prev_amount", "change_feed_log"}
+          "prev_amount", "change_feed_log", "key_history", "rank_in_category", "product_price_rank",
+          "percentile_linear", "percentile_rank_pick", "latency_summary", "aggregate_runs",
+          "heavy_mix", "scorecard", "mode_stats"}
 
 
 def test_single_task_stages_only_merge_partial_results(texts):

@@ -162,17 +162,26 @@ def raw_vs_final(raw: DataFrame, final: DataFrame, category: str, measure: str)
     return side(raw, "Raw").unionByName(side(final, "FINAL"))
 
 
-def tenant_sales(orders: DataFrame, tenant: Column) -> DataFrame:
-    return orders.groupBy(tenant.alias("tenant_id"), trunc("ts", "day").alias("day")).agg(
-        F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"),
-        F.count_distinct("user_id").alias("unique_users"))
-
-
-def tenant_usage(orders: DataFrame, tenant: Column, bytes_per_row: int = 100) -> DataFrame:
-    return orders.groupBy(tenant.alias("tenant_id")).agg(
-        F.count("*").alias("order_count"), F.sum("total_amount").alias("revenue"),
-        F.count_distinct("user_id").alias("user_count"),
-        (F.count("*") * bytes_per_row).alias("estimated_storage_bytes"))
+def tenant_sales(orders: DataFrame, users: DataFrame, tenant: str) -> DataFrame:
+    """Sales per tenant and day. Orders are summed per user and day first: the lookup meets one row
+    per user and day, and counting distinct users is counting those rows."""
+    per_user = orders.groupBy("user_id", trunc("ts", "day").alias("day")).agg(
+        F.count("*").alias("n"), F.sum("total_amount").alias("s"))
+    named = per_user.join(users.select("user_id", F.col(tenant).alias("tenant_id")), "user_id", "left")
+    return named.groupBy("tenant_id", "day").agg(
+        F.sum("n").alias("orders"), F.sum("s").alias("revenue"),
+        F.count("user_id").alias("unique_users"))
+
+
+def tenant_usage(orders: DataFrame, users: DataFrame, tenant: str, bytes_per_row: int = 100
+                 ) -> DataFrame:
+    per_user = orders.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.sum("total_amount").alias("s"))
+    named = per_user.join(users.select("user_id", F.col(tenant).alias("tenant_id")), "user_id", "left")
+    return named.groupBy("tenant_id").agg(
+        F.sum("n").alias("order_count"), F.sum("s").alias("revenue"),
+        F.count("user_id").alias("user_count"),
+        (F.sum("n") * bytes_per_row).alias("estimated_storage_bytes"))
 
 
 def totals_by(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
@@ -180,16 +189,17 @@ def totals_by(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
         F.count("*").alias("order_count"), F.sum(measure).alias("revenue"))
 
 
-def totals_per_dimension(df: DataFrame, dims: Sequence[str], measure: str) -> DataFrame:
-    """The same totals grouped by each of several columns, as (dimension, key) rows, in one scan.
+def totals_per_dimension(totals: DataFrame, lookup: DataFrame | None, key: str,
+                         dims: Sequence[str]) -> DataFrame:
+    """(dimension, key, order_count, revenue) for each of several columns that depend on ``key``.
 
-    A first aggregate over all dimensions together would not shrink the rows, so each row is laid
-    out once per dimension and combined on the map side.
-    """
+    ``totals`` holds order_count and revenue per key already, so what is looked up and laid out once per
+    dimension are totals, not rows."""
+    named = totals if lookup is None else totals.join(lookup, key, "left")
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("key"))
                       for d in dims])
-    return (df.select(F.inline(pairs), measure).groupBy("dimension", "key")
-            .agg(F.count("*").alias("order_count"), F.sum(measure).alias("revenue")))
+    return (named.select(F.inline(pairs), "order_count", "revenue").groupBy("dimension", "key")
+            .agg(F.sum("order_count").alias("order_count"), F.sum("revenue").alias("revenue")))
 
 
 def top(df: DataFrame, k: int, *order: Column | str) -> DataFrame:

@@ -69,6 +69,16 @@ def label_partitions(df: DataFrame, partitions: Sequence[Partition],
     return df.withColumns({"partition": name, "storage": storage})
 
 
+def label_years(df: DataFrame, prefix: str, hot_from: int, time: str = "time") -> DataFrame:
+    """Partition and storage where every year has a partition, from the row's own time.
+
+    Needs no list of years, so no job runs before the query; a row without a time is in DEFAULT."""
+    year = F.year(time)
+    return df.withColumns({
+        "partition": F.coalesce(F.concat(F.lit(f"{prefix}_"), year.cast("string")), F.lit(DEFAULT)),
+        "storage": F.when(year.isNull(), DEFAULT).when(year >= hot_from, "local").otherwise("archive")})
+
+
 def archive_health(union: DataFrame, time: str = "time") -> DataFrame:
     return union.groupBy("partition", "storage").agg(
         F.count("*").alias("row_count"), F.min(time).alias("earliest"),
@@ -81,29 +91,39 @@ def route_by_time(df: DataFrame, path: str, time: str = "time") -> None:
     with_year.write.partitionBy("year").mode("append").parquet(path)
 
 
-def content_check(df: DataFrame, columns: Sequence[str]) -> tuple[int, int]:
-    """Row count and an order-independent checksum of the rows, NULLs included."""
-    seen = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
-    row = df.agg(F.count("*").alias("n"),
-                 F.coalesce(F.sum(F.xxhash64(*seen).cast("decimal(38,0)")), F.lit(0))
-                 .alias("c")).first()
-    return row["n"], int(row["c"])
+def migrate_partitions(spark: SparkSession, hot: str, cold: str, years: Column) -> DataFrame:
+    """Copy all years that the condition on ``year`` names to the archive and compare; gives year and
+    row_count of what was moved.
 
+    One job copies every year and one compares them, grouped by year, however many there are. The hot
+    copies are not deleted here: the caller takes them out of its registry and retires them. A second
+    run replaces the copies, so a failed run can be repeated.
+    """
+    source = spark.read.parquet(hot).filter(years)
+    (source.hint("rebalance", "year").write.partitionBy("year").mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(cold))
+    copied = spark.read.schema(source.schema).parquet(cold).filter(years)
+
+    def contents(df, name):
+        seen = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+        return df.groupBy("year").agg(F.struct(
+            F.count("*").alias("n"), F.sum(F.xxhash64(*seen).cast("decimal(38,0)")).alias("c")
+        ).alias(name))
+
+    both = contents(source, "before").join(contents(copied, "after"), "year", "full_outer")
+    # one row per year
+    compared = both.select("year", "before.n", F.col("before").eqNullSafe(F.col("after")).alias("same")
+                           ).collect()
+    differ = sorted(r["year"] for r in compared if not r["same"])
+    if differ:
+        raise RuntimeError(f"copies of {differ} differ")
+    return spark.createDataFrame([(r["year"], r["n"]) for r in compared], "year int, row_count long")
 
-def migrate_partition(spark: SparkSession, hot: str, cold: str, year: int) -> int:
-    """Copy a year to the archive and compare; returns the rows moved.
 
-    The hot copy is not deleted here: the caller takes it out of its registry and retires it. A
-    second run replaces the copy, so a failed run can be repeated.
-    """
-    source = spark.read.parquet(f"{hot}/year={year}")
-    target = f"{cold}/year={year}"
-    source.write.mode("overwrite").parquet(target)
-    before = content_check(source, source.columns)
-    after = content_check(spark.read.parquet(target), source.columns)
-    if before != after:
-        raise RuntimeError(f"copy of {year} differs: {before} and {after}")
-    return after[0]
+def migrate_partition(spark: SparkSession, hot: str, cold: str, year: int) -> int:
+    """Copy one year; returns the rows moved."""
+    moved = migrate_partitions(spark, hot, cold, F.col("year") == year).first()
+    return moved["row_count"] if moved else 0
 
 
 def retire_partition(partitions: Sequence[Partition], name: str) -> list[Partition]:

@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.means import mean_of_doubles
-from ..functions.quantiles import at_position, cumulative_counts, rank_pick
-
-#: histogram cell of latencies in seconds
-LATENCY_CELL = 1.0
+from ..functions.quantiles import MEDIAN, at_position, picked, ranked
 
 
 def _median(value: str) -> Column:
@@ -26,7 +23,7 @@ def span_seconds(ts: str = "ts") -> Column:
     return F.timestamp_diff("SECOND", F.min(ts), F.max(ts)).cast("double")
 
 
-def latency_summary(results: DataFrame, keys: Sequence[str], cell: float = LATENCY_CELL,
+def latency_summary(results: DataFrame, keys: Sequence[str],
                     wall: Column | None = None) -> DataFrame:
     """Mean, percentiles by rank, extremes, deviation and MB/s of the successful operations.
 
@@ -46,10 +43,10 @@ def latency_summary(results: DataFrame, keys: Sequence[str], cell: float = LATEN
         F.max(good("time_sec")).alias("latency_max"),
         F.round(F.coalesce(F.stddev_samp(good("time_sec")),
                            F.when(F.count_if(ok) == 1, F.lit(0.0))), 4).alias("latency_stdev"))
-    ranks = (cumulative_counts(results.filter(ok), keys, "time_sec", cell).groupBy(*keys).agg(
-        F.round(_median("time_sec"), 4).alias("latency_p50"),
-        rank_pick("time_sec", 0.95).alias("latency_p95"),
-        rank_pick("time_sec", 0.99, clamp=True).alias("latency_p99")))
+    ranks = picked(results.filter(ok), keys, "time_sec", {
+        "latency_p50": MEDIAN, "latency_p95": ranked(0.95),
+        "latency_p99": ranked(0.99, clamp=True)}).drop("total").withColumn(
+        "latency_p50", F.round("latency_p50", 4))
     rate = F.when(F.col("wall_time_sec") > 0, F.col("total_data_mb") / F.col("wall_time_sec"))
     return base.join(ranks, keys, "left").withColumn(
         "throughput_mbps", F.round(F.coalesce(rate, F.lit(0.0)), 4))
@@ -69,7 +66,7 @@ def aggregate_runs(runs: DataFrame, keys: Sequence[str], metrics: Sequence[str])
         F.round(F.coalesce(F.stddev_samp("value"), F.lit(0.0)), 4).alias("stdev"))
 
 
-def heavy_mix(results: DataFrame, keys: Sequence[str], cell: float = LATENCY_CELL) -> DataFrame:
+def heavy_mix(results: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Concurrent reads and writes of a run: counts, success rates, p50 and p99 per kind."""
     keys = list(keys)
     ok, w = F.col("success"), F.col("op") == "write"
@@ -82,9 +79,8 @@ def heavy_mix(results: DataFrame, keys: Sequence[str], cell: float = LATENCY_CEL
         F.count_if(w).alias("num_writes"), F.count_if(~w).alias("num_reads"),
         F.coalesce(F.sum(F.when(ok, F.col("size_mb"))), F.lit(0)).alias("total_data_mb"),
         rate(w).alias("write_success_rate"), rate(~w).alias("read_success_rate"))
-    per_op = cumulative_counts(results.filter(ok), [*keys, "op"], "time_sec", cell).groupBy(
-        *keys, "op").agg(_median("time_sec").alias("p50"),
-                         rank_pick("time_sec", 0.99, clamp=True).alias("p99"))
+    per_op = picked(results.filter(ok), [*keys, "op"], "time_sec",
+                    {"p50": MEDIAN, "p99": ranked(0.99, clamp=True)})
 
     def pick(op, c):
         return F.round(F.coalesce(F.max(F.when(F.col("op") == op, F.col(c))), F.lit(0.0)), 4)
@@ -159,6 +155,6 @@ def mode_stats(runs: DataFrame) -> DataFrame:
         F.min("p95").alias("p95_min"), F.max("p95").alias("p95_max"),
         F.min("p99").alias("p99_min"), F.max("p99").alias("p99_max"),
         *[mean_of_doubles(m).alias(f"{m}_mean") for m in ("p95", "p99", "min", "max", "wall", "qps")])
-    medians = cumulative_counts(runs, ["mode", "driver"], "avg", LATENCY_CELL).groupBy(
-        "mode", "driver").agg(F.round(_median("avg"), 4).alias("avg_median"))
+    medians = picked(runs, ["mode", "driver"], "avg", {"avg_median": MEDIAN}).select(
+        "mode", "driver", F.round("avg_median", 4).alias("avg_median"))
     return base.join(medians, ["mode", "driver"], "left")

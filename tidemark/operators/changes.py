@@ -91,7 +91,7 @@ def feed_stats(feed: DataFrame) -> DataFrame:
 
 
 def feed_from_log(log: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                  cell: Column, known: str | None = None,
+                  cell: Column | None = None, known: str | None = None,
                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Change feed of a whole log: an Insert per key, then old and new row at every change.
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import paths
+
 
 def pending(df: DataFrame, ledger: DataFrame | None = None, key: str = "id") -> DataFrame:
     """Unprocessed rows that are in no earlier claim."""
@@ -53,3 +59,43 @@ def double_processing(ledger: DataFrame, key: str = "id", run: str = "run") -> D
     return (ledger.groupBy(key).agg(F.count_distinct(run).alias("runs"),
                                     F.count("*").alias("entries"))
             .filter(F.col("runs") > 1))
+
+
+class ClaimLog:
+    """Claims of several claimers who share nothing but a folder.
+
+    A claim is written under a name of its own and becomes claim number n by creating the file ``n`` of
+    the log, which the file system lets only one claimer do. Whoever is second reads the winner's claim,
+    picks again from what is left and tries the next number; so claims never share an id.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "id"):
+        self.spark, self.path, self.key = spark, path, key
+
+    def _log(self) -> list[int]:
+        return sorted(int(n) for n in paths.names(self.spark, f"{self.path}/_log") if n.isdigit())
+
+    def read(self, upto: int | None = None) -> DataFrame | None:
+        """Rows of all claims (up to a number); None while there is none."""
+        numbers = [n for n in self._log() if upto is None or n <= upto]
+        if not numbers:
+            return None
+        return self.spark.read.parquet(*[
+            f"{self.path}/{json.loads(paths.read_text(self.spark, f'{self.path}/_log/{n}'))['claim']}"
+            for n in numbers])
+
+    def claim(self, waiting: DataFrame, pick: Callable[[DataFrame], DataFrame],
+              seen: int | None = None) -> tuple[int, DataFrame]:
+        """Claim what ``pick`` takes of the rows that no claim has; gives the claim's number and rows.
+
+        ``seen`` is the number of the last claim that the claimer knows of (by default it looks)."""
+        last = max(self._log(), default=0) if seen is None else seen
+        while True:
+            name = f"claim-{uuid.uuid4().hex}"
+            pick(pending(waiting, self.read(last) if last else None, self.key)).write.parquet(
+                f"{self.path}/{name}")
+            if paths.create_once(self.spark, f"{self.path}/_log/{last + 1}",
+                                 json.dumps({"claim": name})):
+                return last + 1, self.spark.read.parquet(f"{self.path}/{name}")
+            paths.delete(self.spark, f"{self.path}/{name}")
+            last += 1

@@ -7,29 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.segments import running_total
+from ..functions.quantiles import value_counts
+from ..functions.segments import _CELL, HOT_ROWS, cut, running_total
 
 
-def rank_in_group(df: DataFrame, group: str, value: str, width: float = 1.0,
-                  out: str = "rank_in_category") -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, value: str, width: float | None = None,
+                  out: str = "rank_in_category", hot_rows: int = HOT_ROWS) -> DataFrame:
     """RANK() by value descending inside a group; a row without a value has no rank.
 
     Rows are counted per group and value first, so equal values are one row whatever their number.
-    Those rows are ranked in bands of ``width``: a band starts from the counts of the bands above it
-    and a window runs over the values inside it. The rows look their rank up by one join.
+    Groups with very many values are cut into bands of about equally many values (or of ``width``): a
+    band starts from the counts of the bands above it and a window runs over the values inside it. The
+    rows look their rank up by one join.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(
-        F.count("*").alias("_n")).withColumn("_band", F.floor(-F.col(value) / F.lit(width)))
-    above = Window.partitionBy(group).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = counts.groupBy(group, "_band").agg(F.sum("_n").alias("_n")).select(
+    counts = value_counts(df, [group], value).withColumnRenamed("n", "_n")
+    if width is None:
+        counts = cut(counts, [group], [value], hot_rows).withColumnRenamed(_CELL, "_band")
+    else:
+        counts = counts.withColumn("_band", F.floor(F.col(value) / F.lit(width)))
+    above = Window.partitionBy(group).orderBy(F.desc("_band")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    cut_ones = counts.filter(F.col("_band").isNotNull())
+    bands = cut_ones.groupBy(group, "_band").agg(F.sum("_n").alias("_n")).select(
         F.col(group).alias("_in"), F.col("_band").alias("_at"),
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
     before = Window.partitionBy(group, "_band").orderBy(F.desc(value)).rowsBetween(
         Window.unboundedPreceding, -1)
     ranks = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(
-        bands, F.col(group).eqNullSafe(F.col("_in")) & (F.col("_band") == F.col("_at"))).select(
+        bands, F.col(group).eqNullSafe(F.col("_in")) & (F.col("_band") == F.col("_at")),
+        "left").select(
         F.col(group).alias("_of"), F.col(value).alias("_value"),
-        (F.col("_above") + F.col("_before") + 1).alias(out))
+        (F.coalesce("_above", F.lit(0)) + F.col("_before") + 1).alias(out))
     return df.join(ranks, F.col(group).eqNullSafe(F.col("_of")) & (
         F.col(value) == F.col("_value")), "left").select(*df.columns, out)
 
@@ -41,8 +49,8 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def key_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column,
-                repeated_only: bool = True) -> DataFrame:
+def key_history(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                cell: Column | None = None, repeated_only: bool = True) -> DataFrame:
     """Stored versions in arrival order with a version number; by default of keys with several."""
     numbered = running_total(df, list(keys), list(order), cell, F.lit(1).cast("long"),
                              "version", "versions")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.means import mean, ratio
-from ..functions.segments import lag_in_key, time_cell
+from ..functions.segments import lag_in_key
 from .aggregates import trunc
 
 
@@ -40,6 +40,15 @@ def revenue_tumble(orders: DataFrame, items: DataFrame, size: str, amount: str =
         F.sum("revenue").alias("revenue"), F.sum("order_count").alias("order_count"))
 
 
+def priced_totals(orders: DataFrame, items: DataFrame, size: str) -> DataFrame:
+    """item_id, window_start, window_end, category, order_count, revenue, at list prices.
+
+    A price belongs to the item, so quantities are summed per item and window before the lookup."""
+    sums = tumble(orders, size, ["item_id"], {"qty": F.sum("qty"), "order_count": F.count("*")})
+    return sums.join(items.select("item_id", "category", "price"), "item_id", "left").withColumn(
+        "revenue", F.col("qty").cast("decimal(18,0)") * F.col("price"))
+
+
 def trade_windows(trades: DataFrame, size: str) -> DataFrame:
     return tumble(trades, size, ["symbol"], {
         "trade_count": F.count("*"), "total_volume": F.sum("volume"),
@@ -139,7 +148,6 @@ def user_sessions(events: DataFrame, gap_seconds: int, keys: Sequence[str] = ("u
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                   cell: Column | None = None, ts: str = "ts") -> DataFrame:
-    """Value of the key's previous row in time order; hot keys are cut into ``cell`` (days)."""
-    cell = time_cell(ts) if cell is None else cell
+                   cell: Column | None = None) -> DataFrame:
+    """Value of the key's previous row in order; hot keys are cut where the data says."""
     return lag_in_key(df, list(keys), list(order), cell, value, out)

@@ -124,8 +124,7 @@ LOG_LAG = """SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, e
 @plan("change_feed_log", with_views("ev", LOG_FEED, l=LOG_LAG))
 def change_feed_log(t: Tables):
     log = t.events().select("user_id", "ts", "event_id", "event_type")
-    return changes.feed_from_log(log, ["user_id"], ["ts", "event_id"], "event_type",
-                                 agg.trunc("ts", "day"))
+    return changes.feed_from_log(log, ["user_id"], ["ts", "event_id"], "event_type")
 
 
 # ---- versions ------------------------------------------------------------------------------------
@@ -226,15 +225,12 @@ def registry(t: Tables) -> list[archive.Partition]:
 
 
 def hot_and_cold(t: Tables) -> DataFrame:
-    """The archive as two stores, each read once and pruned to its own range, and the rest."""
-    parts = registry(t)
-    first, past = parts[0].start, parts[-1].end
-    edge = min(max(first, f"{HOT_FROM}-01-01"), past)
-    stores = [archive.Partition("cold", first, edge, "archive"),
-              archive.Partition("hot", edge, past, "local")]
-    both = archive.archive_union({s: t.emp() for s in stores})
-    labelled = archive.label_partitions(both.drop("partition", "storage"), parts)
-    return labelled.unionByName(archive.rest_of(t.emp(), stores))
+    """The archive as two stores, each read once and pruned to its own range; rows without a time are
+    found in the cold one."""
+    edge = F.lit(f"{HOT_FROM}-01-01").cast("timestamp_ntz")
+    cold = t.emp().filter((F.col("time") < edge) | F.col("time").isNull())
+    hot = t.emp().filter(F.col("time") >= edge)
+    return archive.label_years(cold.unionByName(hot), "emp", HOT_FROM)
 
 
 @plan("archive_union", with_views("emp", f"""
@@ -258,7 +254,7 @@ def archive_range_stats(t: Tables):
     SELECT {PART_SQL}, COUNT(*) AS row_count, MIN(time) AS earliest, MAX(time) AS latest
     FROM emp GROUP BY 1, 2"""))
 def archive_health(t: Tables):
-    return archive.archive_health(archive.label_partitions(t.emp(), registry(t)))
+    return archive.archive_health(archive.label_years(t.emp(), "emp", HOT_FROM))
 
 
 @plan("partition_gaps", with_views("emp", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import means
 from ..operators import aggregates as agg
 from ..operators import anomaly, clean, windows
 from ..sources.tables import Tables
@@ -218,3 +219,24 @@ def flatten_event(t: Tables):
     return clean.flatten_event(
         nested, "body", "user_id bigint, event_type string, location struct<lat: double, k: int>, "
         "product_id int, search_query string")
+
+
+def event_windows(size: str, unit: str):
+    """Events per type in windows of one size: count, sum, mean and extremes."""
+    sql = with_views("ev", f"""
+        SELECT event_type, time_bucket(INTERVAL {size}, ts, TIMESTAMP '1970-01-01') AS window_start,
+               time_bucket(INTERVAL {size}, ts, TIMESTAMP '1970-01-01') + INTERVAL {size} AS window_end,
+               COUNT(*) AS event_count, {dbl('SUM(value)')} AS total_value,
+               {avg4('value')} AS avg_value, {dbl('MIN(value)')} AS min_value,
+               {dbl('MAX(value)')} AS max_value FROM ev GROUP BY 1, 2, 3""")
+
+    @plan(f"event_windows_{unit}", sql)
+    def query(t: Tables):
+        return windows.tumble(t.events(), size, ["event_type"], {
+            "event_count": F.count("*"), "total_value": F.sum("value"),
+            "avg_value": means.mean("value"), "min_value": F.min("value"),
+            "max_value": F.max("value")})
+
+
+for _size, _unit in (("1 minute", "1m"), ("5 minutes", "5m"), ("1 hour", "1h")):
+    event_windows(_size, _unit)

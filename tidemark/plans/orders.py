@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import means
-from ..functions.segments import time_cell
 from ..operators import aggregates as agg
 from ..operators import anomaly, clean, enrich, ranking, windows
 from ..sources import files
@@ -149,7 +148,7 @@ def decode_kind(t: Tables):
            {dbl('o.price')} AS price, {dbl('o.amount')} AS amount, o.ts
     FROM orders_raw o LEFT JOIN items i USING (item_id)"""))
 def orders_enriched(t: Tables):
-    return enrich.enrich_items(t.orders_raw(), t.items()).select(
+    return enrich.enrich_items(t.orders_raw(price=False), t.priced_items()).select(
         "order_id", "line", "user_id", "item_id", "item_name", "category", "qty", "price",
         "amount", "ts")
 
@@ -159,7 +158,7 @@ def orders_enriched(t: Tables):
            {dbl('o.price')} AS price, {dbl(TOTAL)} AS total_amount
     FROM orders_clean o LEFT JOIN items i USING (item_id) LEFT JOIN users u USING (user_id)"""))
 def orders_fully_enriched(t: Tables):
-    return enrich.enrich_fully(t.orders_clean(), t.items(), t.users()).select(
+    return enrich.enrich_fully(t.orders_clean(price=False), t.priced_items(), t.users()).select(
         "order_id", "user_name", "user_tier", "item_name", "category", "qty", "price",
         "total_amount")
 
@@ -224,8 +223,10 @@ def return_rate(t: Tables):
          SUM(qty * price) AS revenue, COUNT(*) AS order_count FROM orders_raw
          GROUP BY item_id, window_start, ts"""))
 def self_join_windows(t: Tables):
-    lines = clean.with_total(t.orders_raw(user=False))
-    return windows.revenue_tumble(lines, t.items(), "7 days", "total_amount", unknown="")
+    totals = windows.priced_totals(t.line_items(), t.priced_items(), "7 days")
+    return totals.groupBy(F.coalesce("category", F.lit("")).alias("category"), "window_start",
+                          "window_end").agg(F.sum("revenue").alias("revenue"),
+                                            F.sum("order_count").alias("order_count"))
 
 
 @plan("risk_category_join", with_views("trades", f"""
@@ -463,8 +464,7 @@ def raw_vs_final(t: Tables):
            {dbl(f'SUM({TOTAL})')} AS revenue, COUNT(DISTINCT user_id) AS unique_users
     FROM orders_raw LEFT JOIN users USING (user_id) GROUP BY 1, 2"""))
 def tenant_sales(t: Tables):
-    lines = clean.with_total(t.orders_raw()).join(t.users(), "user_id", "left")
-    return agg.tenant_sales(lines, F.col("user_tier"))
+    return agg.tenant_sales(clean.with_total(t.orders_raw()), t.users(), "user_tier")
 
 
 @plan("tenant_usage", with_views("orders_raw users", f"""
@@ -472,8 +472,7 @@ def tenant_sales(t: Tables):
            COUNT(DISTINCT user_id) AS user_count, COUNT(*) * 100 AS estimated_storage_bytes
     FROM orders_raw LEFT JOIN users USING (user_id) GROUP BY 1"""))
 def tenant_usage(t: Tables):
-    lines = clean.with_total(t.orders_raw()).join(t.users(), "user_id", "left")
-    return agg.tenant_usage(lines, F.col("user_tier"))
+    return agg.tenant_usage(clean.with_total(t.orders_raw()), t.users(), "user_tier")
 
 
 @plan("item_revenue", with_views("line_items", f"""
@@ -490,9 +489,10 @@ def item_revenue(t: Tables):
     j="""SELECT * FROM orders_raw LEFT JOIN items USING (item_id)
          LEFT JOIN users USING (user_id)"""))
 def dimension_totals(t: Tables):
-    lines = (t.orders_raw(price=False).join(t.items(), "item_id", "left")
-             .join(t.users(), "user_id", "left"))
-    return agg.totals_per_dimension(lines, ["user_id", "category", "user_tier"], "amount")
+    per_user = agg.totals_by(t.orders_raw(price=False), ["user_id"], "amount")
+    per_item = agg.totals_by(t.line_items(), ["item_id"], "amount")
+    return agg.totals_per_dimension(per_user, t.users(), "user_id", ["user_id", "user_tier"]).unionByName(
+        agg.totals_per_dimension(per_item, t.items(), "item_id", ["category"]))
 
 
 # ---- windows over rows ---------------------------------------------------------------------------
@@ -503,7 +503,7 @@ def dimension_totals(t: Tables):
     FROM line_items LEFT JOIN items USING (item_id)"""))
 def rank_in_category(t: Tables):
     lines = t.line_items().join(t.items(), "item_id", "left")
-    ranked = ranking.rank_in_group(lines, "category", "amount", width=10.0)
+    ranked = ranking.rank_in_group(lines, "category", "amount")
     return ranked.select("order_id", "line", "item_id", "category", "amount", "rank_in_category")
 
 
@@ -526,7 +526,7 @@ PREV_ORDER = "ts, order_id, line, item_id, qty, amount, discount_pct"
 def prev_amount(t: Tables):
     lines = t.orders_raw(price=False)
     out = windows.previous_value(lines, ["user_id"], PREV_ORDER.split(", "), "amount",
-                                 "prev_amount", time_cell("ts", "day", F.floor(F.col("order_id") / 100_000)))
+                                 "prev_amount")
     return out.select("user_id", "order_id", "line", "item_id", "ts", "amount", "prev_amount")
 
 
@@ -549,8 +549,7 @@ def group_top_n(t: Tables):
                COUNT(*) OVER (PARTITION BY order_id, line) AS versions FROM line_items)
     WHERE versions > 1"""))
 def key_history(t: Tables):
-    cell = time_cell("ts", "day", F.floor(F.col("item_id") / 10_000))
-    numbered = ranking.key_history(t.line_items(), ["order_id", "line"], LINE_VERSION, cell)
+    numbered = ranking.key_history(t.line_items(), ["order_id", "line"], LINE_VERSION)
     return numbered.select("order_id", "line", "ts", "item_id", "qty", "amount", "version",
                            "versions")
 
@@ -623,10 +622,12 @@ def revenue_tumble(t: Tables):
            COUNT(*) AS orders, {dbl(f'SUM({TOTAL})')} AS revenue, {avg4(TOTAL)} AS avg_order_value
     FROM orders_raw LEFT JOIN items USING (item_id) GROUP BY 1, 2"""))
 def category_hourly(t: Tables):
-    joined = clean.with_total(t.orders_raw(user=False)).join(t.items(), "item_id", "left")
-    return windows.tumble(joined, "7 days", ["category"], {
-        "orders": F.count("*"), "revenue": F.sum("total_amount"),
-        "avg_order_value": means.mean("total_amount")}).drop("window_end")
+    totals = windows.priced_totals(t.line_items(), t.priced_items(), "7 days")
+    # an unknown item has no price, and its orders do not count in the mean
+    priced = F.sum(F.when(F.col("price").isNotNull(), F.col("order_count")))
+    return totals.groupBy("category", "window_start").agg(
+        F.sum("order_count").alias("orders"), F.sum("revenue").alias("revenue"),
+        means.ratio(F.sum("revenue"), priced).alias("avg_order_value"))
 
 
 @plan("trades_5min", with_views("trades", f"""

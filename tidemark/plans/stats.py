@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.means import mean
-from ..functions.quantiles import cumulative_counts, linear, rank_pick
+from ..functions.quantiles import interpolated, picked, ranked
 from ..operators import benchstats as bench
+from ..session import shared_dir
 from ..sources import files
 from ..sources.tables import Tables
 from .registry import plan
-from .sqltext import avg4, with_views
+from .sqltext import avg4, dbl, with_views
 
 RUN = ["target", "mode", "run_id"]
 
@@ -21,10 +22,10 @@ RUN = ["target", "mode", "run_id"]
            ROUND(quantile_cont(value, 0.95), 4) AS p95, ROUND(quantile_cont(value, 0.99), 4) AS p99
     FROM events GROUP BY 1""")
 def percentile_linear(t: Tables):
-    counts = cumulative_counts(t.raw("events"), ["event_type"], "value", bench.LATENCY_CELL)
-    return counts.groupBy("event_type").agg(
-        F.max("total").alias("n"), *[F.round(linear("value", p), 4).alias(n)
-                                     for n, p in (("p50", .5), ("p95", .95), ("p99", .99))])
+    got = picked(t.raw("events"), ["event_type"], "value", {
+        n: interpolated(p) for n, p in (("p50", .5), ("p95", .95), ("p99", .99))})
+    return got.select("event_type", F.col("total").alias("n"),
+                      *[F.round(c, 4).alias(c) for c in ("p50", "p95", "p99")])
 
 
 PICK = """max(CASE WHEN rn = CASE WHEN n > 1 THEN {pos} + 1 ELSE 1 END THEN {v} END)"""
@@ -38,10 +39,9 @@ P99 = "least(CAST(floor(n * 0.99) AS BIGINT), n - 1)"
     FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value) AS rn,
           COUNT(*) OVER (PARTITION BY user_id) AS n FROM events) GROUP BY 1""")
 def percentile_rank_pick(t: Tables):
-    counts = cumulative_counts(t.raw("events"), ["user_id"], "value", bench.LATENCY_CELL)
-    return counts.groupBy("user_id").agg(
-        F.max("total").alias("n"), rank_pick("value", 0.95).alias("p95"),
-        rank_pick("value", 0.99, clamp=True).alias("p99"))
+    got = picked(t.raw("events"), ["user_id"], "value", {
+        "p95": ranked(0.95), "p99": ranked(0.99, clamp=True)})
+    return got.select("user_id", F.col("total").alias("n"), "p95", "p99")
 
 
 WALL = """SELECT target, mode, run_id, CAST(date_sub('second', min(ts), max(ts)) AS DOUBLE)
@@ -130,6 +130,13 @@ def scorecard(t: Tables):
 # ---- logs ----------------------------------------------------------------------------------------
 # One log per day, one block per event type ("driver"), as a test run would have written it.
 
+def from_text(t: Tables, lines: DataFrame, name: str) -> DataFrame:
+    """The lines as they come back from text files that were written from them."""
+    path = shared_dir(t.spark, name)
+    files.write_logs(lines, path)
+    return files.read_logs(t.spark, path)
+
+
 def day_stats(t: Tables) -> DataFrame:
     by = t.events().groupBy(F.date_format("ts", "yyyy-MM-dd").alias("file"),
                             F.col("event_type").alias("driver"))
@@ -176,7 +183,7 @@ SUITE = """SELECT file, mode, driver, wall, CAST(queries AS DOUBLE) AS queries,
 
 @plan("parse_suite_logs", with_views("ev", SUITE, d=DAY_STATS))
 def parse_suite_logs(t: Tables):
-    return files.parse_suite_logs(suite_log_lines(t))
+    return files.parse_suite_logs(from_text(t, suite_log_lines(t), "suite-logs"))
 
 
 @plan("mode_stats", with_views("ev", f"""
@@ -224,7 +231,7 @@ FETCH = """SELECT strftime(ts, '%Y-%m-%d') AS file, event_type AS driver,
 
 @plan("parse_fetch_logs", with_views("ev", FETCH))
 def parse_fetch_logs(t: Tables):
-    return files.parse_fetch_logs(fetch_log_lines(t))
+    return files.parse_fetch_logs(from_text(t, fetch_log_lines(t), "fetch-logs"))
 
 
 @plan("fetch_rates", with_views("ev", f"""
@@ -237,3 +244,27 @@ def parse_fetch_logs(t: Tables):
           {avg4('secs', where="driver = 'view'")} AS b4 FROM f GROUP BY 1)""", f=FETCH))
 def fetch_rates(t: Tables):
     return bench.fetch_rates(parse_fetch_logs(t), "click", "view")
+
+
+@plan("market_sheets", with_views("ev", f"""
+    SELECT event_type AS symbol, user_id AS trades, {dbl('SUM(value)')} AS close,
+           strftime(ts, '%Y-%m-%d') AS en_date FROM ev GROUP BY 1, 2, 4"""))
+def market_sheets(t: Tables):
+    """Daily sheets with two lines of preamble and a header, written as text and read by the header's
+    names; odd days have other columns in another order."""
+    path = shared_dir(t.spark, "sheets")
+    rows = t.events().groupBy("event_type", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")
+                              ).agg(F.sum("value").alias("s"))
+    odd = F.substring("day", 10, 1).cast("int") % 2 == 1
+    text = F.when(odd, F.concat_ws(",", "user_id", F.lit("x"), "s", "event_type")).otherwise(
+        F.concat_ws(",", "event_type", "s", "user_id"))
+    lines = rows.select("day", F.lit(3).alias("no"), text.alias("line")).unionByName(
+        rows.select("day").distinct().select("day", F.posexplode(F.array(
+            F.lit("Market watch"), F.col("day"), F.when(odd, "trades,note,close,symbol").otherwise(
+                "symbol,close,trades"))).alias("no", "line")))
+    dated = lines.withColumn("file", F.concat(F.lit("sheet_"), F.col("day"), F.lit(".csv")))
+    (dated.repartition("file").sortWithinPartitions("file", "no").select("file", "line")
+     .write.partitionBy("file").text(path))
+    named = files.read_market_days(t.spark, path, "symbol string, trades long, close decimal(18,2)",
+                                   pattern="*.txt")
+    return named

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import archive, versions
+from ..operators import aggregates as agg
+from ..operators import archive, claims, snapshots, versions
 from ..session import shared_dir
-from ..sources.streams import table_stream
+from ..sources.streams import replay, table_stream
 from ..sources.tables import Tables
 from ..streaming import pipelines as p
 from ..streaming import sinks, state
@@ -91,11 +92,11 @@ def migrate_partition(t: Tables):
     """Years before 1997 are copied to the archive; readers then take them from there."""
     base = shared_dir(t.spark, "migrate")
     archive.route_by_time(t.emp().select("id", "time", "department", "salary"), f"{base}/hot")
-    years = [y for y in archive.years_of(t.emp()) if y < 1997]
-    for year in years:
-        archive.migrate_partition(t.spark, f"{base}/hot", f"{base}/cold", year)
-    hot = t.spark.read.parquet(f"{base}/hot").filter(~F.col("year").isin(years)).drop("year")
-    cold = t.spark.read.option("basePath", f"{base}/cold").parquet(f"{base}/cold").drop("year")
+    old = F.col("year") < 1997
+    archive.migrate_partitions(t.spark, f"{base}/hot", f"{base}/cold", old)
+    hot = t.spark.read.parquet(f"{base}/hot")
+    cold = t.spark.read.schema(hot.schema).parquet(f"{base}/cold").drop("year")
+    hot = hot.filter(~F.coalesce(old, F.lit(False))).drop("year")
     return hot.withColumn("store", F.lit("hot")).unionByName(
         cold.withColumn("store", F.lit("cold")))
 
@@ -103,17 +104,11 @@ def migrate_partition(t: Tables):
 @plan("upsert_table", with_views("state", f"""
     SELECT user_id, ts, event_id, event_type, {dbl('value')} AS value FROM state"""))
 def upsert_table(t: Tables):
-    """Changes of ten days at a time, compacted after every second batch."""
-    table = sinks.UpsertTable(t.spark, shared_dir(t.spark, "upsert"), ["user_id"],
-                              ["ts", "event_id"])
+    """The change log in eight triggers: runs are merged at the fourth and the eighth."""
+    base = shared_dir(t.spark, "upsert")
+    table = sinks.UpsertTable(t.spark, f"{base}/table", ["user_id"], ["ts", "event_id"])
     log = t.change_log().select("user_id", "ts", "event_id", "event_type", "value", "op")
-    first = log.agg(F.min("ts")).first()[0]
-    number = F.floor(F.datediff("ts", F.lit(first)) / 10)
-    last = log.agg(F.max(number)).first()[0]
-    for batch in range(last + 1):
-        table.write(log.filter(number == batch), batch)
-        if batch % 2:
-            table.compact()
+    sinks.run(replay(log, f"{base}/in", "ts", 8), f"{base}/checkpoint", each=table.write)
     return table.read().select("user_id", "ts", "event_id", "event_type", "value")
 
 
@@ -144,7 +139,8 @@ def exactly_once(t: Tables):
     work(ids.filter("processed"), 0)
     work(ids, 1)
     work(ids, 1)
-    return t.spark.read.parquet(ledger).groupBy("id").agg(F.count("*").alias("times"))
+    return sinks.key_ledger(t.spark, ledger, ["id"]).read().groupBy("id").agg(
+        F.count("*").alias("times"))
 
 
 @plan("dynamic_dim", with_views("ev", f"""
@@ -166,16 +162,17 @@ def dynamic_dim(t: Tables):
     return t.spark.read.parquet(f"{base}/out").select("event_id", "user_id", "tier")
 
 
-@plan("dedup_first", with_views("ev", """
-    SELECT user_id, event_type, COUNT(*) > 0 AS seen FROM ev GROUP BY 1, 2"""))
+@plan("dedup_first", with_views("ev", f"""
+    SELECT user_id, event_type, event_id, ts, {dbl('value')} AS value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+        FROM ev) WHERE rn = 1"""))
 def dedup_first(t: Tables):
-    """First-seen rows per user and type over a stream; the watermark spans the whole table."""
-    stream = p.with_event_time(table_stream(t.spark, t.path, "events"), "3650 days")
+    """The first row per user and type over a stream in four triggers, however far apart they are."""
     base = shared_dir(t.spark, "first-seen")
-    sinks.run(p.dedup_first(stream, ["user_id", "event_type"]), f"{base}/checkpoint",
-              each=sinks.append_batches(f"{base}/out"))
-    return t.spark.read.parquet(f"{base}/out").select(
-        "user_id", "event_type", F.lit(True).alias("seen"))
+    stream = replay(events_of(t), f"{base}/in", "ts")
+    sinks.run(stream, f"{base}/checkpoint", each=sinks.first_seen(
+        f"{base}/out", ["user_id", "event_type"], ["ts", "event_id"]))
+    return t.spark.read.parquet(f"{base}/out/rows").drop("batch_id")
 
 
 @plan("mv_cascade", with_views("line_items items", f"""
@@ -184,14 +181,11 @@ def dedup_first(t: Tables):
            COUNT(*) AS order_count
     FROM (SELECT *, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS window_start
           FROM (SELECT DISTINCT * FROM line_items) LEFT JOIN items USING (item_id))
-    WHERE window_start + INTERVAL 7 DAY <= (SELECT MAX(ts) - INTERVAL 5 MINUTE FROM line_items)
     GROUP BY 1, 2"""))
 def mv_cascade(t: Tables):
     """Drop repeated rows, look the category up and sum per window, in one query."""
-    lines = Tables(t.spark, t.path)
-    lines.raw = lambda name: table_stream(t.spark, t.path, name)
-    stream = p.with_event_time(lines.line_items(), "5 minutes")
     base = shared_dir(t.spark, "cascade")
+    stream = p.with_event_time(replay(t.line_items(), f"{base}/in", "ts", 4, "30 days"), "5 minutes")
     sinks.run(p.cascade(stream, t.items(), "7 days", stream.columns),
               f"{base}/checkpoint", each=sinks.append_batches(f"{base}/out"))
     return t.spark.read.parquet(f"{base}/out").drop("batch_id")
@@ -238,9 +232,9 @@ def store_versions(t: Tables):
     GROUP BY 1, 2"""))
 def running_last_interval(t: Tables):
     """Every value that the last-hour aggregate takes, in steps of a quarter of an hour."""
-    stream = p.with_event_time(table_stream(t.spark, t.path, "events"), "1 hour").withColumn(
-        "value", F.col("value").cast("decimal(18,2)"))
     base = shared_dir(t.spark, "last-hour")
+    rows = t.events().select("user_id", "ts", "value")
+    stream = p.with_event_time(replay(rows, f"{base}/in", "ts"), "1 hour")
     sinks.run(p.last_interval(stream, "15 minutes", "1 hour", "user_id", "value"),
               f"{base}/checkpoint", "update", each=sinks.append_batches(f"{base}/out"))
     log = t.spark.read.parquet(f"{base}/out")
@@ -251,16 +245,93 @@ def running_last_interval(t: Tables):
     SELECT t.trade_id, t.line AS trade_line, {dbl('trade_value')} AS trade_value, r.line AS return_line,
            {dbl('refund_amount')} AS refund_amount
     FROM (SELECT * FROM trades WHERE side <> 'R') t
-    JOIN returns r ON r.order_id = t.trade_id AND r.ts >= t.ts AND r.ts <= t.ts + INTERVAL 30 DAY"""))
+    LEFT JOIN returns r ON r.order_id = t.trade_id AND r.ts >= t.ts AND r.ts <= t.ts + INTERVAL 30 DAY"""))
 def join_within(t: Tables):
-    """Trades and the returns that follow within thirty days, joined as streams."""
-    live = Tables(t.spark, t.path)
-    live.raw = lambda name: table_stream(t.spark, t.path, name)
-    trades = live.trades().filter("side <> 'R'").select("trade_id", "line", "trade_value", "ts")
-    returned = live.returns().withColumnRenamed("line", "return_line")
-    out = p.join_within(trades, returned, "30 days", "1 hour").filter("order_id is not null").select(
-        "trade_id", F.col("line").alias("trade_line"), "trade_value", "return_line",
-        "refund_amount")
+    """Trades and the returns that follow within thirty days, joined as streams; a trade that none
+    follows comes out alone."""
     base = shared_dir(t.spark, "returns")
+    trades = t.trades().filter("side <> 'R'").select("trade_id", "line", "trade_value", "ts")
+    returned = t.returns().withColumnRenamed("line", "return_line")
+    out = p.join_within(replay(trades, f"{base}/trades", "ts", 4, "3650 days"),
+                        replay(returned, f"{base}/in", "ts", 4, "3650 days", {"order_id": -1}),
+                        "30 days", "1 hour")
+    out = out.select("trade_id", F.col("line").alias("trade_line"), "trade_value", "return_line",
+                     "refund_amount")
     sinks.run(out, f"{base}/checkpoint", each=sinks.append_batches(f"{base}/out"))
     return t.spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@plan("left_join_stream", with_views("trades returns", f"""
+    SELECT t.trade_id, t.line AS trade_line, {dbl('trade_value')} AS trade_value, r.line AS return_line,
+           {dbl('refund_amount')} AS refund_amount
+    FROM (SELECT * FROM trades WHERE side <> 'R') t LEFT JOIN returns r ON r.order_id = t.trade_id"""))
+def left_join_stream(t: Tables):
+    """Trades with all returns of their id, whenever they come, after four triggers of both."""
+    base = shared_dir(t.spark, "left-join")
+    both = t.trades().select("trade_id", "line", "trade_value", "side", "ts")
+    join = state.LeftJoin(
+        t.spark, f"{base}/join", "trade_id",
+        lambda df: df.filter("side <> 'R'").select(
+            "trade_id", F.col("line").alias("trade_line"), "trade_value"),
+        lambda df: df.filter("side = 'R'").select(
+            "trade_id", F.col("line").alias("return_line"),
+            F.col("trade_value").alias("refund_amount")), buckets=8)
+    sinks.run(replay(both, f"{base}/in", "ts"), f"{base}/checkpoint", each=join.write)
+    return join.read()
+
+
+@plan("summary_stream", with_views("line_items", f"""
+    SELECT item_id % 7 AS category, COUNT(*) AS event_count, {dbl('SUM(amount)')} AS total_value,
+           MAX(ts) AS last_updated, COUNT(*) AS raw_rows FROM line_items GROUP BY 1"""))
+def summary_stream(t: Tables):
+    """Sums and raw rows fed by the same four triggers; what each shows comes from the same batches."""
+    base = shared_dir(t.spark, "summary")
+    store = sinks.summary_and_rows(t.spark, f"{base}/store", ["category"], "amount", "ts")
+    rows = t.line_items().select((F.col("item_id") % 7).alias("category"), "amount", "ts")
+    sinks.run(replay(rows, f"{base}/in", "ts"), f"{base}/checkpoint", each=store.write)
+    raw = store.read("rows").groupBy("category").agg(F.count("*").alias("raw_rows"))
+    return agg.merge_sums(store.read("sums").drop("batch_id"), ["category"]).join(raw, "category")
+
+
+FILE_DIFF = """SELECT id, CASE WHEN department = '5-LOW' THEN 'delete' ELSE 'update' END AS change
+    FROM emp WHERE id < 3000 AND (department = '5-LOW' OR (department = '1-URGENT' AND salary > 0))"""
+
+
+def changed_files(t: Tables) -> snapshots.FileVersions:
+    """Employees in eight files by id, then an update and a delete of low ids."""
+    store = snapshots.FileVersions(t.spark, shared_dir(t.spark, "file-versions"), "id")
+    store.create(t.emp().select("id", "department", "time", "salary"), 8)
+    low = F.col("id") < 3000
+    store.update(low & (F.col("department") == "1-URGENT"), {"salary": F.col("salary") * 2})
+    store.delete(low & (F.col("department") == "5-LOW"))
+    return store
+
+
+@plan("file_version_diff", with_views("emp", FILE_DIFF))
+def file_version_diff(t: Tables):
+    """Three versions; the comparison opens only the files that the changes replaced."""
+    return changed_files(t).diff(1, 3, ["department", "time", "salary"])
+
+
+@plan("file_versions", with_views("emp", f"""
+    SELECT id, department, time, {dbl('''salary * CASE WHEN id < 3000 AND department = '1-URGENT'
+        THEN 2 ELSE 1 END''')} AS salary FROM emp WHERE NOT (id < 3000 AND department = '5-LOW')"""))
+def file_versions(t: Tables):
+    return changed_files(t).read()
+
+
+@plan("competing_claims", with_views("transactions", """
+    SELECT id, 1 + (row_number() OVER (PARTITION BY id % 4 ORDER BY ts, id) - 1) // 50 AS claim
+    FROM transactions WHERE NOT processed
+    QUALIFY row_number() OVER (PARTITION BY id % 4 ORDER BY ts, id) <= 100"""))
+def competing_claims(t: Tables):
+    """Two claimers who both start from an empty log: the second loses the first number and picks
+    again."""
+    log = claims.ClaimLog(t.spark, shared_dir(t.spark, "claims"))
+
+    def pick(rows):
+        return claims.claim_batch(rows, 4, 50, bucket=(F.col("id") % 4).cast("int")).select("id")
+
+    taken = [log.claim(t.transactions(), pick, seen=0) for _ in range(2)]
+    return taken[0][1].withColumn("claim", F.lit(taken[0][0]).cast("long")).unionByName(
+        taken[1][1].withColumn("claim", F.lit(taken[1][0]).cast("long")))

@@ -1,7 +1,9 @@
 """Streaming queries over whole stored tables.
 
 Each runs a stream to the end of its input, with state and output in the shared folder, and returns
-the stored output. Append mode gives what the watermark has closed: the last windows stay open.
+the stored output. The tables are replayed in event-time order, a slice per trigger, so state is carried
+from trigger to trigger; where the watermark decides what comes out, a row at the end of the input
+closes what is still open and the result is whole.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import trunc
 from ..session import shared_dir
-from ..sources.streams import table_stream
+from ..sources.streams import replay
 from ..sources.tables import LINE_VERSION, Tables
 from ..streaming import pipelines as p
 from ..streaming import sinks, state
@@ -21,11 +23,7 @@ from .registry import plan
 from .sqltext import dbl, with_views
 
 
-class StreamTables(Tables):
-    """The same views over tables read as streams."""
-
-    def raw(self, name: str) -> DataFrame:
-        return table_stream(self.spark, self.path, name)
+TRIGGERS = 4
 
 
 def finish(t: Tables, stream: DataFrame, name: str, mode: str = "append", each=None) -> DataFrame:
@@ -36,8 +34,8 @@ def finish(t: Tables, stream: DataFrame, name: str, mode: str = "append", each=N
     return t.spark.read.parquet(f"{base}/out")
 
 
-def streamed(t: Tables) -> StreamTables:
-    return StreamTables(t.spark, t.path)
+def arriving(t: Tables, rows: DataFrame, name: str, end_after: str | None = None) -> DataFrame:
+    return replay(rows, shared_dir(t.spark, f"{name}-in"), "ts", TRIGGERS, end_after)
 
 
 @plan("stream_revenue_close", with_views("line_items items", f"""
@@ -46,10 +44,10 @@ def streamed(t: Tables) -> StreamTables:
            {dbl('SUM(amount)')} AS revenue, COUNT(*) AS order_count
     FROM (SELECT *, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS window_start
           FROM line_items LEFT JOIN items USING (item_id))
-    WHERE window_start + INTERVAL 7 DAY <= (SELECT MAX(ts) - INTERVAL 5 MINUTE FROM line_items)
     GROUP BY 1, 2"""))
 def stream_revenue_close(t: Tables):
-    orders = p.with_event_time(streamed(t).line_items(), "5 minutes")
+    rows = t.line_items().select("item_id", "amount", "ts")
+    orders = p.with_event_time(arriving(t, rows, "revenue-close", "30 days"), "5 minutes")
     out = finish(t, p.revenue_by_category(orders, t.items(), "7 days"), "revenue-close")
     return out.drop("batch_id")
 
@@ -60,17 +58,18 @@ def stream_revenue_close(t: Tables):
            {dbl('SUM(amount)')} AS revenue, COUNT(*) AS order_count
     FROM line_items GROUP BY 1, 2, 3"""))
 def stream_revenue_updates(t: Tables):
-    orders = p.with_event_time(streamed(t).line_items(), "5 minutes")
+    rows = t.line_items().select("item_id", "amount", "ts")
+    orders = p.with_event_time(arriving(t, rows, "revenue-updates"), "5 minutes")
     log = finish(t, p.windowed_revenue(orders, "7 days"), "revenue-updates", "update")
     return sinks.collapse_log(log, ["item_id", "window_start", "window_end"])
 
 
 @plan("stream_sessions", with_views("ev", """
-    SELECT user_id, session_start, session_end, events_in_session, session_value FROM s
-    WHERE session_end + INTERVAL 2 HOUR <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM ev)""",
+    SELECT user_id, session_start, session_end, events_in_session, session_value FROM s""",
     r=SESSION_ROWS, s=SESSIONS))
 def stream_sessions(t: Tables):
-    events = p.with_event_time(streamed(t).events(), "1 hour")
+    rows = t.events().select("user_id", "ts", "value")
+    events = p.with_event_time(arriving(t, rows, "sessions", "30 days"), "1 hour")
     return finish(t, p.sessions(events, "2 hours"), "sessions").drop("batch_id")
 
 
@@ -83,13 +82,14 @@ def stream_sessions(t: Tables):
            CASE WHEN order_count > {HIGH[0]} OR s > {HIGH[1]} OR unique_items > {HIGH[2]}
                 THEN 'HIGH_RISK' WHEN order_count > {MEDIUM[0]} OR s > {MEDIUM[1]}
                 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS risk_category
-    FROM a WHERE window_start + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM ev)""",
+    FROM a""",
     hops="""SELECT *, unnest(generate_series(b - INTERVAL 18 HOUR, b, INTERVAL 6 HOUR)) AS window_start
         FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS b FROM ev)""",
     a="""SELECT user_id, window_start, COUNT(*) AS order_count, SUM(value) AS s,
         COUNT(DISTINCT event_type) AS unique_items FROM hops GROUP BY 1, 2"""))
 def stream_fraud_score(t: Tables):
-    events = p.with_event_time(streamed(t).events(), "1 hour")
+    rows = t.events().select("user_id", "event_type", "ts", "value")
+    events = p.with_event_time(arriving(t, rows, "fraud-score", "30 days"), "1 hour")
     out = p.fraud_scores(events, "6 hours", "1 day", "event_type", HIGH, MEDIUM)
     return finish(t, out, "fraud-score").drop("batch_id")
 
@@ -98,7 +98,8 @@ def stream_fraud_score(t: Tables):
     "ev", LOG_FEED.replace("event_type,", "event_type AS status,", 1), l=LOG_LAG))
 def stream_change_feed(t: Tables):
     base = shared_dir(t.spark, "change-feed")
-    events = streamed(t).events().withColumnRenamed("event_type", "status")
+    rows = t.events().select("user_id", "ts", "event_id", F.col("event_type").alias("status"))
+    events = replay(rows, f"{base}/in", "ts", TRIGGERS)
     sinks.run(events, f"{base}/checkpoint", each=state.change_feed_batches(
         t.spark, base, "user_id", ["ts", "event_id"], "status"))
     return t.spark.read.parquet(f"{base}/feed").drop("batch_id")
@@ -110,7 +111,7 @@ def stream_change_feed(t: Tables):
 def stream_latest_rows(t: Tables):
     keys = ["order_id", "line"]
     base = shared_dir(t.spark, "latest-rows")
-    sinks.run(streamed(t).line_items(), f"{base}/checkpoint",
+    sinks.run(replay(t.line_items(), f"{base}/in", "ts", TRIGGERS), f"{base}/checkpoint",
               each=state.latest_rows(f"{base}/out", keys, LINE_VERSION))
     return state.read_latest(t.spark, f"{base}/out", keys, LINE_VERSION)
 
@@ -118,7 +119,7 @@ def stream_latest_rows(t: Tables):
 @plan("stream_passthrough", with_views("ev", f"""
     SELECT event_id, user_id, {dbl('value')} AS value, date_trunc('day', ts) AS day FROM ev"""))
 def stream_passthrough(t: Tables):
-    out = p.append_passthrough(streamed(t).events(), {
+    out = p.append_passthrough(arriving(t, t.events().drop("props"), "passthrough"), {
         "event_id": F.col("event_id"), "user_id": F.col("user_id"), "value": F.col("value"),
         "day": trunc("ts", "day")})
     return finish(t, out, "passthrough").drop("batch_id")
@@ -128,6 +129,7 @@ def stream_passthrough(t: Tables):
     SELECT user_id, {dbl('SUM(value)')} AS total, COUNT(*) AS row_count FROM ev GROUP BY 1
     ORDER BY SUM(value) DESC, user_id LIMIT 10"""))
 def stream_topk(t: Tables):
-    log = finish(t, p.top_k(streamed(t).events(), ["user_id"], "value", 10), "topk", "complete")
+    rows = arriving(t, t.events().select("user_id", "value", "ts"), "topk")
+    log = finish(t, p.top_k(rows, ["user_id"], "value", 10), "topk", "complete")
     last = log.agg(F.max("batch_id")).first()[0]
     return log.filter(F.col("batch_id") == last).drop("batch_id")

@@ -44,20 +44,47 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
 
 
-def read_market_days(spark: SparkSession, path: str, schema: str, preamble: int = 2) -> DataFrame:
+def write_logs(lines: DataFrame, path: str) -> None:
+    """Lines (file, block, pos, line) as text files, one folder per ``file``, in the order of a file."""
+    (lines.repartition("file").sortWithinPartitions("file", "block", "pos").select("file", "line")
+     .write.partitionBy("file").text(path))
+
+
+def read_logs(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files that lie in folders named after their log."""
+    lines = read_lines(spark, path, "*.txt")
+    return lines.withColumn("file", F.regexp_extract("file", "file=([^/]+)/", 1))
+
+
+def read_market_days(spark: SparkSession, path: str, schema: str, preamble: int = 2,
+                     width: int = 64, pattern: str = "*.csv") -> DataFrame:
     """Daily CSV sheets of one folder: ``preamble`` lines and a header, then the rows.
 
-    The day is the date in the file name. A sheet without rows contributes nothing.
+    Columns are found by the names in each sheet's own header, wherever they stand there; a column that
+    a sheet lacks is NULL in its rows, and others are left out. A sheet has at most ``width`` columns.
+    The day is the date in the name of the file, or of its folder if that is one sheet. A sheet without rows contributes nothing.
     """
-    lines = read_lines(spark, path, "*.csv")
-    # only the first block of a file holds its preamble
+    wanted = T.StructType.fromDDL(schema).fields
+    lines = read_lines(spark, path, pattern)
+    # only the first block of a file holds its preamble and its header
     in_block = Window.partitionBy("file", "block").orderBy("pos")
     numbered = lines.withColumn("no", F.row_number().over(in_block))
+    cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)))
+    cells = F.array(*[F.trim(cells[f"c{i}"]) for i in range(width)])
+    header = numbered.filter((F.col("block") == 0) & (F.col("no") == preamble + 1)).select(
+        F.col("file").alias("of"), cells.alias("names"))
     body = numbered.filter((F.col("block") > 0) | (F.col("no") > preamble + 1))
-    body = body.filter(F.trim("line") != "")
-    day = F.regexp_extract("file", r"(\d{4}-\d{2}-\d{2})[^/]*$", 1)
-    return body.select(F.from_csv("line", schema).alias("r"), day.alias("en_date")).select(
-        "r.*", "en_date")
+    body = body.filter(F.trim("line") != "").select("file", cells.alias("cells"))
+    # one header per sheet
+    named = body.join(header, F.col("file") == F.col("of"))
+
+    def column(f):
+        at = F.coalesce(F.array_position("names", F.lit(f.name)), F.lit(0)).cast("int")
+        return F.when(at > 0, F.element_at("cells", F.greatest(at, F.lit(1)))).cast(f.dataType).alias(
+            f.name)
+
+    day = F.regexp_extract("file", r"(\d{4}-\d{2}-\d{2})[^/]*(?:/part-[^/]*)?$", 1)
+    return named.select(*[column(f) for f in wanted], day.alias("en_date"))
 
 
 # Fixed patterns of the benchmark logs.
@@ -182,9 +209,14 @@ RISK_BANDS = [(1, "Low", "0.00", "10000.00"), (2, "Medium", "10000.01", "50000.0
 
 def static_dimension(spark: SparkSession, rows: list[tuple], schema: str | T.StructType,
                      money: tuple[str, ...] = ()) -> DataFrame:
-    """A small typed-in table; columns named in ``money`` are given as text and become exact."""
-    df = spark.createDataFrame(rows, schema)
-    return df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in money})
+    """A small typed-in table; columns named in ``money`` are given as text and become exact.
+
+    The rows are literals of the plan, so no Python runs when it is read."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    typed = F.array(*[F.struct(*[
+        F.lit(v).cast("decimal(18,2)" if f.name in money else f.dataType).alias(f.name)
+        for f, v in zip(fields, row, strict=True)]) for row in rows])
+    return spark.range(1).select(F.inline(typed))
 
 
 def demo_items(spark: SparkSession) -> DataFrame:

@@ -50,3 +50,60 @@ def table_stream(spark: SparkSession, folder: str, table: str,
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
     # as a glob: a plain path would have to be a folder
     return reader.parquet(f"{folder}/{table}.parque[t]")
+
+
+def replay(df: DataFrame, path: str, ts: str, triggers: int = 4,
+           end_after: str | None = None, end_values: dict | None = None) -> DataFrame:
+    """A stored table as a stream that arrives in event-time order, in bounded triggers.
+
+    The rows are written below ``path`` in slices of about equally many rows, one slice after another,
+    and each trigger of the stream takes one slice; a row is never earlier than those of the slices
+    before it, so no watermark drops any. Rows without a time come first.
+
+    With ``end_after`` a last trigger follows with one row that is NULL but for a time so long after
+    the last one: it closes every window, session and join that is still open. Its own stays open, so
+    in append mode it never comes out. The side of a join that must match needs ``end_values`` for its
+    keys: rows with NULL keys are filtered away before the watermark sees them.
+    """
+    spark = df.sparkSession
+    shares = [i / triggers for i in range(1, triggers)]
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("last"),
+                  F.percentile_approx(F.col(ts).cast("timestamp"), shares).alias("cuts")
+                  if shares else F.lit(None).alias("cuts")).first()
+    # the last cut may be the least time: a slice without rows would be none of the triggers
+    cuts = sorted(set(seen["cuts"] or []))
+    files = 1 + seen["n"] // (triggers * ROWS_PER_FILE)
+    t = F.col(ts).cast("timestamp")
+    edges = [None, *cuts, None]
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        inside = F.lit(True)
+        if low is not None:
+            inside &= t >= F.lit(low)
+        if high is not None:
+            inside &= t < F.lit(high)
+        if low is None:
+            inside |= t.isNull()
+        _slice(df.filter(inside), f"{path}/slice-{i:03d}", files)
+    if end_after is not None and seen["last"] is not None:
+        end = spark.range(1).select(*[
+            ((F.lit(seen["last"]) + F.expr(f"INTERVAL {end_after}")) if f.name == ts
+             else F.lit((end_values or {}).get(f.name))).cast(f.dataType).alias(f.name)
+            for f in df.schema.fields])
+        _slice(end, f"{path}/slice-end", files)
+    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", str(files))
+            .parquet(f"{path}/slice-*"))
+
+
+#: rows of a file of a slice
+ROWS_PER_FILE = 2_000_000
+
+
+def _slice(df: DataFrame, path: str, files: int) -> None:
+    """Write the rows as exactly so many files, the last of them empty if there are too few rows."""
+    spark = df.sparkSession
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sum(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(at))
+    for _ in range(files - found):
+        df.limit(0).coalesce(1).write.mode("append").parquet(path)

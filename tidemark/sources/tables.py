@@ -73,6 +73,12 @@ class Tables:
             F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_name"),
             F.col("p_type").alias("category"))
 
+    def priced_items(self) -> DataFrame:
+        """Name, category and list price of an item, for one lookup."""
+        return self.raw("part").select(
+            F.col("p_partkey").alias("item_id"), F.col("p_name").alias("item_name"),
+            F.col("p_type").alias("category"), money("p_retailprice").alias("price"))
+
     def users(self) -> DataFrame:
         return self.raw("customer").select(
             F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"),

@@ -3,14 +3,18 @@ its first attempt and readers see each batch once."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..operators.changes import current_state
+from ..operators.aggregates import partial_sums
+from ..operators.clean import latest_by_key
+from ..sources import paths
+from .keyed import KeyedRuns
 from .pipelines import without_zone
 
 
@@ -20,9 +24,10 @@ def run(stream: DataFrame, checkpoint: str, mode: str = "append", *,
         drop_late: bool = False, **options: str) -> StreamingQuery:
     """Start a query over everything available now, into a batch function or a file sink.
 
-    Rows that come after the watermark fail the query, so that none is lost unseen, unless
-    `drop_late` says that they may be.
+    Rows that come after the watermark in any batch stop the query and raise, so that none is lost
+    unseen, unless `drop_late` says that they may be.
     """
+    late = LateRows.of(stream.sparkSession)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.options(**options).trigger(availableNow=True)
     if each is not None:
@@ -33,17 +38,65 @@ def run(stream: DataFrame, checkpoint: str, mode: str = "append", *,
             writer = writer.partitionBy(*partition_by)
         query = writer.start(path)
     if wait:
-        query.awaitTermination()
-        late = late_rows(query)
-        if late and not drop_late:
-            raise RuntimeError(f"{late} rows came after the watermark and were dropped")
+        late.watch(query, drop_late)
     return query
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks excluded, in every batch of every query of a session.
+
+    A query's own list of reports keeps the last hundred batches only."""
+
+    _by_session: dict[str, LateRows] = {}
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> LateRows:
+        """The session's listener, added the first time."""
+        app = spark.sparkContext.applicationId
+        if app not in cls._by_session:
+            cls._by_session[app] = cls()
+            spark.streams.addListener(cls._by_session[app])
+        return cls._by_session[app]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run, p = str(event.progress.runId), event.progress
+        self.batches[run] = self.batches.get(run, 0) + 1
+        self.dropped[run] = self.dropped.get(run, 0) + sum(
+            int(s.numRowsDroppedByWatermark) for s in p.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def watch(self, query: StreamingQuery, drop_late: bool, patience: float = 30.0) -> None:
+        """Wait for the query to end; stop it as soon as it has dropped a row that must not be."""
+        run = str(query.runId)
+        while not query.awaitTermination(1):
+            if self.dropped.get(run, 0) and not drop_late:
+                query.stop()
+                break
+        # reports come a little after the batch they are about
+        until = time.monotonic() + patience
+        while run not in self.ended and time.monotonic() < until:
+            time.sleep(0.01)
+        if self.dropped.get(run, 0) and not drop_late:
+            raise RuntimeError(
+                f"{self.dropped[run]} rows came after the watermark and were dropped")
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the watermark excluded in the batches the query still reports."""
-    return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress
-               for s in p.stateOperators)
+    """Rows that the watermark excluded in all batches of the query so far."""
+    return LateRows.of(SparkSession.active()).dropped.get(str(query.runId), 0)
 
 
 def parquet_by_day(stream: DataFrame, path: str, checkpoint: str, ts: str) -> StreamingQuery:
@@ -99,83 +152,120 @@ def fan_out(writers: Sequence[Callable[[DataFrame, int], None]]) -> Callable[[Da
 
 
 class UpsertTable:
-    """A keyed table kept as a base snapshot plus one change folder per batch.
+    """A keyed table that takes a batch of changes at a time.
 
-    A batch appends its changes only. Readers fold changes over the base; ``compact`` writes the
-    folded rows as a new base from time to time. ``order`` sorts the changes of a key and must
-    continue across batches (an event time and an id).
+    A batch is folded to one change per key and stored as a run; runs are merged level by level (see
+    ``keyed``), so a batch does not rewrite the table and readers fold few runs. ``order`` sorts the
+    changes of a key and must continue across batches (an event time and an id). Deleted keys are
+    forgotten once no older run is left below, so a change older than that must not arrive later.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str],
-                 op: str = "op"):
+                 op: str = "op", **sizes: int):
         self.spark, self.path = spark, path
         self.keys, self.order, self.op = list(keys), list(order), op
+        self.runs = KeyedRuns(spark, path, keys, self._last, lambda df: df.filter(
+            F.col(op) != "D"), **sizes)
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        without_zone(df).write.mode("overwrite").parquet(
-            batch_path(f"{self.path}/changes", batch_id))
+    def _last(self, log: DataFrame) -> DataFrame:
+        return latest_by_key(log, self.keys, [*self.order, self.op])
 
-    def _bases(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/base")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        self.runs.put(self._last(without_zone(df)), batch_id)
 
-    def _upto(self) -> int:
-        bases = self._bases()
-        if bases is None:
-            return -1
-        return bases.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
-
-    def _log(self, before: int | None) -> DataFrame:
-        """Newest base as U rows, and all later changes (of batches before the given one)."""
-        upto = self._upto()
-        later = (self.spark.read.parquet(f"{self.path}/changes")
-                 .filter(F.col("batch_id") > upto))
-        if before is not None:
-            later = later.filter(F.col("batch_id") < before)
-        later = later.drop("batch_id")
-        if upto < 0:
-            return later
-        base = self._bases().filter(F.col("upto") == upto).drop("upto")
-        return base.withColumn(self.op, F.lit("U")).unionByName(later)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """Current rows; a batch that may be repeated asks for the state before itself."""
-        return current_state(self._log(before), self.keys, self.order, self.op)
+    def read(self, before: int | None = None, of: DataFrame | None = None) -> DataFrame | None:
+        """Current rows, of all keys or at least of those in ``of``; a batch that may be repeated asks
+        for the state before itself. None while there was no batch."""
+        last = self.runs.read(before, of)
+        return None if last is None else last.filter(F.col(self.op) != "D").drop(self.op)
 
     def compact(self) -> int:
-        """Write the current rows as a base; returns the last batch it includes.
+        """Merge everything into one run; returns the last batch it includes."""
+        return self.runs.compact()
 
-        Deleted keys are forgotten, so a change older than the base must not arrive later.
-        """
-        upto = self.spark.read.parquet(f"{self.path}/changes").agg(F.max("batch_id")).first()[0]
-        self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        return upto
+
+def key_ledger(spark: SparkSession, path: str, keys: Sequence[str], **sizes: int) -> KeyedRuns:
+    """Keys that were dealt with, with a Bloom filter per run."""
+    return KeyedRuns(spark, path, keys, bloom=True, **sizes)
 
 
 def exactly_once(handle: Callable[[DataFrame], DataFrame], ledger: str, key: str = "id"
                  ) -> Callable[[DataFrame, int], None]:
     """Work through a stream of ids, each once, resuming after a crash.
 
-    ``handle`` returns the rows it worked on; their ids go to the ledger under the batch. A batch
+    ``handle`` returns the rows it worked on; their ids go to the ledger under the batch. Bloom filters
+    tell new ids from those that must be looked up, so the ledger is read in few places or none. A batch
     that is repeated leaves out its own earlier entry and replaces it.
     """
     def work(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        todo = df.dropDuplicates([key])
-        try:
-            done = spark.read.parquet(ledger).filter(F.col("batch_id") != batch_id)
-            todo = todo.join(done.select(key).distinct(), key, "left_anti")
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-        handle(todo).select(key).write.mode("overwrite").parquet(batch_path(ledger, batch_id))
+        done = key_ledger(df.sparkSession, ledger, [key])
+        asked = df.select(key).distinct()
+        todo = df.dropDuplicates([key]).join(done.known(asked, batch_id), key, "left_anti")
+        done.put(handle(todo).select(key), batch_id)
     return work
 
 
+def first_seen(path: str, keys: Sequence[str], order: Sequence[str], **sizes: int
+               ) -> Callable[[DataFrame, int], None]:
+    """Keeps the first row per key over a stream of any length, without a horizon.
+
+    A batch is reduced to its first row per key before anything moves, and keys in the ledger are left
+    out. Batches must come in order. Writes ``rows/`` and ``keys/``.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark, rows = df.sparkSession, without_zone(df)
+        rest = [c for c in rows.columns if c not in {*keys, *order}]
+        first = rows.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first")).select(
+            *keys, "_first.*").select(*rows.columns)
+        ledger = key_ledger(spark, f"{path}/keys", keys, **sizes)
+        fresh = first.join(ledger.known(first.select(*keys), batch_id).withColumnsRenamed(
+            {k: f"_{k}" for k in keys}), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys],
+            "left_anti")
+        target = batch_path(f"{path}/rows", batch_id)
+        fresh.write.mode("overwrite").parquet(target)
+        ledger.put(spark.read.schema(rows.schema).parquet(target).select(*keys), batch_id)
+    return write
+
+
+class CommittedBatches:
+    """Several tables that a batch writes together: readers see a batch in all of them or in none.
+
+    Each table has a folder per batch; a marker named after the batch is written when all are complete,
+    and readers only open folders with a marker. A batch that died half-way is written again and
+    replaces both halves.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tables: Mapping[str, Callable[[DataFrame], DataFrame]]):
+        self.spark, self.path, self.tables = spark, path, dict(tables)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        rows = without_zone(df).persist()
+        try:
+            for name, make in self.tables.items():
+                make(rows).write.mode("overwrite").parquet(batch_path(f"{self.path}/{name}", batch_id))
+            paths.write_text(self.spark, f"{self.path}/_committed/{batch_id}", "")
+        finally:
+            rows.unpersist()
+
+    def committed(self) -> list[int]:
+        return sorted(int(n) for n in paths.names(self.spark, f"{self.path}/_committed") if n.isdigit())
+
+    def read(self, name: str) -> DataFrame | None:
+        """Rows of the committed batches with their batch_id; None before the first."""
+        folders = [batch_path(f"{self.path}/{name}", b) for b in self.committed()]
+        if not folders:
+            return None
+        return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(*folders)
+
+
+def summary_and_rows(spark: SparkSession, path: str, keys: Sequence[str], measure: str, ts: str
+                     ) -> CommittedBatches:
+    """Raw rows and their partial sums per key, fed by the same inserts; ``merge_sums`` over the
+    ``sums`` of all batches is the summary of the rows that readers of ``rows`` see."""
+    return CommittedBatches(spark, path, {
+        "rows": lambda df: df, "sums": lambda df: partial_sums(df, keys, measure, ts)})
+
+
 # ---- batch file sinks ----------------------------------------------------------------------------
 
 def export_json(claims: DataFrame, path: str, run_id: str) -> str:

@@ -7,32 +7,36 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import trunc
 from ..operators.changes import feed_from_log
 from ..operators.clean import latest_by_key
+from .keyed import KeyedRuns
 from .pipelines import without_zone
 from .sinks import UpsertTable, append_batches, batch_path
 
 def change_feed_batches(spark: SparkSession, path: str, key: str, order: Sequence[str], value: str,
-                        grain: str = "day") -> Callable[[DataFrame, int], None]:
+                        ) -> Callable[[DataFrame, int], None]:
     """The change feed by batch.
 
-    The last value of every key is kept as an upsert table. A batch is the stored values plus its
-    own rows, compared row by row in cells of time, whatever the share of one key. Files must
-    arrive in time order. Writes ``feed/`` and ``state/``.
+    The last value of every key is kept as an upsert table. A batch is the stored values of its keys'
+    buckets plus its own rows, compared row by row; keys that hold much of the batch are cut into
+    cells. Files must arrive in time order. Writes ``feed/`` and ``state/``.
     """
     table = UpsertTable(spark, f"{path}/state", [key], list(order))
     emit = append_batches(f"{path}/feed")
 
     def write(df: DataFrame, batch_id: int) -> None:
-        rows = without_zone(df).select(key, *order, value)
-        log = rows.withColumn("known", F.lit(False))
-        if batch_id > 0:
-            stored = table.read(before=batch_id).withColumn("known", F.lit(True))
-            log = log.unionByName(stored.join(rows.select(key).distinct(), key, "left_semi"))
-        feed = feed_from_log(log, [key], order, value, trunc(order[0], grain), "known", None)
-        emit(feed, batch_id)
-        table.write(latest_by_key(rows, [key], order).withColumn("op", F.lit("U")), batch_id)
+        # read for its keys, for its hot keys and for the feed
+        rows = without_zone(df).select(key, *order, value).persist()
+        try:
+            log = rows.withColumn("known", F.lit(False))
+            stored = table.read(batch_id, rows)
+            if stored is not None:
+                mine = stored.join(rows.select(key).distinct(), key, "left_semi")
+                log = log.unionByName(mine.withColumn("known", F.lit(True)))
+            emit(feed_from_log(log, [key], order, value, known="known"), batch_id)
+            table.write(latest_by_key(rows, [key], order).withColumn("op", F.lit("U")), batch_id)
+        finally:
+            rows.unpersist()
     return write
 
 
@@ -59,3 +63,55 @@ def enrich_with_current(read_dimension: Callable[[], DataFrame], key: str,
     def write(df: DataFrame, batch_id: int) -> None:
         sink(df.join(read_dimension(), key, "left"), batch_id)
     return write
+
+
+class LeftJoin:
+    """Left rows with the right rows of their key, kept up to date batch by batch, without a time bound.
+
+    A batch emits what it changes: rows that appear, and a retraction of the unmatched form of a left row
+    when its first right row arrives. Both sides are stored by bucket of the key, and a batch reads the
+    buckets of its own keys. The joins are ordinary ones of a batch with what it touches, so partitions
+    of a hot key are split like those of any other skewed join. Writes ``left/``, ``right/`` and
+    ``changes/`` (with ``sign`` 1 or -1).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str,
+                 left: Callable[[DataFrame], DataFrame], right: Callable[[DataFrame], DataFrame],
+                 **sizes: int):
+        self.spark, self.path, self.key = spark, path, key
+        self.sides = left, right
+        self.left, self.right = (KeyedRuns(spark, f"{path}/{side}", [key], **sizes)
+                                 for side in ("left", "right"))
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        rows = without_zone(df).persist()
+        try:
+            left, right = (side(rows) for side in self.sides)
+            ids = right.select(self.key).filter(F.col(self.key).isNotNull()).distinct()
+            old_left, old_right = self.left.read(batch_id, ids), self.right.read(batch_id, rows)
+            every = right if old_right is None else old_right.unionByName(right)
+            out = left.join(every, self.key, "left").withColumn("sign", F.lit(1))
+            if old_left is not None:
+                met = old_left.join(ids, self.key, "left_semi")
+                out = out.unionByName(met.join(right, self.key).withColumn("sign", F.lit(1)))
+                if old_right is not None:
+                    met = met.join(old_right.select(self.key).distinct(), self.key, "left_anti")
+                gone = met.withColumn("sign", F.lit(-1))
+                out = out.unionByName(gone, allowMissingColumns=True)
+            out.write.mode("overwrite").parquet(batch_path(f"{self.path}/changes", batch_id))
+            self.left.put(left, batch_id)
+            self.right.put(right, batch_id)
+        finally:
+            rows.unpersist()
+
+    def changes(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/changes")
+
+    def read(self) -> DataFrame:
+        """The join as it is now: rows that appeared less those taken back, equal rows as often as
+        they are there."""
+        log = self.changes().drop("batch_id")
+        columns = [c for c in log.columns if c != "sign"]
+        net = log.groupBy(*columns).agg(F.sum("sign").alias("_n")).filter("_n > 0")
+        return net.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
+            *columns)
