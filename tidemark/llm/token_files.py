@@ -28,7 +28,7 @@ from .common import rows_in
 
 END_ID = 0
 #: texts encoded at a time: rows and bytes
-BATCH_ROWS, BATCH_BYTES = 4_000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 4_000, 2 << 20
 #: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
 #: and pieces encoded in one call
 CACHE_PIECES, LINES = 600_000, 10_000
@@ -147,11 +147,11 @@ class Pieces:
 
     def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        order = np.argsort(np.concatenate([self.first, first]), kind="stable")
-        self.first = np.concatenate([self.first, first])[order]
-        self.second = np.concatenate([self.second, second])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
+        order = np.argsort(first)
+        at = np.searchsorted(self.first, first[order])
+        for name, values in (("first", first), ("second", second), ("sizes", sizes),
+                             ("starts", starts)):
+            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
         self.ids = np.concatenate([self.ids, ids])
 
     def take(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
