@@ -524,3 +524,37 @@ def test_a_stage_leaves_the_tables_of_other_queries(spark):
     corpus_pipeline.run(spark, TINY)
     for name, df in lazy.items():
         assert df.count() > 0, name
+
+
+def test_text_scores_depend_on_order_and_mix_every_byte(spark, documents):
+    from pyspark.sql import functions as F
+
+    # contexts reach over words: a phrase in its order is likelier than the same words shuffled
+    rows = [(i, "alpha beta gamma delta epsilon zeta") for i in range(60)]
+    rows += [(1000 + i, t) for i, t in enumerate(
+        ["alpha beta gamma delta epsilon zeta", "zeta gamma alpha epsilon beta delta"])]
+    got = {x.doc_id: x for x in context_mixing.scored(
+        documents(rows), F.col("doc_id") < 1000).collect()}
+    assert got[1000].base_score == pytest.approx(got[1001].base_score)
+    assert got[1000].score > got[1001].score + 1
+
+
+def test_long_texts_are_mixed_in_parts_with_all_their_contexts(monkeypatch):
+    text = b" ".join([b"abc defgh"] * 900 + [b"x" * 20_000, b"end", b"\n"])
+    cut = list(context_mixing.blocks([text]))
+    small = list(context_mixing.blocks([text[:5000]]))
+    assert len(cut) > 3 and len(small) == 1 and sum(len(b.data) for b in cut) == len(text)
+    # the slots of a byte come from what stands before it, wherever a part ends
+    for half in (0, 1):
+        for k in range(context_mixing.CONTEXTS):
+            whole = small[0].bases[half][k]
+            assert (cut[0].bases[half][k][:5000] == whole).all()
+    # a repeated phrase has the same slots in the first and the second part
+    first, later = cut[0], cut[0].after
+    assert later[0] == text[context_mixing.BLOCK - context_mixing.PAD:context_mixing.BLOCK]
+    at = 10 * 100
+    for half in (0, 1):
+        for k in range(context_mixing.CONTEXTS):
+            period = first.bases[half][k][at:at + 10]
+            shift = -context_mixing.BLOCK % 10
+            assert (cut[1].bases[half][k][shift:shift + 10] == period).all()

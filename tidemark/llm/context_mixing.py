@@ -1,23 +1,21 @@
 """Language-model scores by logistic mixing of bit predictors.
 
-A token is spelled as its bytes and a closing space, eight yes/no decisions per byte. Contexts reach
-back inside the token only, so equal tokens have equal probability and each distinct token of the
-corpus is worked on once; scores come back to the documents by their token frequencies.
-
-Predictors of a bit: the exact counts of training tokens with the same beginning, and hashed tables
-for the last one, two and three bytes. Their log odds are combined with weights that a gate selects
-by how often the beginning was seen and by the place in the token. Weights are learned online, bit
-by bit, while each task walks over its training tokens; a token is predicted without its own
-occurrence, so rare ones teach how to spell unseen ones. The mixed probability is refined by a table
-of how often bits came true at that confidence. Learned numbers of all tasks are averaged; then
-every token is scored with them, which keeps the probabilities of all tokens below 1 in total.
-
-Training texts are in a few groups (their language). Known tokens have their share of a group's
-tokens, less a discount that goes to the spelling, and a text's probability is the mean over the
-groups by their size: the gate that its own tokens choose.
-
-What is gathered are token counts (one row per distinct token, growing with the corpus) and the
-tables of fixed size 3 * 2^18 that are sent to the tasks.
+A text is spelled as its lower-cased words, each with a closing space, and one end; eight yes/no
+decisions per byte. Predictors of a bit: what training texts had after the last two, three and five
+bytes, after the beginning of the word, and after that beginning and the word before it. All
+contexts reach back over the whole text, so a score depends on the order of the words, and every byte
+is mixed, however long the word. Per context and bit there are counts in hashed tables; their log odds
+are combined with weights that a gate selects by how sure the two word contexts are at the half byte's
+first bit and by the place in the byte, and the mixed probability is refined by a table of how often bits came true at that confidence.
+
+Training texts are dealt into two parts by their content: one fills the tables and the other, whose
+texts the tables have not seen, teaches weights and refinement; then its counts are added. So every
+training text is learned from. Weights are learned block by block while each task walks over its texts,
+and averaged. With tables and weights fixed, a text's probability is a product over its bits, and
+the probabilities of all texts are at most 1 in total.
+
+What is gathered are token counts for the base score (one row per distinct token, growing with the
+corpus) and the tables of fixed size 5 * 2^20, summed by segment and sent to the tasks.
 
 Defined results: null and empty texts are one end token; a null id trains; repeated rows count as
 often as they occur; with no training text every bit has probability 1/2; an empty table gives no
@@ -27,29 +25,40 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import numbered, rows_in, stored
 from .frequencies import document_sums, frequencies
 
 END = b"\n"  # no word has it
-CLOSE = 0x20
-ORDERS = (1, 2, 3)
-TABLE_BITS = 18
-#: bytes of a token that are mixed; what follows is spelled by the two-byte table alone
-MIXED_BYTES = 48
-GATES, PLACES = 16, 4
-LEVELS = 33  # of the refinement
-BLOCK = 60_000
+SPACE = 0x20
+#: contexts of the last bytes; the beginning of the word, and with the word before, come after them
+ORDERS = (2, 3, 5)
+PAD = max(ORDERS)
+CONTEXTS = len(ORDERS) + 2
+TABLE_BITS = 20
+SLOTS = CONTEXTS << TABLE_BITS
+#: slots of a row that is shuffled; 16 follow one another for the half bytes after one context
+SEGMENT = 1 << 14
+#: bytes that are worked on at once; a longer text goes on where its last block ended
+BLOCK = 1 << 13
+LEVELS, GATES = 33, 16
+SURE = (0.5, 2.0, 4.0)  # borders of what a word context's log odds say
 RATE = 0.3
-#: groups of training texts, and what each known token gives up to the spelling
-GROUPS, DISCOUNT = 5, 0.5
+#: one in so many training texts teaches the weights before it is counted
+TEACHES = 10
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_POWERS = np.full(BLOCK + PAD + 2, 0x2545F4914F6CDD1D, np.uint64)
+_POWERS[0] = 1
+_POWERS = np.multiply.accumulate(_POWERS)
+_INVERSE = np.full(len(_POWERS), pow(0x2545F4914F6CDD1D, -1, 1 << 64), np.uint64)
+_INVERSE = np.multiply.accumulate(_INVERSE)  # one power ahead
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -59,193 +68,253 @@ def tokens_of(text: str | None) -> list[bytes]:
     return words
 
 
-def slots(order: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Places in the tables: context holds the last bytes, node the bits of this byte so far."""
-    mixed = ((context << 8) | node) * 0x9E3779B97F4A7C1 + order * 0x632BE5AB
-    mixed ^= mixed >> 29
-    mixed = mixed * 0xBF58476D1CE4E5B & 0x7FFFFFFFFFFFFFFF
-    size = 1 << TABLE_BITS
-    return (mixed >> 31) % size + (order - 1) * size
-
-
-def spelled(words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of each token with its closing space, cut or padded to width; and full lengths."""
-    lengths = np.array([len(w) + 1 for w in words])
-    flat = b"".join([(w + b" ")[:width].ljust(width, b"\0") for w in words])
-    return np.frombuffer(flat, np.uint8).reshape(len(words), width).astype(np.int64), lengths
-
-
-def steps(words: list[bytes]) -> Iterator[tuple]:
-    """For every bit place of the mixed bytes: the tokens that reach it, the bit, whether its
-    prefix of bits is that of the token before, and its slots in the tables."""
-    width = min(MIXED_BYTES, max(map(len, words)) + 1)
-    table, lengths = spelled(words, width)
-    # equal leading bits with the token before; tokens are sorted
-    differ = table[1:] != table[:-1]
-    at = differ.argmax(axis=1)
-    rows = np.arange(len(words) - 1)
-    xor = table[1:][rows, at] ^ table[:-1][rows, at]
-    same = np.where(differ.any(axis=1), 8 * at + 8 - np.frexp(xor)[1], 8 * width)
-    same = np.concatenate([[-1], same])
-    context = np.zeros(len(words), np.int64)
-    alive = np.arange(len(words))
-    for j in range(width):
-        alive = alive[lengths[alive] > j]
-        byte, before = table[alive, j], context[alive]
-        node = np.ones(len(alive), np.int64)
-        for b in range(8):
-            bit = (byte >> (7 - b)) & 1
-            at = [slots(k, before & ((1 << 8 * k) - 1), node) for k in ORDERS]
-            yield j, b, alive, bit, same[alive], at
-            node = (node << 1) | bit
-        context[alive] = (before << 8 | byte) & 0xFFFFFF
-
-
-def tails(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For tokens beyond the mixed bytes: number, slots in the two-byte table, bits."""
-    for i, w in enumerate(words):
-        if len(w) + 1 > MIXED_BYTES:
-            spelled_ = np.frombuffer(w[MIXED_BYTES - 2:] + b" ", np.uint8).astype(np.int64)
-            context, byte = (spelled_[:-2] << 8) | spelled_[1:-1], spelled_[2:]
-            shift = np.arange(8)
-            bits = (byte[:, None] >> (7 - shift)) & 1
-            node = (1 << shift) | (byte[:, None] >> (8 - shift))
-            yield i, slots(2, np.repeat(context, 8), node.ravel()), bits.ravel()
-
-
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Sorted tokens and their training counts; tokens with the same first three bytes (which
-    share a task) stay in one block."""
-    words: list[bytes] = []
-    counts: list[int] = []
-    for batch in batches:
-        for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist()):
-            if len(words) >= BLOCK and w[:3] != words[-1][:3]:
-                yield words, np.array(counts, np.float64)
-                words, counts = [], []
-            words.append(w)
-            counts.append(c)
-    if words:
-        yield words, np.array(counts, np.float64)
-
-
-def count_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each slot saw a 0 and a 1 in the training tokens of a task."""
-    n = np.zeros((2, len(ORDERS) << TABLE_BITS))
-    for words, counts in blocks(batches):
-        known = np.flatnonzero(counts > 0)
-        if not len(known):
+def spelled_text(text: str | None) -> bytes:
+    return b" ".join(tokens_of(text))
+
+
+def spelled_word(word: bytes) -> bytes:
+    return word + b" "
+
+
+class Block:
+    """Bytes of several texts, or of a part of one long text, with their contexts.
+
+    data: the bytes that are predicted; owner: the number of the text of each; bases: per half byte
+    and context where the slots of its four bits begin.
+    """
+
+    def __init__(self, parts: list[tuple[int, bytes]], before: tuple[bytes, int, int] | None):
+        """before: last bytes, hash of the word so far and of the word before it, of the text that
+        the only part goes on with."""
+        lead = before[0] if before else bytes(PAD)
+        flat = np.frombuffer(b"".join([x for _, p in parts for x in (lead, p)]), np.uint8)
+        real = np.ones(len(flat), bool)
+        sizes = np.array([len(p) for _, p in parts])
+        starts = np.cumsum(sizes + PAD) - sizes
+        real[(starts[:, None] - np.arange(1, PAD + 1)).ravel()] = False
+        wide = flat.astype(np.uint64)
+        # the word's beginning as a polynomial, from sums over all bytes
+        breaks = (flat == SPACE) | ~real
+        sums = np.cumsum(np.where(breaks, np.uint64(0), wide + np.uint64(1)) * _INVERSE[:len(flat)])
+        last = np.maximum.accumulate(np.where(breaks, np.arange(len(flat)), 0))
+        last = np.concatenate([[0], last[:-1]])  # the break before each byte
+        total = np.concatenate([[np.uint64(0)], sums[:-1]])
+        word = (total - sums[last]) * _POWERS[:len(flat)]
+        word[~real] = 0
+        if before:
+            first = np.flatnonzero(real & (last == starts[0] - 1))
+            word[first] += np.uint64(before[1]) * _POWERS[first - starts[0]]
+        previous = word[last]
+        if before:
+            previous[first] = np.uint64(before[2])
+        keep = np.flatnonzero(real)
+        context, history = np.zeros(len(keep), np.uint64), {}
+        for back in range(1, PAD + 1):
+            context |= wide[keep - back] << np.uint64(8 * back - 8)
+            if back in ORDERS:
+                history[back] = context.copy()
+        word_, previous_ = word[keep], previous[keep]
+        keys = [*history.values(), word_, word_ * _MIX + previous_ * _ODD + np.uint64(1)]
+        self.data = flat[keep]
+        self.owner = np.repeat([i for i, _ in parts], sizes)
+        high = (self.data >> 4).astype(np.uint64) + np.uint64(1)
+        self.bases = [[], []]
+        for k, key in enumerate(keys):
+            mixed = (key + np.uint64(k + 1)) * _ODD
+            mixed ^= mixed >> np.uint64(29)
+            for half, at in enumerate((mixed, mixed + high * np.uint64(0xD6E8FEB86659FD93))):
+                at = at * _MIX
+                at >>= np.uint64(64 - TABLE_BITS)
+                at &= np.uint64((1 << TABLE_BITS) - 16)
+                self.bases[half].append(at.view(np.int64) + (k << TABLE_BITS))
+        # what a part that goes on must know
+        w = int(word[-1])
+        if flat[-1] == SPACE:
+            self.after = (flat[-PAD:].tobytes(), 0, w)
+        else:
+            grown = (w * 0x2545F4914F6CDD1D + int(flat[-1]) + 1) % (1 << 64)
+            self.after = (flat[-PAD:].tobytes(), grown, int(previous[-1]))
+
+    def halves(self) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """The high and the low half of each byte, and where its slots begin by context."""
+        yield (self.data >> 4).astype(np.int64), self.bases[0]
+        yield (self.data & 15).astype(np.int64), self.bases[1]
+
+
+def blocks(texts: list[bytes]) -> Iterator[Block]:
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) + PAD > BLOCK:
+            yield Block(held, None)
+            held, size = [], 0
+        if len(text) + PAD <= BLOCK:
+            held.append((i, text))
+            size += len(text) + PAD
             continue
-        words, counts = [words[i] for i in known], counts[known]
-        for _, _, alive, bit, _, at in steps(words):
-            for slot in at:
-                for value in (0, 1):
-                    chosen = bit == value
-                    np.add.at(n[value], slot[chosen], counts[alive[chosen]])
-        for i, slot, bit in tails(words):
-            np.add.at(n[0], slot[bit == 0], counts[i])
-            np.add.at(n[1], slot[bit == 1], counts[i])
-    used = np.flatnonzero(n.sum(axis=0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), pa.array(n[0, used]), pa.array(n[1, used])],
-        names=["slot", "zeros", "ones"])
+        before = None
+        for at in range(0, len(text), BLOCK):
+            block = Block([(i, text[at:at + BLOCK])], before)
+            yield block
+            before = block.after
+    if held:
+        yield Block(held, None)
+
+
+def texts_in(batches: Iterator[pa.RecordBatch], spell: Callable) -> Iterator[tuple]:
+    """Tables of rows, their texts as bytes, and how often each counts."""
+    for rows in rows_in(batches, 4_096, 1 << 20):
+        texts = [spell(x) for x in rows["text"].to_pylist()]
+        yield rows, texts, rows["c"].to_numpy().astype(np.float64)
+
+
+def count_rows(batches: Iterator[pa.RecordBatch], spell: Callable) -> Iterator[pa.RecordBatch]:
+    """How often the texts of a task had each half byte after each context, by segments."""
+    n = np.zeros(SLOTS, np.float32)
+    for _, texts, counts in texts_in(batches, spell):
+        for block in blocks(texts):
+            weight = counts[block.owner].astype(np.float32)
+            for value, bases in block.halves():
+                for base in bases:
+                    np.add.at(n, base + value, weight)
+    n = n.reshape(-1, SEGMENT)
+    for segment in np.flatnonzero(n.any(axis=1)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([segment], type=pa.int32()), pa.array([n[segment].tobytes()])],
+            names=["segment", "counts"])
+
+
+def add_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the segments that come to a task, and the log odds of their bits."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for segment, counts in zip(batch.column("segment").to_pylist(), batch.column("counts")):
+            n = np.frombuffer(counts.as_buffer(), np.float32)
+            if segment in held:
+                held[segment] += n
+            else:
+                held[segment] = n.astype(np.float64)
+    for segment, n in held.items():
+        # of 16 half bytes, node 1 is the first bit, and node m is followed by 2m and 2m + 1
+        tree = np.concatenate([np.zeros((SEGMENT // 16, 16)), n.reshape(-1, 16)], axis=1)
+        odds = np.zeros((SEGMENT // 16, 16), np.float32)
+        for node in range(15, 0, -1):
+            zeros, ones = tree[:, 2 * node], tree[:, 2 * node + 1]
+            tree[:, node] = zeros + ones
+            odds[:, node] = np.log((ones + 0.1) / (zeros + 0.1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([segment], type=pa.int32()), pa.array([n.astype(np.float32).tobytes()]),
+             pa.array([odds.tobytes()])], names=["segment", "counts", "odds"])
+
+
+def added(counts: DataFrame) -> DataFrame:
+    return counts.repartition("segment").mapInArrow(
+        add_rows, "segment int, counts binary, odds binary")
+
+
+def odds_of(sums: DataFrame) -> np.ndarray:
+    """The tables, which have a fixed size."""
+    odds = np.zeros((SLOTS // SEGMENT, SEGMENT), np.float32)
+    for row in sums.select("segment", "odds").toLocalIterator():
+        odds[row["segment"]] = np.frombuffer(row["odds"], np.float32)
+    return odds.ravel()
 
 
 def start_weights() -> np.ndarray:
-    """Weights by gate and place: the prefix counts more, the more often it was seen."""
-    w = np.zeros((GATES * PLACES, 2 + len(ORDERS)))
-    trust = np.minimum(1.0, np.arange(GATES) / 4)
-    w[:, 0] = np.repeat(trust, PLACES)
-    w[:, 1:1 + len(ORDERS)] = np.repeat((1 - trust)[:, None] * [0.1, 0.3, 0.6], PLACES, axis=0)
+    """The same weight for all contexts, at every gate and place."""
+    w = np.full((GATES * 8, CONTEXTS + 1), 0.4, np.float32)
+    w[:, -1] = 0
     return w
 
 
 class Mixer:
-    """Predicts the bits of sorted tokens, and learns from them if `learn`."""
+    """Predicts the bits of blocks, and learns from them if `learn`."""
 
     def __init__(self, odds: np.ndarray, weights: np.ndarray, refine: np.ndarray, learn: bool):
-        self.odds, self.weights, self.refine, self.learn = odds, weights.copy(), refine, learn
+        self.odds, self.weights, self.learn = odds, weights.astype(np.float32), learn
+        self.refine = refine.astype(np.float32)
         self.mass = np.zeros(len(weights))
         self.seen = np.zeros((2, GATES * LEVELS))
 
-    def bits(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Bits that each token costs. While learning, a token's own occurrence is left out."""
-        cost = np.zeros(len(words))
-        total = np.full(len(words), counts.sum())
-        own = 1.0 if self.learn else 0.0
-        for j, b, alive, bit, same, at in steps(words):
-            # tokens that agree up to and including this bit lie side by side
-            heads = np.flatnonzero(same <= 8 * j + b)
-            if not len(heads) or heads[0] != 0:
-                heads = np.concatenate([[0], heads])
-            sums = np.add.reduceat(counts[alive], heads)
-            side = np.repeat(sums, np.diff(np.concatenate([heads, [len(alive)]])))
-            before = total[alive]
-            total[alive] = side
-            # the first three bytes may be split over tasks and blocks: no prefix counts there
-            if j < 3:
-                seen, ahead = np.zeros(len(alive)), np.zeros(len(alive))
-            else:
-                seen, ahead = np.maximum(before - own, 0), np.maximum(side - own, 0)
-            toward = np.log((ahead + 0.05) / (seen - ahead + 0.05))
-            x = np.empty((2 + len(ORDERS), len(alive)))
-            x[0] = np.where(bit == 1, toward, -toward)
-            for k, slot in enumerate(at):
-                x[1 + k] = self.odds[slot]
-            x[-1] = 0.3
-            gate = np.minimum(np.frexp(seen)[1], GATES - 1)
-            chosen = gate * PLACES + min(j, PLACES - 1)
-            mixed = np.clip((x * self.weights[chosen].T).sum(axis=0), -20, 20)
-            p = 1 / (1 + np.exp(-mixed))
-            level = np.clip((mixed + 12) * ((LEVELS - 1) / 24), 0, LEVELS - 1)
-            near = gate * LEVELS + np.rint(level).astype(np.int64)
-            if self.learn:
-                weight = counts[alive]
-                error = (bit - p) * weight
-                curve = np.maximum(p * (1 - p), 1e-4) * weight
-                size = len(self.weights)
-                for i in range(len(x)):
-                    up = np.bincount(chosen, weights=error * x[i], minlength=size)
-                    by = np.bincount(chosen, weights=curve * x[i] * x[i], minlength=size)
-                    # steps shrink as a gate has seen more
-                    self.weights[:, i] += np.clip(RATE / len(x) * up / (by + 1.0), -0.2, 0.2)
-                self.mass += np.bincount(chosen, weights=weight, minlength=size)
-                for value in (0, 1):
-                    self.seen[value] += np.bincount(
-                        near, weights=weight * (bit == value), minlength=GATES * LEVELS)
-            else:
-                p = (p + self.refine[near]) / 2
-                cost[alive] -= np.log2(np.where(bit == 1, p, 1 - p))
-        if not self.learn:
-            for i, slot, bit in tails(words):
-                p = 1 / (1 + np.exp(-self.odds[slot]))
-                cost[i] -= np.log2(np.where(bit == 1, p, 1 - p)).sum()
+    def bits(self, block: Block, counts: np.ndarray | None = None) -> np.ndarray:
+        """Bits that each byte costs."""
+        size = len(block.data)
+        cost = np.zeros(size, np.float32)
+        x = np.empty((CONTEXTS + 1, size), np.float32)
+        x[-1] = 0.3
+        b = 0
+        for value, bases in block.halves():
+            node = np.ones(size, np.int64)
+            right = np.ones(size, np.float32)
+            for shift in (3, 2, 1, 0):
+                bit = (value >> shift) & 1
+                for k, base in enumerate(bases):
+                    self.odds.take(base + node, out=x[k], mode="clip")
+                if shift == 3:
+                    gate = np.zeros(size, np.int64)
+                    for k, step in ((-3, 4), (-2, 1)):
+                        odds = np.abs(x[k])
+                        for border in SURE:
+                            gate += (odds > border) * step
+                table = np.ascontiguousarray(self.weights[b::8].T)
+                mixed = table[0].take(gate) * x[0]
+                for k in range(1, CONTEXTS + 1):
+                    mixed += table[k].take(gate) * x[k]
+                np.clip(mixed, -12, 12, out=mixed)
+                p = 1 / (1 + np.exp(-mixed))
+                mixed += 12
+                mixed *= (LEVELS - 1) / 24
+                near = (mixed + np.float32(0.5)).astype(np.int64)
+                near += gate * LEVELS
+                if self.learn:
+                    self._step(x, bit, p, gate * 8 + b, near, counts)
+                else:
+                    p += self.refine.take(near)
+                    p *= 0.5
+                    np.clip(p, 2.0 ** -20, 1 - 2.0 ** -20, out=p)
+                    # 1 - p where the bit is 0
+                    right *= np.abs(p - (1 - bit).astype(np.float32))
+                node = (node << 1) | bit
+                b += 1
+            cost -= np.log2(right)
         return cost
 
-
-def learn_rows(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    def _step(self, x, bit, p, chosen, near, counts) -> None:
+        error = (bit - p) * counts
+        curve = np.maximum(p * (1 - p), 1e-4) * counts
+        size = len(self.weights)
+        for i in range(len(x)):
+            up = np.bincount(chosen, weights=error * x[i], minlength=size)
+            by = np.bincount(chosen, weights=curve * x[i] * x[i], minlength=size)
+            self.weights[:, i] += np.clip(RATE / len(x) * up / (by + 1.0), -0.2, 0.2)
+        self.mass += np.bincount(chosen, weights=counts, minlength=size)
+        for value in (0, 1):
+            self.seen[value] += np.bincount(
+                near, weights=counts * (bit == value), minlength=GATES * LEVELS)
+
+
+def learn_rows(batches: Iterator[pa.RecordBatch], spell: Callable, sent) -> Iterator[pa.RecordBatch]:
     """What a task learned, one number per row: key, value, mass."""
-    odds = sent.value[0]
     weights = start_weights()
-    mixer = Mixer(odds, weights, np.zeros(GATES * LEVELS), True)
-    for words, counts in blocks(batches):
-        known = np.flatnonzero(counts > 0)
-        if len(known):
-            mixer.bits([words[i] for i in known], counts[known])
+    mixer = Mixer(sent.value[0], weights, np.zeros(GATES * LEVELS), True)
+    for _, texts, counts in texts_in(batches, spell):
+        for block in blocks(texts):
+            mixer.bits(block, counts[block.owner])
     mass = np.concatenate([np.repeat(mixer.mass, weights.shape[1]), np.ones(mixer.seen.size)])
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(mass), dtype=np.int32)),
-         pa.array(np.concatenate([mixer.weights.ravel(), mixer.seen.ravel()])), pa.array(mass)],
-        names=["key", "value", "mass"])
+         pa.array(np.concatenate([mixer.weights.ravel(), mixer.seen.ravel()]).astype(np.float64)),
+         pa.array(mass)], names=["key", "value", "mass"])
 
 
-def score_rows(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    odds, weights, refine = sent.value
-    mixer = Mixer(odds, weights, refine, False)
-    for words, counts in blocks(batches):
-        bits = mixer.bits(words, counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words, type=pa.binary()), pa.array(bits)], names=["word", "bits"])
+def score_rows(batches: Iterator[pa.RecordBatch], spell: Callable, sent) -> Iterator[pa.RecordBatch]:
+    mixer = Mixer(*sent.value, False)
+    for rows, texts, _ in texts_in(batches, spell):
+        bits = np.zeros(len(texts))
+        for block in blocks(texts):
+            bits += np.bincount(block.owner, weights=mixer.bits(block), minlength=len(texts))
+        yield from rows.drop_columns(["text", "c"]).append_column(
+            "bits", pa.array(bits)).to_batches()
 
 
 def numbers(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
@@ -254,90 +323,69 @@ def numbers(rows: DataFrame, columns: list[str]) -> list[np.ndarray]:
     return [got[c].combine_chunks().to_numpy(zero_copy_only=False) for c in columns]
 
 
-def token_bits(tokens: DataFrame) -> DataFrame:
-    """The rows of a stored table of word, c (occurrences in training texts), with their bits."""
-    spark = tokens.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = tokens.select("word", "c").repartition(
-        tasks, F.substring("word", 1, 3)).sortWithinPartitions("word")
-    slot, zeros, ones = numbers(sorted_.mapInArrow(
-        count_bits, "slot int, zeros double, ones double").groupBy("slot").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")), ["slot", "zeros", "ones"])
-    odds = np.zeros(len(ORDERS) << TABLE_BITS)
-    odds[slot] = np.log((ones + 0.4) / (zeros + 0.4))
-    context = spark.sparkContext
-    first = context.broadcast((odds,))
-    key, value, mass, plain = numbers(sorted_.mapInArrow(
-        lambda b: learn_rows(b, first), "key int, value double, mass double").groupBy("key").agg(
+def text_bits(texts: DataFrame, spell: Callable) -> DataFrame:
+    """The rows of a stored table of text, c (how often it is learned from) and further columns; bits
+    instead of text and c."""
+    context = texts.sparkSession.sparkContext
+    learned = texts.filter("c > 0").select("text", F.col("c").cast("double").alias("c"))
+    teaches = F.pmod(F.xxhash64("text"), F.lit(TEACHES)) == 0
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(lambda b: count_rows(b, spell), "segment int, counts binary")
+
+    base = stored(added(counted(learned.filter(~teaches))), "mixing-counts")
+    first = context.broadcast((odds_of(base),))
+    weights = start_weights()
+    key, value, mass, plain = numbers(learned.filter(teaches).mapInArrow(
+        lambda b: learn_rows(b, spell, first), "key int, value double, mass double"
+    ).groupBy("key").agg(
         F.sum(F.col("value") * F.col("mass")).alias("value"), F.sum("mass").alias("mass"),
         F.sum("value").alias("plain")), ["key", "value", "mass", "plain"])
-    weights = start_weights()
-    learned = np.concatenate([weights.ravel(), np.zeros(2 * GATES * LEVELS)])
+    numbers_ = np.concatenate([weights.ravel(), np.zeros(2 * GATES * LEVELS)]).astype(np.float64)
     is_weight = key < weights.size
     use = is_weight & (mass > 0)
-    learned[key[use]] = value[use] / mass[use]
-    learned[key[~is_weight]] = plain[~is_weight]
-    weights = learned[:weights.size].reshape(weights.shape)
-    seen = learned[weights.size:].reshape(2, -1)
-    level = np.tile(np.linspace(-12, 12, LEVELS), GATES)
-    prior = 1 / (1 + np.exp(-level))
+    numbers_[key[use]] = value[use] / mass[use]
+    numbers_[key[~is_weight]] = plain[~is_weight]
+    weights = numbers_[:weights.size].reshape(weights.shape)
+    seen = numbers_[weights.size:].reshape(2, -1)
+    prior = 1 / (1 + np.exp(-np.tile(np.linspace(-12, 12, LEVELS), GATES)))
     refine = (seen[1] + 10 * prior) / (seen.sum(axis=0) + 10)
-    second = context.broadcast((odds, weights, refine))
-    bits = sorted_.mapInArrow(lambda b: score_rows(b, second), "word binary, bits double")
-    return tokens.join(bits, "word")
+    whole = added(base.select("segment", "counts").unionByName(
+        counted(learned.filter(teaches))))
+    second = context.broadcast((odds_of(whole), weights, refine))
+    kept = [f for f in texts.schema.fields if f.name not in ("text", "c")]
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "bits double"])
+    return texts.select("text", F.col("c").cast("double").alias("c"), *[f.name for f in kept]
+                        ).mapInArrow(lambda b: score_rows(b, spell, second), schema)
 
 
-def groups_of(docs: DataFrame, trains: Column, group: str) -> Column:
-    """Number of a training row's group: the GROUPS - 1 most frequent values, all others together."""
-    top = docs.filter(trains & F.col(group).isNotNull()).groupBy(group).count().orderBy(
-        F.desc("count"), group).limit(GROUPS - 1).collect()
-    number = F.lit(GROUPS - 1)
-    for i, r in enumerate(top):
-        number = F.when(F.col(group) == r[group], i).otherwise(number)
-    return F.when(trains, number)
+def token_bits(tokens: DataFrame) -> DataFrame:
+    """The rows of a stored table of word, c (occurrences in training) with the bits of each word as
+    a text's only word."""
+    return text_bits(tokens.select("*", F.col("word").alias("text")), spelled_word).join(
+        tokens.select("word", "c"), "word")
 
 
-def scored(docs: DataFrame, trains: Column, id: str = "doc_id", text: str = "text",
-           group: str = "lang") -> DataFrame:
+def scored(docs: DataFrame, trains: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte per row.
 
-    trains: whether a row's text is learned from. group: a column of few values, which training
-    texts are grouped by. Inside a group a token's probability is its discounted share of the group's
-    tokens, and the rest of the probability is spelled by the mixed bits. A text's score is its
-    probability under the groups, each taken with its share: no text's own group is looked at.
+    trains: whether a row's text is learned from.
     """
-    table = frequencies(docs, tokens_of, id, text, groups_of(docs, trains, group), GROUPS)
-    counts = [f"c{g}" for g in range(GROUPS)]
+    rows = stored(numbered(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"),
+                                       F.when(trains, 1).otherwise(0).alias("c"))), "mixing-texts")
+    table = frequencies(rows, tokens_of, "row_id", "text", F.when(F.col("c") > 0, 0), 1)
     tokens = stored(table.filter("word is not null").groupBy("word").agg(
-        *[F.sum(c).alias(c) for c in counts]).withColumn(
-        "c", sum((F.col(c) for c in counts[1:]), F.col("c0"))), "mixing-tokens")
-    total = tokens.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"n_{c}") for c in ["c", *counts]],
-                       *[F.count(F.when(F.col(c) > 0, 1)).alias(f"v_{c}") for c in ["c", *counts]]
-                       ).first()
-    bits = token_bits(tokens).select("word", *counts, "c", "bits")
-    spelled_as = F.col("bits") * -math.log10(2)
-
-    def in_group(c: str) -> Column:
-        n, v = total[f"n_{c}"], total[f"v_{c}"]
-        if not n:
-            return spelled_as
-        rest = DISCOUNT * v / n
-        share = (F.col(c) - DISCOUNT) / F.lit(float(n))
-        return F.when(F.col(c) > 0, F.log10(share + rest * F.pow(F.lit(10.0), spelled_as))
-                      ).otherwise(spelled_as + math.log10(rest))
-
-    values = bits.select(
+        F.sum("c0").alias("c")), "mixing-tokens")
+    n, v = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    values = tokens.select(
         "word", (F.col("c") > 0).cast("double").alias("n_known"),
-        F.log10((F.col("c") + 1) / F.lit(float(total["n_c"] + total["v_c"] + 1))
-                ).alias("base_score"), *[in_group(c).alias(f"s{c}") for c in counts])
-    out = document_sums(table, values, ["n_known", "base_score", *[f"s{c}" for c in counts]])
-    best = F.greatest(*[F.col(f"s{c}") for c in counts])
-    weight = [(total[f"n_{c}"] + 1) / (total["n_c"] + GROUPS) for c in counts]
-    score = best + F.log10(sum((F.pow(F.lit(10.0), F.col(f"s{c}") - best) * w
-                                for c, w in zip(counts, weight)), F.lit(0.0)))
-    out = out.withColumn("score", score)
+        F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))).alias("base_score"))
+    sums = document_sums(table, values, ["n_known", "base_score"]).withColumnRenamed(
+        "doc_id", "row_id")
+    out = sums.join(text_bits(rows, spelled_text), "row_id")
     return out.select(
         "doc_id", "n_bytes", F.col("n_words").alias("n_tokens"),
         F.col("n_known").cast("long").alias("n_known"),
-        F.lit(total["n_c"]).cast("long").alias("train_tokens"), "base_score", "score",
-        F.try_divide(F.col("score") / -math.log10(2), F.col("n_bytes")).alias("bits_per_byte"))
+        F.lit(n).cast("long").alias("train_tokens"), "base_score",
+        (F.col("bits") * -math.log10(2)).alias("score"),
+        F.try_divide("bits", "n_bytes").alias("bits_per_byte"))
