@@ -236,3 +236,34 @@ def test_exactly_once_consumer(spark, tmp_path):
     assert sorted(seen) == [1, 2, 3, 4]
     work(ids, 0)  # a repeated batch does its own ids again, nobody else's
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/ledger").collect()) == [1, 2, 3, 4]
+
+
+def test_join_within_by_batches(spark, tmp_path):
+    """Pairs across batches, equal rows, rows without key or time, and a late row."""
+    both = spark.sql("""SELECT * FROM VALUES
+        (1L, 'T', 1, TIMESTAMP_NTZ'2024-01-01 10:00:00'), (1L, 'T', 1, TIMESTAMP_NTZ'2024-01-01 10:00:00'),
+        (2L, 'T', 2, TIMESTAMP_NTZ'2024-01-01 11:00:00'), (NULL, 'T', 3, TIMESTAMP_NTZ'2024-01-01 12:00:00'),
+        (5L, 'T', 8, NULL), (1L, 'R', 4, TIMESTAMP_NTZ'2024-01-02 10:00:00'),
+        (1L, 'R', 5, TIMESTAMP_NTZ'2024-01-02 10:00:01'), (2L, 'R', 6, TIMESTAMP_NTZ'2024-01-01 10:00:00'),
+        (9L, 'T', 7, TIMESTAMP_NTZ'2024-03-01 10:00:00'), (9L, 'R', 8, TIMESTAMP_NTZ'2024-03-01 10:00:00')
+        AS t(id, side, v, ts)""")
+    want = {(1, 1, 4): 2, (2, 2, None): 1, (None, 3, None): 1, (5, 8, None): 1, (9, 7, 8): 1}
+
+    def joined(path):
+        return state.JoinWithin(
+            spark, path, "id", "1 day", "1 hour",
+            lambda df: df.filter("side = 'T'").drop("side"),
+            lambda df: df.filter("side = 'R'").select("id", F.col("v").alias("r"), "ts"))
+    for slices in (1, 4):
+        join = joined(f"{tmp_path}/{slices}")
+        sinks.run(streams.replay(both, f"{tmp_path}/{slices}-in", "ts", slices),
+                  f"{tmp_path}/{slices}-cp", each=join.write)
+        join.finish()
+        got = {}
+        for r in join.read().select("id", "v", "r").collect():
+            got[tuple(r)] = got.get(tuple(r), 0) + 1
+        assert got == want
+    late = joined(f"{tmp_path}/late")
+    late.write(both.filter("id = 9"), 0)
+    with pytest.raises(RuntimeError, match="after the watermark"):
+        late.write(both.filter("id = 1"), 1)

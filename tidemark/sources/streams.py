@@ -95,7 +95,7 @@ def replay(df: DataFrame, path: str, ts: str, triggers: int = 4,
 
 
 #: rows of a file of a slice
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 500_000
 
 
 def _slice(df: DataFrame, path: str, files: int) -> None:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import feed_from_log
 from ..operators.clean import latest_by_key
+from ..sources.paths import delete, names
 from .keyed import KeyedRuns
 from .pipelines import without_zone
 from .sinks import UpsertTable, append_batches, batch_path
@@ -115,3 +116,88 @@ class LeftJoin:
         net = log.groupBy(*columns).agg(F.sum("sign").alias("_n")).filter("_n > 0")
         return net.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
             *columns)
+
+
+class JoinWithin:
+    """Left rows with the right rows of their key that follow within an interval, batch by batch.
+
+    The batches bring both sides in event-time order. What is kept between them is what can still meet:
+    left rows whose interval has not passed, with a mark whether they met, and right rows of the last
+    ``delay``. A batch joins its rows with these, emits the pairs and, alone, the left rows whose
+    interval has passed unmet; ``finish`` emits the unmet rest. All joins are ordinary ones, so
+    partitions of a hot key are split. A row earlier than the watermark is refused. Writes ``open/``,
+    ``recent/``, ``ends/`` and ``out/``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, within: str, delay: str,
+                 left: Callable[[DataFrame], DataFrame], right: Callable[[DataFrame], DataFrame],
+                 ts: str = "ts"):
+        self.spark, self.path, self.key, self.ts = spark, path, key, ts
+        self.within, self.delay = F.expr(f"INTERVAL {within}"), F.expr(f"INTERVAL {delay}")
+        self.sides = left, right
+
+    def _time(self, value) -> Column:
+        return F.lit(None if value is None else str(value)).cast("timestamp_ntz")
+
+    def _kept(self, name: str, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(batch_path(f"{self.path}/{name}", batch_id))
+
+    def _store(self, rows: DataFrame, name: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(batch_path(f"{self.path}/{name}", batch_id))
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        rows = without_zone(df).withColumn(self.ts, F.col(self.ts).cast("timestamp_ntz"))
+        mark = None
+        left, right = (side(rows) for side in self.sides)
+        right = right.withColumnRenamed(self.ts, "_right_ts")
+        left = left.withColumns({"_met": F.lit(False), "_old": F.lit(False)})
+        seen = rows.agg(F.min(self.ts).alias("first"), F.max(self.ts).alias("last"))
+        if batch_id:
+            mark = self._time(self._kept("ends", batch_id - 1).first()["last"])
+            seen = seen.select("first", F.greatest("last", mark).alias("last"))
+            left = left.unionByName(self._kept("open", batch_id - 1).withColumn("_old", F.lit(True)))
+        self._store(seen.coalesce(1), "ends", batch_id)
+        ends = self._kept("ends", batch_id)
+        if mark is not None and ends.filter(F.col("first") < mark - self.delay).count():
+            raise RuntimeError(f"rows of {ends.first()['first']} came after the watermark")
+        fresh = right.withColumn("_new", F.lit(True))
+        if batch_id:
+            # an old pair was emitted before: new left rows meet kept right rows, all meet new ones
+            fresh = fresh.unionByName(self._kept("recent", batch_id - 1).withColumn(
+                "_new", F.lit(False)))
+        numbered = left.withColumn("_row", F.monotonically_increasing_id())
+        self._store(numbered, "left", batch_id)  # fixes the numbers
+        numbered = self._kept("left", batch_id)
+        pairs = numbered.join(fresh, self.key).filter(
+            (F.col("_right_ts") >= F.col(self.ts))
+            & (F.col("_right_ts") <= F.col(self.ts) + self.within)
+            & (F.col("_new") | ~F.col("_old"))).drop("_old", "_new", self.ts, "_met", "_right_ts")
+        self._store(pairs, "pairs", batch_id)
+        pairs = self._kept("pairs", batch_id)
+        after = numbered.join(pairs.select("_row").distinct().withColumn("_now", F.lit(True)), "_row",
+                              "left").withColumn("_met", F.col("_met") | F.col("_now").isNotNull())
+        closes = self._time(ends.first()["last"]) - self.delay
+        passed = F.coalesce(F.col(self.ts) + self.within < closes, F.lit(True))
+        alone = after.filter(passed & ~F.col("_met")).select(*[
+            F.col(c) if c in after.columns else F.lit(None).cast(pairs.schema[c].dataType).alias(c)
+            for c in pairs.columns])
+        self._store(pairs.unionByName(alone).drop("_row"), "out", batch_id)
+        self._store(after.filter(~passed).drop("_row", "_now", "_old"), "open", batch_id)
+        self._store(fresh.filter(F.col("_right_ts") >= closes).drop("_new"), "recent", batch_id)
+        for name in ("left", "pairs"):
+            delete(self.spark, batch_path(f"{self.path}/{name}", batch_id))
+        for name in ("open", "recent"):  # a repeated batch needs those of the one before
+            delete(self.spark, batch_path(f"{self.path}/{name}", batch_id - 2))
+
+    def finish(self) -> None:
+        """The input has ended: left rows that are still open and unmet come out alone."""
+        last = max(int(n.split("=")[1]) for n in names(self.spark, f"{self.path}/ends")
+                   if n.startswith("batch_id="))
+        out = self._kept("out", last)
+        rest = self._kept("open", last).filter(~F.col("_met"))
+        self._store(rest.select(*[
+            F.col(c) if c in rest.columns else F.lit(None).cast(out.schema[c].dataType).alias(c)
+            for c in out.columns]), "out", last + 1)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/out").drop("batch_id")
