@@ -267,3 +267,37 @@ def test_join_within_by_batches(spark, tmp_path):
     late.write(both.filter("id = 9"), 0)
     with pytest.raises(RuntimeError, match="after the watermark"):
         late.write(both.filter("id = 1"), 1)
+
+
+def test_pane_sums_of_new_rows(spark, tables, lines, tmp_path):
+    """Copies in the same and in a later batch count once; windows are the sums of their panes."""
+    rows = spark.sql("""SELECT * FROM VALUES (1, 10, TIMESTAMP_NTZ'2024-01-01 10:00:00'),
+        (1, 10, TIMESTAMP_NTZ'2024-01-01 10:00:00'), (1, 10, TIMESTAMP_NTZ'2024-01-01 10:01:00'),
+        (NULL, 5, TIMESTAMP_NTZ'2024-01-01 10:01:00'), (1, NULL, TIMESTAMP_NTZ'2024-01-01 10:02:00')
+        AS t(k, v, ts)""")
+    each = sinks.pane_sums(f"{tmp_path}/out", ["k"], "1 hour", "v",
+                           rows=sinks.new_rows(f"{tmp_path}/seen", "5 minutes"))
+    each(rows, 0)
+    each(rows.unionByName(spark.sql("SELECT 1, 7, TIMESTAMP_NTZ'2024-01-01 11:00:00'").toDF(
+        "k", "v", "ts")), 1)
+    for _ in range(2):  # a repeated batch replaces itself
+        each(spark.sql("SELECT 1, 7, TIMESTAMP_NTZ'2024-01-01 11:00:00'").toDF("k", "v", "ts"), 2)
+    got = spark.read.parquet(f"{tmp_path}/out").groupBy("k", F.hour("pane").alias("h")).agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"))
+    assert {tuple(r) for r in got.collect()} == {(1, 10, 3, 20), (None, 10, 1, 5), (1, 11, 1, 7)}
+    with pytest.raises(RuntimeError, match="after the watermark"):
+        each(rows, 3)
+
+
+def test_large_replays_need_no_state_store(spark, monkeypatch):
+    """These queries held a row of state per line, event and window in a state store."""
+    from tidemark.plans import plans
+    from tidemark.streaming import sinks as used
+
+    ended = []
+    run = used.run
+    monkeypatch.setattr(used, "run", lambda *a, **k: ended.append(run(*a, **k)) or ended[-1])
+    for name in ("mv_cascade", "running_last_interval", "stream_fraud_score", "join_within"):
+        assert plans()[name](spark, "/root/testdata/sf0.001").count()
+        assert len(ended[-1].recentProgress) == 4
+        assert not any(p.stateOperators for p in ended[-1].recentProgress)

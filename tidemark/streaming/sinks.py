@@ -13,6 +13,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..operators.aggregates import partial_sums
 from ..operators.clean import latest_by_key
+from ..operators.windows import hop_starts
 from ..sources import paths
 from .keyed import KeyedRuns
 from .pipelines import without_zone
@@ -132,6 +133,69 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def pane_sums(path: str, keys: Sequence[str], pane: str, measure: str, ts: str = "ts",
+              rows: Callable[[DataFrame, int], DataFrame] | None = None
+              ) -> Callable[[DataFrame, int], None]:
+    """Every batch is reduced to one row per key and pane of time before anything is kept: ``n`` and
+    ``s``. Sums of a pane from several batches add up, so a window is the sum of its panes in all
+    batches, and rows may come in any order. ``rows`` is applied to a batch first."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        batch = without_zone(df)
+        batch = batch if rows is None else rows(batch, batch_id)
+        batch.groupBy(*keys, F.window(ts, pane).start.alias("pane")).agg(
+            F.count("*").alias("n"), F.sum(measure).alias("s")).write.mode("overwrite").parquet(
+            batch_path(path, batch_id))
+    return write
+
+
+def spread_panes(panes: DataFrame, keys: Sequence[str], slide: str, count: int) -> DataFrame:
+    """Stored panes copied into the ``count`` windows that they belong to, dealt out by key and window.
+
+    Panes are dense files: to aggregate where they are read, or in partitions merged by their packed
+    size, would hold many millions of windows in a task. The number of partitions follows the rows.
+    """
+    tasks = max(int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                panes.count() * count // ROWS_PER_TASK)
+    return panes.withColumn("window_start", F.explode(hop_starts("pane", slide, count))).repartition(
+        tasks, *keys, "window_start")
+
+
+#: rows of windows that a task aggregates
+ROWS_PER_TASK = 1_000_000
+
+
+def new_rows(path: str, delay: str, ts: str = "ts") -> Callable[[DataFrame, int], DataFrame]:
+    """The distinct rows of a batch that were not in an earlier one.
+
+    Rows come at most ``delay`` after later ones, so only the rows of the last ``delay`` are kept for
+    the next batch; a row that is later than that is refused. Writes ``recent/`` and ``ends/``.
+    """
+    def pick(df: DataFrame, batch_id: int) -> DataFrame:
+        spark, late = df.sparkSession, F.expr(f"INTERVAL {delay}")
+        rows = df.withColumn("_time", F.col(ts).cast("timestamp_ntz")).dropDuplicates()
+        seen = rows.agg(F.min("_time").alias("first"), F.max("_time").alias("last"))
+        recent = None
+        if batch_id:
+            before = spark.read.parquet(batch_path(f"{path}/ends", batch_id - 1))
+            recent = spark.read.schema(rows.schema).parquet(batch_path(f"{path}/recent", batch_id - 1))
+            if seen.crossJoin(before.select(F.col("last").alias("mark"))).filter(
+                    F.col("first") < F.col("mark") - late).count():
+                raise RuntimeError("rows came after the watermark")
+            rows = rows.alias("a").join(recent.alias("b"), [
+                F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in rows.columns], "left_anti")
+            seen = seen.select("first", "last").unionByName(before).agg(
+                F.min("first").alias("first"), F.max("last").alias("last"))
+        seen.write.mode("overwrite").parquet(batch_path(f"{path}/ends", batch_id))
+        last = spark.read.parquet(batch_path(f"{path}/ends", batch_id)).first()["last"]
+        border = F.lit(None if last is None else str(last)).cast("timestamp_ntz") - late
+        # rows without a time are in no window, but may come again at any time
+        kept = rows if recent is None else rows.unionByName(recent)
+        kept.filter((F.col("_time") >= border) | F.col("_time").isNull()).write.mode(
+            "overwrite").parquet(batch_path(f"{path}/recent", batch_id))
+        return rows.drop("_time")
+    return pick
+
+
 def collapse_log(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Final values from an append-only log: the row of the greatest batch per key."""
     rest = [c for c in log.columns if c not in set(keys) | {"batch_id"}]
