@@ -1,6 +1,7 @@
 """Near-duplicates, toxicity, wrappers, fixity, language-model scores and the pipeline."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -18,6 +19,7 @@ from tidemark.llm import context_mixing, fixity, near_duplicates, toxicity, wrap
 from tidemark.llm.common import stored
 from tidemark.llm.queries import held_out, queries, tokenizer_path
 from tidemark.llm.sql import ORACLES
+from tidemark.session import shared_dir
 
 
 def edit_distance(a, b):
@@ -179,6 +181,49 @@ def test_all_links_of_the_small_table(spark):
         i: i for i, t in rows if not near_duplicates.words_of(t)}
 
 
+def test_fine_bins_leave_out_long_texts_and_never_a_link():
+    rng = np.random.default_rng(3)
+    common = 1 + rng.zipf(1.3, 200_000) % 20_000
+    for n in (300, 1000, 4000, 40_000, 90_000):
+        x, y = (rng.choice(common, n).astype(np.uint32) for _ in "ab")
+        near = x.copy()
+        near[rng.choice(n, n // 5, replace=False)] = rng.integers(0, 1 << 32, n // 5, dtype=np.uint32)
+        near = np.delete(near, slice(0, n // 50)) if n % 3 else near
+        for a, b in ((x, y), (x, near)):
+            fine = [near_duplicates.fine_bins(near_duplicates.fine_bag_of(w)) for w in (a, b)]
+            assert near_duplicates.fine_apart(*fine) <= n - near_duplicates.shared_words(a, b)
+    # texts of 4000 words of which half are of their own fill 256 bins alike, but not 4096
+    x, y = (np.concatenate([np.arange(2000), rng.integers(0, 1 << 32, 2000)]).astype(np.uint32)
+            for _ in "ab")
+    bags = [near_duplicates.bag_of(w)[None].astype(np.int16) for w in (x, y)]
+    assert near_duplicates.apart(*bags)[0] <= 800
+    block = {"root": np.arange(2), "size": np.full(2, 4000), "node": np.arange(2), "salt": np.zeros(2),
+             "bag": np.concatenate(bags), "fine": [near_duplicates.fine_bag_of(w) for w in (x, y)]}
+    for nearest in (1, None):
+        assert sum(len(a) for a, _ in near_duplicates.block_pairs(block, True, nearest, 0.8)) == 0
+
+
+def test_sketches_are_gone_when_texts_move(documents, monkeypatch):
+    """Aligning moves texts as large as the documents; the sketches of all rows are not kept beside it."""
+    seen, linked = [], near_duplicates.linked
+
+    def watched(pairs, texts, similarity):
+        base = os.path.dirname(texts.inputFiles()[0].removeprefix("file:"))
+        seen.append([n for n in os.listdir(os.path.dirname(base)) if n.startswith("near-sketches")])
+        return linked(pairs, texts, similarity)
+
+    def found():
+        return {r.doc_id: r.class_id for r in near_duplicates.classes(documents(rows)).collect()}
+
+    rows = [(i, " ".join(f"w{i // 5}x{j}" for j in range(30)) + f" e{i}") for i in range(60)]
+    before = set(os.listdir(os.path.dirname(shared_dir(documents([]).sparkSession, "x"))))
+    monkeypatch.setattr(near_duplicates, "linked", watched)
+    assert found() == {i: i // 5 * 5 for i in range(60)}
+    assert seen and not any(set(s) - before for s in seen)
+    monkeypatch.setattr(near_duplicates, "MOVED", 0.1)  # many rounds
+    assert found() == {i: i // 5 * 5 for i in range(60)}
+
+
 def test_components(spark):
     r = random.Random(3)
     path = list(range(400))

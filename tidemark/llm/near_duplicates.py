@@ -13,7 +13,8 @@ Equal texts (same words) are one node from the start. Each text is first compare
 its buckets, which joins most of a large group. Where a bucket still holds several classes, all its
 pairs of different classes are candidates, in blocks of `BLOCK` by `BLOCK` texts that Spark shuffles;
 what the numbers of words, or of words in each of `BINS` bins, show to be too far apart is left out,
-as no alignment can bring it back. The `NEAREST` of each text are aligned before the rest, so that
+as no alignment can bring it back; long texts, which fill those bins evenly, are also compared by about
+as many bins as they have words. The `NEAREST` of each text are aligned before the rest, so that
 most pairs of the last round are in one class by then and need no alignment. No bucket is capped.
 Classes are the connected components, found by contracting edges.
 
@@ -42,7 +43,7 @@ SIMILARITY = 0.8
 BLOCK, BINS, NEAREST = 256, 256, 1
 BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 #: words that a round of comparisons may move, in terms of those of all texts
-MOVED = 4
+MOVED = 1.5
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
@@ -57,6 +58,10 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
 
 SEEDS = [mixed_bits(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(t << 32))
          for t, (_, _, n) in enumerate(TIERS)]
+#: a hash function of 32-bit items: what they are crossed with, and the odd number they are multiplied by
+CROSSED = [s.astype(np.uint32) for s in SEEDS]
+FACTORS = [(s >> np.uint64(32)).astype(np.uint32) | np.uint32(1) for s in SEEDS]
+LAST = np.uint32(0xFFFFFFFF)
 
 
 def occurrence_labels(values: np.ndarray) -> np.ndarray:
@@ -75,19 +80,22 @@ def sketches(words: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     words. A tier holds every text whose longer partner may be in it."""
     items = mixed_bits(words.astype(np.uint64) + np.uint64(1))
     labelled = items + occurrence_labels(items) * np.uint64(0xD6E8FEB86659FD93)
+    labelled = (labelled >> np.uint64(32)).astype(np.uint32)
     out = []
     for t, (start, picked, _) in enumerate(TIERS):
         end = TIERS[t + 1][0] if t + 1 < len(TIERS) else len(items) + 1
         if not start * similarity - 1e-9 <= len(items) < end:
             continue
         picked = min(picked, len(items))
-        step = max(1, (1 << 18) // len(items))  # hash functions at a time: bounded memory
+        step = max(1, (1 << 16) // len(items))  # hash functions at a time: bounded memory
         for a in range(0, len(SEEDS[t]), step):
-            seeds = SEEDS[t][a:a + step, None]
-            values = mixed_bits(labelled[None, :] ^ seeds)
-            least = np.argpartition(values, picked - 1, axis=1)[:, :picked]
+            key = SEEDS[t][a:a + step]
+            values = (labelled ^ CROSSED[t][a:a + step, None]) * FACTORS[t][a:a + step, None]
+            least = np.empty((len(key), picked), np.int64)
+            for column in range(picked):
+                least[:, column] = at = values.argmin(axis=1)
+                values[np.arange(len(key)), at] = LAST
             least.sort(axis=1)  # the order in the text
-            key = seeds[:, 0]
             for column in range(picked):
                 key = mixed_bits(key + items[least[:, column]])
             out.append(key)
@@ -101,10 +109,43 @@ def bag_of(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8)
 
 
+def fine_bag_of(words: np.ndarray) -> bytes:
+    """How many words, at most 3, fall into each of about as many bins as there are words, four bins
+    in a byte; nothing for a text that `bag_of` tells apart as well."""
+    if len(words) <= BINS:
+        return b""
+    bits = min((len(words) - 1).bit_length(), 16)
+    bins = (words.astype(np.uint64) * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> \
+        np.uint64(32 - bits)
+    counts = np.minimum(np.bincount(bins.astype(np.int64), minlength=1 << bits), 3).astype(np.uint8)
+    return (counts.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(
+        axis=1, dtype=np.uint8).tobytes()
+
+
+def fine_bins(bag: bytes) -> np.ndarray:
+    packed = np.frombuffer(bag, np.uint8)[:, None]
+    return (packed >> np.arange(0, 8, 2, dtype=np.uint8) & 3).astype(np.int8).ravel()
+
+
+def folded(bins: np.ndarray, size: int) -> np.ndarray:
+    """The same text's counts in fewer bins."""
+    while len(bins) > size:
+        bins = np.minimum(bins[::2] + bins[1::2], 3)
+    return bins
+
+
+def fine_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """The edits that fine bins need at least."""
+    size = min(len(x), len(y))
+    d = folded(x, size) - folded(y, size)
+    more = int(np.maximum(d, 0).sum(dtype=np.int64))
+    return max(more, more - int(d.sum(dtype=np.int64)))
+
+
 def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, int] = {}
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
-        digest, signs, bags, sequence, size = [], [], [], [], []
+        digest, signs, bags, fine, sequence, size = [], [], [], [], [], []
         if len(known) > 1_000_000:
             known.clear()
         for text in rows["text"].to_pylist():
@@ -117,13 +158,14 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
             signs.append(sketches(hashed, similarity).view(np.int64) if words else None)
             size.append(len(words))
             bags.append(bag_of(hashed).tobytes())
+            fine.append(fine_bag_of(hashed))
             sequence.append(packed(hashed))
         yield pa.RecordBatch.from_arrays(
             [rows["row_id"].combine_chunks(), rows["doc_id"].combine_chunks(),
              pa.array(digest, type=pa.binary()), pa.array(signs, type=pa.list_(pa.int64())),
              pa.array(size, type=pa.int32()), pa.array(bags, type=pa.binary()),
-             pa.array(sequence, type=pa.binary())],
-            names=["row_id", "doc_id", "digest", "signs", "size", "bag", "words"])
+             pa.array(fine, type=pa.binary()), pa.array(sequence, type=pa.binary())],
+            names=["row_id", "doc_id", "digest", "signs", "size", "bag", "fine", "words"])
 
 
 def packed(words: np.ndarray) -> bytes:
@@ -285,7 +327,14 @@ def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, s
     higher. With `nearest`, only so many of each node, those that differ least in the bins.
     """
     root, size, node, salt = (block[c] for c in ("root", "size", "node", "salt"))
-    bags = block["bag"]
+    bags, fine = block["bag"], {}
+
+    def near_in_fine(i: int, j: int, limit: float) -> bool:
+        for k in (i, j):
+            if k not in fine:
+                fine[k] = fine_bins(block["fine"][k])
+        return not (len(fine[i]) and len(fine[j])) or fine_apart(fine[i], fine[j]) <= limit
+
     left = np.arange(len(node)) if same else np.flatnonzero(salt == salt.min())
     right = left if same else np.flatnonzero(salt != salt.min())
     for at in range(0, len(left), 64):
@@ -309,12 +358,13 @@ def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, s
             first = np.flatnonzero(np.diff(x, prepend=-1))
             rank = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
             x, y = x[rank < nearest], y[rank < nearest]
-        yield node[some[x]], node[right[y]]
+        near = np.array([near_in_fine(some[i], right[j], limit[i, j]) for i, j in zip(x, y)], bool)
+        yield node[some[x[near]]], node[right[y[near]]]
 
 
 def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity: float
               ) -> Iterator[pa.RecordBatch]:
-    """key, low, high, salt, node, root, size, bag sorted by block (key, low, high) -> a, b."""
+    """key, low, high, salt, node, root, size, bag, fine sorted by block (key, low, high) -> a, b."""
     def pairs_of(block: pa.Table) -> Iterator[pa.RecordBatch]:
         if block.num_rows < 2:
             return
@@ -324,7 +374,7 @@ def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity
         same = block["low"][0].as_py() == block["high"][0].as_py()
         if not same and held["salt"].min() == held["salt"].max():
             return
-        held["bag"] = bags_in(block["bag"])
+        held["bag"], held["fine"] = bags_in(block["bag"]), block["fine"].to_pylist()
         for a, b in block_pairs(held, same, nearest, similarity):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -356,11 +406,11 @@ def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
     mixed = rooted.groupBy("key").agg(
         F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
         "low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("salts"))
-    member = rooted.join(mixed, "key").join(texts.select("node", "bag"), "node").withColumn(
+    member = rooted.join(mixed, "key").join(texts.select("node", "bag", "fine"), "node").withColumn(
         "salt", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("salts")).cast("int"))
     blocks = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(
         "key", F.least("salt", "other").alias("low"), F.greatest("salt", "other").alias("high"),
-        "salt", "node", "root", "size", "bag")
+        "salt", "node", "root", "size", "bag", "fine")
     return blocks.repartition("key", "low", "high").sortWithinPartitions(
         "key", "low", "high").mapInArrow(
         lambda batches: pair_rows(batches, nearest, similarity), "a long, b long").distinct()
@@ -371,15 +421,17 @@ def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     Texts are compared where the second join has put them: each pair moves one text, once. Many pairs of
     long texts would move far more than there is, so the pairs are taken in rounds of at most about
-    `MOVED` times the words of all texts; a round's shuffle files go with it."""
+    `MOVED` times the words of all texts; a round's shuffle files go with it. A round has the pairs of
+    some first texts, and only those texts are moved to them."""
     a, b = (texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}")) for c in "ab")
     moved = pairs.join(texts.select(F.col("node").alias("a"), "size"), "a").agg(F.sum("size")).first()[0]
     held = texts.agg(F.sum("size")).first()[0]
-    rounds = 1 + (moved or 0) // (MOVED * max(1, held or 0))
+    rounds = 1 + int((moved or 0) // (MOVED * max(1, held or 0)))
     out = None
     for i in range(rounds):
-        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == i)
-        found = stored(by_key(by_key(some).join(by_key(a), "a")).join(by_key(b), "b").mapInArrow(
+        some, firsts = (x.filter(F.pmod(F.xxhash64(F.lit(2), "a"), F.lit(rounds)) == i)
+                        for x in (pairs, a))
+        found = stored(by_key(by_key(some).join(by_key(firsts), "a")).join(by_key(b), "b").mapInArrow(
             lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
         out = found if out is None else out.union(found)
     return out
@@ -447,23 +499,26 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
 
 def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
     """row_id, doc_id, class_row of rows (row_id, doc_id, text), stored."""
-    signed = stored(rows.select("row_id", "doc_id", "text").mapInArrow(
-        lambda batches: sketch_rows(batches, similarity),
-        "row_id long, doc_id long, digest binary, signs array<long>, size int, bag binary, "
-        "words binary"), "near-sketches")
-    copies = signed.filter("digest is not null").groupBy("digest").agg(
+    with Scratch(rows.sparkSession) as sketched:  # as large as the documents: only till texts are chosen
+        signed = stored(rows.select("row_id", "doc_id", "text").mapInArrow(
+            lambda batches: sketch_rows(batches, similarity),
+            "row_id long, doc_id long, digest binary, signs array<long>, size int, bag binary, "
+            "fine binary, words binary"), "near-sketches")
+    every = stored(signed.select("row_id", "doc_id", "digest"), "near-rows")
+    copies = every.filter("digest is not null").groupBy("digest").agg(
         F.min("row_id").alias("node"))
     copies = stored(copies, "near-copies")
     # a node is the row number of one of its texts
-    texts = signed.select(F.col("row_id").alias("node"), "signs", "size", "bag", "words")
+    texts = signed.select(F.col("row_id").alias("node"), "signs", "size", "bag", "fine", "words")
     keys = texts.join(copies.select("node"), "node", "left_semi").select(
         "node", "size", F.explode("signs").alias("key"))
     # only texts that share a bucket are compared, and only those keys are stored
     keys = stored(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                             "left_semi"), "near-shared")
     # the joins of pairs below shuffle texts: only those that can be in a pair
-    texts = stored(by_key(texts.select("node", "bag", "size", "words")).join(
+    texts = stored(by_key(texts.select("node", "bag", "fine", "size", "words")).join(
         by_key(keys.select("node").distinct()), "node", "left_semi"), "near-texts")
+    sketched.clear()
     tried = stored(first_pairs(keys, texts, similarity), "near-pairs")
     links = linked(tried, texts, similarity)
     roots = components(links)
@@ -477,7 +532,7 @@ def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
             roots = components(links)
     node = copies.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("root"))
-    placed = signed.select("row_id", "doc_id", "digest").join(node, "digest", "left").select(
+    placed = every.join(node, "digest", "left").select(
         "row_id", "doc_id", F.coalesce("root", "row_id").alias("class_row"))
     return stored(placed, "near-classes", temporary=False)
 
