@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TINY
 from llm.conftest import ODD
@@ -241,3 +243,24 @@ def test_mixed_documents(documents):
     assert set(n.values()) <= {1, 2} and 2 in n.values()
     none = mixing.mixed(mixing.sizes_of(documents([(1, None), (2, "")])))
     assert none.agg(F.sum("taken"), F.sum("target")).first() == (0, 0.0)
+
+
+def test_encoding_holds_little_beside_the_texts(monkeypatch):
+    """The numbers that stand for a batch's bytes and pieces are many times its texts; an executor holds
+    them once per core."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join("".join(rng.choices(letters, k=6)) for _ in range(300)) for _ in range(1000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)],
+                                      names=["doc_id", "text"])
+    monkeypatch.setattr(token_files, "TaskContext", type("Task", (), {
+        "get": staticmethod(lambda: type("Part", (), {"partitionId": lambda self: 0})())}))
+    path = tokenizer_path("byte_bpe_50k.json")
+    token_files.encoder(path)
+    token_files._powers.clear()
+    tracemalloc.start()
+    n = sum(b.num_rows for b in token_files.encode_rows(iter([rows]), path))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(f"peak {peak / 1e6:.0f} MB")
+    assert n == 1000 and peak < 80e6

@@ -28,10 +28,10 @@ from .common import rows_in
 
 END_ID = 0
 #: texts encoded at a time: rows and bytes
-BATCH_ROWS, BATCH_BYTES = 4_000, 2 << 20
+BATCH_ROWS, BATCH_BYTES = 4_000, 1 << 19
 #: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
 #: and pieces encoded in one call
-CACHE_PIECES, LINES = 600_000, 10_000
+CACHE_PIECES, LINES = 200_000, 2_000
 #: marks that are encoded apart from the word before them
 MARKS = ".,;:!?"
 #: at these a text is not cut into pieces
@@ -230,6 +230,7 @@ def encoder(path: str) -> Encoder:
 def encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> doc_id, part, start_in_part, n_tokens, ids, in the order of the rows."""
     library, part, start = encoder(path), TaskContext.get().partitionId(), 0
+    pa.default_memory_pool().release_unused()  # what the worker's task before held
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
         ids, sizes = library.encode([t or "" for t in rows["text"].to_pylist()])
         n = sizes + 1
