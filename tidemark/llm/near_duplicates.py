@@ -41,7 +41,9 @@ from .decontaminate import words_of
 TIERS = ((0, 3, 40), (40, 4, 56))
 SIMILARITY = 0.8
 BLOCK, BINS, NEAREST = 256, 256, 1
-BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 1 << 20
+#: words whose hashes a task remembers
+KNOWN = 100_000
 #: words that a round of comparisons may move, in terms of those of all texts
 MOVED = 1.5
 
@@ -146,7 +148,7 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
     known: dict[bytes, int] = {}
     for rows in rows_in(batches, BATCH_ROWS, BATCH_BYTES):
         digest, signs, bags, fine, sequence, size = [], [], [], [], [], []
-        if len(known) > 1_000_000:
+        if len(known) > KNOWN:
             known.clear()
         for text in rows["text"].to_pylist():
             words = words_of(text)
