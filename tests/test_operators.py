@@ -170,6 +170,26 @@ def test_orphans_and_semi(spark):
     assert enrich.semi_by_ids(child, ledger, "p").count() == 1
 
 
+def test_orphans_of_whole_numbers_move_bits_of_keys(spark):
+    """Before the shuffle 64 neighbouring keys are one row; keys at both ends, repeated and null ones."""
+    ends = [-(1 << 63), (1 << 63) - 1]
+    keys = [*ends, -65, -64, -63, -1, 0, 1, 62, 63, 64, 64, 64, 127, 128, None, None]
+    child = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, p long")
+    for known in ([], [None], [63, -64, 0, 127, None, 127], [k for k in keys if k], ends):
+        parent = spark.createDataFrame([(k,) for k in known], "k long")
+        got = enrich.orphans(child, parent, "p", "k")
+        assert sorted(r.id for r in got.collect()) == [
+            i for i, k in enumerate(keys) if k is None or k not in known]
+    small = spark.createDataFrame([(1, 5), (2, -7)], "id int, p int")
+    assert [r.p for r in enrich.orphans(small, spark.createDataFrame([(5,)], "k long"), "p", "k").collect()
+            ] == [-7]
+    many = spark.range(64_000).select(F.col("id").alias("p"))
+    found = enrich.orphans(many, many.withColumnRenamed("p", "k"), "p", "k")
+    assert found.count() == 0
+    assert "_block" in found._jdf.queryExecution().executedPlan().toString()
+
+
+
 # ---- summaries -----------------------------------------------------------------------------------
 
 def test_golden_employees(spark):

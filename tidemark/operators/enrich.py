@@ -119,9 +119,36 @@ def join_bands(df: DataFrame, value: str, bands: DataFrame, out: str = "risk_lev
 
 
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose key has no parent. A NULL key is an orphan too."""
-    keys = parents.select(F.col(parent_key).alias(child_key)).distinct()
-    return children.join(keys, child_key, "left_anti")
+    """Child rows whose key has no parent. A NULL key is an orphan too.
+
+    Whole numbers are compared 64 keys at a time, as bits of one row that is made before the shuffle; only
+    the missing keys are joined with the children.
+    """
+    types = {df.schema[k].dataType.typeName() for df, k in ((children, child_key), (parents, parent_key))}
+    if not types <= {"integer", "long"}:
+        keys = parents.select(F.col(parent_key).alias(child_key)).distinct()
+        return children.join(keys, child_key, "left_anti")
+
+    def bits(df: DataFrame, key: str, mine: str, other: str) -> DataFrame:
+        at = F.col(key).cast("long")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+        return df.filter(at.isNotNull()).select(
+            F.shiftright(at, 6).alias("_block"), bit.alias(mine), F.lit(0).cast("long").alias(other))
+
+    both = bits(children, child_key, "_child", "_parent").unionByName(
+        bits(parents, parent_key, "_parent", "_child"))
+    missing = both.groupBy("_block").agg(
+        F.bit_or("_child").alias("_child"), F.bit_or("_parent").alias("_parent")).select(
+        "_block", F.col("_child").bitwiseAND(F.bitwise_not("_parent")).alias("_missing")).filter(
+        "_missing <> 0")
+    keys = missing.select(
+        "_missing", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_bit"),
+        F.shiftleft("_block", 6).alias("_first")).filter(
+        F.expr("(shiftrightunsigned(_missing, _bit) & 1) = 1")).select(
+        (F.col("_first") + F.col("_bit")).cast(children.schema[child_key].dataType).alias(child_key))
+    return children.join(keys, child_key, "left_semi").unionByName(
+        children.filter(F.col(child_key).isNull()).select(
+            child_key, *[c for c in children.columns if c != child_key]))
 
 
 def semi_by_ids(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
