@@ -113,6 +113,28 @@ def test_left_join_kept_up_to_date(spark, tmp_path):
     assert join.read().filter("rv is null").count() > 0
 
 
+def test_left_join_counts_only_what_can_be_taken_back(spark, tmp_path):
+    """Rows with something from the right pass as they are; right rows that are null are still there."""
+    join = state.LeftJoin(
+        spark, f"{tmp_path}/j", "k",
+        lambda df: df.filter("side = 'l'").select("k", F.col("v").alias("lv")),
+        lambda df: df.filter("side = 'r'").select("k", F.col("v").alias("rv")), buckets=2)
+    batches = [[(1, "l", 1), (1, "l", 1), (2, "l", 5), (3, "l", None)],
+               [(1, "r", None), (1, "r", 7), (1, "r", 7), (3, "r", None), (None, "l", 4)],
+               [(3, "r", None), (2, "r", 8), (4, "r", 9)]]
+    rows = []
+    for i, batch in enumerate(batches):
+        rows += batch
+        join.write(spark.createDataFrame(batch, "k int, side string, v int"), i)
+        so_far = spark.createDataFrame(rows, "k int, side string, v int")
+        left = so_far.filter("side = 'l'").select("k", F.col("v").alias("lv"))
+        right = so_far.filter("side = 'r'").select("k", F.col("v").alias("rv"))
+        same_rows(join.read(), left.join(right, "k", "left"))
+    plan = join.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Union" in plan
+    assert "isnull(rv" in plan[plan.index("Aggregate"):]
+
+
 def test_a_crash_between_two_tables_shows_neither(spark, tmp_path, monkeypatch):
     store = sinks.summary_and_rows(spark, f"{tmp_path}/s", ["k"], "v", "ts")
     df = spark.createDataFrame([(1, 2, 3), (1, 4, 5), (2, 6, 7)], "k int, v int, ts int")

@@ -67,6 +67,10 @@ class KeyedRuns:
     def runs(self, before: int | None = None) -> list[Run]:
         return self._state(before)[0]
 
+    def columns(self) -> list[str]:
+        schema = self._state(None)[1]
+        return schema.fieldNames() if schema is not None else []
+
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 

@@ -110,12 +110,18 @@ class LeftJoin:
 
     def read(self) -> DataFrame:
         """The join as it is now: rows that appeared less those taken back, equal rows as often as
-        they are there."""
+        they are there. Only rows without anything from the right are ever taken back, so only those
+        are counted; the others are as they were emitted."""
         log = self.changes().drop("batch_id")
         columns = [c for c in log.columns if c != "sign"]
-        net = log.groupBy(*columns).agg(F.sum("sign").alias("_n")).filter("_n > 0")
-        return net.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
+        alone = F.lit(True)
+        for c in self.right.columns():
+            if c != self.key:
+                alone &= F.col(c).isNull()
+        net = log.filter(alone).groupBy(*columns).agg(F.sum("sign").alias("_n")).filter("_n > 0")
+        net = net.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
             *columns)
+        return log.filter(~alone).select(*columns).unionByName(net)
 
 
 class JoinWithin:
