@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import tracemalloc
 import zlib
 
@@ -264,3 +265,26 @@ def test_encoding_holds_little_beside_the_texts(monkeypatch):
     tracemalloc.stop()
     print(f"peak {peak / 1e6:.0f} MB")
     assert n == 1000 and peak < 80e6
+
+
+def test_new_pieces_cost_no_calls_of_their_own():
+    """Ids of pieces are told apart as arrays: a call for each piece took longer than the library."""
+    rng = random.Random(10)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join("".join(rng.choices(letters, k=6)) for _ in range(20_000)) + "\nend.\nof it"
+    e = token_files.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids, sizes = e.encode([text, "", "\n", "of it\nend"])
+    finally:
+        sys.setprofile(None)
+    want = [e.library.encode(t, add_special_tokens=False).ids for t in (text, "", "\n", "of it\nend")]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+    print(f"{calls} calls for 20000 pieces")
+    assert calls < 10_000

@@ -31,11 +31,10 @@ END_ID = 0
 BATCH_ROWS, BATCH_BYTES = 4_000, 1 << 19
 #: pieces whose ids a worker remembers (and as many from before, of which those that come again stay),
 #: and pieces encoded in one call
-CACHE_PIECES, LINES = 200_000, 2_000
+CACHE_PIECES, LINES = 600_000, 2_000
 #: marks that are encoded apart from the word before them
 MARKS = ".,;:!?"
-#: at these a text is not cut into pieces
-SPACES_TOGETHER = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f", "\0")
+#: at these, and at two spaces or line breaks together, a text is not cut into pieces
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -54,7 +53,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.line = np.array(self.library.encode("\n", add_special_tokens=False).ids, dtype="<u4")
         self.known, self.older = Pieces(), Pieces()
 
@@ -62,47 +61,67 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4")
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def each(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces, of which those without line breaks stand in one text, a line each."""
-        out: list[np.ndarray] = []
+    def each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after another, and how many each has. Pieces without line breaks stand in
+        one text, a line each."""
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         for a in range(0, len(pieces), LINES):
-            lines = pieces[a:a + LINES]
-            ids = self.direct(["\n".join(lines)])[0]
-            ends = np.flatnonzero(ids == self.line[0])
-            out += np.split(ids, np.stack([ends, ends + 1], axis=1).ravel())[::2]
-        return out
-
-    def whole(self, text: str) -> bool:
-        return any(s in text for s in SPACES_TOGETHER) or any(s in text for s in self.specials) or (
-            not text.isascii() and OTHER_SPACE.search(text) is not None)
+            lines = b"\n".join(pieces[a:a + LINES]).decode()
+            got = np.array(self.library.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            breaks = got == self.line[0]
+            ends = np.append(np.flatnonzero(breaks), len(got))
+            ids.append(got[~breaks])
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def whole(self, texts: list[bytes], data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which texts (their bytes, one after another, are `data`) are not cut into pieces."""
+        kind = KIND[data]
+        apart = kind == 1
+        together = apart[1:] & apart[:-1]
+        together[ends[(ends > 0) & (ends < len(data))] - 1] = False  # two texts
+        odd = np.concatenate([np.flatnonzero(together), np.flatnonzero(kind == 2)])
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(ends, odd, side="right") - 1] = True
+        other = np.zeros(len(texts), bool)
+        other[np.searchsorted(ends, np.flatnonzero(kind == 3), side="right") - 1] = True
+        raw = data.tobytes()
+        special = [s for s in self.specials if s in raw]
+        for i in np.flatnonzero(~whole & (other | bool(special))):
+            whole[i] = any(s in texts[i] for s in special) or (
+                other[i] and OTHER_SPACE.search(texts[i].decode()) is not None)
+        return whole
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after another, and how many each text has."""
-        cut = [i for i, t in enumerate(texts) if not self.whole(t)]
+        coded = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        ends = np.cumsum([0, *map(len, coded)])
+        whole = self.whole(coded, data, ends)
+        if not whole.any():
+            return self.from_pieces(data, ends)
+        cut = np.flatnonzero(~whole)
         counts = np.zeros(len(texts), np.int64)
-        ids, counts[cut] = self.from_pieces([texts[i].encode() for i in cut])
-        if len(cut) == len(texts):
-            return ids, counts
-        left = np.ones(len(texts), bool)
-        left[cut] = False
-        rest = np.flatnonzero(left)
+        some = [coded[i] for i in cut]
+        ids, counts[cut] = self.from_pieces(np.frombuffer(b"".join(some), np.uint8),
+                                            np.cumsum([0, *map(len, some)]))
+        rest = np.flatnonzero(whole)
         others = self.direct([texts[i] for i in rest])
         counts[rest] = [len(x) for x in others]
         parts = dict(zip(rest.tolist(), others))
-        parts.update(zip(cut, np.split(ids, np.cumsum(counts[cut])[:-1]) if cut else []))
+        parts.update(zip(cut.tolist(), np.split(ids, np.cumsum(counts[cut])[:-1]) if len(cut) else []))
         return np.concatenate([parts[i] for i in range(len(texts))]), counts
 
-    def from_pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        ends = np.cumsum([0, *map(len, texts)])
+    def from_pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are cut, and how many each has; text i is data[ends[i]:ends[i + 1]]."""
         starts = piece_starts(data, ends)
         if not len(starts):
-            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+            return np.zeros(0, "<u4"), np.zeros(len(ends) - 1, np.int64)
         stops = np.append(starts[1:], len(data))
-        first, second = piece_hashes(data, starts, stops)
-        distinct, at, which = np.unique(first, return_index=True, return_inverse=True)
+        first, second = piece_hashes(data, np.append(starts, len(data)))
+        distinct, at, which = distinct_values(first)
         if not (second[at][which] == second).all():  # two pieces with one hash
-            whole = self.direct([t.decode() for t in texts])
+            whole = self.direct([data[a:b].tobytes().decode() for a, b in zip(ends[:-1], ends[1:])])
             return (np.concatenate([np.zeros(0, "<u4"), *whole]),
                     np.array([len(x) for x in whole], np.int64))
         second = second[at]
@@ -111,14 +130,14 @@ class Encoder:
         old = missing[again]
         self.known.add(distinct[old], second[old], *self.older.take(distinct[old]))
         new = missing[~again]
+        line = data[starts[at[new]]] == 10  # a line break is a piece of its own
+        if line.any():
+            self.known.add(distinct[new[line]], second[new[line]], self.line,
+                           np.array([len(self.line)], np.int64))
+        new = new[~line]
         raw = data.tobytes()
-        pieces = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist())]
-        lines = np.array([p == "\n" for p in pieces], bool)
-        found = self.each([p for p in pieces if p != "\n"])
-        if lines.any():
-            found.insert(int(np.flatnonzero(lines)[0]), self.line)
-        self.known.add(distinct[new], second[new], np.concatenate([np.zeros(0, "<u4"), *found]),
-                       np.array([len(x) for x in found], np.int64))
+        pieces = [raw[a:b] for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist())]
+        self.known.add(distinct[new], second[new], *self.each(pieces))
         ids, sizes = self.known.take(distinct)
         ids, sizes = spread(ids, sizes, which)
         counts = np.add.reduceat(np.append(sizes, 0), np.searchsorted(starts, ends[:-1]))
@@ -133,7 +152,7 @@ class Pieces:
 
     def __init__(self):
         self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.sizes, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.sizes, self.starts, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, "<u4")
 
     def __len__(self) -> int:
         return len(self.first)
@@ -146,18 +165,24 @@ class Pieces:
         return (self.first[at] != first) | (self.second[at] != second)
 
     def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """More pieces, in the order of their first hashes."""
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        order = np.argsort(first)
-        at = np.searchsorted(self.first, first[order])
+        at = np.searchsorted(self.first, first) + np.arange(len(first))
+        old = np.ones(len(self) + len(first), bool)
+        old[at] = False
         for name, values in (("first", first), ("second", second), ("sizes", sizes),
                              ("starts", starts)):
-            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
+            had = getattr(self, name)
+            merged = np.empty(len(old), had.dtype)
+            merged[old], merged[at] = had, values
+            setattr(self, name, merged)
         self.ids = np.concatenate([self.ids, ids])
 
     def take(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number of known pieces."""
         at = np.searchsorted(self.first, first)
-        return ragged(self.ids, self.starts[at], self.sizes[at]), self.sizes[at]
+        sizes = self.sizes[at].astype(np.int64)
+        return ragged(self.ids, self.starts[at], sizes), sizes
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -173,6 +198,11 @@ def spread(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.nd
     return ragged(ids, starts[which], sizes[which]), sizes[which]
 
 
+#: of a byte: 1 a space or line break, 2 other ASCII white space, 3 the first byte of other white space
+KIND = np.zeros(256, np.uint8)
+KIND[[0, 9, 11, 12, 13, *range(0x1C, 0x20)]] = 2
+KIND[[0x20, 0x0A]] = 1
+KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = 3
 ALNUM = np.zeros(256, bool)
 ALNUM[[*b"0123456789", *range(65, 91), *range(97, 123)]] = True
 MARK = np.zeros(256, bool)
@@ -204,20 +234,32 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
-def piece_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+def piece_hashes(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Two hashes of each piece and its length: polynomials over its bytes, modulo 2^64."""
     out = []
-    size = (stops - starts).astype(np.uint64)
+    size = np.diff(bounds).astype(np.uint64)
+    wide = data.astype(np.uint64)
+    wide += np.uint64(1)
+    sums = np.zeros(len(data) + 1, np.uint64)
     for base, inverse in _BASES:
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.multiply(data + np.uint64(1), powers(base, len(data)), out=sums[1:])
-        np.cumsum(sums, out=sums)
-        h = (sums[stops] - sums[starts]) * powers(inverse, len(data) + 1)[starts] + size
+        np.multiply(wide, powers(base, len(data)), out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
+        h = np.diff(sums[bounds]) * powers(inverse, len(data) + 1)[bounds[:-1]] + size
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         out.append(h ^ (h >> np.uint64(29)))
     return out
 
 
+def distinct_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values in order, a place of each, and which of them stands at each place."""
+    order = np.argsort(values)
+    ordered = values[order]
+    head = np.append(True, ordered[1:] != ordered[:-1])
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(head) - 1
+    return ordered[head], order[head], which
+
+
 _encoders: dict[str, Encoder] = {}
 
 
