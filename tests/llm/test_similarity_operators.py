@@ -203,6 +203,27 @@ def test_fine_bins_leave_out_long_texts_and_never_a_link():
         assert sum(len(a) for a, _ in near_duplicates.block_pairs(block, True, nearest, 0.8)) == 0
 
 
+def test_fine_bins_leave_out_texts_of_frequent_words():
+    """Variants of one text of common words, over a fifth apart: they fill 256 bins alike, and as many bins
+    as words with counts to 3."""
+    rng = np.random.default_rng(5)
+    common = 1 + rng.zipf(1.3, 200_000) % 2_000
+    base = rng.choice(common, 800).astype(np.uint32)
+    texts = [base.copy() for _ in range(40)]
+    for t in texts:
+        t[rng.choice(800, 120, replace=False)] = rng.integers(2000, 4000, 120)
+    block = {"root": np.arange(40), "size": np.full(40, 800), "node": np.arange(40), "salt": np.zeros(40),
+             "bag": np.stack([near_duplicates.bag_of(w) for w in texts]).astype(np.int16),
+             "fine": [near_duplicates.fine_bag_of(w) for w in texts]}
+    left = [p for a, b in near_duplicates.block_pairs(block, True, None, 0.8) for p in zip(a, b)]
+    links = [(i, j) for i in range(40) for j in range(i) if near_duplicates.similar(texts[i], texts[j])]
+    exact = sum(800 - near_duplicates.shared_words(texts[i], texts[j]) <= 160
+                for i in range(40) for j in range(i))
+    print(f"{len(links)} links, {exact} of {40 * 39 // 2} pairs by words, {len(left)} by bins")
+    assert {tuple(sorted(p, reverse=True)) for p in left} >= set(links)
+    assert len(left) <= 0.75 * 40 * 39 // 2
+
+
 def test_sketches_are_gone_when_texts_move(documents, monkeypatch):
     """Aligning moves texts as large as the documents; the sketches of all rows are not kept beside it."""
     seen, linked = [], near_duplicates.linked

@@ -14,7 +14,7 @@ its buckets, which joins most of a large group. Where a bucket still holds sever
 pairs of different classes are candidates, in blocks of `BLOCK` by `BLOCK` texts that Spark shuffles;
 what the numbers of words, or of words in each of `BINS` bins, show to be too far apart is left out,
 as no alignment can bring it back; long texts, which fill those bins evenly, are also compared by about
-as many bins as they have words. The `NEAREST` of each text are aligned before the rest, so that
+`FINE` times as many bins as they have words. The `NEAREST` of each text are aligned before the rest, so that
 most pairs of the last round are in one class by then and need no alignment. No bucket is capped.
 Classes are the connected components, found by contracting edges.
 
@@ -40,7 +40,7 @@ from .decontaminate import words_of
 #: words of the longer text from which a tier holds, items picked, hash functions
 TIERS = ((0, 3, 40), (40, 4, 56))
 SIMILARITY = 0.8
-BLOCK, BINS, NEAREST = 256, 256, 1
+BLOCK, BINS, FINE, NEAREST = 256, 256, 2, 1
 BATCH_ROWS, BATCH_BYTES = 1_000, 1 << 20
 #: words whose hashes a task remembers
 KNOWN = 100_000
@@ -112,27 +112,29 @@ def bag_of(words: np.ndarray) -> np.ndarray:
 
 
 def fine_bag_of(words: np.ndarray) -> bytes:
-    """How many words, at most 3, fall into each of about as many bins as there are words, four bins
-    in a byte; nothing for a text that `bag_of` tells apart as well."""
+    """How many words, at most 255, fall into each of about `FINE` bins a word, compressed, as most are
+    empty; nothing for a text that `bag_of` tells apart as well."""
     if len(words) <= BINS:
         return b""
-    bits = min((len(words) - 1).bit_length(), 16)
+    bits = min((FINE * len(words) - 1).bit_length(), 18)
     bins = (words.astype(np.uint64) * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)) >> \
         np.uint64(32 - bits)
-    counts = np.minimum(np.bincount(bins.astype(np.int64), minlength=1 << bits), 3).astype(np.uint8)
-    return (counts.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(
-        axis=1, dtype=np.uint8).tobytes()
+    counts = np.bincount(bins.astype(np.int64), minlength=1 << bits)
+    return bytes([bits]) + pa.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), "zstd",
+                                       asbytes=True)
 
 
 def fine_bins(bag: bytes) -> np.ndarray:
-    packed = np.frombuffer(bag, np.uint8)[:, None]
-    return (packed >> np.arange(0, 8, 2, dtype=np.uint8) & 3).astype(np.int8).ravel()
+    if not bag:
+        return np.zeros(0, np.uint8)
+    return np.frombuffer(pa.decompress(bag[1:], 1 << bag[0], "zstd"), np.uint8)
 
 
 def folded(bins: np.ndarray, size: int) -> np.ndarray:
     """The same text's counts in fewer bins."""
+    bins = bins.astype(np.int16)
     while len(bins) > size:
-        bins = np.minimum(bins[::2] + bins[1::2], 3)
+        bins = np.minimum(bins[::2] + bins[1::2], 255)
     return bins
 
 
@@ -326,8 +328,17 @@ def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, s
     """Nodes of the pairs of different classes that the words in the bins leave room for.
 
     Inside one salt (`same`) each pair once, else each node of the lower salt with each of the
-    higher. With `nearest`, only so many of each node, those that differ least in the bins.
+    higher. With `nearest`, only so many of each node, those that differ least in the bins; without,
+    a pair comes from the block of the least key that both have, and from no other.
     """
+    keys, shared = block.get("keys"), {}
+
+    def starts_here(i: int, j: int) -> bool:
+        for k in (i, j):
+            if k not in shared:
+                shared[k] = frozenset(keys[k])
+        return min(shared[i] & shared[j]) == block["key"]
+
     root, size, node, salt = (block[c] for c in ("root", "size", "node", "salt"))
     bags, fine = block["bag"], {}
 
@@ -360,13 +371,16 @@ def block_pairs(block: dict[str, np.ndarray], same: bool, nearest: int | None, s
             first = np.flatnonzero(np.diff(x, prepend=-1))
             rank = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
             x, y = x[rank < nearest], y[rank < nearest]
+        elif keys is not None:
+            once = np.array([starts_here(some[i], right[j]) for i, j in zip(x, y)], bool)
+            x, y = x[once], y[once]
         near = np.array([near_in_fine(some[i], right[j], limit[i, j]) for i, j in zip(x, y)], bool)
         yield node[some[x[near]]], node[right[y[near]]]
 
 
 def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity: float
               ) -> Iterator[pa.RecordBatch]:
-    """key, low, high, salt, node, root, size, bag, fine sorted by block (key, low, high) -> a, b."""
+    """key, low, high, salt, node, root, size, bag, fine, keys sorted by block (key, low, high) -> a, b."""
     def pairs_of(block: pa.Table) -> Iterator[pa.RecordBatch]:
         if block.num_rows < 2:
             return
@@ -377,6 +391,8 @@ def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity
         if not same and held["salt"].min() == held["salt"].max():
             return
         held["bag"], held["fine"] = bags_in(block["bag"]), block["fine"].to_pylist()
+        if nearest is None:
+            held["key"], held["keys"] = block["key"][0].as_py(), block["keys"].to_pylist()
         for a, b in block_pairs(held, same, nearest, similarity):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -405,14 +421,22 @@ def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
     classes that sizes and bags leave room for, or with `nearest` only that many of each node in a
     block."""
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # buckets of the same texts give the same pairs: one of them is enough
     mixed = rooted.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("salts"))
-    member = rooted.join(mixed, "key").join(texts.select("node", "bag", "fine"), "node").withColumn(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(9), "node")).alias("two")
+    ).filter("low < high").groupBy("n", "one", "two").agg(F.min("key").alias("key")).select(
+        "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("salts"))
+    # a text has at most as many keys as hash functions
+    member = rooted.join(mixed, "key").groupBy("node").agg(
+        F.first("root").alias("root"), F.first("size").alias("size"),
+        F.collect_list(F.struct("key", "salts")).alias("places")).join(
+        texts.select("node", "bag", "fine"), "node").withColumn("keys", F.col("places.key")).withColumn(
+        "place", F.explode("places")).select("*", "place.key", "place.salts").withColumn(
         "salt", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("salts")).cast("int"))
     blocks = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(
         "key", F.least("salt", "other").alias("low"), F.greatest("salt", "other").alias("high"),
-        "salt", "node", "root", "size", "bag", "fine")
+        "salt", "node", "root", "size", "bag", "fine", *(["keys"] if nearest is None else []))
     return blocks.repartition("key", "low", "high").sortWithinPartitions(
         "key", "low", "high").mapInArrow(
         lambda batches: pair_rows(batches, nearest, similarity), "a long, b long").distinct()
@@ -426,7 +450,8 @@ def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     `MOVED` times the words of all texts; a round's shuffle files go with it. A round has the pairs of
     some first texts, and only those texts are moved to them."""
     a, b = (texts.select(F.col("node").alias(c), F.col("words").alias(f"words_{c}")) for c in "ab")
-    moved = pairs.join(texts.select(F.col("node").alias("a"), "size"), "a").agg(F.sum("size")).first()[0]
+    moved = pairs.groupBy("a").count().join(texts.select(F.col("node").alias("a"), "size"), "a").agg(
+        F.sum(F.col("count") * F.col("size"))).first()[0]
     held = texts.agg(F.sum("size")).first()[0]
     rounds = 1 + int((moved or 0) // (MOVED * max(1, held or 0)))
     out = None
