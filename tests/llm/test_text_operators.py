@@ -130,6 +130,27 @@ def test_spans_are_cut(spark, documents):
     assert out.columns == documents(rows).columns
 
 
+def test_shards_hold_little_beside_the_texts(spark, documents):
+    """A task's index, and one worker per task: an executor holds both once per core."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=5)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(1000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)],
+                                      names=["doc_id", "text"])
+    blocks = type("Blocks", (), {"value": [decontaminate.windows_of([("1", texts[3][:600])])]})
+    tracemalloc.start()
+    found = [x for b in decontaminate.find_in_shards(iter([rows]), blocks, ["doc_id"], "text")
+             for x in b.column("item_ids").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(f"peak {peak / 1e6:.0f} MB")
+    assert [i for i, x in enumerate(found) if x] == [3] and peak < 180e6
+    bench = spark.createDataFrame([(1, texts[3][:600])], "item_id long, text string")
+    plan = decontaminate.cleaned(documents([(1, "a")]), bench)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("MapInArrow") == 1
+
+
 def test_suffix_order_and_ranks():
     r = random.Random(4)
     for n in (1, 2, 7, 60, 300):

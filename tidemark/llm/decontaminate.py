@@ -34,8 +34,9 @@ from .common import rows_in
 WINDOW = 10
 #: distance of text places whose suffix is kept
 SAMPLE = 16
-#: documents and bytes of text in one shard; a longer text is a shard of its own
-SHARD_ROWS, SHARD_BYTES = 20_000, 6 << 20
+#: documents and bytes of text in one shard, whose index takes about sixty times that; a longer text is a
+#: shard of its own
+SHARD_ROWS, SHARD_BYTES = 20_000, 2 << 20
 #: bytes of benchmark text that are sent to the tasks at a time
 PHRASE_BYTES = 8 << 20
 
@@ -307,9 +308,11 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
     names, types = docs.columns, dict(docs.dtypes)
     plain = [f"c{i}" for i in range(len(names))]  # the input's own names may be used inside
     at = plain[names.index(text)]
-    found = occurrences(docs.toDF(*plain), benchmark, plain[0], at, tuple(plain[1:]))
-    out = found.mapInArrow(lambda batches: cut_rows(batches, at), ", ".join(
-        f"{c} {types[n]}" for c, n in zip(plain, names))).toDF(*names)
+    blocks = docs.sparkSession.sparkContext.broadcast(phrase_blocks(benchmark))
+    # found and cut by one worker per task: another would hold the texts once more
+    out = docs.toDF(*plain).mapInArrow(
+        lambda batches: cut_rows(find_in_shards(batches, blocks, plain, at), at), ", ".join(
+            f"{c} {types[n]}" for c, n in zip(plain, names))).toDF(*names)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(
             F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(
