@@ -211,7 +211,7 @@ def test_fine_bins_leave_out_texts_of_frequent_words():
     base = rng.choice(common, 800).astype(np.uint32)
     texts = [base.copy() for _ in range(40)]
     for t in texts:
-        t[rng.choice(800, 120, replace=False)] = rng.integers(2000, 4000, 120)
+        t[rng.choice(800, 130, replace=False)] = rng.integers(2000, 4000, 130)
     block = {"root": np.arange(40), "size": np.full(40, 800), "node": np.arange(40), "salt": np.zeros(40),
              "bag": np.stack([near_duplicates.bag_of(w) for w in texts]).astype(np.int16),
              "fine": [near_duplicates.fine_bag_of(w) for w in texts]}
@@ -224,6 +224,21 @@ def test_fine_bins_leave_out_texts_of_frequent_words():
     assert len(left) <= 0.75 * 40 * 39 // 2
 
 
+def test_a_pair_comes_from_one_bucket_and_long_texts_without_bags():
+    rng = np.random.default_rng(6)
+    words = [rng.integers(0, 4000, n).astype(np.uint32) for n in (300, 700, 5000, 70_000)]
+    fine = [near_duplicates.fine_bag_of(w) for w in words]
+    assert (near_duplicates.bags_of([None] * 4, fine) == np.stack(
+        [near_duplicates.bag_of(w) for w in words])).all()
+    block = {"root": np.arange(3), "size": np.full(3, 10), "node": np.arange(3), "salt": np.zeros(3),
+             "bag": np.ones((3, near_duplicates.BINS), np.int16), "fine": [b""] * 3,
+             "keys": [[4, 7], [7, 4], [7, 1]]}
+    two = {c: v[:2] for c, v in block.items()}  # the bucket of key 4
+    got = [[(int(a), int(b)) for x, y in near_duplicates.block_pairs(
+        held | {"key": key}, True, None, 0.8) for a, b in zip(x, y)] for held, key in ((two, 4), (block, 7))]
+    assert got == [[(0, 1)], [(0, 2), (1, 2)]]
+
+
 def test_sketches_are_gone_when_texts_move(documents, monkeypatch):
     """Aligning moves texts as large as the documents; the sketches of all rows are not kept beside it."""
     seen, linked = [], near_duplicates.linked

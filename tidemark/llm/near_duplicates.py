@@ -14,7 +14,8 @@ its buckets, which joins most of a large group. Where a bucket still holds sever
 pairs of different classes are candidates, in blocks of `BLOCK` by `BLOCK` texts that Spark shuffles;
 what the numbers of words, or of words in each of `BINS` bins, show to be too far apart is left out,
 as no alignment can bring it back; long texts, which fill those bins evenly, are also compared by about
-`FINE` times as many bins as they have words. The `NEAREST` of each text are aligned before the rest, so that
+`FINE` times as many bins as they have words. Of buckets with the same texts one is used, and a pair
+comes from one bucket only. The `NEAREST` of each text are aligned before the rest, so that
 most pairs of the last round are in one class by then and need no alignment. No bucket is capped.
 Classes are the connected components, found by contracting edges.
 
@@ -40,7 +41,7 @@ from .decontaminate import words_of
 #: words of the longer text from which a tier holds, items picked, hash functions
 TIERS = ((0, 3, 40), (40, 4, 56))
 SIMILARITY = 0.8
-BLOCK, BINS, FINE, NEAREST = 256, 256, 2, 1
+BLOCK, BINS, FINE, NEAREST = 256, 256, 1, 1
 BATCH_ROWS, BATCH_BYTES = 1_000, 1 << 20
 #: words whose hashes a task remembers
 KNOWN = 100_000
@@ -314,6 +315,14 @@ def bags_in(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
 
 
+def bags_of(bags: list[bytes | None], fine: list[bytes]) -> np.ndarray:
+    """Bags as rows of int16; a text with fine bins is sent without its bag, which they fold to."""
+    out = np.empty((len(bags), BINS), np.int16)
+    for i, (bag, bins) in enumerate(zip(bags, fine)):
+        out[i] = np.frombuffer(bag, np.uint8) if bag is not None else folded(fine_bins(bins), BINS)
+    return out
+
+
 def near_in_bags(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         longest = np.maximum(*(batch.column(f"size_{c}").to_numpy() for c in "ab"))
@@ -390,7 +399,8 @@ def pair_rows(batches: Iterator[pa.RecordBatch], nearest: int | None, similarity
         same = block["low"][0].as_py() == block["high"][0].as_py()
         if not same and held["salt"].min() == held["salt"].max():
             return
-        held["bag"], held["fine"] = bags_in(block["bag"]), block["fine"].to_pylist()
+        held["fine"] = block["fine"].to_pylist()
+        held["bag"] = bags_of(block["bag"].to_pylist(), held["fine"])
         if nearest is None:
             held["key"], held["keys"] = block["key"][0].as_py(), block["keys"].to_pylist()
         for a, b in block_pairs(held, same, nearest, similarity):
@@ -431,7 +441,8 @@ def other_pairs(keys: DataFrame, roots: DataFrame, texts: DataFrame, similarity:
     member = rooted.join(mixed, "key").groupBy("node").agg(
         F.first("root").alias("root"), F.first("size").alias("size"),
         F.collect_list(F.struct("key", "salts")).alias("places")).join(
-        texts.select("node", "bag", "fine"), "node").withColumn("keys", F.col("places.key")).withColumn(
+        texts.select("node", F.when(F.length("fine") == 0, F.col("bag")).alias("bag"), "fine"),  # as `bags_of`
+        "node").withColumn("keys", F.col("places.key")).withColumn(
         "place", F.explode("places")).select("*", "place.key", "place.salts").withColumn(
         "salt", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("salts")).cast("int"))
     blocks = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(
