@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    return near_duplicates.one_of_each(docs)
+    return near_duplicates.one_of_each(docs, in_files=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

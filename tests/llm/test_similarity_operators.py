@@ -639,3 +639,40 @@ def test_long_texts_are_mixed_in_parts_with_all_their_contexts(monkeypatch):
             period = first.bases[half][k][at:at + 10]
             shift = -context_mixing.BLOCK % 10
             assert (cut[1].bases[half][k][shift:shift + 10] == period).all()
+
+
+def test_one_of_each_copies_no_files(spark, documents, tmp_path):
+    """A table in files is read again by the places of its rows; other frames are copied as before."""
+    from pathlib import Path
+
+    from tidemark.llm.common import Scratch, rows_of_files
+
+    copies = near_copies(5, 12, 4)
+    rows = [(10 + i, t) for i, (_, t) in enumerate(copies)] + ODD + [(10, copies[0][1]), (10, copies[0][1])]
+    documents(rows).repartition(5).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    with Scratch(spark) as made:
+        got = near_duplicates.one_of_each(docs, in_files=True)
+        names = [Path(p).name for p in made.paths]
+    assert not any(n.startswith("near-documents") for n in names)
+    want = near_duplicates.one_of_each(documents(rows))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    numbers = [r.row_id for r in rows_of_files(docs).select("row_id").collect()]
+    assert len(set(numbers)) == len(numbers) == len(rows)
+    assert rows_of_files(docs.crossJoin(spark.range(2))) is None and rows_of_files(documents(rows)) is None
+
+
+def test_texts_are_chosen_only_where_few_are_in_pairs(documents, monkeypatch):
+    stored, names = near_duplicates.stored, []
+    monkeypatch.setattr(near_duplicates, "stored", lambda df, name, *a, **k: (
+        names.append(name), stored(df, name, *a, **k))[1])
+    r = random.Random(9)
+    alone = [(1000 + i, " ".join(f"s{r.randrange(10**9)}" for _ in range(60))) for i in range(100)]
+    copies = [(i, t) for i, (_, t) in enumerate(near_copies(6, 10, 4))]
+    for rows, chosen in ((copies, False), (copies + alone, True)):
+        del names[:]
+        got = {x.doc_id: x.class_id for x in near_duplicates.classes(documents(rows)).collect()}
+        assert ("near-texts" in names) == chosen
+        assert [got[i] for i, _ in copies] == [i // 4 * 4 for i, _ in copies]
+        assert all(got[i] == i for i, _ in rows if i >= 1000)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, numbered, rows_in, stored
+from .common import Scratch, numbered, rows_in, rows_of_files, stored
 from .decontaminate import words_of
 
 #: words of the longer text from which a tier holds, items picked, hash functions
@@ -47,6 +47,8 @@ BATCH_ROWS, BATCH_BYTES = 1_000, 1 << 20
 KNOWN = 100_000
 #: words that a round of comparisons may move, in terms of those of all texts
 MOVED = 1.5
+#: share of all words from which texts that share a bucket are not stored apart from the others
+MOST = 0.5
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)
@@ -537,7 +539,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", row_id: str
 
 def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
     """row_id, doc_id, class_row of rows (row_id, doc_id, text), stored."""
-    with Scratch(rows.sparkSession) as sketched:  # as large as the documents: only till texts are chosen
+    with Scratch(rows.sparkSession) as sketched:  # as large as the documents
         signed = stored(rows.select("row_id", "doc_id", "text").mapInArrow(
             lambda batches: sketch_rows(batches, similarity),
             "row_id long, doc_id long, digest binary, signs array<long>, size int, bag binary, "
@@ -553,10 +555,15 @@ def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
     # only texts that share a bucket are compared, and only those keys are stored
     keys = stored(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key",
                             "left_semi"), "near-shared")
-    # the joins of pairs below shuffle texts: only those that can be in a pair
-    texts = stored(by_key(texts.select("node", "bag", "fine", "size", "words")).join(
-        by_key(keys.select("node").distinct()), "node", "left_semi"), "near-texts")
-    sketched.clear()
+    # the joins of pairs below shuffle texts: only those that can be in a pair, unless these are most
+    # of the words, as choosing them moves all texts once and stores them again
+    nodes = keys.select("node", "size").distinct()
+    texts = texts.select("node", "bag", "fine", "size", "words")
+    paired, held = (x.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for x in (nodes, texts))
+    if paired < MOST * held:
+        texts = stored(by_key(texts).join(by_key(nodes.select("node")), "node", "left_semi"),
+                       "near-texts")
+        sketched.clear()
     tried = stored(first_pairs(keys, texts, similarity), "near-pairs")
     links = linked(tried, texts, similarity)
     roots = components(links)
@@ -572,7 +579,9 @@ def placed_rows(rows: DataFrame, similarity: float) -> DataFrame:
         "digest", F.coalesce("root", "node").alias("root"))
     placed = every.join(node, "digest", "left").select(
         "row_id", "doc_id", F.coalesce("root", "row_id").alias("class_row"))
-    return stored(placed, "near-classes", temporary=False)
+    placed = stored(placed, "near-classes", temporary=False)
+    sketched.clear()
+    return placed
 
 
 def repeated_rows(placed: DataFrame) -> DataFrame:
@@ -584,9 +593,13 @@ def repeated_rows(placed: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text",
-                similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` without near-duplicates, all columns."""
-    rows = stored(numbered(docs.select(F.struct("*").alias("row"))), "near-documents")
+                similarity: float = SIMILARITY, in_files: bool = False) -> DataFrame:
+    """The rows of `docs` without near-duplicates, all columns.
+
+    in_files: `docs` is a table read from files, the same each time; its rows are not copied then."""
+    rows = rows_of_files(docs) if in_files else None
+    if rows is None:
+        rows = stored(numbered(docs.select(F.struct("*").alias("row"))), "near-documents")
     flat = rows.select("row_id", F.col(f"row.{id}").alias("doc_id"),
                        F.col(f"row.{text}").alias("text"))
     with Scratch(docs.sparkSession) as made:
