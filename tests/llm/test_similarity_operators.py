@@ -676,3 +676,15 @@ def test_texts_are_chosen_only_where_few_are_in_pairs(documents, monkeypatch):
         assert ("near-texts" in names) == chosen
         assert [got[i] for i, _ in copies] == [i // 4 * 4 for i, _ in copies]
         assert all(got[i] == i for i, _ in rows if i >= 1000)
+
+
+def test_one_round_shuffles_texts_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(near_duplicates, "stored", lambda df, *a, **k: plans.append(df) or df)
+    texts = stored(spark.createDataFrame(
+        [(i, 4, near_duplicates.packed(np.arange(4, dtype=np.uint32))) for i in range(6)],
+        "node long, size int, words binary"), "t")
+    pairs = stored(spark.createDataFrame([(0, 1), (2, 5)], "a long, b long"), "p")
+    found = near_duplicates.linked(pairs, texts, 0.8)
+    assert sorted(map(tuple, found.collect())) == [(0, 1), (2, 5)] and len(plans) == 1
+    assert "ReusedExchange" in plans[0]._jdf.queryExecution().executedPlan().toString()

@@ -469,8 +469,9 @@ def linked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     rounds = 1 + int((moved or 0) // (MOVED * max(1, held or 0)))
     out = None
     for i in range(rounds):
-        some, firsts = (x.filter(F.pmod(F.xxhash64(F.lit(2), "a"), F.lit(rounds)) == i)
-                        for x in (pairs, a))
+        # in a single round both sides are all texts, which are then shuffled once for both
+        some, firsts = (x.filter(F.pmod(F.xxhash64(F.lit(2), "a"), F.lit(rounds)) == i) if rounds > 1
+                        else x for x in (pairs, a))
         found = stored(by_key(by_key(some).join(by_key(firsts), "a")).join(by_key(b), "b").mapInArrow(
             lambda batches: verify_rows(batches, similarity), "a long, b long"), "near-links")
         out = found if out is None else out.union(found)
